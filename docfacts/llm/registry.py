@@ -1,10 +1,11 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, sharding, url_filter
+from docfacts.llm import audio, packing, sharding, url_filter
 
 QUERIES = {
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
     "op8_audio": audio.op8_audio,
+    "op9_pattern_packing": packing.op9_pattern_packing,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLES = {"op10_url_filter": url_filter.ORACLE}
