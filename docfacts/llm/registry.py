@@ -1,9 +1,10 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, packing, sharding, url_filter
+from docfacts.llm import audio, packing, sharding, simhash, url_filter
 
 QUERIES = {
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
+    "op6_simhash": simhash.op6_simhash,
     "op8_audio": audio.op8_audio,
     "op9_pattern_packing": packing.op9_pattern_packing,
     "op10_url_filter": url_filter.op10_url_filter,
