@@ -1,8 +1,10 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, packing, sharding, simhash, url_filter
+from docfacts.llm import audio, language, packing, quality, sharding, simhash, url_filter
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
+    "op3_language": language.op3_language,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
     "op6_simhash": simhash.op6_simhash,
     "op8_audio": audio.op8_audio,
