@@ -122,8 +122,9 @@ def search(index: Index, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         return alive, alive, np.zeros(0)
     n = ends[alive] - starts[alive]
     at = np.repeat(starts[alive] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-    pairs = np.stack([np.repeat(alive, n), ids[at]], 1)
-    pairs = np.unique(pairs[pairs[:, 1] >= 0], axis=0)  # a passage asks each term once
+    known = ids[at] >= 0
+    pairs = np.unique((np.repeat(alive, n) * len(index.terms) + ids[at])[known])  # a passage asks each term once
+    pairs = np.stack(np.divmod(pairs, len(index.terms)), 1)
     p, block, most = _sums(*index.expand(pairs[:, 0], pairs[:, 1], True), len(index.ids) // BLOCK + 1)
     keep = most >= threshold
     p, block = p[keep], block[keep]

@@ -1,11 +1,12 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, decontaminate, language, packing, quality, sharding, simhash, url_filter
+from docfacts.llm import audio, decontaminate, language, language_model, packing, quality, sharding, simhash, url_filter
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op3_language": language.op3_language,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
+    "op5_language_model": language_model.op5_language_model,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_audio": audio.op8_audio,
