@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from docfacts.llm.shared import arrow_schema, fold, materialize, partitions, read, rows_to_batch, slices, to_batch
 
 #: Strength of the prior towards P1.
-MU = 20.0
+MU = 100.0
 #: Text bytes hashed at once, and text bytes of a block.
 SLICE_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
 #: Pairs of a part of level 2, words of a part of level 1.

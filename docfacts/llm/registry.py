@@ -1,8 +1,9 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, decontaminate, language, language_model, packing, quality, sharding, simhash, url_filter
+from docfacts.llm import audio, decontaminate, html_template, language, language_model, packing, quality, sharding, simhash, url_filter
 
 QUERIES = {
+    "op1_html_template": html_template.op1_html_template,
     "op2_quality": quality.op2_quality,
     "op3_language": language.op3_language,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
