@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, read, rows_to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, read, rows_to_batch
 
 WINDOW, STRIDE = 96, 48
 K1, B = 0.9, 0.4
@@ -142,51 +142,74 @@ def search(index: Index, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER, group: int = GROUP) -> DataFrame:
-    """Verified (document, item) pairs with the best passage of each."""
-    spark = docs.sparkSession
-    total = benchmark.count()
-    groups = max(1, -(-total // group))
+def found_in(index: Index, texts: list[str | None], threshold: float, question: float, answer: float) -> list[tuple]:
+    """(row, item number, passage start, passage words, score, overlaps) of the verified items of each text, best passage each."""
+    number = index.terms.get
+    words = [words_of(t) for t in texts]
+    ids = np.array([number(w, -1) for ws in words for w in ws], dtype=np.int64)
+    starts, ends, owner, base = [], [], [], 0
+    for k, ws in enumerate(words):
+        for s in range(0, max(1, len(ws) - (WINDOW - STRIDE)), STRIDE):
+            starts.append(base + s)
+            ends.append(base + min(s + WINDOW, len(ws)))
+            owner.append((k, s))
+        base += len(ws)
+    p, item, score = search(index, ids, np.array(starts), np.array(ends), threshold)
+    best: dict[tuple[int, int], tuple] = {}
+    for i, m, x in zip(p.tolist(), item.tolist(), score.tolist(), strict=True):
+        k, s = owner[i]
+        passage = words[k][s:s + WINDOW]
+        q, a = (overlap(o, passage) for o in index.parts[m])
+        if q >= question and a >= answer:
+            row = (x, -s, len(passage), q, a)
+            best[k, m] = max(row, best.get((k, m), row))
+    return [(k, m, -s, n, x, q, a) for (k, m), (x, s, n, q, a) in sorted(best.items())]
+
+
+def indexes(benchmark: DataFrame, group: int = GROUP) -> list:
+    """Broadcast indexes of the benchmark's items, in groups of about `group`."""
+    spark = benchmark.sparkSession
+    groups = max(1, -(-benchmark.count() // group))
     cut = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
+    return [spark.sparkContext.broadcast(Index(sorted((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()))) for g in range(groups)]
+
+
+MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER) -> DataFrame:
+    """Verified (document, item) pairs with the best passage of each."""
     out = None
-    for g in range(groups):
-        rows = sorted((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect())  # about `group` items
-        part = _matches(docs, spark.sparkContext.broadcast(Index(rows)), threshold, question, answer)
+    for shared in indexes(benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index, schema = shared.value, arrow_schema(MATCHES)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    doc = part.column(0).to_pylist()
+                    rows = found_in(index, part.column(1).to_pylist(), threshold, question, answer)
+                    if rows:
+                        yield rows_to_batch([(doc[k], index.ids[m], *rest) for k, m, *rest in rows], schema)
+
+        part = docs.select("doc_id", "text").mapInArrow(run, MATCHES)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _matches(docs: DataFrame, shared, threshold: float, question: float, answer: float) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, schema = shared.value, arrow_schema(MATCHES)
-        number = index.terms.get
-        for batch in batches:
+def kept(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without a verified item, in one pass for each group of items and with all their columns."""
+    for shared in indexes(benchmark):
+
+        def keep(batch: pa.RecordBatch, shared=shared) -> np.ndarray:
+            out, texts = np.ones(batch.num_rows, dtype=bool), batch.column(batch.schema.get_field_index("text"))
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                words = [words_of(t.as_py()) for t in part.column(1)]
-                ids = np.array([number(w, -1) for ws in words for w in ws], dtype=np.int64)
-                starts, ends, owner, base = [], [], [], 0
-                for k, ws in enumerate(words):
-                    for s in range(0, max(1, len(ws) - (WINDOW - STRIDE)), STRIDE):
-                        starts.append(base + s)
-                        ends.append(base + min(s + WINDOW, len(ws)))
-                        owner.append((k, s))
-                    base += len(ws)
-                p, item, score = search(index, ids, np.array(starts), np.array(ends), threshold)
-                best: dict[tuple[int, int], tuple] = {}
-                for i, m, x in zip(p.tolist(), item.tolist(), score.tolist(), strict=True):
-                    k, s = owner[i]
-                    passage = words[k][s:s + WINDOW]
-                    q, a = (overlap(o, passage) for o in index.parts[m])
-                    if q >= question and a >= answer:
-                        row = (x, -s, len(passage), q, a)
-                        best[k, m] = max(row, best.get((k, m), row))
-                doc = part.column(0).to_pylist()
-                rows = [(doc[k], index.ids[m], -s, n, x, q, a) for (k, m), (x, s, n, q, a) in sorted(best.items())]
-                if rows:
-                    yield rows_to_batch(rows, schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, MATCHES)
+                for k, *_ in found_in(shared.value, texts.slice(at, 256).to_pylist(), THRESHOLD, QUESTION, ANSWER):
+                    out[at + k] = False
+            return out
+
+        docs = filter_rows(docs, keep)
+    return docs
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

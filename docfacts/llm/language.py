@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, fold, read, to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, fold, read, to_batch
 
 BUCKETS = 1 << 15
 #: Bound of the training sample: expected documents per language.
@@ -198,6 +198,17 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def kept(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
+    """The rows of a known language (score at least `least`), in one pass and with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batch: pa.RecordBatch) -> list[bool]:
+        got = [shared.value.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
+        return [lang != "und" and score >= least for lang, score in got]
+
+    return filter_rows(docs, keep)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2

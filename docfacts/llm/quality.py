@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, fold, materialize, read, to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, fold, materialize, read, to_batch
 
 THRESHOLD = 0.3
 #: Shares of the class's own covariance, of the pooled one and of the pooled diagonal.
@@ -143,6 +143,16 @@ def score(vectors: DataFrame, model: Discriminant) -> DataFrame:
     return vectors.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
 
 
+def kept(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose text scores at least the threshold, in one pass and with all their columns."""
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        texts = batch.column(batch.schema.get_field_index("text"))
+        return model.score(np.array([statistics(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in texts])) >= threshold
+
+    return filter_rows(docs, keep)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = materialize(features(read(spark, sf_dir, "documents")), "statistics")
     held_out = fold(F.col("doc_id"), 5) == 0

@@ -102,3 +102,20 @@ def to_batch(columns, schema: pa.Schema) -> pa.RecordBatch:
 
 def rows_to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return to_batch(list(zip(*rows, strict=True)) if rows else [[] for _ in schema], schema)
+
+
+def filter_rows(df: DataFrame, keep) -> DataFrame:
+    """Rows of df for which keep(Arrow batch) -> boolean array holds; all columns stay as they are and nothing is shuffled."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """df without the rows whose doc_id is in ids; ids are broadcast only if they are at most `most`."""
+    ids = materialize(ids.select("doc_id").distinct(), "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*df.columns)
