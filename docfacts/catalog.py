@@ -1,4 +1,7 @@
 """All registered queries of the library with their oracle SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from docfacts.plans import jobs, queries
+
+assert jobs  # its queries register themselves
+QUERIES: dict = dict(queries.QUERIES)
+ORACLES: dict[str, str] = dict(queries.ORACLES)

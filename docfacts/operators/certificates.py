@@ -135,8 +135,9 @@ def plan_candidates(candidates: DataFrame, existing: DataFrame, history: DataFra
     j = j.join(F.broadcast(manual_blocks.select("field_code", F.lit(True).alias("_blocked")).distinct()), "field_code", "left")
     expired = F.col("time_status") == "EXPIRED"
     own = lambda v: compact(F.col(v).cast("string"))
+    other_value = lambda v: lambda o: (compact(o[v]) != "") & (own(v) != "") & (compact(o[v]) != own(v))
     differ = [
-        F.when(F.exists("olds", lambda o, v=v: (compact(o[v]) != "") & (own(v) != "") & (compact(o[v]) != own(v))) & (~expired if v in ("cert_level", "issue_date", "expiry_date") else F.lit(True)), F.lit(f"{v} differs"))
+        F.when(F.exists("olds", other_value(v)) & (~expired if v in ("cert_level", "issue_date", "expiry_date") else F.lit(True)), F.lit(f"{v} differs"))
         for v in [*CHECKED, "person_role"]
     ]
     reasons = F.array_compact(F.array(

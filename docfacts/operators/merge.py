@@ -147,8 +147,8 @@ def merge_requirements(df: DataFrame) -> DataFrame:
         F.max_by("requirement", F.struct(F.length("requirement"), -F.col("ordinal"))).alias("requirement"), F.min_by("name", "ordinal").alias("name"),
         F.collect_set("requirement").alias("texts"), F.collect_set("level").alias("levels"), F.array_sort(F.collect_set("page")).alias("pages"), F.count(F.lit(1)).alias("n"),
     )
-    contained = F.forall("texts", lambda t: F.contains(F.col("requirement"), t))
-    kind = F.when(F.col("n") == 1, "NONE").when(F.size("texts") == 1, "EXACT_DUPLICATE").when(contained, "SEMANTIC_DUPLICATE").otherwise("SUPPLEMENT")
+    contained = F.exists("texts", lambda t: F.exists("texts", lambda o: (o != t) & F.contains(o, t)))
+    kind = F.when(F.col("n") == 1, "NONE").when(F.size("texts") == 1, "EXACT_DUPLICATE").when(contained, "SUPPLEMENT").otherwise("SEMANTIC_DUPLICATE")
     return agg.withColumn("merge_type", kind).withColumn("level", F.when(F.size("levels") == 1, F.element_at("levels", 1))).drop("texts", "levels", "n")
 
 
