@@ -5,8 +5,8 @@ and text runs told apart by path and content. Tokens of one host that occur
 equally often on each of its pages (equal occurrence vectors, compared through
 a commutative hash of page and count) form an equivalence class. Classes found
 on enough pages are kept if they are valid: their tokens stand in the same
-order on every page, and the class lies inside one gap of the host's root
-class. Valid classes nest into the host's template; text between template
+order on every page, and in the same gaps of the host's root class (the largest
+of the most frequent ones). Valid classes nest into the host's template; text between template
 tokens fills slots. The main text is what the slots of the article region
 hold; on pages without such a region it is the slot with most text outside
 menus, headers, footers, sidebars, notices, adverts, forms and comments, whose
@@ -168,7 +168,7 @@ def classes(tokens: DataFrame) -> DataFrame:
 
 def by_host(found: DataFrame) -> DataFrame:
     """One row per host: its classes, most frequent first."""
-    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("support", "class", "tokens")), asc=False).alias("template"))
+    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("support", F.size("tokens").alias("n"), "class", "tokens")), asc=False).alias("template"))
 
 
 def attach(pages: DataFrame, templates: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ PLACES = "host string, class long, ordered long, gap long"
 
 
 def places(tokens: DataFrame, templates: DataFrame) -> DataFrame:
-    """Per page and class: a hash of the order of its tokens, and the gap of the root class that holds it (-1 if it spans several)."""
+    """Per page and class: a hash of the order of its tokens, and one of the gaps of the root class that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -199,10 +199,10 @@ def places(tokens: DataFrame, templates: DataFrame) -> DataFrame:
                         continue
                     seen += k == root
                     orders.setdefault(k, []).append(t)
-                    gaps.setdefault(k, set()).add(seen)
+                    gaps.setdefault(k, []).append(seen)
                 for k, order in orders.items():
-                    gap = 0 if k == root else next(iter(gaps[k])) if len(gaps[k]) == 1 else -1
-                    rows.append((row["host"], row["template"][k]["class"], xxhash.xxh64_intdigest(repr(order)) >> 1, gap))
+                    hashes = [xxhash.xxh64_intdigest(repr(x)) >> 1 for x in (order, [] if k == root else gaps[k])]
+                    rows.append((row["host"], row["template"][k]["class"], *hashes))
             yield rows_to_batch(rows, schema)
 
     return attach(tokens.select("host", "tokens"), templates).mapInArrow(run, PLACES)
@@ -215,7 +215,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     placed = places(tokens, by_host(found)).groupBy("host", "class").agg(
         F.min("ordered").alias("o1"), F.max("ordered").alias("o2"), F.min("gap").alias("g1"), F.max("gap").alias("g2")
     )
-    valid = placed.filter("o1 = o2 AND g1 = g2 AND g1 >= 0").select("host", "class")
+    valid = placed.filter("o1 = o2 AND g1 = g2").select("host", "class")
     return materialize(by_host(found.join(valid, ["host", "class"])), "templates")
 
 

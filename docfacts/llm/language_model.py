@@ -47,6 +47,8 @@ SLICE_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
 #: Pairs of a part of level 2, words of a part of level 1.
 PART_PAIRS, PART_WORDS = 3_000_000, 2_000_000
 END = np.uint64(0)
+#: Stands for a null doc_id inside blocks.
+NO_ID = -(1 << 63)
 #: One byte holds a log10 probability down to FLOOR; code 0 says that a pair is absent.
 FLOOR = -14.0
 BOOK = np.concatenate([[0.0], FLOOR * (1 - (np.arange(255) + 0.5) / 255)])
@@ -122,7 +124,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text", SLICE_BYTES):
                 texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(1)]
                 words, sizes = hash_words(texts)
-                parts.append((np.array(part.column(0).to_pylist(), dtype=np.int64), np.array(part.column(2).to_pylist(), dtype=bool), words, sizes))
+                parts.append((np.array([NO_ID if d is None else d for d in part.column(0).to_pylist()], dtype=np.int64), np.array(part.column(2).to_pylist(), dtype=bool), words, sizes))
                 size += sum(map(len, texts))
                 if size >= BLOCK_BYTES:
                     yield block(parts)
@@ -437,7 +439,7 @@ def scores(joined: DataFrame, offsets: np.ndarray, start_count: int, total: int,
                 each = np.where(code > 0, BOOK[code], backed)
                 starts = np.concatenate([[0], np.cumsum(words.sizes)[:-1]])
                 yield to_batch([
-                    _array(row["docs"], np.int64), words.sizes.astype(np.int64), np.add.reduceat((words.count > 0)[words.tokens].astype(np.int64), starts),
+                    pa.array(ids := _array(row["docs"], np.int64), mask=ids == NO_ID), words.sizes.astype(np.int64), np.add.reduceat((words.count > 0)[words.tokens].astype(np.int64), starts),
                     np.add.reduceat(p1[words.tokens], starts), np.add.reduceat(each, starts),
                 ], schema)
 

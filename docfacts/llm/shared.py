@@ -118,4 +118,5 @@ def filter_rows(df: DataFrame, keep) -> DataFrame:
 def without_ids(df: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
     """df without the rows whose doc_id is in ids; ids are broadcast only if they are at most `most`."""
     ids = materialize(ids.select("doc_id").distinct(), "ids")
-    return df.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*df.columns)
+    ids = F.broadcast(ids) if ids.count() <= most else ids
+    return df.join(ids, df["doc_id"] == ids["doc_id"], "left_anti")
