@@ -109,7 +109,7 @@ CAPTURES = {
     "personnel:": "(项目经理|项目负责人|技术负责人|设计负责人|施工负责人|总监理工程师|建造师)",
     "qualification:": "([\u4e00-\u9fff]{2,30}(?:施工总承包|专业承包|设计资质|勘察资质|监理资质|工程咨询|工程设计|工程勘察)[\u4e00-\u9fff甲乙丙壹贰叁一二三级综合行业专项]*资质?)",
 }
-REQUIREMENT_TYPES = [*dict.fromkeys(r[0] for r in REQUIREMENTS), "PROOF_MATERIAL", "OTHER"]
+REQUIREMENT_TYPES = [*dict.fromkeys(r[0] for r in REQUIREMENTS), "OTHER"]
 
 
 def normalized_requirement(c: Column) -> Column:

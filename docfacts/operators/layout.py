@@ -6,21 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docfacts.functions.text import compact
+from docfacts.functions.text import WHITE
 from docfacts.operators.windows import running_offset
 
 NODE = ["doc_id", "page", "ordinal", "item_id", "text", "x", "y", "width", "height"]
 
 
+def solid(c: Column) -> Column:
+    """Text without white space, characters as they are written."""
+    return F.coalesce(F.regexp_replace(c, WHITE, ""), F.lit(""))
+
+
 def content_nodes(nodes: DataFrame) -> DataFrame:
     """Without image placeholders and footers."""
-    solid = compact(F.col("text"))
-    return nodes.filter(~F.col("text").startswith("[Image:") & ~((F.col("y") < 70) & solid.rlike(r"^([0-9]+|https?://\S+)$")))
+    text = solid(F.col("text"))
+    return nodes.filter(~F.col("text").startswith("[Image:") & ~((F.col("y") < 70) & text.rlike(r"^([0-9]+|https?://\S+)$")))
 
 
 def page_texts(nodes: DataFrame) -> DataFrame:
     """(doc_id, page, text) in node order, without white space."""
-    return nodes.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("ordinal", compact(F.col("text")).alias("t")))).alias("n")).select("doc_id", "page", F.array_join(F.transform("n", lambda x: x["t"]), "").alias("text"))
+    return nodes.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("ordinal", solid(F.col("text")).alias("t")))).alias("n")).select("doc_id", "page", F.array_join(F.transform("n", lambda x: x["t"]), "").alias("text"))
 
 
 def _any(text: Column, words: list[str]) -> Column:
@@ -69,7 +74,7 @@ def locate_sections(pages: DataFrame) -> DataFrame:
 
 def view_offsets(nodes: DataFrame, key: list[str]) -> DataFrame:
     """Nodes of a view with start and end in its text without white space."""
-    return running_offset(nodes.withColumn("solid", compact(F.col("text"))), key, "ordinal", F.length("solid"))
+    return running_offset(nodes.withColumn("solid", solid(F.col("text"))), key, "ordinal", F.length("solid"))
 
 
 def section_text(view: DataFrame, key: list[str]) -> DataFrame:
@@ -103,20 +108,20 @@ def _joined(pairs: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def _labels(nodes: DataFrame, labels: list[str]) -> DataFrame:
-    found = nodes.filter(compact(F.col("text")).isin(labels))
-    return found.select("doc_id", "page", F.col("item_id").alias("label_id"), compact(F.col("text")).alias("label"), F.col("x").alias("lx"), F.col("y").alias("ly"), F.col("width").alias("lw"))
+    found = nodes.filter(solid(F.col("text")).isin(labels))
+    return found.select("doc_id", "page", F.col("item_id").alias("label_id"), solid(F.col("text")).alias("label"), F.col("x").alias("lx"), F.col("y").alias("ly"), F.col("width").alias("lw"))
 
 
 def row_values(nodes: DataFrame, labels: list[str]) -> DataFrame:
     """Nodes right of a label on its baseline, from left to right: an equi-join on the page with a residual."""
-    cells = nodes.select("doc_id", "page", "item_id", "x", "y", compact(F.col("text")).alias("solid"))
+    cells = nodes.select("doc_id", "page", "item_id", "x", "y", solid(F.col("text")).alias("solid"))
     pairs = _labels(nodes, labels).join(cells, ["doc_id", "page"]).filter((F.col("x") > F.col("lx") + F.col("lw") + 2) & (F.abs(F.col("y") - F.col("ly")) < 8))
     return _joined(pairs, [F.col("x")])
 
 
 def row_band_values(nodes: DataFrame, labels: list[str]) -> DataFrame:
     """A wrapped value cell: nodes in the band between the midpoints to the neighbouring clause numbers (45 units without one)."""
-    cells = nodes.select("doc_id", "page", "item_id", "x", "y", compact(F.col("text")).alias("solid"))
+    cells = nodes.select("doc_id", "page", "item_id", "x", "y", solid(F.col("text")).alias("solid"))
     lab = _labels(nodes, labels)
     anchors = lab.join(cells.filter(F.col("solid").rlike(r"^[0-9]+(?:\.[0-9]+)+$")), ["doc_id", "page"]).filter("x < lx")
     w = W.partitionBy("doc_id", "page", "label_id").orderBy("y")
@@ -128,8 +133,7 @@ def row_band_values(nodes: DataFrame, labels: list[str]) -> DataFrame:
 
 def front_value_columns(nodes: DataFrame) -> DataFrame:
     """C11: nodes of the value column: right of the median x of long texts, less 25."""
-    solid = compact(F.col("text"))
-    edge = nodes.filter(F.length(solid) > 20).groupBy("doc_id", "page").agg((F.percentile("x", 0.5) - 25).alias("edge"))
+    edge = nodes.filter(F.length(solid(F.col("text"))) > 20).groupBy("doc_id", "page").agg((F.percentile("x", 0.5) - 25).alias("edge"))
     return nodes.join(edge, ["doc_id", "page"]).filter("x >= edge").drop("edge")
 
 
@@ -145,8 +149,8 @@ def map_span_to_evidence(spans: DataFrame, view: DataFrame, key: list[str]) -> D
 
 def truncate_with_evidence(evidence: DataFrame, key: list[str], order: str, length: Column) -> DataFrame:
     """C14: evidence pieces cut to the first `length` solid characters of their value."""
-    solid = F.length(compact(F.col("text")))
+    length_of = F.length(solid(F.col("text")))
     w = W.partitionBy(*key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    rows = evidence.withColumn("_before", F.coalesce(F.sum(solid).over(w), F.lit(0))).withColumn("_room", length - F.col("_before")).filter("_room > 0")
+    rows = evidence.withColumn("_before", F.coalesce(F.sum(length_of).over(w), F.lit(0))).withColumn("_room", length - F.col("_before")).filter("_room > 0")
     cut = F.least(F.col("_room"), F.length("text")).cast("int")
     return rows.withColumn("text", F.left("text", cut)).withColumn("end", F.col("start") + F.length("text")).drop("_before", "_room")

@@ -135,7 +135,7 @@ def jcebid_requirement_sources(blocks: DataFrame, words: dict[str, str]) -> Data
     pattern = "([\\u4e00-\\u9fff]{0,20}(?:" + "|".join(words) + ")[\\u4e00-\\u9fff]{0,10})"
     each = blocks.select("doc_id", "page", "ordinal", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(1))).alias("part", "requirement"))
     identity = F.coalesce(*[F.when(F.contains(F.col("requirement"), F.lit(w)), F.lit(i)) for w, i in words.items()])
-    return each.select("doc_id", "page", (F.col("ordinal") * 1000 + F.col("part")).alias("ordinal"), "requirement", F.lit("PROOF_MATERIAL").alias("type"), F.col("requirement").alias("name"), identity.alias("identity"), extract_level(F.col("requirement")).alias("level"))
+    return each.select("doc_id", "page", (F.col("ordinal") * 1000 + F.col("part")).alias("ordinal"), "requirement", F.lit("OTHER").alias("type"), F.col("requirement").alias("name"), identity.alias("identity"), extract_level(F.col("requirement")).alias("level"))
 
 
 def domain_output_defaults(docs: DataFrame, payloads: DataFrame, domains: list[str]) -> DataFrame:
