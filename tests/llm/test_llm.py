@@ -403,6 +403,22 @@ def test_pipeline(spark):
     items = [i.text for i in table("benchmark", MORE).itertuples()]
     assert not [d for d in clean if any(i in texts[d] for i in items)]
     assert {d for d in unique if any(i in texts[d] for i in items)} == unique - clean
+    # near duplicates: brute force over five-word shingles of what the stage before kept
+    sets = {d: (lambda w: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})(re.findall(WORDS, lower(texts[d]))) for d in language_kept}
+    ids, parent = sorted(sets), {d: d for d in sets}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            shared = len(sets[a] & sets[b])
+            if shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert unique == {d for d in ids if find(d) == d}
     packed = P.STAGES[-1][1](spark, kept, MORE).collect()
     found, least = check_packing(packed, {d: texts[d] for d in clean})
     assert found <= least + 1
