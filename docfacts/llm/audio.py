@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from docfacts.llm.shared import arrow_schema, read, rows_to_batch
+from docfacts.llm.shared import arrow_schema, read, rows_to_batch, texts
 
 # Fixed values of the format: kbit/s of MPEG-1 Layer III by header index, samples a second by index.
 BITRATES = [0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320]
@@ -194,7 +194,7 @@ def media_columns(docs: DataFrame, keep_media: bool = True) -> DataFrame:
             if rows:
                 yield rows_to_batch(rows, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, fields)
+    return texts(docs, "doc_id", "text").mapInArrow(run, fields)
 
 
 def op8_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

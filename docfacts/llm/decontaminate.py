@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, filter_rows, read, rows_to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, read, rows_to_batch, texts
 
 WINDOW, STRIDE = 96, 48
 K1, B = 0.9, 0.4
@@ -192,7 +192,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                     if rows:
                         yield rows_to_batch([(doc[k], index.ids[m], *rest) for k, m, *rest in rows], schema)
 
-        part = docs.select("doc_id", "text").mapInArrow(run, MATCHES)
+        part = texts(docs, "doc_id", "text").mapInArrow(run, MATCHES)
         out = part if out is None else out.unionByName(part)
     return out
 

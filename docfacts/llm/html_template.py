@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, materialize, read, rows_to_batch
+from docfacts.llm.shared import arrow_schema, materialize, read, rows_to_batch, texts
 from docfacts.llm.url_filter import split_url
 
 #: A class has to occur on this many different pages of a host, and on this share of them.
@@ -150,7 +150,7 @@ def tokenised(pages: DataFrame) -> DataFrame:
                 rows.append((host, content, *page_tokens(page.as_py())))
             yield rows_to_batch(rows, schema)
 
-    return pages.filter(F.length("html") > 0).select("host", F.xxhash64("html").alias("content"), "html").mapInArrow(run, TOKENS)
+    return texts(pages.filter(F.length("html") > 0), "host", F.xxhash64("html").alias("content"), "html").mapInArrow(run, TOKENS)
 
 
 def classes(tokens: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, filter_rows, fold, read, to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, fold, read, texts, to_batch
 
 BUCKETS = 1 << 15
 #: Bound of the training sample: expected documents per language.
@@ -95,7 +95,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
         total = sum(np.frombuffer(b, dtype=np.int64) for b in pdf["df"])
         return pdf.head(1).assign(df=[total.tobytes()])
 
-    parts = docs.select("text").mapInArrow(count, "part int, df binary").groupBy("part").applyInPandas(add, "part int, df binary").collect()
+    parts = texts(docs, "text").mapInArrow(count, "part int, df binary").groupBy("part").applyInPandas(add, "part int, df binary").collect()
     df = np.concatenate([np.frombuffer(r["df"], dtype=np.int64) for r in sorted(parts)]) if parts else np.zeros(BUCKETS + 1, dtype=np.int64)
     return int(df[BUCKETS]), df[:BUCKETS]
 
@@ -195,7 +195,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             got = [own.predict(t.as_py()) for t in batch.column(1)]
             yield to_batch([batch.column(0), [g[0] for g in got], [g[1] for g in got]], schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return texts(docs, "doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def kept(docs: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, fold, materialize, partitions, read, rows_to_batch, slices, to_batch
+from docfacts.llm.shared import arrow_schema, fold, materialize, partitions, read, rows_to_batch, slices, texts, to_batch
 
 #: Strength of the prior towards P1.
 MU = 100.0
@@ -132,7 +132,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if parts:
             yield block(parts)
 
-    return docs.select("doc_id", "text", F.coalesce("train", F.lit(False)).alias("train")).mapInArrow(run, BLOCKS)
+    return texts(docs, "doc_id", "text", F.coalesce("train", F.lit(False)).alias("train")).mapInArrow(run, BLOCKS)
 
 
 def bucketed(df: DataFrame, key: str) -> DataFrame:

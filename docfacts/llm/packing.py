@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, global_rank, materialize, read, to_batch
+from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materialize, read, texts, to_batch
 
 CAPACITY = 4096
 END_ID = 1
@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
                             column.append(value)
                 yield to_batch(columns, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(tokenise, fields)
+    return texts(docs, "doc_id", "text").mapInArrow(tokenise, fields)
 
 
 def patterns(counts: np.ndarray, capacity: int, most: int = 40_000) -> list[tuple[int, ...]]:
@@ -233,6 +233,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(t["base"][k] + nth), pa.array(t["offset"][k] + j * length)], schema=schema)
 
     ranked = global_rank(parts, ["length", "doc_id", "piece", "start"], "ranked")
+    batch_rows(spark, 10_000)
     return ranked.mapInArrow(place, fields)
 
 

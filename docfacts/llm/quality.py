@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, filter_rows, fold, materialize, read, to_batch
+from docfacts.llm.shared import arrow_schema, filter_rows, fold, materialize, read, texts, to_batch
 
 THRESHOLD = 0.3
 #: Shares of the class's own covariance, of the pooled one and of the pooled diagonal.
@@ -72,7 +72,7 @@ def features(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield to_batch([batch.column(0), [statistics(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column(1)]], schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
+    return texts(docs, "doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
 
 
 def moments(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:

@@ -68,6 +68,7 @@ def quantised(docs: DataFrame, bits: int) -> DataFrame:
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
     )
+    base = materialize(base, "base")
     groups = base.groupBy("text_key", "text_crc32", "size").agg(F.min("source").alias("source"), F.min("lang").alias("lang"))
     top = (1 << bits) - 1
     cells = groups.select(
@@ -77,7 +78,8 @@ def quantised(docs: DataFrame, bits: int) -> DataFrame:
         # eight cells for every doubling of the size
         F.least(F.lit(top), F.floor(F.log2("size") * F.lit((1 << bits) / 32.0))).cast("long").alias("d_size"),
     )
-    return base.select("doc_id", "size", "text_crc32", "text_key").join(cells, ["text_key", "text_crc32", "size"])
+    # both sides are written: the join can then split a large group's rows
+    return base.select("doc_id", "size", "text_crc32", "text_key").join(materialize(cells, "groups"), ["text_key", "text_crc32", "size"])
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = 8) -> DataFrame:

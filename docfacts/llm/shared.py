@@ -43,6 +43,17 @@ def fold(col: Column, folds: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % folds
 
 
+def batch_rows(spark: SparkSession, rows: int) -> None:
+    """Rows of the Arrow batches of the queries that start from now on in this session: few for texts, which can be long, many for short rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def texts(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns that tasks need, in batches of at most 1,000 rows."""
+    batch_rows(docs.sparkSession, 1000)
+    return docs.select(*columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -107,6 +118,8 @@ def rows_to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def filter_rows(df: DataFrame, keep) -> DataFrame:
     """Rows of df for which keep(Arrow batch) -> boolean array holds; all columns stay as they are and nothing is shuffled."""
 
+    batch_rows(df.sparkSession, 1000)
+
     def run(batches):
         for batch in batches:
             if batch.num_rows:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, materialize, partitions, read, to_batch, without_ids
+from docfacts.llm.shared import arrow_schema, batch_rows, materialize, partitions, read, texts, to_batch, without_ids
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
 BLOCK = 1500
@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
                 part = batch.slice(at, 512)
                 yield to_batch([part.column(0), [fingerprint(shingle_hashes(t.as_py(), words), bits) for t in part.column(1)]], schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp binary")
+    return texts(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp binary")
 
 
 def cover(positions: int, agree: int, size: int) -> list[tuple[int, ...]]:
@@ -174,6 +174,7 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
 def links(lists: DataFrame, agree: int, distance: int, block: int = BLOCK) -> DataFrame:
     """(a, b): linked fingerprints, from posting lists (k, fp)."""
     spark = lists.sparkSession
+    batch_rows(spark, 10_000)
     lists = materialize(lists, "postings")
     large = lists.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     large = materialize(large.select("k", F.ceil(F.col("n") / block).cast("int").alias("s")), "large")
@@ -264,7 +265,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 sets = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in part.column(1)]
                 yield to_batch([part.column(0), sets], schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+    return texts(docs, "doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
 def similar(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, least: float) -> DataFrame:
@@ -306,8 +307,9 @@ def near_duplicates(
     if similarity is not None:
         found = similar(found, nodes, docs, words, similarity)
     roots = components(found)
-    joined = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written before they are joined: the join can then split a large component's rows
+    joined = materialize(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    least = materialize(joined.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = joined.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp")
 
