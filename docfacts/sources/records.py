@@ -32,8 +32,21 @@ def scan_content_hash(spark: SparkSession, path: str, cap: int) -> DataFrame:
 def scan_images(spark: SparkSession, path: str, cap: int, recursive: bool = True) -> DataFrame:
     """S3: supported files by suffix; empty and too large ones carry an error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).filter(F.col("path").rlike(IMAGE_SUFFIXES))
-    error = F.when(F.col("length") == 0, "empty file").when(F.col("length") > cap, "file is too large")
-    return files.select("path", "length", "modificationTime", F.when(error.isNull(), F.sha2("content", 256)).alias("sha256"), error.alias("error"))
+    error = F.when(F.col("length") > cap, "file is too large")
+    found = files.select("path", "length", F.when(error.isNull(), F.sha2("content", 256)).alias("sha256"), error.alias("error"))
+    empty = [(p, 0, None, "empty file") for p in empty_files(spark, path, recursive)]
+    return found.unionByName(spark.createDataFrame(empty, "path string, length long, sha256 string, error string").filter(F.col("path").rlike(IMAGE_SUFFIXES)))
+
+
+def empty_files(spark: SparkSession, path: str, recursive: bool = True) -> list[str]:
+    """Paths of empty files, which Spark's file sources leave out of their listing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listing, out = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, recursive), []
+    while listing.hasNext():
+        f = listing.next()
+        if f.getLen() == 0:
+            out.append(f.getPath().toString())
+    return out
 
 
 def read_award_rows(cells: DataFrame, headers: list[str] = AWARD_HEADERS, no_winner: str = "无数据") -> DataFrame:
