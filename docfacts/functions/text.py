@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Texts that stand for a missing value.
 NULL_TEXTS = ["", "null", "none", "unknown", "未知", "未识别", "未显示", "--", "—", "-"]
+# Those of the strict reader (an empty text is null there, too).
 STRICT_NULL_TEXTS = ["null", "none", "未知", "未识别", "未显示", "--", "—"]
+# Patterns of control characters, sensitive numbers and certificate levels.
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 WHITE = r"(?U)\s+"
 PERSONAL_ID = r"(?<![0-9A-Z])[0-9]{17}[0-9Xx](?![0-9A-Z])"
@@ -104,12 +106,18 @@ def certificate_identity_name(c: Column) -> Column:
     return out
 
 
+# Kinds of credentials, first match wins.
+CREDENTIAL_KINDS = [
+    ("SYSTEM_CERTIFICATION", "管理体系|体系认证"), ("BUSINESS_LICENSE", "许可证|经营许可|生产许可|行政许可"), ("INDUSTRY_QUALIFICATION", "资质|总承包|专业承包|工程设计|工程监理"),
+]
+
+
 def credential_kind(c: Column) -> Column:
     """ordered rules."""
-    return (
-        F.when(c.rlike("管理体系|体系认证"), "SYSTEM_CERTIFICATION").when(c.rlike("许可证|经营许可|生产许可|行政许可"), "BUSINESS_LICENSE")
-        .when(c.rlike("资质|总承包|专业承包|工程设计|工程监理"), "INDUSTRY_QUALIFICATION").otherwise("UNKNOWN")
-    )
+    kind = F.lit("UNKNOWN")
+    for name, pattern in reversed(CREDENTIAL_KINDS):
+        kind = F.when(c.rlike(pattern), name).otherwise(kind)
+    return kind
 
 
 def level_suffix(c: Column) -> Column:
@@ -139,11 +147,17 @@ def safe_error_message(c: Column, roots: list[str], secrets: list[str]) -> Colum
     return F.left(redact_sensitive(c)[0], F.lit(1500))
 
 
+# What a warning about the birth date speaks of, must not speak of, and says.
+BIRTH_WARNINGS = [
+    r"出生日期|出生年月|person\.birth_date",
+    "姓名|证书|编号|有效|发证|签发|专业|等级|单位|注册|毕业|冲突|逻辑|偏差|手写",
+    r"无法.*归一化|仅.*(?:月|年月)|缺.*(?:日|日期)|未.*(?:具体|完整).*日期|归一化为[0-9]{4}-[0-9]{2}",
+]
+
+
 def unrelated_warning(c: Column) -> Column:
     """a warning about the birth date only."""
-    about = c.rlike(r"出生日期|出生年月|person\.birth_date")
-    other = c.rlike("姓名|证书|编号|有效|发证|签发|专业|等级|单位|注册|毕业|冲突|逻辑|偏差|手写")
-    vague = c.rlike(r"无法.*归一化|仅.*(?:月|年月)|缺.*(?:日|日期)|未.*(?:具体|完整).*日期|归一化为[0-9]{4}-[0-9]{2}")
+    about, other, vague = (c.rlike(p) for p in BIRTH_WARNINGS)
     return about & ~other & vague
 
 

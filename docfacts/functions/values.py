@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docfacts.functions.text import clean_text, fold_width
 
 MONEY = "decimal(20,2)"
+# Fixed value: notations of a date.
 DATE_PATTERN = r"^([0-9]{4})\s*(?:年|[-./])\s*([0-9]{1,2})\s*(?:月|[-./])\s*([0-9]{1,2})\s*日?$"
 
 

@@ -35,19 +35,30 @@ def _any(text: Column, words: list[str]) -> Column:
     return out
 
 
+# Words that open the sections of a tender document.
+ANCHORS = {
+    "titles": ["招标公告", "投标邀请书", "采购公告", "谈判采购公告", "单一来源采购公告"],
+    "front": ["投标人须知前附表", "申请人须知前附表", "供应商须知前附表"],
+    "general": ["投标人须知正文", "申请人须知正文", "供应商须知正文"],
+    "evaluation": ["评标办法", "评审办法"],
+    "evaluation_with": ["评标委员会", "评审小组", "评审标准", "综合评估法", "综合评分法"],
+    "contract": ["合同条款及格式", "通用合同条款", "合同草案", "合同文本"],
+}
+
+
 def locate_sections(pages: DataFrame) -> DataFrame:
     """(doc_id, section, page): announcement, front table, general part and evaluation, each from its first anchor to the next one.
 
     pages: (doc_id, page, text without white space). Limits where the next anchor is missing: 8, 12, 20 and 20 pages.
     """
     t = F.col("text")
-    titles = _any(t, ["招标公告", "投标邀请书", "采购公告", "谈判采购公告", "单一来源采购公告"]) & ~t.rlike(r"\.{6,}")
+    titles = _any(t, ANCHORS["titles"]) & ~t.rlike(r"\.{6,}")
     meaning = (_any(t, ["招标条件"]) & _any(t, ["项目概况", "招标范围"])) | (_any(t, ["项目概况"]) & _any(t, ["采购需求", "采购范围", "供应商资格"]))
-    front = _any(t, ["投标人须知前附表", "申请人须知前附表", "供应商须知前附表"]) | (_any(t, ["1.1.2"]) & _any(t, ["1.3.1"]) & _any(t, ["资金来源"]))
-    general = _any(t, ["投标人须知正文", "申请人须知正文", "供应商须知正文"]) | (_any(t, ["1.1.1"]) & _any(t, ["见投标人须知前附表"]))
+    front = _any(t, ANCHORS["front"]) | (_any(t, ["1.1.2"]) & _any(t, ["1.3.1"]) & _any(t, ["资金来源"]))
+    general = _any(t, ANCHORS["general"]) | (_any(t, ["1.1.1"]) & _any(t, ["见投标人须知前附表"]))
     strong = t.rlike(r"^.{0,179}(?:第三|第四)章(?:入围)?(?:评标|评审)办法") & (_any(t, ["办法前附表", "评审方法"]) | t.rlike("(?:评标|评审)办法[（(].+?法[）)]"))
-    loose = _any(t, ["评标办法", "评审办法"]) & _any(t, ["评标委员会", "评审小组", "评审标准", "综合评估法", "综合评分法"])
-    contract = _any(t, ["合同条款及格式", "通用合同条款", "合同草案", "合同文本"])
+    loose = _any(t, ANCHORS["evaluation"]) & _any(t, ANCHORS["evaluation_with"])
+    contract = _any(t, ANCHORS["contract"])
     marks = {"ann": titles | meaning, "front": front, "general": general, "strong": strong, "loose": loose, "contract": contract}
     marked = pages.select("doc_id", "page", *[m.alias(k) for k, m in marks.items()])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docfacts.functions.text import extract_level, legal_entity_name, split_numbered_clauses
 from docfacts.operators.classify import classify_requirement
 
+# Forms of dates, amounts and numbers in running text.
 DATE = r"[0-9]{4}(?:年|[-/.])[0-9]{1,2}(?:月|[-/.])[0-9]{1,2}日?(?:[0-9]{1,2}[时:][0-9]{1,2}分?)?"
 MONEY = r"(?:[0-9][0-9,]*(?:\.[0-9]+)?(?:亿元|万元|元)|[零壹贰叁肆伍陆柒捌玖拾佰仟万亿元整]+[（(][0-9][0-9,]*(?:\.[0-9]+)?元[）)])"
 NUMBER = r"[A-Za-z0-9][A-Za-z0-9_.\/-]+"
@@ -23,7 +24,9 @@ CLAUSE_LABELS = {
     "工期/服务期/供货日期": ["建设工期", "工期", "服务期", "供货日期", "交货期"], "质量要求": ["质量要求"], "招标内容与范围": ["招标范围", "招标内容与范围"],
     "交货地点": ["交货地点"],
 }
+# Labels of front-table rows per field.
 ROW_LABELS = {"项目名称": ["项目名称", "招标项目名称"], "项目地点": ["建设地点"], "资金来源": ["资金来源", "资金来源及比例"], "交货地点": ["交货地点"]}
+# Wordings of fields in running text.
 #: (field, sections, pattern with one group, priority): a higher priority number is used only if the lower ones found nothing.
 TEXT_RULES = [
     ("招标编号", ["announcement", "cover"], rf"(?<!项目)招标编号[：:]({NUMBER})", 1),
