@@ -34,6 +34,8 @@ from docfacts.llm.shared import arrow_schema, batch_rows, materialize, partition
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
 BLOCK = 1500
+#: Documents with a link are looked up by a broadcast up to this many, beyond by a shuffled join.
+MOST_IDS = 2_000_000
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
 
@@ -172,10 +174,9 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def links(lists: DataFrame, agree: int, distance: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): linked fingerprints, from posting lists (k, fp)."""
+    """(a, b): linked fingerprints, from posting lists (k, fp). Lists are made twice, which is cheaper than storing them."""
     spark = lists.sparkSession
     batch_rows(spark, 10_000)
-    lists = materialize(lists, "postings")
     large = lists.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     large = materialize(large.select("k", F.ceil(F.col("n") / block).cast("int").alias("s")), "large")
     cut = lists.join(large, "k", "left").withColumn("s", F.coalesce("s", F.lit(1)))
@@ -272,7 +273,8 @@ def similar(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, lea
     """The links whose texts have a Jaccard similarity of at least `least` over their shingles; only texts with a link are read again."""
     of = nodes.select("fp", "least")
     pairs = materialize(edges.distinct().join(of.toDF("a", "da"), "a").join(of.toDF("b", "db"), "b"), "pairs")
-    wanted = pairs.select(F.col("da").alias("doc_id")).union(pairs.select("db")).distinct()
+    wanted = materialize(pairs.select(F.col("da").alias("doc_id")).union(pairs.select("db")).distinct(), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_IDS else wanted
     # a doc_id that stands for several rows gives one set
     sets = shingle_sets(docs.join(wanted, "doc_id", "left_semi"), words).groupBy("doc_id").agg(F.min("shingles").alias("shingles"))
     sets = materialize(sets, "shingles")
