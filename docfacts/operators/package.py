@@ -179,3 +179,19 @@ def project_pipeline(tenders: DataFrame, bids: DataFrame, decisions: DataFrame,
     failed = errors.groupBy("project").agg(F.count(F.lit(1)).alias("errors"))
     out = fields.join(rows, "project", "full").join(failed, "project", "full").na.fill(0)
     return out.withColumn("status", F.when((F.col("extracted") == 0) & (F.col("bids") == 0), "FAILED").when((F.col("errors") > 0) | (F.col("extracted") == 0), "PARTIAL").otherwise("SUCCESS"))
+
+
+def run_status(projects: DataFrame) -> DataFrame:
+    """The class of a whole run by its projects' status."""
+    ok = F.col("status") == "SUCCESS"
+    return projects.agg(rollup_status(ok).alias("status"), F.count(F.lit(1)).alias("projects"), F.count_if(~ok).alias("not_complete"))
+
+
+def tender_warning_summary(fields: DataFrame) -> DataFrame:
+    """How many fields of a document are missing or in conflict."""
+    return fields.groupBy("doc_id").agg(F.count_if(F.col("status") == "MISSING").alias("missing"), F.count_if(F.col("status") == "CONFLICT").alias("conflicts"), F.array_sort(F.collect_list(F.when(F.col("status") != "EXTRACTED", F.col("field")))).alias("open_fields"))
+
+
+def bid_warning_summary(pages: DataFrame) -> DataFrame:
+    """Pages of a bid that OCR left open."""
+    return pages.groupBy("doc_id").agg(F.count_if(F.col("status").isin("OCR_FAILED", "OCR_REQUIRED", "MISSING_RESULT")).alias("ocr_open"), F.count_if(F.col("status") == "EMPTY").alias("blank"))

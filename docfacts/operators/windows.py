@@ -129,3 +129,41 @@ def most_common(df: DataFrame, keys: list[str], name: str, ordinal: str) -> Data
     whole = W.partitionBy(*keys)
     ratio = F.bround(F.col("value").cast("decimal(18,0)") / F.sum("value").over(whole).cast("decimal(18,0)"), 4)
     return counts.withColumn("ratio", ratio.cast("decimal(6,4)")).withColumn("rank", F.row_number().over(whole.orderBy(F.col("value").desc(), "_first", name))).drop("_first")
+
+
+def union_payloads(chunks: list[DataFrame]) -> DataFrame:
+    """The rows of all chunks of a domain; columns that a chunk lacks are null."""
+    out = chunks[0]
+    for c in chunks[1:]:
+        out = out.unionByName(c, allowMissingColumns=True)
+    return out
+
+
+def limit_input(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """L2: the first n rows, where the limit is the caller's wish."""
+    return df.orderBy(*order).limit(n)
+
+
+def cap_breaches(df: DataFrame, key: list[str], most: int, error: str) -> DataFrame:
+    """L2: keys with more rows than allowed, as errors; nothing is cut silently."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).withColumn("error", F.lit(error))
+
+
+def ordered_output(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """L4: rows of a partition together and in order, for writing."""
+    return df.repartition(*partition).sortWithinPartitions(*partition, *order)
+
+
+def distinct_awards(df: DataFrame) -> DataFrame:
+    """One award per (project, lot, winner, amount, issue), the first one."""
+    return first_row(df, ["project_name", "lot", "winner", "amount", "issue"], [F.col("ordinal")])
+
+
+def distinct_evidence(df: DataFrame) -> DataFrame:
+    """One row per evidence id, the last one."""
+    return first_row(df, ["evidence_id"], [F.col("ordinal").desc()])
+
+
+def equivalent_outcomes(df: DataFrame, key: list[str], outcome: list[str]) -> DataFrame:
+    """Keys whose rows have one outcome only."""
+    return df.groupBy(*key).agg(F.count_distinct(F.struct(*outcome)).alias("n")).filter("n = 1").drop("n")

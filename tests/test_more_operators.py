@@ -114,3 +114,16 @@ def test_readers(spark, tmp_path):
     images = {r["path"].rsplit("/", 1)[1]: r["error"] for r in records.scan_images(spark, f"file://{tmp_path}", 100).collect()}
     assert images == {"x.png": None, "y.png": "empty file"}
     assert records.scan_content_hash(spark, f"file://{tmp_path}", 2).filter("error IS NOT NULL").count() == 3
+
+
+def test_limits_and_status(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, ordinal int")
+    assert [r["ordinal"] for r in windows.limit_input(df, ["k", "ordinal"], 2).collect()] == [1, 2]
+    assert [r["k"] for r in windows.cap_breaches(df, ["k"], 1, "too many").collect()] == ["a"]
+    assert windows.union_payloads([df, df.select("k")]).count() == 6
+    status = spark.createDataFrame([("SUCCESS",), ("FAILED",)], "status string")
+    assert package.run_status(status).first()["status"] == "PARTIAL"
+    fields = spark.createDataFrame([("d", "x", "MISSING"), ("d", "y", "EXTRACTED")], "doc_id string, field string, status string")
+    assert package.tender_warning_summary(fields).first()["open_fields"] == ["x"]
+    awards = spark.createDataFrame([("p", "l", "w", 1, None, 2), ("p", "l", "w", 1, None, 1)], "project_name string, lot string, winner string, amount int, issue string, ordinal int")
+    assert windows.distinct_awards(awards).first()["ordinal"] == 1 and windows.equivalent_outcomes(awards, ["project_name"], ["winner", "amount"]).count() == 1
