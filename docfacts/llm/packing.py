@@ -21,6 +21,7 @@ too. Repeated rows are packed like any other. An empty table gives no row.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,55 +43,49 @@ MARKS = ",.;:!?$#%&*|"
 #: The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(PRINTABLE))}
+SEPARATORS, PARTS = re.compile("[\x1c-\x1f]"), re.compile("[ \t\n\r]+")
 
 
-def pack_ids(n: int, ids: list[int]) -> bytes:
-    return struct.pack(f"<{n}I", *ids)
+class WordTokens(dict):
+    """Token ids (little-endian unsigned 32-bit) by word; a word is tokenised when it is first asked for.
 
-
-class WordTokens:
-    """Token ids of texts, tokenised once per distinct word.
-
-    The vocabulary's pre-tokeniser never joins characters across a blank, tab
-    or line break, so a text's ids are those of its parts in order.
+    The vocabulary's pre-tokeniser never joins characters across white space,
+    so a text's ids are those of its parts in order.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
 
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        known = self.known
-        parts = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in texts]
-        missing = list({w for ws in parts for w in ws if w not in known})
+    def __missing__(self, word: str) -> bytes:
         # a run of marks after a letter is a pre-token of its own, so `word,` is `word` and `,`
-        cut = [w.rstrip(MARKS) if w[:1].isalpha() and "'" not in w else w for w in missing]
-        cut = [c if c[-1:].isalpha() else w for c, w in zip(cut, missing, strict=True)]
-        self._learn({w for w in cut if w not in known} | {w[len(c):] for c, w in zip(cut, missing, strict=True)} - known.keys())
-        for c, w in zip(cut, missing, strict=True):
-            if len(c) < len(w):
-                known[w] = known[c] + known[w[len(c):]]
-        for ws in parts:
-            yield b"".join([known[w] for w in ws])
-
-    def _learn(self, words: set[str]) -> None:
+        stem = word.rstrip(MARKS)
+        if len(stem) < len(word) and stem[-1:].isalpha() and "'" not in word:
+            found = self[stem] + self[word[len(stem):]]
+        else:
+            found = self._tokenise(word)
+        self[word] = found
+        return found
+
+    def _tokenise(self, word: str) -> bytes:
         """Latin words of letters alone go to the byte-pair merges directly; all others through the whole tokeniser."""
-        merge, rest = self.tokenizer.model.tokenize, []
-        for w in words:
-            low = w.lower()
-            if low.isalpha() and max(low) < "\u0250" and w.isalpha() and max(w) < "\u0250":
-                if not low.isascii():
-                    low = low.encode().decode("latin-1").translate(BYTE_CHARS)
-                ids = [t.id for t in merge(low)]
-                self.known[w] = pack_ids(len(ids), ids)
-            else:
-                rest.append(w)
-        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[word] = pack_ids(len(got.ids), got.ids)
+        low = word.lower()
+        if low.isalpha() and max(low) < "\u0250" and word.isalpha() and max(word) < "\u0250":
+            if not low.isascii():
+                low = low.encode().decode("latin-1").translate(BYTE_CHARS)
+            ids = [t.id for t in self.merge(low)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def ids(self, text: str) -> bytes:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        # the separators U+001C to U+001F are white space to split() alone
+        words = PARTS.split(text) if SEPARATORS.search(text) else text.split()
+        return b"".join(map(self.__getitem__, words))
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -110,8 +105,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 columns: list[list] = [[] for _ in schema]
-                for doc_id, ids in zip(part.column(0).to_pylist(), words.batch([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids += end
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = words.ids(text or "") + end
                     for k, start in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[start:start + 4 * capacity]
                         for column, value in zip(columns, (doc_id, k, start // 4, len(own) // 4, zlib.crc32(own), own), strict=False):
