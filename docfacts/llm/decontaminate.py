@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, filter_rows, read, rows_to_batch, texts
+from docfacts.llm.shared import Shipped, arrow_schema, filter_rows, read, rows_to_batch, texts
 
 WINDOW, STRIDE = 96, 48
 K1, B = 0.9, 0.4
@@ -171,7 +171,7 @@ def indexes(benchmark: DataFrame, group: int = GROUP) -> list:
     spark = benchmark.sparkSession
     groups = max(1, -(-benchmark.count() // group))
     cut = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
-    return [spark.sparkContext.broadcast(Index(sorted(((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))) for g in range(groups)]
+    return [Shipped(spark, Index(sorted(((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))) for g in range(groups)]
 
 
 MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, filter_rows, fold, read, texts, to_batch
+from docfacts.llm.shared import Shipped, arrow_schema, filter_rows, fold, read, texts, to_batch
 
 BUCKETS = 1 << 15
 #: Bound of the training sample: expected documents per language.
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, keep: Column, per_language: int = PER_LANGUAGE) -> Lang
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, own = arrow_schema("doc_id long, lang_pred string, score double"), shared.value
@@ -200,7 +200,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def kept(docs: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:
     """The rows of a known language, in one pass and with all their columns; short texts with numbers and addresses in them score low and stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:
         got = [shared.value.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]

@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,19 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns)
 
 
+class Shipped:
+    """An object sent to executors once, with its class: they need not have this package."""
+
+    def __init__(self, spark: SparkSession, thing):
+        self._sent, self._here = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), None
+
+    @property
+    def value(self):
+        if self._here is None:
+            self._here = cloudpickle.loads(self._sent.value)
+        return self._here
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
