@@ -439,3 +439,40 @@ def test_wide_fingerprints_find_near_copies():
         missed += far(a, b) > limit or not met
         assert far(a, c) > limit
     assert missed <= 3
+
+
+
+def brute_copies(texts):
+    """Least doc_id of each group over five-word shingles, by all pairs."""
+    sets = {d: (lambda w: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})(t.split()) for d, t in texts.items()}
+    parent = {d: d for d in sets}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            shared = len(sets[a] & sets[b])
+            if b < a and shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in sets}
+
+
+
+def test_near_copies_around_the_threshold(spark):
+    """Copies with about 6 % of shingles changed each: links that fail must not take others with them."""
+    rng, texts = np.random.default_rng(3), {}
+    for group in range(12):
+        words = [f"g{group}w{k}" for k in range(304)]
+        for copy in range(12):
+            own = list(words)
+            for at in rng.choice(300, 4, replace=False):
+                own[at] = f"c{copy}x{at}"
+            texts[len(texts)] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_copies(texts)
+    assert 24 < len(set(want.values())) < 140
+    assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {d for d, c in want.items() if d == c}
