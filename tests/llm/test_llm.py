@@ -476,3 +476,21 @@ def test_near_copies_around_the_threshold(spark):
     want = brute_copies(texts)
     assert 24 < len(set(want.values())) < 140
     assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {d for d, c in want.items() if d == c}
+
+
+
+def test_near_copies_misses_no_pair(spark):
+    """Isolated pairs with a similarity of 0.8 or little more, and little less, among texts of common phrases."""
+    rng, texts = np.random.default_rng(7), {}
+    for pair in range(300):
+        size = int(rng.integers(60, 300))
+        words = [f"p{pair}w{k}" if k % 40 > 6 else f"common{k % 40}" for k in range(size)]
+        n = max(1, round((size - 4) * 0.111 / 5 + rng.integers(-1, 2)))
+        other = list(words)
+        for at in rng.choice(size, n, replace=False):
+            other[at] = f"z{pair}x{at}"
+        texts[2 * pair], texts[2 * pair + 1] = " ".join(words), " ".join(other)
+    want = brute_copies(texts)
+    assert 100 < sum(d != c for d, c in want.items()) < 300
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {d for d, c in want.items() if d == c}
