@@ -494,3 +494,15 @@ def test_near_copies_misses_no_pair(spark):
     assert 100 < sum(d != c for d, c in want.items()) < 300
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {d for d, c in want.items() if d == c}
+
+
+
+def test_near_copies_compare_distinct_shingles(spark):
+    """Repeated words neither join different texts nor part near copies."""
+    tail = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    line = " ".join(f"l{k}" for k in range(8))
+    texts = {0: "spam " * 300 + tail("a"), 1: "spam " * 300 + tail("b"), 2: tail("c") + " " + line, 3: tail("c") + (" " + line) * 200, 4: "spam " * 400, 5: "spam " * 90}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_copies(texts)
+    assert want == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4}
+    assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {0, 1, 2, 4}
