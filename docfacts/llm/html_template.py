@@ -8,9 +8,9 @@ on enough pages are kept if they are valid: their tokens stand in the same
 order on every page, and in the same gaps of the host's root class (the largest
 of the most frequent ones). Valid classes nest into the host's template; text between template
 tokens fills slots. The main text is what the slots of the article region
-hold; on pages without such a region it is the slot with most text outside
-menus, headers, footers, sidebars, notices, adverts, forms and comments, whose
-constant texts the template removes.
+hold; on pages without such a region it is what all slots hold outside menus,
+headers, footers, sidebars, notices, adverts, forms and comments. Texts of the
+template are dropped inside the region as well as outside.
 
 Edge cases: null or empty html gives an empty text; hosts with few different
 pages have no template and use the page's own structure; equal pages count
@@ -223,37 +223,28 @@ def main_text(page: str | None, template: set[int]) -> str:
     """Text of the article's slots, block by block in page order."""
     if not page:
         return ""
-    blocks: list[tuple[str, str, bool, bool]] = []  # text, container, in a main region, constant
+    blocks: list[tuple[str, bool, bool]] = []  # text, in a main region, constant
     run: list[str] = []
-    state = ["", False, True]
+    state = [False, True]
 
     def close():
         text = " ".join("".join(run).split())
         if text:
             blocks.append((text, *state))
         run.clear()
-        state[2] = True
+        state[1] = True
 
     for kind, value, path, aside, main in events(page):
         if kind == "text":
             if not aside:
-                if not run:
-                    state[0] = path
-                state[1] = main
-                state[2] = state[2] and (not value.strip() or token_of(kind, value, path) in template)
+                state[0] = main
+                state[1] = state[1] and (not value.strip() or token_of(kind, value, path) in template)
                 run.append(html_entities.unescape(value))
         elif value not in INLINE:
             close()
     close()
-    if any(b[2] for b in blocks):
-        return " ".join(b[0] for b in blocks if b[2])
-    slots = [b for b in blocks if not b[3]] if template else blocks
-    mass: dict[str, int] = {}
-    box = lambda path: re.sub(r"(/(p|h[1-6]|li|ul|ol|blockquote|pre|a|b|i|em|strong|span|td|tr|table|tbody))+$", "", path)
-    for text, path, _, _ in slots:
-        mass[box(path)] = mass.get(box(path), 0) + len(text)
-    most = max(mass.values(), default=0)
-    return " ".join(text for text, path, _, _ in slots if mass[box(path)] >= 0.25 * most)
+    region = any(b[1] for b in blocks)
+    return " ".join(b[0] for b in blocks if (b[1] or not region) and not b[2])
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long, template_tokens int"

@@ -506,3 +506,13 @@ def test_near_copies_compare_distinct_shingles(spark):
     want = brute_copies(texts)
     assert want == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4}
     assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {0, 1, 2, 4}
+
+
+
+def test_template_decides_inside_the_region(spark):
+    """Constant texts of a host go from its articles too; without a region short slots stay."""
+    inside = [(i, f"http://a.example/{i}", f"<body><article><p>Story {i} at length.</p><div>Always this notice</div><p>End {i * 7}.</p></article></body>") for i in range(6)]
+    without = [(10 + i, f"http://b.example/{i}", f"<body><div id=x><p>{f'Long part {i} ' * 40}</p></div><div id=y><section>Short {i}</section></div><p>Same</p></body>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in html_template.extract(spark.createDataFrame(inside + without, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3 at length. End 21."
+    assert got[12].endswith("Short 2") and "Same" not in got[12]
