@@ -2,7 +2,10 @@
 
 The benchmark's items form an inverted index; its scores are divided by the
 item's score for itself, so one threshold holds for all. Every document is cut
-into overlapping passages that cover all its words. A passage is dropped once
+into overlapping passages that cover all its words; items are dealt by length
+(one class per doubling) and passages are twice as long as the longest item of
+their class and overlap by half, so an item of any length lies whole in one. A
+passage is dropped once
 an upper bound stays below the threshold: first the sum of its terms' largest
 scores, then, per block of items, the sum of the terms' largest scores in that
 block. What is left is scored exactly; pairs above the threshold are verified
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 
 from docfacts.llm.shared import Shipped, arrow_schema, filter_rows, read, rows_to_batch, texts
 
-WINDOW, STRIDE = 96, 48
+#: Words of a passage for items of up to half as many; longer items double it. Passages start every half window.
+WINDOW = 96
 K1, B = 0.9, 0.4
 #: Share of an item's score for itself that a passage must reach.
 THRESHOLD = 0.5
@@ -69,10 +73,19 @@ def overlap(part: list, passage: list) -> float:
     return len(own & shingles(passage, n)) / len(own)
 
 
+def window_of(words: int) -> int:
+    """Words of the passages for an item of so many words: twice as many at least."""
+    window = WINDOW
+    while window < 2 * words:
+        window *= 2
+    return window
+
+
 class Index:
     """Inverted index of items with normalised BM25 scores; rows of term t are ptr[t]:ptr[t + 1], in item order."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], window: int | None = None):
+        """All items weigh in the scores; with a window only those that belong to it are listed."""
         items = [(i, words_of(t), t) for i, t in items if words_of(t)]
         self.ids = [i for i, _, _ in items]
         self.parts = [question_and_answer(t) for _, _, t in items]
@@ -92,6 +105,13 @@ class Index:
         score = idf[term] * tf * (K1 + 1) / (tf + norm[self.item])
         own = np.bincount(self.item, score, len(items))
         self.score = score / own[self.item]
+        self.window = window or WINDOW
+        if window:
+            mine = np.array([window_of(len(w)) == window for _, w, _ in items])
+            rows = mine[self.item]
+            term, self.item, self.score = term[rows], (np.cumsum(mine) - 1)[self.item[rows]], self.score[rows]
+            self.ids, self.parts = ([x for x, own in zip(xs, mine, strict=True) if own] for xs in (self.ids, self.parts))
+            df = np.bincount(term, minlength=len(self.terms))
         self.ptr = np.concatenate([[0], np.cumsum(df)])
         # largest score per term, and per (term, block of items)
         self.term_max = np.zeros(len(self.terms) + 1)
@@ -142,23 +162,22 @@ def search(index: Index, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
 
 
-def found_in(index: Index, texts: list[str | None], threshold: float, question: float, answer: float) -> list[tuple]:
-    """(row, item number, passage start, passage words, score, overlaps) of the verified items of each text, best passage each."""
-    number = index.terms.get
-    words = [words_of(t) for t in texts]
+def found_in(index: Index, words: list[list[bytes]], threshold: float, question: float, answer: float) -> list[tuple]:
+    """(row, item number, passage start, passage words, score, overlaps) of the verified items of each text's words, best passage each."""
+    number, window, stride = index.terms.get, index.window, index.window // 2
     ids = np.array([number(w, -1) for ws in words for w in ws], dtype=np.int64)
     starts, ends, owner, base = [], [], [], 0
     for k, ws in enumerate(words):
-        for s in range(0, max(1, len(ws) - (WINDOW - STRIDE)), STRIDE):
+        for s in range(0, max(1, len(ws) - (window - stride)), stride):
             starts.append(base + s)
-            ends.append(base + min(s + WINDOW, len(ws)))
+            ends.append(base + min(s + window, len(ws)))
             owner.append((k, s))
         base += len(ws)
     p, item, score = search(index, ids, np.array(starts), np.array(ends), threshold)
     best: dict[tuple[int, int], tuple] = {}
     for i, m, x in zip(p.tolist(), item.tolist(), score.tolist(), strict=True):
         k, s = owner[i]
-        passage = words[k][s:s + WINDOW]
+        passage = words[k][s:s + window]
         q, a = (overlap(o, passage) for o in index.parts[m])
         if q >= question and a >= answer:
             row = (x, -s, len(passage), q, a)
@@ -166,12 +185,17 @@ def found_in(index: Index, texts: list[str | None], threshold: float, question:
     return [(k, m, -s, n, x, q, a) for (k, m), (x, s, n, q, a) in sorted(best.items())]
 
 
+def by_length(items: list[tuple[int, str]]) -> list[Index]:
+    """One index for each class of lengths."""
+    return [Index(items, w) for w in sorted({window_of(len(words_of(t))) for _, t in items if words_of(t)})]
+
+
 def indexes(benchmark: DataFrame, group: int = GROUP) -> list:
-    """Broadcast indexes of the benchmark's items, in groups of about `group`."""
+    """Broadcast lists of indexes (one a class of lengths) of the benchmark's items, in groups of about `group`."""
     spark = benchmark.sparkSession
     groups = max(1, -(-benchmark.count() // group))
     cut = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
-    return [Shipped(spark, Index(sorted(((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))) for g in range(groups)]
+    return [Shipped(spark, by_length(sorted(((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))) for g in range(groups)]
 
 
 MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
@@ -183,14 +207,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     for shared in indexes(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, schema = shared.value, arrow_schema(MATCHES)
+            schema = arrow_schema(MATCHES)
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
                     doc = part.column(0).to_pylist()
-                    rows = found_in(index, part.column(1).to_pylist(), threshold, question, answer)
-                    if rows:
-                        yield rows_to_batch([(doc[k], index.ids[m], *rest) for k, m, *rest in rows], schema)
+                    words = [words_of(t) for t in part.column(1).to_pylist()]
+                    for index in shared.value:
+                        rows = found_in(index, words, threshold, question, answer)
+                        if rows:
+                            yield rows_to_batch([(doc[k], index.ids[m], *rest) for k, m, *rest in rows], schema)
 
         part = texts(docs, "doc_id", "text").mapInArrow(run, MATCHES)
         out = part if out is None else out.unionByName(part)
@@ -204,8 +230,10 @@ def kept(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def keep(batch: pa.RecordBatch, shared=shared) -> np.ndarray:
             out, texts = np.ones(batch.num_rows, dtype=bool), batch.column(batch.schema.get_field_index("text"))
             for at in range(0, batch.num_rows, 256):
-                for k, *_ in found_in(shared.value, texts.slice(at, 256).to_pylist(), THRESHOLD, QUESTION, ANSWER):
-                    out[at + k] = False
+                words = [words_of(t) for t in texts.slice(at, 256).to_pylist()]
+                for index in shared.value:
+                    for k, *_ in found_in(index, words, THRESHOLD, QUESTION, ANSWER):
+                        out[at + k] = False
             return out
 
         docs = filter_rows(docs, keep)

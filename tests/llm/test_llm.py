@@ -516,3 +516,14 @@ def test_template_decides_inside_the_region(spark):
     got = {r["page_id"]: r["text"] for r in html_template.extract(spark.createDataFrame(inside + without, "page_id long, url string, html string")).collect()}
     assert got[3] == "Story 3 at length. End 21."
     assert got[12].endswith("Short 2") and "Same" not in got[12]
+
+
+
+def test_long_items_are_found_wherever_they_stand(spark):
+    """Items of 20 to 700 words, verbatim in a document at every alignment of the shortest passages."""
+    items = {k: " ".join(f"i{k}w{j}{'.' if j == n * 3 // 4 else ''}" for j in range(n)) for k, n in enumerate((20, 48, 49, 100, 120, 150, 170, 300, 700))}
+    docs = [(k * 100 + at, " ".join([*(f"x{j}" for j in range(at)), text, *(f"y{j}" for j in range(60))])) for k, text in items.items() for at in range(0, 48, 5)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()} == {(k * 100 + at, k) for k in items for at in range(0, 48, 5)}
+    assert decontaminate.kept(docs, bench).count() == 0
