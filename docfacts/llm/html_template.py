@@ -1,32 +1,47 @@
 """Main text of web pages by equivalence-class template deduction (operator 1).
 
-Every page is a sequence of tokens: tags told apart by their path in the page,
-and text runs told apart by path and content. Tokens of one host that occur
-equally often on each of its pages (equal occurrence vectors, compared through
-a commutative hash of page and count) form an equivalence class. Classes found
-on enough pages are kept if they are valid: their tokens stand in the same
-order on every page, and in the same gaps of the host's root class (the largest
-of the most frequent ones). Valid classes nest into the host's template; text between template
-tokens fills slots. The main text is what the slots of the article region
-hold; on pages without such a region it is what all slots hold outside menus,
-headers, footers, sidebars, notices, adverts, forms and comments. Texts of the
-template are dropped inside the region as well as outside.
+Every page is a sequence of tokens: element starts and ends told apart by their
+path in the page (tags with their first class and id), and text runs told apart
+by path and content. Tokens of one host that occur equally often on each of its
+pages (equal occurrence vectors, compared through a commutative hash of page and
+count) form an equivalence class. Classes found on enough pages are kept if they
+are valid: on every page their tokens stand in the same order, inside the same
+element of one parent class, and in the same gaps of that parent class. So valid
+classes nest into a tree, the host's template; what lies between its tokens
+fills slots.
+
+The article is chosen among the template's elements by what varies: text of a
+page that is no template token counts for all template elements around it.
+Elements that hold most of the host's varying text, and most of its varying
+headings, lie on one chain of the tree; the article is the one on that chain
+that is marked up as an article, or else the deepest (on hosts with neither
+markup nor headings the deepest that holds all varying text). Its slots, outside menus,
+headers, footers, sidebars, notices, adverts, forms and comments, are the main
+text; texts of the template are dropped there too. Hosts without a template,
+and pages that lack the element, fall back on article markup, then on the whole
+page outside such parts.
 
 Edge cases: null or empty html gives an empty text; hosts with few different
-pages have no template and use the page's own structure; equal pages count
-once when vectors are compared; a null url belongs to the host ''. Unclosed
-and stray tags are tolerated. A host may own any share of the rows: vectors
-are aggregated before they are shuffled, and only templates (bounded by twice
-the mean number of tokens a page) are sent or joined to pages.
+pages have no template; equal pages count once when vectors are compared, and
+each gets its row; a null url belongs to the host ''. Unclosed and stray tags,
+attributes without quotes and stray quotes are read as browsers read them, in
+one pass over pages of any length; elements nested deeper than `DEPTH` become
+siblings. An empty table gives no row; other columns of the input are ignored.
+A host may own any share of the rows: vectors are aggregated before they are
+shuffled, and only templates (bounded by twice the mean number of tokens a
+page) are sent or joined to pages. Templates too large for a broadcast are
+joined by host; a large host's pages are then split by Spark's skew join.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,129 +50,223 @@ from docfacts.llm.url_filter import split_url
 
 #: A class has to occur on this many different pages of a host, and on this share of them.
 MIN_PAGES, MIN_SHARE = 3, 0.5
+#: Share of a host's varying text, and of its varying headings, that the article's element holds.
+MOST = 0.6
 #: Templates of this many tokens in all are broadcast; more are joined.
 BROADCAST_TOKENS = 500_000
+#: Elements deeper than this become siblings, as in browsers.
+DEPTH = 512
+
+# One attribute, as browsers cut it: a name and a value in quotes or up to white space; quotes elsewhere are plain characters.
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
+_ATTRIBUTES = rf"(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+{_VALUE}?+)?+|=)*+"
+TAG = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # comment
+    r"|<[!?][^>]*+(?:>|\Z)|</(?![a-zA-Z])[^>]*+(?:>|\Z)"  # doctype, instruction, end tag without a name
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)",
+    re.S,
+)
+ATTRIBUTE = re.compile(rf"""[\s/]*+(=?[^\s/>=]++)(?:\s*+=\s*+({_VALUE})?+)?+""")
+WANTED = re.compile("class|id|role|aria-label", re.I)
+DIGITS = re.compile("[0-9]{2,}")
+NAME_PARTS = re.compile("[^a-z0-9]+")
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-
+# Element names of HTML by how they are read.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe svg math object".split())
+SELF_CLOSING = {"svg", "math"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 MAIN = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3"}
 ASIDE_TAGS = set("nav header footer aside form menu dialog button select option fieldset head".split())
-# Words of class, id and role that mark what is not main text.
+# Words of class, id, role and label that mark what is not main text, and words that may stand beside them.
 ASIDE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus"
     " footer form gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted related"
     " replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar tracking widget"
     " complementary contentinfo alert banners sidebars menus".split()
 )
+BESIDE_WORDS = set(
+    "a an and area article articles bar block body bottom box buttons center col column container content floating for group head inner item items js left"
+    " level line link links list main mobile module more of on our outer page panel post posts primary reader right row secondary section site slot small"
+    " sticky story strip sub tertiary the thread top unit user ui view wide wrap wrapper".split()
+)
 CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 HOLDS_P = {"article", "main", "div", "section", "td", "li", "blockquote", "body"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LISTS = {"ul", "ol", "dl", "table", "select"}
+
 
+def named(attributes: str) -> dict[str, str]:
+    """Lower-cased class, id, role and aria-label of a tag; of repeated ones the first."""
+    out: dict[str, str] = {}
+    if "=" in attributes and WANTED.search(attributes):
+        for m in ATTRIBUTE.finditer(attributes):
+            name = m[1].lower()
+            if name in ("class", "id", "role", "aria-label") and m[2]:
+                out.setdefault(name, (m[2].strip("\"'") if m[2][0] in "\"'" else m[2]).lower())
+    return out
 
-def is_aside(tag: str, attributes: str) -> bool:
+
+def is_aside(tag: str, names: dict[str, str]) -> bool:
+    """Whether an element is no main text: by its tag, or by a name all of whose words say so (`comment-list`, not `share-price`)."""
     if tag in ASIDE_TAGS:
         return True
-    if tag in MAIN or tag in ("html", "body") or "=" not in attributes:
+    if tag in ("html", "body"):
         return False
-    for m in NAMED.finditer(attributes):
-        if ASIDE_WORDS & set(re.split(r"[^a-z0-9]+", next(g for g in m.groups() if g is not None).lower())):
-            return True
+    for value in names.values():
+        for name in value.split():
+            parts = {p for p in NAME_PARTS.split(name) if p and not p.isdigit()}
+            if parts & ASIDE_WORDS and parts <= ASIDE_WORDS | BESIDE_WORDS:
+                return True
     return False
 
 
-def events(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """(kind, tag or text, path, in an aside, in a main region) of a page: kinds are open, close and text."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, aside, main
-    at, raw = 0, page
+def signature(tag: str, names: dict[str, str]) -> str:
+    """The tag with its first class and its id, numbers of several digits folded, so that numbered elements are alike on all pages."""
+    own = [DIGITS.sub("0", names[n].split()[0]) for n in ("class", "id") if names.get(n, "").strip()]
+    return ".".join([tag, *own])
+
+
+class Element:
+    """An open element: its path as a hash, whether it lies in a part that is no main text or in marked main text, and whether it is what marks it."""
+
+    __slots__ = ("tag", "path", "aside", "main", "marked")
+
+    def __init__(self, tag: str, path: int, aside: bool, marked: bool, inside: bool = False):
+        self.tag, self.path, self.aside, self.marked = tag, path, aside, marked and not aside
+        self.main = self.marked or inside and not aside
+
+
+OPEN, CLOSE, TEXT = 0, 1, 2
+
+
+def events(page: str) -> Iterator[tuple[int, str, Element]]:
+    """(kind, tag or text, element) of a page in order: elements open and close, texts stand in their element. Time is linear in the page."""
+    digest = xxhash.xxh64_intdigest
+    stack = [Element("", 0, False, False)]
+    opened: dict[str, int] = {}
+    at, end = 0, len(page)
 
-    def pop_to(tags: set[str], stop: set[str]):
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                out = stack[k:]
-                del stack[k:]
-                return out[::-1]
-            if stack[k][0] in stop:
-                return []
+    def pop_to(tags: set[str], stop: set[str] = frozenset()) -> list[Element]:
+        """Closes elements up to the innermost of these tags, unless one of `stop` stands before it; an inline element leaves blocks in it open."""
+        if any(opened.get(t) for t in tags):
+            block = False
+            for k in range(len(stack) - 1, 0, -1):
+                block = block or stack[k].tag not in INLINE
+                if stack[k].tag in tags:
+                    last = k + 1 if block and stack[k].tag in INLINE else len(stack)
+                    out = stack[k:last][::-1]
+                    del stack[k:last]
+                    for e in out:
+                        opened[e.tag] -= 1
+                    return out
+                if stack[k].tag in stop:
+                    break
         return []
 
-    for m in iter(lambda: TAG.search(raw, at), None):
-        if m.start() > at:
-            top = stack[-1]
-            yield "text", raw[at:m.start()], top[1], top[2], top[3]
+    while at < end:
+        start = page.find("<", at)
+        m = TAG.match(page, start) if start >= 0 else None
+        while start >= 0 and m is None:  # a plain character
+            start = page.find("<", start + 1)
+            m = TAG.match(page, start) if start >= 0 else None
+        if start < 0:
+            yield TEXT, page[at:], stack[-1]
+            return
+        if start > at:
+            yield TEXT, page[at:start], stack[-1]
         at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        if not m[2]:
             continue
+        tag = m[2].lower()
         if m[1]:
             if tag == "br":
-                yield "open", "br", stack[-1][1], stack[-1][2], stack[-1][3]
-            for own in pop_to({tag}, set()):
-                yield "close", own[0], own[1], own[2], own[3]
+                yield OPEN, "br", stack[-1]
+            for own in pop_to({tag}):
+                yield CLOSE, own.tag, own
             continue
-        if tag in RAW and not m[3].endswith("/"):
-            end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(raw, at)
-            at = end.end()
+        if tag in RAW and not (tag in SELF_CLOSING and m[3].endswith("/")):
+            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)|\Z", re.I).search(page, at)
+            at = close.end()
             continue
         if tag in CLOSES_P:
             for own in pop_to({"p"}, HOLDS_P):
-                yield "close", own[0], own[1], own[2], own[3]
+                yield CLOSE, own.tag, own
         if tag in SAME:
-            for own in pop_to(SAME[tag], {"ul", "ol", "dl", "table", "select"}):
-                yield "close", own[0], own[1], own[2], own[3]
-        top = stack[-1]
-        path = f"{top[1]}/{tag}"
+            for own in pop_to(SAME[tag], LISTS):
+                yield CLOSE, own.tag, own
         if tag in VOID:
-            yield "open", tag, path, top[2], top[3]
+            yield OPEN, tag, stack[-1]
             continue
-        aside, main = top[2] or is_aside(tag, m[3]), top[3] or tag in MAIN or 'role="main"' in m[3]
-        stack.append((tag, path, aside, main))
-        yield "open", tag, path, aside, main
-    if at < len(raw):
-        top = stack[-1]
-        yield "text", raw[at:], top[1], top[2], top[3]
+        if len(stack) > DEPTH:
+            own = stack.pop()
+            opened[own.tag] -= 1
+            yield CLOSE, own.tag, own
+        top, names = stack[-1], named(m[3])
+        marked = tag in MAIN or names.get("role") == "main"
+        own = Element(tag, digest(signature(tag, names), top.path), top.aside or is_aside(tag, names), marked, top.main)
+        stack.append(own)
+        opened[tag] = opened.get(tag, 0) + 1
+        yield OPEN, tag, own
+
+
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
 
-def token_of(kind: str, value: str, path: str) -> int:
-    import xxhash
+def token_of(kind: int, value: str, element: Element) -> int:
+    """An element's path, its complement for its end, and a hash of path and content for texts."""
+    if kind == TEXT:
+        return signed(xxhash.xxh64_intdigest(" ".join(value.split()), element.path))
+    return signed(element.path) if kind == OPEN else ~signed(element.path)
 
-    h = xxhash.xxh64_intdigest(f"{kind}\0{path}\0{' '.join(value.split()) if kind == 'text' else value}")
-    return h - (1 << 64) if h >> 63 else h
 
+#: Flags of a token: kind in the low bits, then in an aside, in a heading, opens marked main text, and for texts the length.
+ASIDE, HEADING, MARKED, LENGTH = 4, 8, 16, 32
 
-def page_tokens(page: str) -> tuple[list[int], list[int]]:
-    """Distinct tokens in order of first occurrence, with their numbers of occurrences."""
-    counts: dict[int, int] = {}
-    for kind, value, path, _, _ in events(page):
-        if kind != "text" or value.strip():
-            t = token_of(kind, value, path)
-            counts[t] = counts.get(t, 0) + 1
-    return list(counts), list(counts.values())
+
+def page_tokens(page: str) -> tuple[list[int], list[int], list[int]]:
+    """The tokens of a page in order (elements and texts that are not blank), their flags, and at each first occurrence how often it occurs."""
+    tokens, flags, heading = [], [], 0
+    for kind, value, e in events(page):
+        if kind == TEXT:
+            n = len(value) - value.count(" ")
+            if not n or value.isspace():
+                continue
+            flag = TEXT | n * LENGTH
+        elif value in VOID:
+            continue
+        else:
+            heading += (value in HEADINGS) * (1 if kind == OPEN else -1)
+            flag = kind | MARKED * (kind == OPEN and e.marked)
+        tokens.append(token_of(kind, value, e))
+        flags.append(flag | ASIDE * e.aside | HEADING * (heading > 0))
+    counts, first = Counter(tokens), set()
+    return tokens, flags, [0 if t in first or first.add(t) else counts[t] for t in tokens]
 
 
-TOKENS = "host string, content long, tokens array<long>, counts array<int>"
+TOKENS = "host string, content long, tokens array<long>, flags array<long>, counts array<int>"
 
 
 def tokenised(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(TOKENS)
         for batch in batches:
-            rows = []
-            for host, content, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                rows.append((host, content, *page_tokens(page.as_py())))
-            yield rows_to_batch(rows, schema)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                hosts, contents = part.column(0).to_pylist(), part.column(1).to_pylist()
+                rows = [(h, c, *page_tokens(p.as_py())) for h, c, p in zip(hosts, contents, part.column(2), strict=True)]
+                yield rows_to_batch(rows, schema)
 
     return texts(pages.filter(F.length("html") > 0), "host", F.xxhash64("html").alias("content"), "html").mapInArrow(run, TOKENS)
 
 
 def classes(tokens: DataFrame) -> DataFrame:
     """(host, class, support, tokens): equivalence classes that occur on enough pages of their host."""
-    sizes = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    each = tokens.select("host", "content", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
-    vectors = each.groupBy("host", F.col("t.tokens").alias("token")).agg(
+    sizes = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES)
+    first = F.filter(F.arrays_zip("tokens", "counts"), lambda t: t["counts"] > 0)
+    vectors = tokens.select("host", "content", F.explode(first).alias("t")).groupBy("host", F.col("t.tokens").alias("token")).agg(
         F.count(F.lit(1)).alias("support"), F.bit_xor(F.xxhash64("content", "t.counts")).alias("vector")
     ).filter(F.col("support") >= MIN_PAGES)
     vectors = vectors.join(sizes, "host").filter(F.col("support") >= F.col("pages") * MIN_SHARE)
@@ -167,84 +276,134 @@ def classes(tokens: DataFrame) -> DataFrame:
 
 
 def by_host(found: DataFrame) -> DataFrame:
-    """One row per host: its classes, most frequent first."""
-    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("support", F.size("tokens").alias("n"), "class", "tokens")), asc=False).alias("template"))
+    """One row per host: its classes, most frequent and largest first."""
+    each = F.struct("support", F.size("tokens").alias("n"), "class", "tokens")
+    return found.groupBy("host").agg(F.sort_array(F.collect_list(each), asc=False).alias("template"))
 
 
-def attach(pages: DataFrame, templates: DataFrame) -> DataFrame:
-    n = templates.agg(F.coalesce(F.sum(F.expr("aggregate(template, 0L, (s, c) -> s + size(c.tokens))")), F.lit(0)).alias("n")).first()["n"]
+def attach(pages: DataFrame, templates: DataFrame, size: str) -> DataFrame:
+    n = templates.agg(F.coalesce(F.sum(F.expr(size)), F.lit(0)).alias("n")).first()["n"]
     return pages.join(F.broadcast(templates) if n <= BROADCAST_TOKENS else templates, "host", "left")
 
 
-PLACES = "host string, class long, ordered long, gap long"
+PLACES = "host string, class long, token long, ordered long, gap long, parent long, mass long, heading long, marked int, depth int"
+
+
+def page_places(tokens: list[int], flags: list[int], owner: dict[int, int], ids: list[int]) -> Iterator[tuple]:
+    """Of one page, (class, None, hashes of the order and of the gaps of its tokens, parent class) for each class, and (class, token,
+    ..., varying text, varying headings, marked, depth) for each template element that occurs once; token 0 has the page's sums.
+
+    The parent of a class is that of the innermost template element around its
+    first token, a class of its own or a more frequent one; gaps count the
+    parent's tokens before each token. owner: class number by token, most frequent first.
+    """
+    digest = xxhash.xxh64_intdigest
+    seen = [0] * len(ids)
+    parents: dict[int, int] = {}
+    gaps: dict[int, dict[int, int]] = {}
+    around: list[tuple[int, int]] = []  # open template elements: token, class number
+    mass: dict[int, list[int]] = {}
+    total, headings, once = 0, 0, Counter(t for t in tokens if t in owner)
+    for t, f in zip(tokens, flags, strict=True):
+        kind, k = f & 3, owner.get(t)
+        if kind == CLOSE and around and around[-1][0] == ~t:
+            around.pop()
+        if k is not None:
+            if k not in parents:
+                parents[k] = next((c for _, c in reversed(around) if c < k), -1)
+            parent = parents[k]
+            gaps.setdefault(k, {}).setdefault(t, seen[parent] if parent >= 0 else 0)
+            seen[k] += 1
+            if kind == OPEN:
+                around.append((t, k))
+                if once[t] == 1:
+                    mass.setdefault(t, [0, 0, int(f & MARKED > 0), len(around)])
+        elif kind == TEXT and not f & ASIDE:
+            n = f // LENGTH
+            total += n
+            headings += n * (f & HEADING > 0)
+            for e, _ in around:
+                if e in mass:
+                    mass[e][0] += n
+                    mass[e][1] += n * (f & HEADING > 0)
+    for k, own in gaps.items():
+        order, gap = (digest(repr(list(x))) >> 1 for x in (own, own.values()))
+        yield ids[k], None, order, gap, ids[parents[k]] if parents[k] >= 0 else 0, 0, 0, 0, 0
+    for e, (n, h, marked, depth) in mass.items():
+        yield ids[owner[e]], e, 0, 0, 0, n, h, marked, depth
+    yield 0, 0, 0, 0, 0, total, headings, 0, 0
 
 
 def places(tokens: DataFrame, templates: DataFrame) -> DataFrame:
-    """Per page and class: a hash of the order of its tokens, and one of the gaps of the root class that hold them."""
+    """Rows of page_places of all pages of hosts with classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         schema = arrow_schema(PLACES)
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                if not row["template"]:
-                    continue
-                owner = {t: k for k, c in enumerate(row["template"]) for t in c["tokens"]}
-                root, seen, orders, gaps = 0, 0, {}, {}
-                for t in row["tokens"]:
-                    k = owner.get(t)
-                    if k is None:
-                        continue
-                    seen += k == root
-                    orders.setdefault(k, []).append(t)
-                    gaps.setdefault(k, []).append(seen)
-                for k, order in orders.items():
-                    hashes = [xxhash.xxh64_intdigest(repr(x)) >> 1 for x in (order, [] if k == root else gaps[k])]
-                    rows.append((row["host"], row["template"][k]["class"], *hashes))
-            yield rows_to_batch(rows, schema)
+            for at in range(0, batch.num_rows, 200):
+                rows = []
+                for row in batch.slice(at, 200).to_pylist():
+                    if row["template"]:
+                        owner = {t: k for k, c in enumerate(row["template"]) for t in c["tokens"]}
+                        rows += [(row["host"], *r) for r in page_places(row["tokens"], row["flags"], owner, [c["class"] for c in row["template"]])]
+                yield rows_to_batch(rows, schema)
 
-    return attach(tokens.select("host", "tokens"), templates).mapInArrow(run, PLACES)
+    joined = attach(tokens.select("host", "tokens", "flags"), templates, "aggregate(template, 0L, (s, c) -> s + size(c.tokens))")
+    return joined.mapInArrow(run, PLACES)
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template): valid classes of every host that has any."""
+    """(host, tokens, article): tokens of the valid classes of every host that has any, and the element that holds its articles (null: none does)."""
     tokens = materialize(tokenised(pages), "page_tokens").dropDuplicates(["host", "content"])
     found = materialize(classes(tokens), "classes")
-    placed = places(tokens, by_host(found)).groupBy("host", "class").agg(
-        F.min("ordered").alias("o1"), F.max("ordered").alias("o2"), F.min("gap").alias("g1"), F.max("gap").alias("g2")
-    )
-    valid = placed.filter("o1 = o2 AND g1 = g2").select("host", "class")
-    return materialize(by_host(found.join(valid, ["host", "class"])), "templates")
-
-
-def main_text(page: str | None, template: set[int]) -> str:
+    placed = materialize(places(tokens, by_host(found)).groupBy("host", "class", "token").agg(
+        *[f(c).alias(f"{c}_{f.__name__}") for c in ("ordered", "gap", "parent") for f in (F.min, F.max)],
+        F.sum("mass").alias("mass"), F.sum("heading").alias("heading"), F.max("marked").alias("marked"), F.max("depth").alias("depth"),
+    ), "places")
+    same = " AND ".join(f"{c}_min = {c}_max" for c in ("ordered", "gap", "parent"))
+    valid = placed.filter(f"token IS NULL AND {same}").select("host", "class")
+    sums = placed.filter("token = 0").select("host", F.col("mass").alias("all"), F.col("heading").alias("all_headings"))
+    elements = placed.filter("token <> 0").join(valid, ["host", "class"], "left_semi").join(sums, "host")
+    # neither headings nor markup tell more of the host: then nothing that varies is left out
+    least = F.when((F.col("marked") == 1) | (F.col("all_headings") > 0), F.lit(MOST)).otherwise(F.lit(1.0))
+    chain = elements.filter((F.col("mass") > 0) & (F.col("mass") >= least * F.col("all")) & (F.col("heading") >= MOST * F.col("all_headings")))
+    articles = chain.groupBy("host").agg(F.max_by("token", F.struct("marked", "depth")).alias("article"))
+    template = found.join(valid, ["host", "class"]).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    return materialize(template.join(articles, "host", "left"), "templates")
+
+
+def main_text(page: str | None, template: set[int] = frozenset(), article: int | None = None) -> str:
     """Text of the article's slots, block by block in page order."""
     if not page:
         return ""
-    blocks: list[tuple[str, bool, bool]] = []  # text, in a main region, constant
+    blocks: list[tuple[str, bool, bool]] = []  # text, in the template's article, in marked main text
     run: list[str] = []
-    state = [False, True]
+    state = [False, False, True]  # in the article, marked, constant
+    inside = 0
 
     def close():
         text = " ".join("".join(run).split())
-        if text:
-            blocks.append((text, *state))
+        if text and not state[2]:
+            blocks.append((text, state[0], state[1]))
         run.clear()
-        state[1] = True
+        state[2] = True
 
-    for kind, value, path, aside, main in events(page):
-        if kind == "text":
-            if not aside:
-                state[0] = main
-                state[1] = state[1] and (not value.strip() or token_of(kind, value, path) in template)
+    for kind, value, e in events(page):
+        if kind == TEXT:
+            if not e.aside:
+                state[0], state[1] = inside > 0, e.main
+                state[2] = state[2] and (not value.strip() or token_of(kind, value, e) in template)
                 run.append(html_entities.unescape(value))
-        elif value not in INLINE:
+            continue
+        if value not in INLINE:
             close()
+        if article is not None and value not in VOID and signed(e.path) == article:
+            inside += 1 if kind == OPEN else -1
     close()
-    region = any(b[1] for b in blocks)
-    return " ".join(b[0] for b in blocks if (b[1] or not region) and not b[2])
+    for k in (1, 2):
+        if any(b[k] for b in blocks):
+            return " ".join(b[0] for b in blocks if b[k])
+    return " ".join(b[0] for b in blocks)
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long, template_tokens int"
@@ -260,17 +419,17 @@ def extract(pages: DataFrame) -> DataFrame:
         schema, known = arrow_schema(EXTRACTED), {}
         for batch in batches:
             rows = []
-            for page_id, url, page, host, classes_of in zip(*(batch.column(c) for c in ("page_id", "url", "html", "host", "template")), strict=True):
+            for page_id, url, page, host, tokens, article in zip(*(batch.column(c) for c in ("page_id", "url", "html", "host", "tokens", "article")), strict=True):
                 key = host.as_py()
                 if key not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[key] = {t for c in classes_of.as_py() or [] for t in c["tokens"]}
-                text = main_text(page.as_py(), known[key])
-                rows.append((page_id.as_py(), url.as_py(), text, len(text), len(known[key])))
+                    known[key] = frozenset(tokens.as_py() or ()), article.as_py()
+                text = main_text(page.as_py(), *known[key])
+                rows.append((page_id.as_py(), url.as_py(), text, len(text), len(known[key][0])))
             yield rows_to_batch(rows, schema)
 
-    return attach(pages, templates).mapInArrow(run, EXTRACTED)
+    return attach(pages, templates, "size(tokens)").mapInArrow(run, EXTRACTED)
 
 
 def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
