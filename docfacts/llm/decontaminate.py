@@ -11,14 +11,23 @@ scores, then, per block of items, the sum of the terms' largest scores in that
 block. What is left is scored exactly; pairs above the threshold are verified
 by the overlap of word shingles with the item's question and with its answer.
 
-The index is collected in groups of at most `GROUP` items, one pass over the
-documents each, so the broadcast index stays bounded whatever the benchmark's
-size.
-
-Edge cases: null and empty texts match nothing; items without words are left
-out; an item of one sentence has its last third as answer; repeated items and
-rows match on their own. Passages of a document are joined to the best one per
-(document, item).
+Term frequencies, the number of items and their mean length are those of the
+whole benchmark, so a score doesn't depend on how items are grouped. The index
+is collected in groups of about `GROUP` items, one pass over the documents
+each; a group's matches are written and its broadcast index is released before
+the next one is collected, so the index held at a time stays bounded whatever
+the benchmark's size.
+
+Bounds are taken for all passages of a batch at a time, block by block, rather
+than by cursors that move through one passage's lists; both find the same pairs.
+
+Edge cases: null and empty texts match nothing, and an empty table of either
+kind gives no match; items without words are left out; an item of one sentence
+has its last third as answer; repeated items and rows match on their own, and
+rows that share a doc_id are told apart by their text where rows are dropped.
+Texts of any length are read whole. Passages of a document are joined to the
+best one per (document, item), the first one if scores are equal. Columns other
+than doc_id, text and item_id are not looked at, and `kept` returns them as they are.
 """
 
 from __future__ import annotations
@@ -31,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import Shipped, arrow_schema, filter_rows, read, rows_to_batch, texts
+from docfacts.llm.shared import Shipped, arrow_schema, filter_rows, materialize, read, rows_to_batch, texts, to_batch
 
 #: Words of a passage for items of up to half as many; longer items double it. Passages start every half window.
 WINDOW = 96
@@ -40,6 +49,8 @@ K1, B = 0.9, 0.4
 THRESHOLD = 0.5
 QUESTION, ANSWER = 0.6, 0.5
 BLOCK, GROUP = 8, 20_000
+#: Texts with an item are looked up by a broadcast up to this many.
+MOST_FOUND = 1_000_000
 SHINGLE = 3
 
 #: ASCII punctuation becomes a blank; letters are lower-cased before.
@@ -81,11 +92,18 @@ def window_of(words: int) -> int:
     return window
 
 
+class Corpus:
+    """Number of items with words, their mean length, and in how many of them each term occurs."""
+
+    def __init__(self, items: int, mean: float, df: dict[bytes, int]):
+        self.items, self.mean, self.df = items, mean, df
+
+
 class Index:
     """Inverted index of items with normalised BM25 scores; rows of term t are ptr[t]:ptr[t + 1], in item order."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int | None = None):
-        """All items weigh in the scores; with a window only those that belong to it are listed."""
+    def __init__(self, items: list[tuple[int, str]], window: int | None = None, corpus: "Corpus | None" = None):
+        """Scores follow the corpus's statistics (without one, the items'); with a window only items that belong to it are listed."""
         items = [(i, words_of(t), t) for i, t in items if words_of(t)]
         self.ids = [i for i, _, _ in items]
         self.parts = [question_and_answer(t) for _, _, t in items]
@@ -100,8 +118,10 @@ class Index:
         tf = np.array([found[t, k] for t, k in keys.tolist()], dtype=float)
         term, self.item = keys[:, 0], keys[:, 1]
         df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1)) if len(items) else lengths
+        every = corpus or Corpus(len(items), float(lengths.mean()) if len(items) else 0.0, dict(zip(self.terms, df.tolist(), strict=True)))
+        seen = np.array([every.df[t] for t in self.terms], dtype=float)
+        idf = np.log(1 + (every.items - seen + 0.5) / (seen + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(every.mean, 1))
         score = idf[term] * tf * (K1 + 1) / (tf + norm[self.item])
         own = np.bincount(self.item, score, len(items))
         self.score = score / own[self.item]
@@ -159,9 +179,6 @@ def search(index: Index, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return p[keep], item[keep], total[keep]
 
 
-MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
-
-
 def found_in(index: Index, words: list[list[bytes]], threshold: float, question: float, answer: float) -> list[tuple]:
     """(row, item number, passage start, passage words, score, overlaps) of the verified items of each text's words, best passage each."""
     number, window, stride = index.terms.get, index.window, index.window // 2
@@ -185,59 +202,104 @@ def found_in(index: Index, words: list[list[bytes]], threshold: float, question:
     return [(k, m, -s, n, x, q, a) for (k, m), (x, s, n, q, a) in sorted(best.items())]
 
 
-def by_length(items: list[tuple[int, str]]) -> list[Index]:
+def by_length(items: list[tuple[int, str]], corpus: Corpus | None = None) -> list[Index]:
     """One index for each class of lengths."""
-    return [Index(items, w) for w in sorted({window_of(len(words_of(t))) for _, t in items if words_of(t)})]
+    return [Index(items, w, corpus) for w in sorted({window_of(len(words_of(t))) for _, t in items if words_of(t)})]
+
 
+def item_terms(benchmark: DataFrame) -> DataFrame:
+    """(n_words, terms) of every item with words: its distinct words."""
 
-def indexes(benchmark: DataFrame, group: int = GROUP) -> list:
-    """Broadcast lists of indexes (one a class of lengths) of the benchmark's items, in groups of about `group`."""
-    spark = benchmark.sparkSession
-    groups = max(1, -(-benchmark.count() // group))
-    cut = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
-    return [Shipped(spark, by_length(sorted(((r["item_id"], r["text"]) for r in cut.filter(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))) for g in range(groups)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("g", pa.int64()), ("n_words", pa.int64()), ("terms", pa.list_(pa.binary()))])
+        for batch in batches:
+            words = [words_of(t) for t in batch.column(1).to_pylist()]
+            yield to_batch([batch.column(0), [len(w) for w in words], [sorted(set(w)) for w in words]], schema)
+
+    return benchmark.select("g", "text").mapInArrow(run, "g long, n_words long, terms array<binary>").filter("n_words > 0")
+
+
+class Groups:
+    """The benchmark's items in groups of about `group`, each sent to executors when asked for."""
+
+    def __init__(self, benchmark: DataFrame, group: int):
+        self.spark = benchmark.sparkSession
+        self.number = max(1, -(-benchmark.count() // group))
+        key = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.number))
+        self.items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("g", key)
+        terms = materialize(item_terms(self.items), "item_terms")
+        sums = terms.agg(F.count(F.lit(1)).alias("n"), F.avg("n_words").alias("mean")).first()
+        self.n, self.mean = sums["n"], sums["mean"] or 0.0
+        each = terms.select("g", F.explode("terms").alias("term"))
+        self.df = each.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        self.own = each.distinct()
+        if self.number > 1:
+            self.df = materialize(self.df, "item_df")
+
+    def index(self, g: int) -> Shipped:
+        """A group's indexes, one for each class of lengths. What is collected is bounded by the group."""
+        df = self.df if self.number == 1 else self.df.join(self.own.filter(F.col("g") == g), "term", "left_semi")
+        corpus = Corpus(self.n, self.mean, {bytes(r["term"]): r["n"] for r in df.collect()})
+        items = [(r["item_id"], r["text"]) for r in self.items.filter(F.col("g") == g).collect()]
+        items.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        return Shipped(self.spark, by_length(items, corpus))
 
 
 MATCHES = "doc_id long, item_id long, passage_start long, passage_words long, bm25 double, question_overlap double, answer_overlap double"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER) -> DataFrame:
+def _in_parts(batch: pa.RecordBatch, column: int, shared: Shipped, limits: tuple) -> Iterator[tuple]:
+    """(row of the batch, item_id, rest of found_in) of all verified items."""
+    for at in range(0, batch.num_rows, 256):
+        words = [words_of(t) for t in batch.column(column).slice(at, 256).to_pylist()]
+        for index in shared.value:
+            for k, m, *rest in found_in(index, words, *limits):
+                yield (at + k, index.ids[m], *rest)
+
+
+def matches(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER, group: int = GROUP
+) -> DataFrame:
     """Verified (document, item) pairs with the best passage of each."""
-    out = None
-    for shared in indexes(benchmark):
+    groups, out = Groups(benchmark, group), None
+    for g in range(groups.number):
+        shared = groups.index(g)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             schema = arrow_schema(MATCHES)
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    doc = part.column(0).to_pylist()
-                    words = [words_of(t) for t in part.column(1).to_pylist()]
-                    for index in shared.value:
-                        rows = found_in(index, words, threshold, question, answer)
-                        if rows:
-                            yield rows_to_batch([(doc[k], index.ids[m], *rest) for k, m, *rest in rows], schema)
+                doc = batch.column(0).to_pylist()
+                rows = [(doc[k], *rest) for k, *rest in _in_parts(batch, 1, shared, (threshold, question, answer))]
+                if rows:
+                    yield rows_to_batch(rows, schema)
 
         part = texts(docs, "doc_id", "text").mapInArrow(run, MATCHES)
+        if groups.number > 1:
+            part = materialize(part, f"matches{g}")
+            shared.release()
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def kept(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows without a verified item, in one pass for each group of items and with all their columns."""
-    for shared in indexes(benchmark):
+def kept(docs: DataFrame, benchmark: DataFrame, group: int = GROUP) -> DataFrame:
+    """The rows without a verified item, with all their columns: one pass if the items are one group, else by the hashes of the texts found."""
+    groups, found = Groups(benchmark, group), None
+    for g in range(groups.number):
+        shared = groups.index(g)
 
-        def keep(batch: pa.RecordBatch, shared=shared) -> np.ndarray:
-            out, texts = np.ones(batch.num_rows, dtype=bool), batch.column(batch.schema.get_field_index("text"))
-            for at in range(0, batch.num_rows, 256):
-                words = [words_of(t) for t in texts.slice(at, 256).to_pylist()]
-                for index in shared.value:
-                    for k, *_ in found_in(index, words, THRESHOLD, QUESTION, ANSWER):
-                        out[at + k] = False
+        def hits(batch: pa.RecordBatch, column: int, shared=shared) -> np.ndarray:
+            out = np.zeros(batch.num_rows, dtype=bool)
+            out[[k for k, *_ in _in_parts(batch, column, shared, (THRESHOLD, QUESTION, ANSWER))]] = True
             return out
 
-        docs = filter_rows(docs, keep)
-    return docs
+        if groups.number == 1:
+            return filter_rows(docs, lambda batch: ~hits(batch, batch.schema.get_field_index("text")))  # noqa: B023
+        keyed = docs.select(F.xxhash64("text").alias("key"), "text")
+        part = materialize(filter_rows(keyed, lambda batch: hits(batch, 1)).select("key"), f"found{g}")  # noqa: B023
+        shared.release()
+        found = part if found is None else found.unionByName(part)
+    found = found.distinct()
+    return docs.join(F.broadcast(found) if found.count() <= MOST_FOUND else found, F.xxhash64(docs["text"]) == found["key"], "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

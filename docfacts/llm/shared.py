@@ -67,6 +67,10 @@ class Shipped:
             self._here = cloudpickle.loads(self._sent.value)
         return self._here
 
+    def release(self) -> None:
+        """Frees it on executors and driver; nothing that uses it may run later."""
+        self._sent.destroy()
+
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
