@@ -32,8 +32,10 @@ RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-#: A level larger than this is not sent to executors; membership is then an equi-join.
+#: A cascade whose first level would be larger is cut by the keys' hash into several, used one after the other.
 MAX_LEVEL_BYTES = 128 << 20
+#: Bits of Spark's bitmap pieces.
+PIECE = 32768
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -53,8 +55,8 @@ def apply_rules(df: DataFrame, rules=RULES) -> DataFrame:
     return df.withColumn("rule", rule).withColumn("rule_verdict", verdict)
 
 
-def _positions(level: int, hashes: int, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.col("key"), F.lit(1000 * level + j)), F.lit(bits)) for j in range(hashes)]
+def _positions(key: Column, level: int, hashes: int, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(1000 * level + j)), F.lit(bits)) for j in range(hashes)]
 
 
 def _tester(words):
@@ -64,56 +66,78 @@ def _tester(words):
         ok = np.ones(len(at[0]), dtype=bool)
         for p in at:
             p = p.to_numpy(dtype=np.int64)
-            ok &= (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+            ok &= (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
         return pd.Series(ok)
 
     return passes
 
 
+def level_size(n: int, rest: int, first: bool) -> tuple[int, int]:
+    """(hashes, bits) of a level of n keys: level 0 lets through about as many of the `rest` others as it holds, later ones half of them."""
+    p = min(0.5, max(1e-6, n / max(rest, 1))) if first else 0.5
+    hashes = max(1, math.ceil(-math.log2(p)))
+    return hashes, max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
+
+
 class Cascade:
-    """levels: (number of hashes, bits, broadcast words); level i encodes listed keys if i is even."""
+    """levels: (number of hashes, bits, broadcast bytes); level i encodes listed keys if i is even."""
 
-    def __init__(self, levels: list, exact: DataFrame | None = None):
-        self.levels, self.exact = levels, exact
+    def __init__(self, levels: list):
+        self.levels = levels
 
     @classmethod
-    def build(cls, keys: DataFrame, max_level_bytes: int = MAX_LEVEL_BYTES) -> "Cascade":
-        """keys: (key, listed), every key of the universe once."""
+    def build(cls, keys: DataFrame) -> "Cascade":
+        """keys: (key, listed), every key of the universe once. A level's bits are gathered in tasks and collected in pieces of 4 KB."""
         spark = keys.sparkSession
         encoded, other, levels = keys.filter("listed"), keys.filter("NOT listed"), []
         n, rest = encoded.count(), other.count()
         while n:
-            # level 0 lets through about as many others as it holds; later ones halve
-            p = min(0.5, max(1e-6, n / max(rest, 1))) if not levels else 0.5
-            hashes = max(1, math.ceil(-math.log2(p)))
-            bits = max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
-            if bits // 8 > max_level_bytes:
-                return cls([], keys)
-            level = len(levels)
-            rows = (
-                encoded.select(F.explode(F.array(*_positions(level, hashes, bits))).alias("p"))
-                .groupBy(F.shiftright("p", 6).alias("w"))
-                .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
-            )
-            words = np.zeros(bits // 64, dtype=np.uint64)
-            for part in rows.toPandas().itertuples(index=False):  # at most bits / 64 rows, checked above
-                words[part.w] = np.int64(part.b).astype(np.uint64)
-            levels.append((hashes, bits, spark.sparkContext.broadcast(words)))
-            false = materialize(other.filter(_tester(levels[-1][2])(*_positions(level, hashes, bits))), f"level{level}")
+            hashes, bits = level_size(n, rest, not levels)
+            at = lambda: _positions(F.col("key"), len(levels), hashes, bits)  # noqa: B023, E731
+            each = encoded.select(F.explode(F.array(*at())).alias("p")).withColumn("p", F.col("p") + 1)
+            pieces = each.groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("b"))
+            filled = np.zeros(-(-bits // PIECE) * PIECE // 8, dtype=np.uint8)
+            for r in pieces.collect():  # bits / 32768 rows; the caller bounds the bits
+                filled[(r["k"] - 1) * PIECE // 8:][:PIECE // 8] = np.frombuffer(r["b"], dtype=np.uint8)
+            sent = spark.sparkContext.broadcast(filled)
+            false = materialize(other.filter(_tester(sent)(*at())), f"level{len(levels)}")
+            levels.append((hashes, bits, sent))
             encoded, other, rest, n = false, encoded, n, false.count()
         return cls(levels)
 
     def member(self, df: DataFrame, key: str, out: str) -> DataFrame:
-        """Add the boolean column out: whether the key is listed."""
-        if self.exact is not None:
-            listed = self.exact.select(F.col("key").alias(key), F.col("listed").alias(out))
-            return df.join(listed, key, "left")
-        df, answer = df.withColumn("key", F.col(key)), F.lit(len(self.levels) % 2 == 1)
+        """Add the boolean column out: whether the key is listed. Exact for every key of the universe that the cascade was built from."""
+        answer = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(range(len(self.levels))):
             hashes, bits, words = self.levels[level]
-            passed = _tester(words)(*_positions(level, hashes, bits))
+            passed = _tester(words)(*_positions(F.col(key), level, hashes, bits))
             answer = F.when(passed, answer).otherwise(F.lit(level % 2 == 1))
-        return df.withColumn(out, answer).drop("key")
+        return df.withColumn(out, answer)
+
+    def release(self) -> None:
+        for *_, sent in self.levels:
+            sent.destroy()
+
+
+def members(df: DataFrame, key: str, keys: DataFrame, out: str, max_level_bytes: int = MAX_LEVEL_BYTES) -> DataFrame:
+    """df with the boolean column out: whether `key` is listed in keys (key, listed), the whole universe.
+
+    If level 0 of one cascade would be larger than `max_level_bytes`, the keys
+    are cut by hash into so many ranges that each has a small cascade; each is
+    built, used on its rows and released before the next, so one is held at a time.
+    """
+    sizes = keys.agg(F.count_if("listed").alias("n"), F.count_if(~F.col("listed")).alias("rest")).first()
+    ranges = max(1, -(-level_size(sizes["n"], sizes["rest"], True)[1] // (8 * max_level_bytes)))
+    if ranges == 1:
+        return Cascade.build(keys).member(df, key, out)
+    part = lambda c: F.pmod(F.xxhash64(c, F.lit(-1)), F.lit(ranges))
+    df, keys, done = materialize(df, "asked"), materialize(keys, "keys"), None
+    for r in range(ranges):
+        cascade = Cascade.build(keys.filter(part(F.col("key")) == r))
+        own = materialize(cascade.member(df.filter(part(F.col(key)) == r), key, out), f"members{r}")
+        cascade.release()
+        done = own if done is None else done.unionByName(own)
+    return done
 
 
 def listed_hosts(judged: DataFrame) -> DataFrame:
@@ -126,8 +150,7 @@ def listed_hosts(judged: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES, max_level_bytes: int = MAX_LEVEL_BYTES) -> DataFrame:
     host, path = split_url(F.col("url"))
     judged = apply_rules(pages.select("page_id", host.alias("host"), path.alias("path")), rules)
-    cascade = Cascade.build(materialize(listed_hosts(judged), "hosts"), max_level_bytes)
-    out = cascade.member(judged, "host", "listed")
+    out = members(judged, "host", materialize(listed_hosts(judged), "hosts"), "listed", max_level_bytes)
     return out.select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"),
