@@ -32,7 +32,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docfacts-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._docfacts_path = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables made by `materialize` that nothing reads any more."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._docfacts_path).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(col: Column) -> Column:
@@ -146,8 +155,17 @@ def filter_rows(df: DataFrame, keep) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def without_ids(df: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """df without the rows whose doc_id is in ids; ids are broadcast only if they are at most `most`."""
-    ids = materialize(ids.select("doc_id").distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= most else ids
-    return df.join(ids, df["doc_id"] == ids["doc_id"], "left_anti")
+def _rows(df: DataFrame, rows: DataFrame, how: str, most: int) -> DataFrame:
+    rows = materialize(rows.select("doc_id", "key").distinct(), "rows")
+    near = F.broadcast(rows) if rows.count() <= most else rows
+    return df.join(near, df["doc_id"].eqNullSafe(near["doc_id"]) & (F.xxhash64(df["text"]) == near["key"]), how)
+
+
+def without_rows(df: DataFrame, rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """df without the rows whose doc_id and hash of the text are in rows (doc_id, key); these are broadcast only if they are at most `most`."""
+    return _rows(df, rows, "left_anti", most)
+
+
+def only_rows(df: DataFrame, rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """The rows of df whose doc_id and hash of the text are in rows (doc_id, key)."""
+    return _rows(df, rows, "left_semi", most)

@@ -30,16 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, materialize, partitions, read, texts, to_batch, without_ids
+from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, texts, to_batch, without_rows
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
 BLOCK = 1500
-#: Documents with a link are looked up by a broadcast up to this many, beyond by a shuffled join.
-MOST_IDS = 2_000_000
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
-#: Lists of a node whose neighbours are tried before all pairs; documents whose shingles are counted to order them, and how many count as common.
-TRIES, SOME, COMMON = 8, 20_000, 500_000
+#: Documents whose shingles are counted to order them, and how many count as common.
+SOME, COMMON = 20_000, 500_000
+#: Bits of a set's parities.
+PARITY = 512
 
 
 def word_spans(text: str | None) -> tuple[bytes, list[int], list[int]]:
@@ -287,25 +287,31 @@ def shingle_set(text: str | None, words: int) -> tuple[int, np.ndarray]:
     return h - (1 << 64) if h >> 63 else h, own
 
 
+def parity(own: np.ndarray) -> bytes:
+    """PARITY bits: of how many of the hashes fall on each bit, whether the number is odd. Of two sets at least so many members are in one only as bits differ."""
+    return np.packbits(np.bincount((own >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY) & 1).tobytes()
+
+
 def _of_sets(docs: DataFrame, words: int, ddl: str, row) -> DataFrame:
-    """One row, made by row(doc_id, node, set), of each document."""
+    """One row, made by row(doc_id, hash of the text, node, set), of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(ddl)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                rows = [row(d.as_py(), *shingle_set(t.as_py(), words)) for d, t in zip(part.column(0), part.column(1), strict=True)]
+                ids = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True)
+                rows = [row(d, key, *shingle_set(t.as_py(), words)) for d, key, t in ids]
                 yield to_batch(list(zip(*rows, strict=True)), schema)
 
-    return texts(docs, "doc_id", "text").mapInArrow(run, ddl)
+    return texts(docs, "doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, ddl)
 
 
 def common_shingles(docs: DataFrame, words: int, documents: int) -> np.ndarray:
     """Shingles found often in some of the documents, most frequent last. They only order a set's shingles: any order gives all pairs, rare ones first gives short lists."""
     some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, documents // SOME))) == 0)
     ddl = "shingle array<long>"
-    each = _of_sets(some, words, ddl, lambda _, node, own: (own.view(np.int64),)).select(F.explode("shingle").alias("s"))
+    each = _of_sets(some, words, ddl, lambda _d, _k, _n, own: (own.view(np.int64),)).select(F.explode("shingle").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).orderBy(F.desc("n"), "s").limit(COMMON)
     return np.array([r["s"] for r in often.collect()][::-1], dtype=np.int64).view(np.uint64)
 
@@ -320,17 +326,11 @@ def prefix(own: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
     return own[np.argsort(rank, kind="stable")[:n]]
 
 
-def may_match(size, at, other, other_at, least: float) -> np.ndarray:
-    """Of nodes that share a shingle at these positions: whether lengths and what follows allow the similarity."""
-    need = np.ceil(least / (1 + least) * (size + other) - 1e-9)
-    return (np.minimum(size, other) >= least * np.maximum(size, other) - 1e-9) & (1 + np.minimum(size - at, other - other_at) - 1 >= need)
-
-
-LISTS = "k long, node long, size int, at int, next long"
+LISTS = "k long, node long, size int, at int"
 
 
 def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray) -> DataFrame:
-    """The inverted index over prefixes without lists of one node: (k, node, size, position), and in some lists of each node the next member.
+    """The inverted index over prefixes without lists of one node: (k, node, size, position).
 
     Postings travel packed, a row for each batch and bucket of shingles.
     """
@@ -360,7 +360,8 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
             for some in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
                 if len(some):
                     docs_of, own = np.unique(owner[some], return_inverse=True)
-                    rows.append((int(bucket[some[0]]), *(x.tobytes() for x in (k[some], own.astype(np.uint16), at[some], nodes[docs_of], sizes[docs_of]))))
+                    packed = (k[some], own.astype(np.uint16), at[some], nodes[docs_of], sizes[docs_of])
+                    rows.append((int(bucket[some[0]]), *(x.tobytes() for x in packed)))
             if rows:
                 yield to_batch(list(zip(*rows, strict=True)), schema)
 
@@ -369,23 +370,21 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
         for batch in batches:
             for k, owner, at, node, size in zip(*(batch.column(c) for c in range(1, 6)), strict=True):
                 own = np.frombuffer(owner.as_py(), np.uint16)
-                parts.append((np.frombuffer(k.as_py(), np.uint64), np.frombuffer(node.as_py(), np.int64)[own], np.frombuffer(size.as_py(), np.int32)[own], np.frombuffer(at.as_py(), np.uint16)))
+                parts.append((
+                    np.frombuffer(k.as_py(), np.uint64), np.frombuffer(node.as_py(), np.int64)[own],
+                    np.frombuffer(size.as_py(), np.int32)[own], np.frombuffer(at.as_py(), np.uint16),
+                ))
         if not parts:
             return
         k, node, size, at = (np.concatenate(c) for c in zip(*parts, strict=True))
         parts.clear()
-        mix = _mixed(k ^ node.view(np.uint64), 1)
-        by = np.lexsort((mix, k))  # members of a list in an order of its own
-        k, node, size, at = k[by], node[by], size[by], at[by]
+        by = np.argsort(k, kind="stable")
+        k = k[by]
         same = np.r_[(k[1:] == k[:-1]), False]
-        next_same = np.r_[False, same[:-1]]
-        # about TRIES lists of a node are taken, the same ones for nodes alike
-        taken = same & (_mixed(k, 2) / 2.0**64 * (1 - least) * size < TRIES)
-        then = np.r_[node[1:], node[:1]]
-        far = np.r_[size[1:], size[:1]]
-        taken &= (np.minimum(size, far) >= least * np.maximum(size, far) - 1e-9) & (node != then)
-        shared = same | next_same
-        out = pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (k.view(np.int64), node, size.astype(np.int32), at.astype(np.int32))] + [pa.array(then[shared], mask=~taken[shared])], schema=schema)
+        shared = same | np.r_[False, same[:-1]]
+        own = by[shared]
+        columns = (k[shared].view(np.int64), node[own], size[own].astype(np.int32), at[own].astype(np.int32))
+        out = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
         for cut in range(0, out.num_rows, 50_000):
             yield out.slice(cut, 50_000)
 
@@ -393,81 +392,121 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
     return packed.repartition(partitions(spark), "bucket").mapInArrow(gather, LISTS)
 
 
-def open_pairs(k: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, root: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b): every pair of a list, of different roots, that may match."""
-    by = np.lexsort((size, k))
-    k, node, size, at, root = k[by], node[by], size[by].astype(np.int64), at[by].astype(np.int64), root[by]
-    starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    mixed = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-    sizes = np.diff(np.r_[starts, len(k)])
-    left, right = [], []
-
-    def add(i: np.ndarray, j: np.ndarray):
-        ok = (root[i] != root[j]) & may_match(size[i], at[i], size[j], at[j], least)
-        left.append(np.minimum(node[i[ok]], node[j[ok]]))
-        right.append(np.maximum(node[i[ok]], node[j[ok]]))
-
-    left_in = np.repeat(starts + sizes, sizes) - np.arange(len(k))
-    i = np.flatnonzero(np.repeat(mixed & (sizes <= SHORT), sizes))
-    for shift in range(1, SHORT):
-        i = i[left_in[i] > shift]
-        i = i[size[i] >= least * size[i + shift] - 1e-9]  # a list ascends in size
-        if not len(i):
-            break
-        add(i, i + shift)
-    for r in np.flatnonzero(mixed & (sizes > SHORT)):
-        # pairs inside the largest component of the list are not looked at
-        own = np.arange(starts[r], starts[r] + sizes[r])
-        names, count = np.unique(root[own], return_counts=True)
-        minor = root[own] != names[count.argmax()]
-        for x in own[minor]:
-            add(np.full(len(own), x), own)
-            if sum(map(len, left)) > 1 << 22:
-                found = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-                left[:], right[:] = [found[0]], [found[1]]
-    if not left:
-        return node[:0], node[:0]
-    found = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-    return found[0], found[1]
-
-
-def remaining(lists: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(a, b): all pairs of all lists that may match and are not in one component yet."""
-    ddl = "a long, b long"
+class Lists:
+    """Some whole lists, list by list in ascending size of the nodes: arrays k, node, size, at, parity (rows of words) and root."""
+
+    def __init__(self, k, node, size, at, parities, root, least: float):
+        by = np.lexsort((node, size, k))
+        self.k, self.node, self.size, self.at = k[by], node[by], size[by].astype(np.int64), at[by].astype(np.int64)
+        self.parity, self.root, self.least = parities[by], root[by], least
+        self.starts = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
+        self.sizes = np.diff(np.r_[self.starts, len(k)])
+        self.list = np.repeat(np.arange(len(self.starts)), self.sizes)
+        self.found: list[np.ndarray] = []
+        self.waiting = 0
+
+    def may_match(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether lengths, what follows the shared shingle, and the bits that differ allow the similarity. No pair that has it is refused."""
+        a, b = self.size[i], self.size[j]
+        need = np.ceil(self.least / (1 + self.least) * (a + b) - 1e-9)
+        ok = (self.root[i] != self.root[j]) & (np.minimum(a, b) >= self.least * np.maximum(a, b) - 1e-9)
+        ok &= np.minimum(a - self.at[i], b - self.at[j]) >= need
+        left = np.flatnonzero(ok)
+        for some in np.array_split(left, len(left) // 200_000 + 1):
+            differ = np.bitwise_count(self.parity[i[some]] ^ self.parity[j[some]]).sum(1, dtype=np.int64)
+            ok[some] = differ <= a[some] + b[some] - 2 * need[some]
+        return ok
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Keeps the pairs that may match; returns which do."""
+        ok = self.may_match(i, j)
+        a, b = self.node[i[ok]], self.node[j[ok]]
+        self.found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        self.waiting += len(a)
+        if self.waiting > 1 << 22:
+            self.found = [self.pairs()]
+            self.waiting = self.found[0].shape[1]
+        return ok
+
+    def pairs(self) -> np.ndarray:
+        """The distinct pairs (a, b), a < b, that were kept."""
+        return np.unique(np.concatenate(self.found, axis=1), axis=1) if self.found else np.zeros((2, 0), dtype=np.int64)
+
+    def stars(self, rounds: int = 3) -> np.ndarray:
+        """Pairs of each list's least node with all others that may match it; those that don't get a centre of their own in the next round.
+
+        Nodes alike share many lists and so their centres: a large group has few pairs a node."""
+        left = np.lexsort((self.node, self.list))
+        for _ in range(rounds):
+            if len(left) < 2:
+                break
+            first = np.r_[True, self.list[left][1:] != self.list[left][:-1]]
+            centre = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
+            others = ~first
+            ok = self.add(left[others], centre[others])
+            left = left[others][~ok]
+        return self.pairs()
+
+    def open(self) -> np.ndarray:
+        """All pairs of different roots that may match."""
+        mixed = np.minimum.reduceat(self.root, self.starts) != np.maximum.reduceat(self.root, self.starts)
+        left_in = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.k))
+        i = np.flatnonzero(np.repeat(mixed & (self.sizes <= SHORT), self.sizes))
+        for shift in range(1, SHORT):
+            i = i[left_in[i] > shift]
+            i = i[self.size[i] >= self.least * self.size[i + shift] - 1e-9]  # a list ascends in size
+            if not len(i):
+                break
+            self.add(i, i + shift)
+        for r in np.flatnonzero(mixed & (self.sizes > SHORT)):
+            # pairs inside the largest component of the list are not looked at
+            own = np.arange(self.starts[r], self.starts[r] + self.sizes[r])
+            names, count = np.unique(self.root[own], return_counts=True)
+            for x in own[self.root[own] != names[count.argmax()]]:
+                self.add(np.full(len(own), x), own)
+        return self.pairs()
+
+
+def candidates(lists: DataFrame, nodes: DataFrame, least: float, roots: DataFrame | None = None) -> DataFrame:
+    """(a, b): pairs of nodes that may have the similarity. Without roots a few of each node, else all pairs of different roots."""
+    ddl, star = "a long, b long", roots is None
+    names = ["k", "node", "size", "at", "parity"] + ["root"] * (not star)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, rest = arrow_schema(ddl), None
-        names = ("k", "node", "size", "at", "root")
 
-        def found(columns) -> pa.RecordBatch:
-            return to_batch(open_pairs(*columns, least), schema)
+        def found(k, node, size, at, bits, root) -> pa.RecordBatch:
+            own = Lists(k, node, size, at, bits, root, least)
+            return to_batch(list(own.stars() if star else own.open()), schema)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            got = [batch.column(c).to_numpy() for c in names]
+            got = [batch.column(c).to_numpy() for c in names[:4]]
+            bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
+            got += [bits, got[1] if star else batch.column("root").to_numpy()]
             got = got if rest is None else [np.concatenate(x) for x in zip(rest, got, strict=True)]
             tail = int(np.searchsorted(got[0], got[0][-1]))
             rest = [x[tail:] for x in got]
             if tail:
-                yield found([x[:tail] for x in got])
+                yield found(*(x[:tail] for x in got))
         if rest is not None:
-            yield found(rest)
+            yield found(*rest)
 
-    named = lists.select("k", "node", "size", "at").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if roots is not None:
+        nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    joined = lists.join(nodes.select("node", "parity", *names[5:]), "node").select(*names)
     batch_rows(lists.sparkSession, 50_000)
-    return named.select("k", "node", "size", "at", "root").repartition(partitions(lists.sparkSession), "k").sortWithinPartitions("k").mapInArrow(run, ddl)
+    return joined.repartition(partitions(lists.sparkSession), "k").sortWithinPartitions("k").mapInArrow(run, ddl)
 
 
 def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, least: float) -> DataFrame:
     """Of pairs (a, b), those with a Jaccard similarity of at least `least`; only texts in a pair are read again."""
     pairs = materialize(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = materialize(nodes.join(wanted, "node", "left_semi").select(F.col("least").alias("id")), "wanted")
-    near = F.broadcast(wanted) if wanted.count() <= MOST_IDS else wanted
-    found = docs.join(near, docs["doc_id"].eqNullSafe(near["id"]), "left_semi")
-    sets = _of_sets(found, words, "node long, shingles binary", lambda _, node, own: (node, own.tobytes()))
-    sets = materialize(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
+    wanted = materialize(nodes.join(wanted, "node", "left_semi").select("first.*"), "wanted")
+    sets = _of_sets(only_rows(docs, wanted), words, "node long, shingles binary", lambda _d, _k, node, own: (node, own.tobytes()))
+    sets = materialize(sets.dropDuplicates(["node"]), "shingles")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     batch_rows(docs.sparkSession, 500)
 
@@ -480,34 +519,48 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, lea
                 keep.append(shared >= least * max(len(x) + len(y) - shared, 1))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    found = materialize(both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links")
+    discard(pairs, wanted, sets)
+    return found
 
 
 def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of every document: the least doc_id reachable over pairs of a similarity of `least` or more.
+    """(doc_id, key, first) of every document: key is a hash of its text, first the least (doc_id, key) reachable over pairs of a similarity of `least` or more.
 
     The search is complete: such pairs share a shingle of their prefixes. A
     few pairs of each node come first, so that large groups are joined by few;
-    then all pairs between components are verified, and only what passed links.
+    then all pairs between components that lengths, positions and parities
+    allow are verified, and only what passed links.
     """
-    marked = materialize(_of_sets(docs, words, "doc_id long, node long", lambda d, node, _: (d, node)), "marked")
-    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("least")), "nodes")
-    copies = marked.join(nodes, "node").filter("doc_id <> least")
-    # a doc_id may stand for several rows: it stays if one of them is the first of its node
-    firsts = without_ids(docs, copies.join(nodes.select(F.col("least").alias("doc_id")), "doc_id", "left_anti"))
+    ddl = "doc_id long, key long, node long, parity binary"
+    marked = materialize(_of_sets(docs, words, ddl, lambda d, key, node, own: (d, key, node, parity(own))), "marked")
+    each = F.struct("doc_id", "key")
+    nodes = materialize(marked.groupBy("node").agg(F.min(each).alias("first"), F.min("parity").alias("parity")), "nodes")
+    copies = marked.select("node", each.alias("own")).join(nodes.select("node", "first"), "node").filter("own <> first")
+    firsts = without_rows(docs, copies.select("own.*"))
     lists = materialize(shared_lists(firsts, words, least, common_shingles(docs, words, marked.count())), "lists")
-    tried = lists.filter("next is not null").select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b"))
-    links = materialize(similar(tried, nodes, docs, words, least), "links")
-    rest = materialize(similar(remaining(lists, components(links), least), nodes, docs, words, least), "links")
-    roots = components(links.union(rest))
-    joined = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
-    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(joined.join(named, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    some = similar(candidates(lists, nodes, least), nodes, docs, words, least)
+    rest = similar(candidates(lists, nodes, least, components(some)), nodes, docs, words, least)
+    roots = components(some.union(rest))
+    joined = materialize(nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
+    named = materialize(joined.join(joined.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", F.col("least").alias("first")), "named")
+    discard(lists, some, rest, joined)
+    return marked.select("doc_id", "key", "node").join(named, "node").select("doc_id", "key", "first")
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least doc_id."""
-    return without_ids(docs, near_copies(docs).filter("doc_id <> component_id"))
+    """One row of each group of near duplicates, with all its columns: the one with the least doc_id (null ones first), then hash of the text.
+
+    Of rows that repeat both, the least in all columns stays.
+    """
+    copies = near_copies(docs).withColumn("own", F.struct("doc_id", "key"))
+    gone = copies.filter("own <> first").select("own.*")
+    again = copies.filter("own = first").groupBy("own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("own.*")
+    again = materialize(again, "again")
+    if not again.limit(1).count():
+        return without_rows(docs, gone)
+    one = only_rows(docs, again).groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("r")).select("r.*")
+    return without_rows(docs, gone.union(again)).unionByName(one)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
