@@ -10,7 +10,10 @@ or dropped to keep it together, since the law `rows` keeps counts at most one
 apart.
 
 Edge cases: null text has size 1 and the checksum of no bytes; null metadata
-take the lowest cell; fewer rows than shards leave shards empty.
+take the lowest cell; fewer rows than shards leave shards empty, and an empty
+table gives no row. Repeated rows get a place each; texts of any length are
+hashed whole and never moved. Columns other than doc_id, text, source and lang
+are not looked at.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from pyspark.sql import functions as F
 from docfacts.llm.shared import global_rank, materialize, read
 
 
+#: Distinct values of a dimension up to which their cells are broadcast; more are joined.
+MOST_CELLS = 100_000
+
+
 def hilbert_index(bits: int):
     """A pandas UDF: index on the Hilbert curve of three integer coordinates below 2**bits."""
 
@@ -57,8 +64,31 @@ def hilbert(x: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def sorted_cells(values: DataFrame, column: str, bits: int) -> DataFrame:
+    """(column, cell): the distinct values of a column in their order, cut into 2**bits ranges of equally many values; null is the empty text."""
+    distinct = values.select(column).distinct()
+    ranked = materialize(global_rank(distinct, [column], f"{column}_order"), f"{column}_cells")
+    n = max(ranked.count(), 1)
+    return ranked.select(column, F.floor(F.col("rank") * F.lit(1 << bits) / F.lit(n)).cast("long").alias(f"d_{column}"))
+
+
+def size_cell(values: DataFrame, bits: int):
+    """A pandas UDF: the cell of a size, cells holding about equally many of the values (their edges are approximate quantiles)."""
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    edges = np.array(values.agg(F.percentile_approx("size", shares, 10_000).alias("e")).first()["e"] or [], dtype=np.int64)
+
+    @F.pandas_udf("long")
+    def cell(size: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, size.to_numpy(dtype=np.int64), side="left"))
+
+    return cell
+
+
 def quantised(docs: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, size, text_crc32, group key, dimensions) of every document; no text is moved."""
+    """(doc_id, size, text_crc32, group key, dimensions) of every document; no text is moved.
+
+    A dimension keeps the order of its column, so that near cells hold near values and a file's least and largest value say what it lacks.
+    """
     raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     base = docs.select(
         "doc_id",
@@ -69,15 +99,13 @@ def quantised(docs: DataFrame, bits: int) -> DataFrame:
         F.coalesce("lang", F.lit("")).alias("lang"),
     )
     base = materialize(base, "base")
-    groups = base.groupBy("text_key", "text_crc32", "size").agg(F.min("source").alias("source"), F.min("lang").alias("lang"))
-    top = (1 << bits) - 1
-    cells = groups.select(
-        "text_key", "text_crc32", "size",
-        F.pmod(F.xxhash64("source"), F.lit(1 << bits)).alias("d_source"),
-        F.pmod(F.xxhash64("lang"), F.lit(1 << bits)).alias("d_lang"),
-        # eight cells for every doubling of the size
-        F.least(F.lit(top), F.floor(F.log2("size") * F.lit((1 << bits) / 32.0))).cast("long").alias("d_size"),
+    groups = materialize(
+        base.groupBy("text_key", "text_crc32", "size").agg(F.min("source").alias("source"), F.min("lang").alias("lang")), "texts"
     )
+    for column in ("source", "lang"):
+        cells = sorted_cells(groups, column, bits)
+        groups = groups.join(F.broadcast(cells) if cells.count() <= MOST_CELLS else cells, column)
+    cells = groups.select("text_key", "text_crc32", "size", "d_source", "d_lang", size_cell(groups, bits)(F.col("size")).alias("d_size"))
     # both sides are written: the join can then split a large group's rows
     return base.select("doc_id", "size", "text_crc32", "text_key").join(materialize(cells, "groups"), ["text_key", "text_crc32", "size"])
 
