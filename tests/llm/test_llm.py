@@ -298,7 +298,7 @@ def test_audio_damage():
     payload = bytes(range(256)) * 40
     media = audio.encode(payload)
     whole = audio.parse(media)
-    assert whole["payload"] == payload and whole["bad_crc"] == whole["skipped"] == 0 and whole["xing"]["frames"] == len(whole["offsets"]) and whole["tags"] == {"TXXX:payload": str(len(payload))}
+    assert whole["payload"] == payload and whole["bad_crc"] == whole["skipped"] == 0 and whole["table"]["frames"] == len(whole["offsets"]) and whole["tags"] == {"TXXX:payload": str(len(payload))}
     cut = audio.parse(media[: whole["offsets"][2]] + b"\x00\xffjunk" + media[whole["offsets"][2]:])
     assert cut["payload"] == payload and cut["skipped"] == 6
     torn = bytearray(media)
