@@ -5,8 +5,9 @@ ones are cut into pieces of at most 4096 tokens, and the pieces are packed into
 as few sequences as possible:
 
 1. one histogram of piece lengths over the whole corpus (at most 4096 counts);
-2. patterns of one to three lengths that fill a sequence exactly, with repeat
-   counts from a non-negative least squares fit to that histogram, rounded down;
+2. patterns of one to eight lengths that fill a sequence exactly, with repeat
+   counts from a non-negative least squares fit to that histogram, rounded so
+   that running sums are kept; the fit is repeated on what rounding leaves;
 3. what the patterns leave is packed best-fit on the histogram, each step
    repeating one filling pattern as often as the counts allow.
 
@@ -16,7 +17,9 @@ pieces of its length; ranks come from a range partitioning, not from one task
 per length.
 
 Edge cases: null and empty texts have the end id alone; texts without tokens
-too. Repeated rows are packed like any other. An empty table gives no row.
+too. Texts of any length are tokenised whole. Repeated rows are packed like any
+other, and pieces of equal length, doc_id and number in any order. An empty
+table gives no row; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materiali
 
 CAPACITY = 4096
 END_ID = 1
+#: Lengths of a pattern at most, shares of the room left that its middle lengths take, ways to close one with a pair, and fits in a row.
+MOST, SHARES, PAIR_WAYS, FITS = 8, (0.3, 0.6), 2, 3
 #: Words kept per worker between batches; beyond it the store starts anew.
 WORDS_KEPT = 800_000
 
@@ -116,25 +121,44 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
     return texts(docs, "doc_id", "text").mapInArrow(tokenise, fields)
 
 
-def patterns(counts: np.ndarray, capacity: int, most: int = 40_000) -> list[tuple[int, ...]]:
-    """Patterns of one to three present lengths that fill a sequence exactly.
+def pair_table(has: np.ndarray, capacity: int) -> np.ndarray:
+    """Per sum up to the capacity, for each of PAIR_WAYS ways, the shorter of two present lengths that give it (0: none)."""
+    present = np.flatnonzero(has)
+    out = np.zeros((PAIR_WAYS, capacity + 1), dtype=np.int64)
+    for total in range(2, capacity + 1):
+        short = present[: np.searchsorted(present, total // 2, side="right")]
+        short = short[has[total - short]]
+        if len(short):
+            out[:, total] = short[(np.arange(PAIR_WAYS) * (len(short) - 1)) // max(PAIR_WAYS - 1, 1)]
+    return out
+
 
-    If triples are too many, the middle length is taken from every s-th present
-    length only; what that misses is left to the residual packing.
+def patterns(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
+    """Patterns of one to MOST present lengths that fill a sequence exactly, longest first.
+
+    Every present length begins some: it is followed by up to MOST - 3 lengths
+    that each take a share of the room left, and closed by a pair, or by one
+    length, that fills the rest to the token. The number of patterns is bounded
+    by the capacity, not by the input.
     """
-    present = np.flatnonzero(counts)
-    has = np.zeros(capacity + 1, dtype=bool)
-    has[present] = True
-    found = [(capacity,)] if has[capacity] else []
-    found += [(int(capacity - a), int(a)) for a in present if 2 * a <= capacity and has[capacity - a]]
-    short = present[present <= capacity // 2]
-    step = max(1, len(present) * len(short) // (4 * most))
-    for b in short[::step]:
-        a = present[(present >= b) & (capacity - present - b >= 1)]
-        c = capacity - a - b
-        keep = (c <= b) & has[c]
-        found += [(int(x), int(b), int(z)) for x, z in zip(a[keep], c[keep], strict=True)]
-    return found
+    has = counts > 0
+    has[0] = False
+    present = np.flatnonzero(has)
+    below = np.maximum.accumulate(np.where(has, np.arange(capacity + 1), 0))  # the longest present length up to each
+    pairs, found = pair_table(has, capacity), set()
+    for share in SHARES:
+        taken, room = [present], capacity - present
+        for _ in range(MOST - 2):
+            one = has[room] & (room > 0)
+            ends = [(one, [room]), *((short[room] > 0, [room - short[room], short[room]]) for short in pairs), (room == 0, [])]
+            for ok, last in ends:
+                columns = np.stack([x[ok] for x in (*taken, *last)], axis=1)
+                found.update(map(tuple, -np.sort(-columns, axis=1)))
+            step = below[np.minimum((room * share).astype(np.int64), room)]
+            taken, room = [x[step > 0] for x in (*taken, step)], (room - step)[step > 0]
+            if not len(room):
+                break
+    return sorted((tuple(int(x) for x in p) for p in found if all(p.count(x) <= counts[x] for x in set(p))), reverse=True)
 
 
 def nnls(found: list[tuple[int, ...]], counts: np.ndarray, rounds: int = 200) -> np.ndarray:
@@ -142,11 +166,11 @@ def nnls(found: list[tuple[int, ...]], counts: np.ndarray, rounds: int = 200) ->
     column = np.repeat(np.arange(len(found)), [len(p) for p in found])
     row = np.concatenate([np.array(p) for p in found])
     target = counts.astype(float)
-    weight = np.sqrt(np.maximum(np.bincount(row, minlength=len(counts)), 1))  # scaled rows: short lengths occur in many patterns
+    weight = np.maximum(np.bincount(row, minlength=len(counts)), 1)  # scaled rows: short lengths occur in many patterns
     x = y = np.zeros(len(found))
-    step, t = 1.0 / 9.0, 1.0
+    step, t = 1.0 / max(map(len, found)), 1.0
     for _ in range(rounds):
-        residual = (np.bincount(row, y[column], len(counts)) - target) / weight**2
+        residual = (np.bincount(row, y[column], len(counts)) - target) / weight
         gradient = np.bincount(column, residual[row], len(found))
         new = np.maximum(0.0, y - step * gradient)
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
@@ -155,20 +179,34 @@ def nnls(found: list[tuple[int, ...]], counts: np.ndarray, rounds: int = 200) ->
     return x
 
 
+def rounded(x: np.ndarray) -> np.ndarray:
+    """Whole numbers whose running sums follow those of x: what rounding takes from a pattern goes to the next ones, which are alike."""
+    return np.diff(np.floor(np.concatenate([[0.0], np.cumsum(x)]) + 0.5)).astype(np.int64)
+
+
+def fitted(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """(pattern, repeats) by least squares, taken from the histogram `left`; fits again to what rounding left, while that places more."""
+    out: list[tuple[tuple[int, ...], int]] = []
+    for _ in range(FITS):
+        found = patterns(left, capacity)
+        placed = 0
+        for pattern, times in zip(found, rounded(nnls(found, left)).tolist() if found else [], strict=True):
+            if times:
+                lengths, need = np.unique(pattern, return_counts=True)
+                n = int(min(times, (left[lengths] // need).min()))
+                if n:
+                    left[lengths] -= n * need
+                    out.append((pattern, n))
+                    placed += n
+        if not placed:
+            break
+    return out
+
+
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(pattern, repeats), using every piece of the histogram exactly once."""
-    left, out = counts.astype(np.int64).copy(), []
-    found = patterns(left, capacity)
-    if found:
-        repeats = nnls(found, left)
-        order = np.argsort(-repeats, kind="stable")
-        for k in order[repeats[order] >= 0.5]:
-            pattern = found[k]
-            lengths, need = np.unique(pattern, return_counts=True)
-            n = int(min(round(float(repeats[k])), (left[lengths] // need).min()))
-            if n > 0:
-                left[lengths] -= n * need
-                out.append((pattern, n))
+    left = counts.astype(np.int64).copy()
+    out = fitted(left, capacity)
     while left.any():  # residual: longest first, each gap filled with the longest that fits
         pattern, room, used, top = [], capacity, {}, capacity
         while room:
