@@ -8,9 +8,11 @@ follow-the-regularised-leader and L1 and L2 penalties, and its scores are
 calibrated by one temperature on a part of the sample that it did not see.
 
 Edge cases: null texts and texts without a letter are `und` with score 0; if
-nothing can be learned (no labelled text) every row is `und`; a single learned
-language gets score 1. Repeated rows get equal predictions. lang, source and
-doc_id never enter a prediction.
+nothing can be learned (no labelled text, or an empty table) every row is
+`und`; a single learned language gets score 1. Texts of any length are read
+whole. Of equal scores the language first in order wins. Repeated rows get
+equal predictions. lang, source and doc_id never enter a prediction, other
+columns are not looked at, and `kept` returns them as they are.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ one with a probability of about V^2 / 2^65.
 
 Edge cases: null and empty texts have the end token alone; unknown words have
 the probability of a count of zero; without training rows all counts are zero.
-Repeated rows and doc_ids are scored one by one.
+Repeated rows and doc_ids are scored one by one, and each trains. Texts of any
+length are read whole; an empty table gives no row. Columns other than doc_id,
+text and train are not looked at.
 """
 
 from __future__ import annotations

@@ -8,9 +8,13 @@ once. Scores are logistic functions of the difference of Mahalanobis
 log-densities plus log priors, solved with the cached Cholesky factors.
 
 Edge cases: null and empty texts have the statistics of the empty text and get
-a score like any other; labels without a document, documents without a label
-and null labels teach nothing; a class without training rows gives score 0.5
-to every row. Labels, lang, source and doc_id never enter a score.
+a score like any other; texts of any length are read whole. Labels without a
+document, documents without a label and null labels teach nothing; a label that
+is repeated counts once, and a doc_id with contradicting labels teaches
+nothing. Repeated rows are scored, and taught, one by one. A class with fewer
+than two training rows, an empty table among them, gives score 0.5 to every
+row. Columns other than doc_id and text are not looked at; `kept` returns them
+as they are. Labels, lang, source and doc_id never enter a score.
 """
 
 from __future__ import annotations
@@ -99,6 +103,14 @@ def moments(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarra
     return {c: (m[0, 0], m[0, 1:], m[1:, 1:]) for c, m in out.items()}
 
 
+def solved(factor: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """z with factor @ z = right for a lower triangular factor, by forward substitution over all columns at a time."""
+    z = np.empty_like(right)
+    for i in range(len(factor)):
+        z[i] = (right[i] - factor[i, :i] @ z[:i]) / factor[i, i]
+    return z
+
+
 class Discriminant:
     """Means, Cholesky factors and constants of both classes."""
 
@@ -121,12 +133,13 @@ class Discriminant:
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.ready:
             return np.full(len(x), 0.5)
-        density = [constant - 0.5 * (np.linalg.solve(factor, (x - mean).T) ** 2).sum(0) for mean, factor, constant in self.parts]
+        density = [constant - 0.5 * (solved(factor, (x - mean).T) ** 2).sum(0) for mean, factor, constant in self.parts]
         return 1.0 / (1.0 + np.exp(-np.clip(density[1] - density[0], -700, 700)))
 
 
 def fit(vectors: DataFrame, labels: DataFrame, train: Column) -> Discriminant:
-    marked = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
+    marked = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
+    marked = marked.filter("label = other").select("doc_id", "label")
     return Discriminant(moments(vectors.filter(train).join(marked, "doc_id")))
 
 

@@ -16,8 +16,11 @@ Components come from repeated contraction: every node joins its least
 neighbour (by hash), edges are rewritten, and rounds are few.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any
-other; fewer words than a shingle give one shingle of all words; repeated rows
-and doc_ids fall in one component.
+other; fewer words than a shingle give one shingle of all words; texts of any
+length count whole. Repeated rows fall in one component, and so do rows that
+share a doc_id and a fingerprint; a null doc_id is less than any other. An
+empty table gives no row; columns other than doc_id and text are not looked at,
+whatever their names, and `kept` returns them as they are.
 """
 
 from __future__ import annotations
