@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,39 +23,59 @@ SENSITIVE = [("PERSONAL_ID", PERSONAL_ID), ("PHONE", PHONE), ("BANK_ACCOUNT_CAND
 DOCUMENT_NUMBER = r"(?<![0-9])(?:[0-9]{17}[0-9Xx]|[0-9]{15})(?![0-9])"
 LEVEL_SUFFIX = "(特级|一级|二级|三级|甲级|乙级|丙级|不分等级|不分级)$"
 
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
-_NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
+# Ranges of characters with compatibility forms: Latin-1, letters, blanks, super- and subscripts, letterlike, numbers, circled, radicals, CJK signs, widths.
+COMPATIBLE = [
+    (0xA0, 0xBF), (0x1C4, 0x1F3), (0x2B0, 0x2B8), (0x2000, 0x200A), (0x2070, 0x209C), (0x2100, 0x217F), (0x2460, 0x24FF), (0x2E80, 0x2FD5),
+    (0x3000, 0x303A), (0x32C0, 0x33FF), (0xF900, 0xFAD9), (0xFF01, 0xFFEE),
+]
+_FORMS = {chr(c): unicodedata.normalize("NFKC", chr(c)) for a, b in COMPATIBLE for c in range(a, b + 1)}
+_WIDE = "".join(k for k, v in _FORMS.items() if len(v) == 1 and v != k)
+_NARROW = "".join(_FORMS[k] for k in _WIDE)
 
 
 def fold_width(c: Column) -> Column:
-    """Full-width ASCII and the ideographic blank to their plain forms (the part of NFKC that codes, digits and brackets need)."""
+    """NFKC of the characters whose compatibility form is one character (widths, blanks, circled digits, radicals, compatibility ideographs ...).
+
+    Forms of several characters and combining marks stay as they are: they have no native expression.
+    """
     return F.translate(c, _WIDE, _NARROW)
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c evaluated once, however often `use` names it."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def _cleaned(c: Column, limit: int, shown: Column) -> Column:
-    null = F.lower(fold_width(shown)).isin(NULL_TEXTS)
-    return F.when(null, None).otherwise(F.nullif(F.left(shown, F.lit(limit)), F.lit("")))
+#: Longest of the texts that mean nothing, before their widths are folded.
+_LONGEST_NULL = 8
+
+
+def _cleaned(limit: int | None, shown: Column) -> Column:
+    def use(x: Column) -> Column:
+        null = (F.length(x) <= _LONGEST_NULL) & F.lower(fold_width(x)).isin(NULL_TEXTS)
+        return F.when(~null, F.left(x, F.lit(limit)) if limit else x)
+
+    return once(shown, use)
 
 
-def clean_verbatim_text(c: Column, limit: int = 12000) -> Column:
-    """drop control characters, collapse blanks and blank lines, trim; texts that mean nothing become null."""
+def clean_verbatim_text(c: Column, limit: int | None = 12000) -> Column:
+    """drop control characters, collapse blanks and blank lines, trim; texts that mean nothing become null. Without a limit the whole text stays."""
     out = F.regexp_replace(F.regexp_replace(c, CONTROL, ""), r"[ \t]+", " ")
-    return _cleaned(c, limit, strip(F.regexp_replace(out, r"\n{3,}", "\n\n")))
+    return _cleaned(limit, strip(F.regexp_replace(out, r"\n{3,}", "\n\n")))
 
 
-def clean_text(c: Column, limit: int = 12000) -> Column:
+def clean_text(c: Column, limit: int | None = 12000) -> Column:
     """the same after width folding."""
     return clean_verbatim_text(fold_width(c), limit)
 
 
 def clean_inline_text(c: Column) -> Column:
     """any white space to one blank."""
-    out = strip(F.regexp_replace(c, WHITE, " "))
-    return F.when(F.lower(out).isin(NULL_TEXTS), None).otherwise(out)
+    return once(strip(F.regexp_replace(c, WHITE, " ")), lambda x: F.when((F.length(x) > _LONGEST_NULL) | ~F.lower(x).isin(NULL_TEXTS), x))
 
 
 def strict_text(c: Column, limit: int = 200) -> tuple[Column, Column]:
@@ -93,7 +116,7 @@ def normalize_credit_code(c: Column) -> Column:
 SYSTEM_NAMES = {
     "质量管理体系认证": ["质量管理体系认证证书", "质量管理体系认证", "建设施工行业质量管理体系认证"],
     "环境管理体系认证": ["环境管理体系认证", "环境管理体系认证证书"],
-    "中国职业健康安全管理体系认证": ["中国职业健康安全管理体系认证", "中国职业健康安全管理体系认证证书", "职业健康安全管理体系认证", "职业健康安全管理体系认证证书"],
+    "职业健康安全管理体系认证": ["中国职业健康安全管理体系认证", "中国职业健康安全管理体系认证证书", "职业健康安全管理体系认证", "职业健康安全管理体系认证证书"],
 }
 
 
@@ -140,11 +163,11 @@ def mask_document_numbers(c: Column) -> Column:
 
 def safe_error_message(c: Column, roots: list[str], secrets: list[str]) -> Column:
     """F16: without local paths and secrets, redacted, at most 1500 characters."""
-    for root in roots:
-        c = F.replace(c, F.lit(root), F.lit("<path>"))
+    for root in sorted(roots, key=len, reverse=True):
+        c = F.replace(c, F.lit(root), F.lit("[LOCAL_ROOT]"))
     for secret in secrets:
         c = F.replace(c, F.lit(secret), F.lit("<secret>"))
-    return F.left(redact_sensitive(c)[0], F.lit(1500))
+    return F.left(strip(redact_sensitive(c)[0]), F.lit(1500))
 
 
 # What a warning about the birth date speaks of, must not speak of, and says.

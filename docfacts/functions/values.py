@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docfacts.functions.text import clean_text, fold_width
+from docfacts.functions.text import clean_text, fold_width, once
 
 MONEY = "decimal(20,2)"
 # Fixed value: notations of a date.
@@ -15,8 +15,8 @@ DATE_PATTERN = r"^([0-9]{4})\s*(?:年|[-./])\s*([0-9]{1,2})\s*(?:月|[-./])\s*([
 
 
 def _calendar(text: Column, pattern: str) -> Column:
-    part = lambda i: F.regexp_extract(text, pattern, i)
-    return F.when(text.rlike(pattern), F.try_to_date(F.concat_ws("-", part(1), part(2), part(3)), "y-M-d"))
+    """The date of a text that fits; its three numbers are joined by one replacement, and what does not fit stays no date."""
+    return F.try_to_date(once(text, lambda x: F.when(x.rlike(pattern), F.regexp_replace(x, pattern, "$1-$2-$3"))), "y-M-d")
 
 
 def normalize_date(c: Column) -> Column:
@@ -114,9 +114,12 @@ def parse_arabic_money(c: Column) -> Column:
     """Number and unit, in yuan."""
     text = F.replace(fold_width(c), F.lit(","), F.lit(""))
     pattern = r"(?<![0-9])([0-9]+(?:\.[0-9]+)?)\s*(亿元|万元|万|千元|元)(?![0-9万亿])"
-    unit = F.regexp_extract(text, pattern, 2)
-    times = F.when(unit == "亿元", 100000000).when(unit.isin("万元", "万"), 10000).when(unit == "千元", 1000).when(unit == "元", 1)
-    return (F.regexp_extract(text, pattern, 1).try_cast("decimal(18,4)") * times).try_cast(MONEY)
+
+    def use(found: Column) -> Column:  # number and unit as one text
+        times = F.when(found.endswith("亿元"), 100000000).when(found.endswith("万元") | found.endswith("万"), 10000).when(found.endswith("千元"), 1000).otherwise(1)
+        return (F.regexp_extract(found, r"^[0-9.]+", 0).try_cast("decimal(18,4)") * times).try_cast(MONEY)
+
+    return once(F.nullif(F.regexp_extract(text, pattern, 0), F.lit("")), use)
 
 
 # Numerals and units.
@@ -158,17 +161,16 @@ def parse_money(c: Column) -> Column:
 
 def normalize_money(raw: Column, amount: Column | None = None, currency: Column | None = None, unit: Column | None = None) -> Column:
     """Struct of amount, currency, raw text, raw unit and the rule that gave the amount."""
-    text = clean_text(raw, 200)
     given = finite_number(amount).cast(MONEY) if amount is not None else F.lit(None).cast(MONEY)
-    parsed = parse_money(text)
-    value = F.struct(
-        F.coalesce(given, parsed).alias("amount_yuan"),
-        (F.coalesce(clean_text(currency, 8), F.lit("CNY")) if currency is not None else F.lit("CNY")).alias("currency"),
-        text.alias("raw_text"),
-        (clean_text(unit, 32) if unit is not None else F.lit(None).cast("string")).alias("raw_unit"),
-        F.when(given.isNull() & parsed.isNotNull(), "MONEY_TEXT_TO_YUAN").alias("normalization_rule"),
-    )
-    return F.when(given.isNotNull() | text.isNotNull(), value)
+    money = F.coalesce(clean_text(currency, 8), F.lit("CNY")) if currency is not None else F.lit("CNY")
+    name = clean_text(unit, 32) if unit is not None else F.lit(None).cast("string")
+
+    def value(text: Column, parsed: Column) -> Column:
+        rule = F.when(given.isNull() & parsed.isNotNull(), "MONEY_TEXT_TO_YUAN")
+        fields = {"amount_yuan": F.coalesce(given, parsed), "currency": money, "raw_text": text, "raw_unit": name, "normalization_rule": rule}
+        return F.when(given.isNotNull() | text.isNotNull(), F.struct(*[c.alias(k) for k, c in fields.items()]))
+
+    return once(clean_text(raw, 200), lambda text: once(parse_money(text), lambda parsed: value(text, parsed)))
 
 
 def normalize_confidence(c: Column) -> tuple[Column, Column]:

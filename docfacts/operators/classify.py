@@ -58,20 +58,26 @@ DOMAINS = {
 }
 
 
-def classify(text: Column, rules: list[tuple[str, list[str]]] = PAGE_TYPES, preview: int = 12000) -> tuple[Column, Column, Column]:
-    """(type, confidence, score): the type with most matching patterns, the first one on ties; all patterns in one projection."""
-    head = F.left(F.coalesce(text, F.lit("")), F.lit(preview))
+def best_type(text: Column, rules: list[tuple[str, list[str]]] = PAGE_TYPES, preview: int | None = 12000) -> Column:
+    """Struct (s, o, t) of the type with most matching patterns, the first one on ties; with a preview only so many characters count."""
+    head = F.coalesce(text, F.lit(""))
+    head = F.left(head, F.lit(preview)) if preview else head
     scored = []
     for k, (name, patterns) in enumerate(rules):
         score = sum((head.rlike(f"(?i){p}").cast("int") for p in patterns[1:]), head.rlike(f"(?i){patterns[0]}").cast("int"))
         scored.append(F.struct(score.alias("s"), F.lit(-k).alias("o"), F.lit(name).alias("t")))
-    best = F.array_max(F.array(*scored))
-    return F.when(best["s"] > 0, best["t"]).otherwise("OTHER"), F.when(best["s"] >= 2, "HIGH").when(best["s"] == 1, "MEDIUM").otherwise("LOW"), best["s"]
+    return F.array_max(F.array(*scored))
 
 
-def classify_pages(pages: DataFrame, text: str = "text", rules: list[tuple[str, list[str]]] = PAGE_TYPES) -> DataFrame:
-    kind, confidence, score = classify(F.col(text), rules)
-    return pages.select("*", kind.alias("document_type"), confidence.alias("classification_confidence"), score.alias("score"))
+def classify_pages(pages: DataFrame, text: str = "text", rules: list[tuple[str, list[str]]] = PAGE_TYPES, preview: int | None = 12000) -> DataFrame:
+    """Adds document_type, classification_confidence and score. The best type is a column of its own, so that patterns are tried once."""
+    s = F.col("_best")["s"]
+    return pages.withColumn("_best", best_type(F.col(text), rules, preview)).select(
+        *pages.columns,
+        F.when(s > 0, F.col("_best")["t"]).otherwise("OTHER").alias("document_type"),
+        F.when(s >= 2, "HIGH").when(s == 1, "MEDIUM").otherwise("LOW").alias("classification_confidence"),
+        s.alias("score"),
+    )
 
 
 def routes(spark) -> DataFrame:
@@ -79,36 +85,50 @@ def routes(spark) -> DataFrame:
     return spark.createDataFrame([(t, d) for d, types in DOMAINS.items() for t in types], "document_type string, domain string")
 
 
-# Requirement types with their patterns; the first match decides. A captured group names and identifies the requirement.
+# Fixed value: a professional qualification by name.
+QUALIFICATION = (
+    "([\u4e00-\u9fff]{2,30}(?:施工总承包|专业承包|设计资质|勘察资质|监理资质|工程咨询|工程设计|工程勘察)"
+    "[\u4e00-\u9fff甲乙丙壹贰叁一二三级综合行业专项]*资质?)"
+)
+# Requirement types in order, with the pattern that decides, name, and identities with the words they ask for (the last asks for none).
 REQUIREMENTS = [
-    ("FINANCIAL", "投融资能力|资金筹措|净资产不低于|融资能力", "投融资能力要求", "financing_capacity"),
-    ("FINANCIAL", "财务会计制度|财务|审计报告|资产负债|流动比率|破产|亏损", "财务要求", "financial"),
-    ("BASIC", "依法设立|依法注册|独立承担民事责任", "基本资格要求", "legal_person"),
-    ("CONSORTIUM", "联合体", "联合体要求", "consortium"),
-    ("REGIONAL_ACCESS", "(?=.*(?:截图|登记|备案)).*(?:省外|外省|入晋|入省|跨省|外地企业)", "省外登记备案", "regional_registration"),
-    ("REGIONAL_ACCESS", "省外|外省|入晋|入省|跨省|外地企业", "省外企业平台准入", "regional_platform"),
-    ("AUTHORIZATION", "授权委托|法定代表人身份证|被授权人身份证", "授权委托及身份证明", "authorization"),
-    ("BANK_ACCOUNT", "基本账户|基本存款账户|开户许可证", "基本账户证明", "bank_account"),
-    ("LICENCE", "([\u4e00-\u9fff]{0,12}许可证)", None, "licence:"),
-    ("CREDIT", "行贿", "信用及失信限制", "credit_bribery"),
-    ("CREDIT", "信用中国|失信被执行人|严重违法失信|信用信息公示|黑名单|信用评价|不良行为记录|商业信誉|被责令停业|吊销执照|不良信用记录|不良状况|重大违法记录|取消.+投标资格", "信用及失信限制", "credit_platform"),
-    ("PERFORMANCE", "业绩|类似项目|合同额|累计完成", "业绩要求", "performance:"),
-    ("RELATIONSHIP", "运营机构.+?投标|(?=.*平台).*(?:控股|管理关系|利害关系|关联关系)", "关联关系限制", "platform_relationship"),
-    ("RELATIONSHIP", "单位负责人|控股|管理关系|利害关系|关联关系|投资参股", "关联关系限制", "ownership_relationship"),
-    ("PERSONNEL", "项目经理|项目负责人|技术负责人|设计负责人|施工负责人|总监理工程师|建造师|拟派人员|社保", None, "personnel:"),
-    ("PROFESSIONAL_QUALIFICATION", "施工总承包|专业承包|设计资质|勘察资质|监理资质|工程咨询|工程设计|工程勘察|资质证书|资质等级|相应资质", "企业专业资质", "qualification:"),
-    ("BASIC", "营业执照", "基本资格要求", "business_license"),
-    ("BASIC", "缴纳税收|社会保障资金", "基本资格要求", "tax_social_security"),
-    ("BASIC", "履行合同所必需", "基本资格要求", "contract_capacity"),
-    ("BASIC", "实施能力|施工能力|承担能力", "基本资格要求", "implementation_capacity"),
-    ("BASIC", "独立法人|法人资格|法律、行政法规规定", "基本资格要求", "legal_person"),
+    ("FINANCIAL", "投融资能力|资金筹措|净资产不低于|融资能力", "投融资能力要求", [("", "financing_capacity")]),
+    ("FINANCIAL", "财务会计制度|财务|审计报告|资产负债|流动比率|破产|亏损", "财务要求", [("", "financial")]),
+    ("BASIC", "依法设立|依法注册|独立承担民事责任", "基本资格要求", [("", "legal_person")]),
+    ("CONSORTIUM", "联合体", "联合体要求", [("", "consortium")]),
+    ("REGIONAL_ACCESS", "省外|外省|入晋|入省|跨省|外地企业", "省外企业平台准入", [("截图|登记|备案", "regional_registration"), ("", "regional_platform")]),
+    ("AUTHORIZATION", "授权委托|法定代表人身份证|被授权人身份证", "授权委托及身份证明", [("", "authorization")]),
+    ("BANK_ACCOUNT", "基本账户|基本存款账户|开户许可证", "基本账户证明", [("", "bank_account")]),
+    ("LICENCE", "许可证", None, [("", "licence:")]),
+    (
+        "CREDIT",
+        "信用中国|失信被执行人|严重违法失信|信用信息公示|行贿犯罪|黑名单|信用评价|不良行为记录|商业信誉|被责令停业|吊销执照|不良信用记录|不良状况|重大违法记录|取消.+投标资格",
+        "信用及失信限制", [("行贿", "credit_bribery"), ("", "credit_platform")],
+    ),
+    ("PERFORMANCE", "业绩|类似项目|合同额|累计完成", "业绩要求", [("", "performance:")]),
+    (
+        "RELATIONSHIP", "单位负责人|控股|管理关系|利害关系|关联关系|投资参股|运营机构.+?投标", "关联关系限制",
+        [("平台|运营机构", "platform_relationship"), ("", "ownership_relationship")],
+    ),
+    ("PERSONNEL", "项目经理|项目负责人|技术负责人|设计负责人|施工负责人|总监理工程师|建造师|拟派人员|社保", None, [("", "personnel:")]),
+    ("PROFESSIONAL_QUALIFICATION", f"{QUALIFICATION}|资质证书|资质等级|相应资质", "企业专业资质", [("", "qualification:")]),
+    (
+        "BASIC",
+        "独立法人|法人资格|营业执照|依法设立|依法注册|实施能力|施工能力|承担能力|独立承担民事责任|履行合同所必需|依法缴纳税收|社会保障资金|法律、行政法规规定",
+        "基本资格要求",
+        [
+            ("营业执照", "business_license"), ("独立承担民事责任", "civil_liability"), ("缴纳税收|社会保障资金", "tax_social_security"),
+            ("履行合同所必需", "contract_capacity"), ("能力", "implementation_capacity"), ("", "legal_person"),
+        ],
+    ),
 ]
-# Captures that complete an identity.
+# Captures that complete an identity, and names that depend on it.
 CAPTURES = {
     "licence:": "([\u4e00-\u9fff]{0,12}许可证)", "performance:": "(企业|投标人|项目经理|项目负责人|设计负责人|总监)",
     "personnel:": "(项目经理|项目负责人|技术负责人|设计负责人|施工负责人|总监理工程师|建造师)",
-    "qualification:": "([\u4e00-\u9fff]{2,30}(?:施工总承包|专业承包|设计资质|勘察资质|监理资质|工程咨询|工程设计|工程勘察)[\u4e00-\u9fff甲乙丙壹贰叁一二三级综合行业专项]*资质?)",
+    "qualification:": QUALIFICATION,
 }
+NAMES = {"regional_registration": "省外登记备案"}
 REQUIREMENT_TYPES = [*dict.fromkeys(r[0] for r in REQUIREMENTS), "OTHER"]
 
 
@@ -118,16 +138,21 @@ def normalized_requirement(c: Column) -> Column:
 
 
 def classify_requirement(text: Column) -> Column:
-    """Struct of type, name and identity; where nothing is captured a hash of the normalised text identifies."""
+    """Struct of type, name and identity, by the first pattern found; where nothing is captured a hash of the normalised text identifies."""
     c = F.coalesce(text, F.lit(""))
-    short = F.left(F.sha2(normalized_requirement(c), 256), F.lit(12))
-    out = F.struct(F.lit("OTHER").alias("type"), F.lit("其他资格要求").alias("name"), F.concat(F.lit("other:"), short).alias("identity"))
-    for kind, pattern, name, identity in reversed(REQUIREMENTS):
-        if identity in CAPTURES:
-            got = F.nullif(F.regexp_extract(c, CAPTURES[identity], 1), F.lit(""))
-            tail = F.coalesce(normalized_requirement(got), F.lit("bidder") if identity == "performance:" else short)
-            label, key = F.lit(name) if name else F.coalesce(got, F.lit("人员要求")), F.concat(F.lit(identity), tail)
-        else:
-            label, key = F.lit(name), F.lit(identity)
-        out = F.when(c.rlike(pattern), F.struct(F.lit(kind).alias("type"), label.alias("name"), key.alias("identity"))).otherwise(out)
+    digest = lambda n: F.left(F.sha2(normalized_requirement(c), 256), F.lit(n))
+    answer = lambda kind, name, identity: F.struct(F.lit(kind).alias("type"), name.alias("name"), identity.alias("identity"))
+    out = answer("OTHER", F.lit("其他资格要求"), F.concat(F.lit("other:"), digest(12)))
+    for kind, pattern, name, identities in reversed(REQUIREMENTS):
+        own = None
+        for words, identity in reversed(identities):
+            if identity in CAPTURES:
+                got = F.nullif(F.regexp_extract(c, CAPTURES[identity], 1), F.lit(""))
+                tail = normalized_requirement(got) if identity == "qualification:" else got
+                key = F.concat(F.lit(identity), F.coalesce(tail, F.lit("bidder") if identity == "performance:" else digest(10)))
+                one = answer(kind, F.lit(name) if name else F.coalesce(got, F.lit("人员要求")), key)
+            else:
+                one = answer(kind, F.lit(NAMES.get(identity, name)), F.lit(identity))
+            own = one if own is None else F.when(c.rlike(words), one).otherwise(own)
+        out = F.when(c.rlike(pattern), own).otherwise(out)
     return out

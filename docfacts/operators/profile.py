@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docfacts.functions.text import normalize_company_name
 from docfacts.functions.values import within_last_years
 from docfacts.operators.joins import contains_any
+from docfacts.operators.package import DIMENSION_FIELDS
 
 AWARDED = ["AWARDED", "CONTRACTED", "ONGOING", "COMPLETED", "ACCEPTED"]
 CLOSED_RISKS = ["RESOLVED", "CLOSED", "NOT_FOUND", "NONE", "CLEAR", "NO_RECORD"]
@@ -18,9 +19,9 @@ def amount(contract: Column, bid: Column) -> Column:
 
 
 def amount_stats(df: DataFrame, keys: list[str], contract: str, bid: str, awarded: Column) -> DataFrame:
-    """Average (two places), least and greatest amount of what was awarded."""
+    """Average (two places, halves to even, from the exact sum), least and greatest amount of what was awarded."""
     a = F.when(awarded, amount(F.col(contract), F.col(bid)))
-    return df.groupBy(*keys).agg(F.bround(F.avg(a), 2).cast("decimal(20,2)").alias("average_amount"), F.min(a).alias("min_amount"), F.max(a).alias("max_amount"))
+    return df.groupBy(*keys).agg(F.bround(F.sum(a) / F.count(a).cast("decimal(10,0)"), 2).cast("decimal(20,2)").alias("average_amount"), F.min(a).alias("min_amount"), F.max(a).alias("max_amount"))
 
 
 def recent_award_count(df: DataFrame, keys: list[str], day: str, as_of: Column, years: int = 3) -> DataFrame:
@@ -96,20 +97,38 @@ def capability_evidence(parts: list[DataFrame], evidence: DataFrame) -> DataFram
     )
 
 
-# Capability dimensions with the fragments of conflict paths that touch them.
-DIMENSIONS = {
-    "QUALIFICATION": ["qualif", "cert"], "PERSONNEL": ["person", "employ"], "FINANCIAL": ["financ", "capital", "asset"], "PERFORMANCE": ["perform", "contract"],
-    "TECHNICAL": ["solution", "technical", "intellectual"], "DELIVERY": ["delivery", "plan"], "COMPLIANCE": ["risk", "credit", "litigation"], "PRODUCT": ["product"],
+# Fragments of conflict paths (lower-case, without underscores) that touch a dimension.
+CONFLICT_HINTS = {
+    "industry_capability": ["industry", "projecttype"],
+    "technical_capability": ["cert", "qualification", "property", "capability", "solution"],
+    "similar_performance_capability": ["project", "performance", "contract", "scope", "customer"],
+    "regional_delivery_capability": ["province", "city", "location", "region"],
+    "amount_experience_capability": ["amount", "awarddate", "signdate", "iswinner"],
+    "personnel_resource_capability": ["person", "profession", "roleinbid", "certificate"],
+    "buyer_relationship_capability": ["customer", "owner", "buyer", "relatedcompany", "relationtype"],
+    "tender_performance_capability": ["tender", "ranking", "iswinner", "bidamount", "awarddate"],
 }
 
 
+def relevant_conflicts(conflicts: DataFrame) -> DataFrame:
+    """The dimensions (owner, dimension) that a conflict (owner, field_path) touches."""
+    path = F.lower(F.replace(F.coalesce("field_path", F.lit("")), F.lit("_"), F.lit("")))
+    touched = F.array_compact(F.array(*[F.when(contains_any(path, hints), F.lit(d)) for d, hints in CONFLICT_HINTS.items()]))
+    return conflicts.select("owner", F.explode(touched).alias("dimension")).distinct()
+
+
 def capability_assessments(claims: DataFrame, conflicts: DataFrame, owners: DataFrame) -> DataFrame:
-    """All eight dimensions per owner: CONFLICTED, SUPPORTED or INSUFFICIENT_DATA. claims: (owner, dimension, claim, refs)."""
-    spark = claims.sparkSession
-    wanted = owners.crossJoin(F.broadcast(spark.createDataFrame([(d,) for d in DIMENSIONS], "dimension string")))
-    have = claims.groupBy("owner", "dimension").agg(F.array_sort(F.collect_set("claim")).alias("claims"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("refs")))).alias("refs"))
-    touched = F.array_compact(F.array(*[F.when(contains_any(F.col("field_path"), hints), F.lit(d)) for d, hints in DIMENSIONS.items()]))
-    clash = conflicts.select("owner", F.explode(touched).alias("dimension")).distinct().withColumn("conflicted", F.lit(True))
+    """All eight dimensions per owner. claims: (owner, dimension, claim, refs).
+
+    SUPPORTED with a claim and evidence; CONFLICTED with a claim that a conflict touches; else INSUFFICIENT_DATA.
+    """
+    each = F.explode(F.array(*[F.lit(d) for d in DIMENSION_FIELDS])).alias("dimension")
+    wanted = owners.select("owner").distinct().select("owner", each)
+    have = claims.groupBy("owner", "dimension").agg(
+        F.array_sort(F.array_compact(F.collect_set("claim"))).alias("claims"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("refs")))).alias("refs")
+    )
+    clash = relevant_conflicts(conflicts).withColumn("conflicted", F.lit(True))
     out = wanted.join(have, ["owner", "dimension"], "left").join(clash, ["owner", "dimension"], "left")
-    status = F.when(F.col("conflicted"), "CONFLICTED").when(F.size("refs") > 0, "SUPPORTED").otherwise("INSUFFICIENT_DATA")
+    claimed = F.coalesce(F.size("claims"), F.lit(0)) > 0
+    status = F.when(claimed & F.col("conflicted"), "CONFLICTED").when(claimed & (F.size("refs") > 0), "SUPPORTED").otherwise("INSUFFICIENT_DATA")
     return out.withColumn("status", status).drop("conflicted")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docfacts.functions.text import redact_sensitive, strip
+
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -94,33 +96,63 @@ def fixed_batches(df: DataFrame, key: list[str], order: list[str], n: int) -> Da
     return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*key).orderBy(*order)) - 1) / n))
 
 
-def page_quality_status(results: DataFrame, documents: DataFrame) -> DataFrame:
+def page_quality_status(results: DataFrame, documents: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """Status of every expected page with all passes side by side.
 
-    results: (doc_id, physical_page, pass, text, confidence, error); documents: (doc_id, total_pages).
+    results: (doc_id, physical_page, pass, text, confidence, error) and, where known, source, needs_ocr and hosted_recommended;
+    documents: (doc_id, total_pages); asked: pages (doc_id, physical_page) for which text recognition was asked.
+
+    A page whose native pass says that it needs recognition, or for which it
+    was asked, and whose recognition gave no text, is OCR_FAILED if it was
+    tried and OCR_REQUIRED if not; then an empty text is EMPTY, one that the
+    chosen pass calls doubtful LOW_CONFIDENCE. The chosen pass is the last one
+    with a text. Without these columns an empty native text needs recognition,
+    and a confidence below 0.8 is doubtful.
     """
     passes = ["native", "initial", "retry"]
-    wide = results.groupBy("doc_id", "physical_page").pivot("pass", passes).agg(F.first("text").alias("text"), F.first("confidence").alias("confidence"), F.first("error").alias("error"))
+    blank = strip(F.coalesce("text", F.lit(""))) == ""
+    defaults = {
+        "source": F.when(F.col("pass") == "native", "native").otherwise("ocr"), "needs_ocr": blank & (F.col("pass") == "native"),
+        "hosted_recommended": F.coalesce(F.col("confidence") < 0.8, F.lit(False)),
+    }
+    for name, value in defaults.items():
+        results = results.withColumn(name, F.coalesce(name, value) if name in results.columns else value)
+    columns = ["text", "confidence", "error", "source", "needs_ocr", "hosted_recommended"]
+    wide = results.groupBy("doc_id", "physical_page").pivot("pass", passes).agg(*[F.first(c).alias(c) for c in columns])
     pages = documents.filter("total_pages > 0").select("doc_id", F.explode(F.sequence(F.lit(1), "total_pages")).alias("physical_page"))
-    text = F.coalesce(*[F.nullif(F.trim(F.col(f"{p}_text")), F.lit("")) for p in ("retry", "initial", "native")])
-    confidence = F.greatest(F.col("retry_confidence"), F.col("initial_confidence"))
-    seen = F.coalesce(*[F.col(f"{p}_{c}").cast("string") for p in passes for c in ("text", "error")])
-    ocr = F.coalesce(F.col("initial_text"), F.col("retry_text"))
+    joined = pages.join(wide, ["doc_id", "physical_page"], "left")
+    if asked is None:
+        joined = joined.withColumn("asked", F.lit(False))
+    else:
+        joined = joined.join(asked.distinct().withColumn("asked", F.lit(True)), ["doc_id", "physical_page"], "left")
+    has = lambda p: strip(F.coalesce(f"{p}_text", F.lit(""))) != ""
+    chosen = F.when(has("retry"), "retry").when(has("initial"), "initial").when(F.col("native_source").isNotNull(), "native")
+    chosen = F.coalesce(chosen, F.when(F.col("retry_source").isNotNull(), "retry").when(F.col("initial_source").isNotNull(), "initial"))
+    completed = (has("initial") & F.col("initial_source").isin("ocr", "fused")) | (has("retry") & F.col("retry_source").isin("ocr", "fused"))
+    attempted = F.col("initial_source").isNotNull() | F.col("retry_source").isNotNull()
+    needs = F.coalesce("asked", F.lit(False)) | F.coalesce("native_needs_ocr", F.lit(False)) | attempted
+    of = lambda c: F.coalesce(*[F.when(F.col("chosen") == p, F.col(f"{p}_{c}")) for p in passes])
+    joined = joined.withColumn("chosen", chosen).withColumn("needs_ocr", needs).withColumn("ocr_attempted", attempted).withColumn("ocr_completed", F.coalesce(completed, F.lit(False)))
     status = (
-        F.when(seen.isNull(), "MISSING_RESULT").when(text.isNull() & F.coalesce("retry_error", "initial_error").isNotNull(), "OCR_FAILED")
-        .when(text.isNull() & ocr.isNull(), "OCR_REQUIRED").when(text.isNull(), "EMPTY").when(confidence < 0.8, "LOW_CONFIDENCE").otherwise("AVAILABLE")
+        F.when(F.col("chosen").isNull(), "MISSING_RESULT")
+        .when(F.col("needs_ocr") & ~F.col("ocr_completed"), F.when(F.col("ocr_attempted"), "OCR_FAILED").otherwise("OCR_REQUIRED"))
+        .when(strip(F.coalesce(of("text"), F.lit(""))) == "", "EMPTY").when(of("hosted_recommended"), "LOW_CONFIDENCE").otherwise("AVAILABLE")
     )
-    return pages.join(wide, ["doc_id", "physical_page"], "left").withColumn("status", status)
+    return joined.withColumn("status", status)
 
 
 def select_ambiguous_pages(pages: DataFrame) -> DataFrame:
-    """Pages to be refined, with a redacted preview (900 first, 200 last characters) and both neighbours."""
-    from docfacts.functions.text import redact_sensitive
-
-    short = F.length("text") <= 1100
-    preview = F.when(short, F.col("text")).otherwise(F.concat(F.left("text", F.lit(900)), F.lit("\n…\n"), F.right("text", F.lit(200))))
+    """Pages to be refined, with a redacted preview (900 first, and of longer texts 200 last characters) and both neighbours' types and redacted beginnings."""
+    head = F.left("text", F.lit(900))
+    preview = F.when(F.length("text") <= 1100, head).otherwise(F.concat(head, F.lit("\n...[页面中部省略]...\n"), F.right("text", F.lit(200))))
+    w = W.partitionBy("doc_id").orderBy("physical_page")
     near = neighbours(pages, ["doc_id"], "physical_page", "text", 240)
-    return near.filter("classification_confidence <> 'HIGH' AND document_type <> 'INVOICE' AND trim(text) <> ''").withColumn("preview", redact_sensitive(preview)[0])
+    for side in ("previous", "next"):
+        at = (F.lag if side == "previous" else F.lead)("document_type").over(w)
+        near = near.withColumn(f"{side}_type", F.when(strip(F.col(f"{side}_text")) != "", at))
+        near = near.withColumn(f"{side}_text", F.when(strip(F.col(f"{side}_text")) != "", redact_sensitive(F.col(f"{side}_text"))[0]))
+    asked = (F.col("classification_confidence") != "HIGH") & (F.col("document_type") != "INVOICE") & (strip(F.col("text")) != "")
+    return near.filter(asked).withColumn("preview", redact_sensitive(preview)[0])
 
 
 def most_common(df: DataFrame, keys: list[str], name: str, ordinal: str) -> DataFrame:

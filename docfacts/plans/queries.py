@@ -31,11 +31,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @query(r"""
 WITH c AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', E'\n\n', 'g'), E' \t\n\r') AS x,
   trim(regexp_replace(text, '\s+', ' ', 'g')) AS y, regexp_replace(text, '\s+', '', 'g') AS z FROM documents)
-SELECT doc_id, md5(left(nullif(x, ''), 12000)) AS cleaned, md5(nullif(y, '')) AS inline, coalesce(length(z), 0)::INT AS solid_chars FROM c""")
+SELECT doc_id, md5(nullif(x, '')) AS cleaned, md5(nullif(y, '')) AS inline, coalesce(length(z), 0)::INT AS solid_chars FROM c""")
 def text_normalize(spark, sf_dir):
     """F1, F3, F5."""
     d, c = read(spark, sf_dir, "documents"), F.col("text")
-    return d.select("doc_id", F.md5(T.clean_text(c)).alias("cleaned"), F.md5(T.clean_inline_text(c)).alias("inline"), F.length(T.compact(c)).alias("solid_chars"))
+    return d.select("doc_id", F.md5(T.clean_text(c, None)).alias("cleaned"), F.md5(T.clean_inline_text(c)).alias("inline"), F.length(T.compact(c)).alias("solid_chars"))
 
 
 @query("""
@@ -52,7 +52,7 @@ TEXT_RULES = [
     ("TABULAR", [r" \| ", r"\|$"]), ("SHOUTED", ["!! [A-Z]", "[A-Z]{4,}!!"]), ("MARKED", [r"[$]{3}", "[#]{3}", "[%]{3}"]),
     ("LICENSED", ["licen[sc]e", "copyright"]), ("CONTACT", ["[a-z0-9]+@[a-z0-9.]+", "https?://"]), ("PROSE", [" the ", " der ", " les ", " los "]),
 ]
-_SCORES = ", ".join(f"({' + '.join(f'''regexp_matches(left(text, 12000), '(?i){p}')::INT''' for p in ps)}) AS s{k}" for k, (_, ps) in enumerate(TEXT_RULES))
+_SCORES = ", ".join(f"({' + '.join(f'''regexp_matches(text, '(?i){p}')::INT''' for p in ps)}) AS s{k}" for k, (_, ps) in enumerate(TEXT_RULES))
 _BEST = f"greatest({', '.join(f's{k}' for k in range(len(TEXT_RULES)))})"
 _PICK = " ".join(f"WHEN s{k} = best THEN '{n}'" for k, (n, _) in enumerate(TEXT_RULES))
 
@@ -62,7 +62,7 @@ WITH s AS (SELECT doc_id, {_SCORES} FROM documents), b AS (SELECT *, {_BEST} AS
 SELECT doc_id, CASE WHEN best = 0 THEN 'OTHER' {_PICK} END AS document_type, CASE WHEN best >= 2 THEN 'HIGH' WHEN best = 1 THEN 'MEDIUM' ELSE 'LOW' END AS classification_confidence, best AS score FROM b""")
 def classify_documents(spark, sf_dir):
     """C1."""
-    return classify.classify_pages(read(spark, sf_dir, "documents").select("doc_id", "text"), rules=TEXT_RULES).drop("text")
+    return classify.classify_pages(read(spark, sf_dir, "documents").select("doc_id", "text"), rules=TEXT_RULES, preview=None).drop("text")
 
 
 @query(f"""
@@ -70,7 +70,7 @@ WITH s AS (SELECT source, {_SCORES} FROM documents), b AS (SELECT *, {_BEST} AS
 SELECT source, CASE WHEN best = 0 THEN 'OTHER' {_PICK} END AS document_type, count(*) AS n FROM b GROUP BY 1, 2""")
 def count_document_types(spark, sf_dir):
     """C1, A15."""
-    return classify.classify_pages(read(spark, sf_dir, "documents").select("source", "text"), rules=TEXT_RULES).groupBy("source", "document_type").agg(F.count(F.lit(1)).alias("n"))
+    return classify.classify_pages(read(spark, sf_dir, "documents").select("source", "text"), rules=TEXT_RULES, preview=None).groupBy("source", "document_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(r"""
@@ -215,13 +215,14 @@ def weighted_distribution(spark, sf_dir):
 
 
 @query("""
-SELECT c_mktsegment, round(avg(o_totalprice), 1) AS average_amount, min(o_totalprice) AS min_amount, max(o_totalprice) AS max_amount
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1""")
+WITH s AS (SELECT c_mktsegment, sum(CAST(CAST(o_totalprice AS DECIMAL(20,2)) * 100 AS HUGEINT)) AS total, count(*)::HUGEINT AS n, min(o_totalprice) AS min_amount, max(o_totalprice) AS max_amount
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT c_mktsegment, (total // n + CASE WHEN 2 * (total % n) > n OR (2 * (total % n) = n AND (total // n) % 2 = 1) THEN 1 ELSE 0 END)::DOUBLE / 100 AS average_amount, min_amount, max_amount FROM s""")
 def amount_stats(spark, sf_dir):
     """A9."""
     o = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn("none", F.lit(None).cast("decimal(20,2)")).withColumn("bid", F.col("o_totalprice").cast("decimal(20,2)"))
     s = profile.amount_stats(o.filter("o_orderstatus = 'F'"), ["c_mktsegment"], "none", "bid", F.col("o_orderstatus") == "F")
-    return s.select("c_mktsegment", F.round(F.col("average_amount").cast("double"), 1).alias("average_amount"), F.col("min_amount").cast("double").alias("min_amount"), F.col("max_amount").cast("double").alias("max_amount"))
+    return s.select("c_mktsegment", F.col("average_amount").cast("double").alias("average_amount"), F.col("min_amount").cast("double").alias("min_amount"), F.col("max_amount").cast("double").alias("max_amount"))
 
 
 @query(f"""

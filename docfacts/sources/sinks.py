@@ -5,15 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docfacts.functions.text import safe_error_message
+from docfacts.operators.merge import written
+
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of new replace those of old with the same key."""
     return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def write_records_by_type(records: DataFrame, path: str) -> None:
-    """K1: one folder per document type; a source whose type changed leaves its old folder because the whole upserted table is written."""
-    records.write.mode("overwrite").partitionBy("document_type").parquet(path)
+def touched_types(old: DataFrame, new: DataFrame) -> DataFrame:
+    """K1: document types that an upsert of new rows (source, document_type) changes: their own, and those their sources leave."""
+    left = old.join(new.select("source"), "source", "left_semi").select("document_type")
+    return left.union(new.select("document_type")).distinct()
+
+
+def write_records_by_type(new: DataFrame, path: str) -> None:
+    """K1: upsert by source into one folder per document type; only folders with a change are written, from a copy in the shared folder.
+
+    A type whose last source left is an empty folder: its files are removed.
+    """
+    spark = new.sparkSession
+    new = written(new, "new_records")
+    if not exists(spark, path):
+        new.write.partitionBy("document_type").parquet(path)
+        return
+    old = spark.read.parquet(path)
+    types = written(touched_types(old, new), "touched_types")
+    rows = written(upsert(old.join(types, "document_type", "left_semi"), new, ["source"]), "records")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document_type").parquet(path)
+    for r in types.join(rows.select("document_type").distinct(), "document_type", "left_anti").collect():  # types are a fixed list
+        remove(spark, f"{path}/document_type={r['document_type']}")
 
 
 def type_summaries(records: DataFrame) -> DataFrame:
@@ -21,11 +43,11 @@ def type_summaries(records: DataFrame) -> DataFrame:
     return records.groupBy("document_type").agg(F.count(F.lit(1)).alias("record_count"), F.count_if("review_required").alias("review_required_count"), F.array_sort(F.collect_list("source")).alias("sources"))
 
 
-def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """K3: (valid, errors)."""
-    from docfacts.functions.text import safe_error_message
-
-    return df.filter("error IS NULL").drop("error"), df.filter("error IS NOT NULL").select("source", "error_type", safe_error_message(F.col("error"), [], []).alias("message"), F.current_timestamp().alias("at"))
+def split_errors(df: DataFrame, roots: list[str], secrets: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """K3: (valid, errors); messages are free of these local folders and secrets, and redacted."""
+    message = safe_error_message(F.col("error"), roots, list(secrets))
+    errors = df.filter("error IS NOT NULL").select("source", "error_type", message.alias("message"), F.current_timestamp().alias("at"))
+    return df.filter("error IS NULL").drop("error"), errors
 
 
 def write_page_content(pages: DataFrame, path: str) -> None:
@@ -50,6 +72,11 @@ def append_batch_receipt(receipt: DataFrame, path: str) -> None:
     receipt.write.mode("append").parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

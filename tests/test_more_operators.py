@@ -98,10 +98,14 @@ def test_profile_values(spark):
 
 
 def test_capability_assessments(spark):
-    claims = spark.createDataFrame([("o", "PERSONNEL", "c", ["e"])], "owner string, dimension string, claim string, refs array<string>")
-    conflicts = spark.createDataFrame([("o", "contract.amountYuan")], "owner string, field_path string")
-    got = {r["dimension"]: r["status"] for r in profile.capability_assessments(claims, conflicts, claims.select("owner")).collect()}
-    assert len(got) == 8 and got["PERSONNEL"] == "SUPPORTED" and got["PERFORMANCE"] == "CONFLICTED" and got["PRODUCT"] == "INSUFFICIENT_DATA"
+    rows = [("o", "personnel_resource_capability", "c", ["e"]), ("o", "amount_experience_capability", "c", ["e"]), ("o", "technical_capability", "c", None), ("p", "industry_capability", None, ["e"])]
+    claims = spark.createDataFrame(rows, "owner string, dimension string, claim string, refs array<string>")
+    conflicts = spark.createDataFrame([("o", "contract.amount_Yuan"), ("o", "tender.ranking"), ("p", "person.name")], "owner string, field_path string")
+    got = {(r["owner"], r["dimension"]): r["status"] for r in profile.capability_assessments(claims, conflicts, claims.select("owner")).collect()}
+    assert len(got) == 16 and {d for _, d in got} == set(package.DIMENSION_FIELDS)
+    assert got["o", "personnel_resource_capability"] == "SUPPORTED" and got["o", "amount_experience_capability"] == "CONFLICTED"
+    # a conflict without a claim, a claim without evidence and evidence without a claim are no support
+    assert {s for k, s in got.items() if k not in {("o", "personnel_resource_capability"), ("o", "amount_experience_capability")}} == {"INSUFFICIENT_DATA"}
 
 
 def test_readers(spark, tmp_path):
