@@ -40,7 +40,7 @@ BLOCK = 1500
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
 #: Documents whose shingles are counted to order them, and how many count as common.
-SOME, COMMON = 20_000, 500_000
+SOME, COMMON = 30_000, 1_000_000
 #: Bits of a set's parities.
 PARITY = 512
 
@@ -316,7 +316,7 @@ def common_shingles(docs: DataFrame, words: int, documents: int) -> np.ndarray:
     ddl = "shingle array<long>"
     each = _of_sets(some, words, ddl, lambda _d, _k, _n, own: (own.view(np.int64),)).select(F.explode("shingle").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).orderBy(F.desc("n"), "s").limit(COMMON)
-    return np.array([r["s"] for r in often.collect()][::-1], dtype=np.int64).view(np.uint64)
+    return often.select("s").toArrow().column("s").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def prefix(own: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
@@ -329,11 +329,11 @@ def prefix(own: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
     return own[np.argsort(rank, kind="stable")[:n]]
 
 
-LISTS = "k long, node long, size int, at int"
+LISTS = "k long, node long, size int, at int, other long"
 
 
 def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray) -> DataFrame:
-    """The inverted index over prefixes without lists of one node: (k, node, size, position).
+    """The inverted index over prefixes without lists of one node: (k, node, size, position); and, where k is null, the pairs (node, other) of its stars.
 
     Postings travel packed, a row for each batch and bucket of shingles.
     """
@@ -386,22 +386,27 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
         same = np.r_[(k[1:] == k[:-1]), False]
         shared = same | np.r_[False, same[:-1]]
         own = by[shared]
-        columns = (k[shared].view(np.int64), node[own], size[own].astype(np.int32), at[own].astype(np.int32))
-        out = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
+        columns = [k[shared].view(np.int64), node[own], size[own].astype(np.int32), at[own].astype(np.int32)]
+        none = pa.nulls(len(own), pa.int64())
+        out = pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), none], schema=schema)
         for cut in range(0, out.num_rows, 50_000):
             yield out.slice(cut, 50_000)
+        if len(own):
+            a, b = Lists(*columns, None, columns[1], least).stars()
+            nothing = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([nothing[0], pa.array(a), *nothing[1:], pa.array(b)], schema=schema)
 
     packed = texts(docs, "doc_id", "text").mapInArrow(post, ddl)
     return packed.repartition(partitions(spark), "bucket").mapInArrow(gather, LISTS)
 
 
 class Lists:
-    """Some whole lists, list by list in ascending size of the nodes: arrays k, node, size, at, parity (rows of words) and root."""
+    """Some whole lists, list by list in ascending size of the nodes: arrays k, node, size, at, parity (rows of words, or None) and root."""
 
     def __init__(self, k, node, size, at, parities, root, least: float):
         by = np.lexsort((node, size, k))
         self.k, self.node, self.size, self.at = k[by], node[by], size[by].astype(np.int64), at[by].astype(np.int64)
-        self.parity, self.root, self.least = parities[by], root[by], least
+        self.parity, self.root, self.least = None if parities is None else parities[by], root[by], least
         self.starts = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
         self.sizes = np.diff(np.r_[self.starts, len(k)])
         self.list = np.repeat(np.arange(len(self.starts)), self.sizes)
@@ -414,6 +419,8 @@ class Lists:
         need = np.ceil(self.least / (1 + self.least) * (a + b) - 1e-9)
         ok = (self.root[i] != self.root[j]) & (np.minimum(a, b) >= self.least * np.maximum(a, b) - 1e-9)
         ok &= np.minimum(a - self.at[i], b - self.at[j]) >= need
+        if self.parity is None:
+            return ok
         left = np.flatnonzero(ok)
         for some in np.array_split(left, len(left) // 200_000 + 1):
             differ = np.bitwise_count(self.parity[i[some]] ^ self.parity[j[some]]).sum(1, dtype=np.int64)
@@ -470,24 +477,21 @@ class Lists:
         return self.pairs()
 
 
-def candidates(lists: DataFrame, nodes: DataFrame, least: float, roots: DataFrame | None = None) -> DataFrame:
-    """(a, b): pairs of nodes that may have the similarity. Without roots a few of each node, else all pairs of different roots."""
-    ddl, star = "a long, b long", roots is None
-    names = ["k", "node", "size", "at", "parity"] + ["root"] * (not star)
+def open_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """(a, b): all pairs of nodes of different roots that may have the similarity."""
+    ddl, names = "a long, b long", ["k", "node", "size", "at", "parity", "root"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, rest = arrow_schema(ddl), None
 
-        def found(k, node, size, at, bits, root) -> pa.RecordBatch:
-            own = Lists(k, node, size, at, bits, root, least)
-            return to_batch(list(own.stars() if star else own.open()), schema)
+        def found(*columns) -> pa.RecordBatch:
+            return to_batch(list(Lists(*columns, least).open()), schema)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            got = [batch.column(c).to_numpy() for c in names[:4]]
             bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
-            got += [bits, got[1] if star else batch.column("root").to_numpy()]
+            got = [batch.column(c).to_numpy() if c != "parity" else bits for c in names]
             got = got if rest is None else [np.concatenate(x) for x in zip(rest, got, strict=True)]
             tail = int(np.searchsorted(got[0], got[0][-1]))
             rest = [x[tail:] for x in got]
@@ -496,9 +500,8 @@ def candidates(lists: DataFrame, nodes: DataFrame, least: float, roots: DataFram
         if rest is not None:
             yield found(*rest)
 
-    if roots is not None:
-        nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    joined = lists.join(nodes.select("node", "parity", *names[5:]), "node").select(*names)
+    rooted = nodes.select("node", "parity").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    joined = lists.join(rooted, "node").select(*names)
     batch_rows(lists.sparkSession, 50_000)
     return joined.repartition(partitions(lists.sparkSession), "k").sortWithinPartitions("k").mapInArrow(run, ddl)
 
@@ -542,8 +545,9 @@ def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFram
     copies = marked.select("node", each.alias("own")).join(nodes.select("node", "first"), "node").filter("own <> first")
     firsts = without_rows(docs, copies.select("own.*"))
     lists = materialize(shared_lists(firsts, words, least, common_shingles(docs, words, marked.count())), "lists")
-    some = similar(candidates(lists, nodes, least), nodes, docs, words, least)
-    rest = similar(candidates(lists, nodes, least, components(some)), nodes, docs, words, least)
+    stars, lines = lists.filter("k IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), lists.filter("k IS NOT NULL")
+    some = similar(stars, nodes, docs, words, least)
+    rest = similar(open_pairs(lines, nodes, components(some), least), nodes, docs, words, least)
     roots = components(some.union(rest))
     joined = materialize(nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
     named = materialize(joined.join(joined.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", F.col("least").alias("first")), "named")
