@@ -1,7 +1,7 @@
 """All registered queries of the library with their oracle SQL."""
 
-from docfacts.plans import jobs, queries
+from docfacts.plans import columns, jobs, queries, tables
 
-assert jobs  # its queries register themselves
+assert columns and jobs and tables  # their queries register themselves
 QUERIES: dict = dict(queries.QUERIES)
 ORACLES: dict[str, str] = dict(queries.ORACLES)

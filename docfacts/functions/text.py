@@ -211,7 +211,7 @@ def text_readability(c: Column) -> dict[str, Column]:
 
 def split_numbered_clauses(c: Column) -> Column:
     """cut before numbering and after sentence ends, trim edge marks, drop pieces under four characters."""
-    cut = F.regexp_replace(c, r"(?=(?:（[一二三四五六七八九十0-9]{1,3}）|\([0-9]{1,2}\)|[0-9]{1,2}[、.．)](?![0-9])))|(?<=[；;。])", "\u0001")
+    cut = F.regexp_replace(c, r"(?=(?:（[一二三四五六七八九十0-9]{1,3}）|\([0-9]{1,2}\)|[0-9]{1,2}[、.．](?![0-9])))|(?<=[；;。])", "\u0001")
     pieces = F.transform(F.split(cut, "\u0001"), lambda x: F.regexp_replace(x, r"(?U)^[\s；;，,。、.]+|[\s；;，,。、]+$", ""))
     return F.filter(pieces, lambda x: F.length(x) >= 4)
 

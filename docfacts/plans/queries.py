@@ -42,7 +42,7 @@ def text_normalize(spark, sf_dir):
 SELECT lang, source, count(*) AS documents, count(*) FILTER (regexp_matches(text, '(^|[^0-9])[0-9]{16,19}($|[^0-9])')) AS with_account,
   count(*) FILTER (regexp_matches(text, '(^|[^0-9])1[3-9][0-9]{9}($|[^0-9])')) AS with_phone FROM documents GROUP BY lang, source""")
 def redact_findings(spark, sf_dir):
-    """F12, A16."""
+    """F12."""
     _, found = T.redact_sensitive(F.col("text"))
     d = read(spark, sf_dir, "documents").select("lang", "source", (found["BANK_ACCOUNT_CANDIDATE"] + found["PERSONAL_ID"] > 0).alias("a"), (found["PHONE"] > 0).alias("p"))
     return d.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents"), F.count_if("a").alias("with_account"), F.count_if("p").alias("with_phone"))
@@ -69,7 +69,7 @@ def classify_documents(spark, sf_dir):
 WITH s AS (SELECT source, {_SCORES} FROM documents), b AS (SELECT *, {_BEST} AS best FROM s)
 SELECT source, CASE WHEN best = 0 THEN 'OTHER' {_PICK} END AS document_type, count(*) AS n FROM b GROUP BY 1, 2""")
 def count_document_types(spark, sf_dir):
-    """C1, A15."""
+    """C1 with a count; `plan_counts` runs A15."""
     return classify.classify_pages(read(spark, sf_dir, "documents").select("source", "text"), rules=TEXT_RULES, preview=None).groupBy("source", "document_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -87,7 +87,7 @@ def readability(spark, sf_dir):
 SELECT conv_id, turn, CASE WHEN lag(turn) OVER w = turn - 1 THEN md5(left(lag(text) OVER w, 240)) END AS previous_md5,
   CASE WHEN lead(turn) OVER w = turn + 1 THEN md5(left(lead(text) OVER w, 240)) END AS next_md5 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def page_neighbours(spark, sf_dir):
-    """W10, C2."""
+    """W10."""
     n = windows.neighbours(read(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", 240)
     return n.select("conv_id", "turn", F.md5("previous_text").alias("previous_md5"), F.md5("next_text").alias("next_md5"))
 
@@ -183,7 +183,7 @@ def _order_cells(spark, sf_dir):
 
 @query(f"SELECT o_custkey, field, arg_min(value, o_orderkey) AS value FROM {_CELLS} GROUP BY o_custkey, field")
 def merge_values(spark, sf_dir):
-    """A1, A2: the first value of each field."""
+    """A1: the first value of each field."""
     return _order_cells(spark, sf_dir)[0]
 
 
@@ -276,7 +276,7 @@ def relationships(spark, sf_dir):
 SELECT l_suppkey, p_type, l_returnflag AS claim_type, count(DISTINCT l_orderkey) AS n_refs, min(l_shipdate::DATE)::VARCHAR AS first_observed, max(l_shipdate::DATE)::VARCHAR AS last_observed, min(l_linestatus) AS source_strength
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")
 def capability_rollup(spark, sf_dir):
-    """A13, J5."""
+    """Counts, dates and strengths of claims by plain grouping; `capabilities` runs the operator."""
     li, p = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part")
     rows = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
     each = rows.groupBy("l_suppkey", "p_type", F.col("l_returnflag").alias("claim_type"))
@@ -297,7 +297,7 @@ def profile_gaps(spark, sf_dir):
 @query("""
 SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def dangling_refs(spark, sf_dir):
-    """Documents whose label is missing."""
+    """Documents whose label is missing."""
     d = read(spark, sf_dir, "documents").select("doc_id", "source", F.array("doc_id").alias("refs"))
     return joins.dangling_refs(d, ["doc_id", "source"], "refs", read(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source")
 
@@ -350,7 +350,7 @@ def award_decision(spark, sf_dir):
 SELECT o_orderpriority, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS complete, count(*) FILTER (o_orderstatus = 'P') AS partial, count(*) FILTER (o_totalprice <= 0) AS failed,
   CASE WHEN bool_and(o_orderstatus = 'F') THEN 'SUCCESS' WHEN bool_or(o_orderstatus = 'F') THEN 'PARTIAL' ELSE 'FAILED' END AS status FROM orders GROUP BY 1""")
 def quality_metrics(spark, sf_dir):
-    """A22-A24."""
+    """A24 per priority; `document_metrics` runs A22."""
     from docfacts.operators.package import rollup_status
 
     done = F.col("o_orderstatus") == "F"
@@ -389,6 +389,6 @@ def status_summary(spark, sf_dir):
 WITH s AS (SELECT doc_id, unnest(string_split(text, '.')) AS piece FROM documents)
 SELECT doc_id, count(*) AS clauses, sum(length(trim(piece, E' \\n\\t\\r')))::BIGINT AS chars FROM s WHERE length(trim(piece, E' \\n\\t\\r')) >= 4 GROUP BY doc_id""")
 def clauses(spark, sf_dir):
-    """Sentences of at least four characters."""
+    """Sentences of at least four characters; `numbered_clauses` runs the operator."""
     each = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", r"\.")).alias("piece")).withColumn("piece", T.strip(F.col("piece"))).filter(F.length("piece") >= 4)
     return each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("clauses"), F.sum(F.length("piece")).alias("chars"))
