@@ -1,20 +1,26 @@
 """Language-model scores from an Elias-Fano n-gram trie (operator 5).
 
-The model is a bigram model over every word of the training documents with
+The model is a trigram model over every word of the training documents with
 Dirichlet-smoothed probabilities: a seen pair has (c(u,w) + mu P1(w)) /
 (c(u) + mu), an unseen one mu P1(w) / (c(u) + mu); P1 adds one to each count.
-It grows with the corpus, so it is dealt out: level 1 by word, level 2 by
-context (pairs of very frequent contexts by pair). A part of level 2 is a trie
-level in files that are mapped into memory: contexts and pointers to their
-successor ranges as monotone Elias-Fano sequences, successors as one monotone
-sequence of context rank and word number, and one byte a pair for the
-quantised log probability. Queries find the context, then the word by
-successor search inside the context's range.
+Pairs seen LEAST times or more are contexts of level 3, where P2 takes the
+place of P1. The model grows with the corpus, so it is dealt out: level 1 by
+word, levels 2 and 3 by context (very frequent contexts by context and word).
+A part of level 2 or 3 is a trie level in a file that is mapped into memory:
+contexts and pointers to their successor ranges as monotone Elias-Fano
+sequences, successors as one monotone sequence of context rank and word number,
+and one byte an entry for the quantised log probability. Queries find the
+context, then the word by successor search inside the context's range, all on
+the packed form; only the counts of zeros before each 64-bit word are added.
+
+Levels 2 and 3 use the same numbers of words; ids of level 3 are not made
+relative to level 2, whose parts lie on other machines. A pair's count is read
+back from its quantised probability, which is the same in every block.
 
 Texts are cut into blocks of some megabytes of whole documents. A block asks
-each part once for its distinct words, then for its distinct pairs, so a word
-or pair that is everywhere costs one entry a block. The blocks are a bucketed
-table: joining answers to them moves the answers only.
+each part once for its distinct words, pairs and triples, so what is everywhere
+costs one entry a block. The blocks are a bucketed table in the shared folder,
+removed at the end: joining answers to them moves the answers only.
 
 Words are numbered by a 64-bit hash of their bytes; two different words share
 one with a probability of about V^2 / 2^65.
@@ -32,7 +38,7 @@ import mmap
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +46,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, fold, materialize, partitions, read, rows_to_batch, slices, texts, to_batch
+from docfacts.llm.shared import arrow_schema, discard, fold, materialize, partitions, read, rows_to_batch, shared_dir, slices, texts, to_batch
 
-#: Strength of the prior towards P1.
-MU = 100.0
+#: Strength of the prior towards the shorter context, and the count from which a pair is a context of level 3.
+MU, LEAST = 100.0, 4
 #: Text bytes hashed at once, and text bytes of a block.
 SLICE_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
 #: Pairs of a part of level 2, words of a part of level 1.
@@ -137,12 +143,20 @@ def blocks(docs: DataFrame) -> DataFrame:
     return texts(docs, "doc_id", "text", F.coalesce("train", F.lit(False)).alias("train")).mapInArrow(run, BLOCKS)
 
 
-def bucketed(df: DataFrame, key: str) -> DataFrame:
-    """Write df as a table bucketed by key in the warehouse, so that joins on key move the other side only."""
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, Callable[[], None]]:
+    """Write df as a table bucketed by key in the shared folder, so that joins on key move the other side only; and what removes it."""
     spark = df.sparkSession
     name = f"docfacts_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("compression", "zstd").bucketBy(max(1, partitions(spark)), key).saveAsTable(name)
-    return spark.table(name)
+    path = f"{shared_dir(spark)}/{name}/table"
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(max(1, partitions(spark)), key).saveAsTable(name)
+    table = spark.table(name)
+    table._docfacts_path = path
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE {name}")
+        discard(table)
+
+    return table, drop
 
 
 def _array(value, kind) -> np.ndarray:
@@ -264,22 +278,30 @@ def pair_parts(joined: DataFrame, offsets: np.ndarray, start_count: int, total:
     return joined.mapInArrow(run, PAIRS)
 
 
+#: Position of the k-th set bit of a byte, by byte and k.
+_SELECT = np.array([[([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for k in range(8)] for byte in range(256)], dtype=np.int64)
+
+
 class EliasFano:
-    """A monotone sequence of n numbers below `universe`: low bits packed, high bits in unary."""
+    """A monotone sequence of n numbers below `universe`: low bits packed, high bits in unary, and the zeros before each 64-bit word of these.
+
+    Nothing is decoded as a whole: elements and successors are found by select on the packed words.
+    """
 
-    def __init__(self, n: int, universe: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.l, self.low, self.high = n, self.low_bits(n, universe), low, high
-        self.zeros = np.flatnonzero(np.unpackbits(high, bitorder="little") == 0)  # select directory of the unary part
+    def __init__(self, n: int, universe: int, low: np.ndarray, high: np.ndarray, before: np.ndarray):
+        self.n, self.l, self.low, self.words, self.before = n, self.low_bits(n, universe), low, high.view(np.uint64), before
 
     @staticmethod
     def low_bits(n: int, universe: int) -> int:
         return max(0, (universe // max(n, 1)).bit_length() - 1)
 
     @classmethod
-    def encode(cls, values: np.ndarray, universe: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(cls, values: np.ndarray, universe: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(low words, high bytes in whole words, zeros before each of them)."""
         n, l = len(values), cls.low_bits(len(values), universe)
         values = values.astype(np.uint64)
-        bits = np.zeros(n + int(universe >> l) + 2, dtype=np.uint8)
+        size = n + int(universe >> l) + 2
+        bits = np.zeros(size + -size % 64, dtype=np.uint8)
         bits[(values >> np.uint64(l)).astype(np.int64) + np.arange(n)] = 1
         low = np.zeros(n * l // 64 + 2, dtype=np.uint64)
         if l:
@@ -289,7 +311,9 @@ class EliasFano:
             np.bitwise_or.at(low, word, rest << shift)
             over = shift + np.uint64(l) > 64
             np.bitwise_or.at(low, word[over] + 1, rest[over] >> (np.uint64(64) - shift[over]))
-        return low, np.packbits(bits, bitorder="little")
+        high = np.packbits(bits, bitorder="little")
+        zeros = 64 - np.bitwise_count(high.view(np.uint64)).astype(np.int64)
+        return low, high, (np.cumsum(zeros) - zeros).astype(np.uint32)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.l:
@@ -301,13 +325,39 @@ class EliasFano:
         value[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
         return value & np.uint64((1 << self.l) - 1)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first element >= x (successor search): the unary part gives the range of equal high bits, then the low bits are bisected."""
+    @staticmethod
+    def _in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th set bit of each word."""
+        parts = words.view(np.uint8).reshape(-1, 8)
+        sums = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
+        byte = (sums <= k[:, None]).sum(1)
+        row = np.arange(len(words))
+        rest = k - np.where(byte > 0, sums[row, np.maximum(byte - 1, 0)], 0)
+        return 8 * byte + _SELECT[parts[row, byte], rest]
+
+    def _zero(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th zero of the unary part."""
+        word = np.searchsorted(self.before, k, side="right") - 1
+        return 64 * word + self._in_word(~self.words[word], k - self.before[word])
+
+    def _one(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th one: its word is bisected on the ones before each."""
+        lo, hi = np.zeros(len(k), dtype=np.int64), np.full(len(k), len(self.words) - 1)
+        for _ in range(len(self.words).bit_length()):
+            mid = (lo + hi + 1) // 2
+            less = 64 * mid - self.before[mid] <= k
+            lo, hi = np.where(less, mid, lo), np.where(less, hi, mid - 1)
+        return 64 * lo + self._in_word(self.words[lo], k - (64 * lo - self.before[lo]))
+
+    def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of the first element >= x (successor search), between `first` and `last` if given: the unary part gives the range of equal high bits, then the low bits are bisected."""
         x = x.astype(np.uint64)
         h = (x >> np.uint64(self.l)).astype(np.int64)
         want = x & np.uint64((1 << self.l) - 1)
-        lo = np.where(h > 0, self.zeros[np.maximum(h - 1, 0)] - np.maximum(h - 1, 0), 0)
-        hi = self.zeros[h] - h
+        lo = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - np.maximum(h - 1, 0), 0)
+        hi = self._zero(h) - h
+        if first is not None:
+            lo, hi = np.clip(lo, first, last), np.clip(hi, first, last)
         while (active := np.flatnonzero(lo < hi)).size:
             mid = (lo[active] + hi[active]) // 2
             less = self._low(mid) < want[active]
@@ -316,12 +366,11 @@ class EliasFano:
         return lo
 
     def at(self, i: np.ndarray) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        return ((ones[i] - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
+        return ((self._one(i) - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
 
 
 class Level:
-    """One part of level 2 in a mapped file: contexts, pointers, successors, quantised probabilities."""
+    """One part of a level in a mapped file: contexts, pointers, successors, quantised probabilities. Queries read the packed form."""
 
     def __init__(self, keys: np.ndarray, codes: np.ndarray, folder: str):
         contexts, starts = np.unique(keys >> 32, return_index=True)
@@ -334,10 +383,10 @@ class Level:
         ]
         arrays, self.shapes = [], []
         for values, universe in sequences:
-            low, high = EliasFano.encode(values, universe)
-            self.shapes.append((len(values), universe, len(low), len(high)))
-            arrays += [low.view(np.uint8), np.r_[high, np.zeros(-len(high) % 8, np.uint8)]]
-        self.path, self.n = os.path.join(folder, f"level-{uuid.uuid4().hex}"), len(keys)
+            own = EliasFano.encode(values, universe)
+            self.shapes.append((len(values), universe, *map(len, own)))
+            arrays += [*own[:2], np.r_[own[2], np.zeros(len(own[2]) % 2, np.uint32)]]
+        self.path, self.n, self.last = os.path.join(folder, f"level-{uuid.uuid4().hex}"), len(keys), int(contexts[-1]) if len(contexts) else -1
         with open(self.path, "wb") as f:
             for a in [*arrays, codes]:
                 f.write(a.tobytes())
@@ -345,49 +394,48 @@ class Level:
 
     def __enter__(self):
         self.file = open(self.path, "rb")  # noqa: SIM115
+        os.unlink(self.path)  # the open file stays readable, and nothing is left behind if the worker is killed
         self.map = mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ)
         view, at, found = np.frombuffer(self.map, dtype=np.uint8), 0, []
-        for n, universe, lows, highs in self.shapes:
-            low = view[at:at + 8 * lows].view(np.uint64)
-            at += 8 * lows
-            found.append(EliasFano(n, universe, low, view[at:at + highs]))
-            at += highs + -highs % 8
+        for n, universe, lows, highs, words in self.shapes:
+            low, high = view[at:at + 8 * lows].view(np.uint64), view[at + 8 * lows:at + 8 * lows + highs]
+            at += 8 * lows + highs
+            found.append(EliasFano(n, universe, low, high, view[at:at + 4 * words].view(np.uint32)))
+            at += 4 * (words + words % 2)
         self.contexts, self.pointers, self.successors = found
         self.codes = view[at:at + self.n]
-        self.starts = self.pointers.at(np.arange(self.pointers.n)).astype(np.int64)
-        self.known = self.contexts.at(np.arange(self.contexts.n)) if self.contexts.n else np.zeros(0, np.uint64)
         return self
 
     def __exit__(self, *_):
         del self.contexts, self.pointers, self.successors, self.codes
         self.file.close()
-        os.unlink(self.path)
 
     def codes_of(self, keys: np.ndarray) -> np.ndarray:
-        """Code of each (context, word) key, 0 if the pair is not in the level."""
+        """Code of each (context, word) key, 0 if it is not in the level. Keys of one context should lie together: the context is found once."""
         out = np.zeros(len(keys), dtype=np.uint8)
-        if not self.n:
+        if not self.n or not len(keys):
             return out
         context, word = keys >> 32, keys & 0xFFFFFFFF
-        ok = (context <= int(self.known[-1])) & (word < 1 << self.width)
-        rank = np.zeros(len(keys), dtype=np.int64)
-        rank[ok] = self.contexts.find(context[ok])
-        ok[ok] = self.known[rank[ok]] == context[ok].astype(np.uint64)
-        own = np.flatnonzero(ok)
-        value = rank[own] << self.width | word[own]
-        at = self.successors.find(value)
-        inside = at < self.starts[rank[own] + 1]  # the context's own range
-        own, at, value = own[inside], at[inside], value[inside].astype(np.uint64)
-        same = self.successors._low(at) == value & np.uint64((1 << self.successors.l) - 1)
-        same &= self._bucket(at, value)
-        out[own[same]] = self.codes[at[same]]
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(keys)]))
+        asked = context[first]
+        known = asked <= self.last
+        rank = np.zeros(len(first), dtype=np.int64)
+        rank[known] = self.contexts.find(asked[known])
+        known[known] = self.contexts.at(rank[known]) == asked[known].astype(np.uint64)
+        start, end = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+        start[known] = self.pointers.at(rank[known])
+        end[known] = self.pointers.at(rank[known] + 1)
+        left = np.flatnonzero(known[own] & (word < 1 << self.width))
+        for some in np.array_split(left, len(left) // (1 << 18) + 1):
+            o = own[some]
+            value = rank[o] << self.width | word[some]
+            at = self.successors.find(value, start[o], end[o])  # inside the context's own range
+            inside = np.flatnonzero(at < end[o])
+            same = inside[self.successors.at(at[inside]) == value[inside].astype(np.uint64)]
+            out[some[same]] = self.codes[at[same]]
         return out
 
-    def _bucket(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """Whether element `at` has the high bits of value: it lies before the zero that closes them."""
-        h = (value >> np.uint64(self.successors.l)).astype(np.int64)
-        return at < self.successors.zeros[h] - h
-
 
 def pair_codes(asked: DataFrame, mu: float) -> DataFrame:
     """(block, part, codes): builds each part's trie level from the training pairs and answers all its blocks."""
@@ -422,49 +470,168 @@ def pair_codes(asked: DataFrame, mu: float) -> DataFrame:
     return asked.groupBy("part").applyInArrow(answer, "block long, part int, codes binary")
 
 
+# level 3 ------------------------------------------------------------------
+
+
+class Pairs:
+    """A block with the answers of levels 1 and 2: per token the log10 probability after one word, and the pairs that are contexts of level 3."""
+
+    def __init__(self, row: dict, model: "Model"):
+        self.words = words = Words(row, model.offsets)
+        self.keys, *_, self.at = words.pairs(model.starts, model.total, model.parts)
+        codes = np.frombuffer(b"".join(a["codes"] for a in sorted(row["pairs"] or [], key=lambda a: a["part"])), dtype=np.uint8)
+        known = self.at >= 0
+        code = np.zeros(len(self.at), dtype=np.uint8)
+        code[known] = codes[self.at[known]]
+        self.p1 = np.log10((words.count + 1) / (model.total + model.vocabulary + 1))
+        prior = BOOK[quantise(self.p1)][words.tokens]
+        self.each = np.where(code > 0, BOOK[code], prior + np.log10(model.mu / (words.context_count + model.mu)))
+        # the pair's count, from its quantised probability: the same number in every block
+        found = 10.0 ** BOOK[code] * (words.context_count + model.mu) - model.mu * 10.0 ** prior
+        self.found = np.where(code > 0, np.rint(found), 0).astype(np.int64)
+
+    def triples(self, model: "Model"):
+        """As Words.pairs, of known words after a pair that is a context: (context pair, word) keys in the order in which they are asked."""
+        words = self.words
+        first = np.zeros(len(words.tokens), dtype=bool)
+        first[np.cumsum(words.sizes)[:-1]] = True
+        first[:1] = True
+        place, seen = np.roll(self.at, 1), np.roll(self.found, 1)
+        asked = ~first & (place >= 0) & (seen >= model.least) & (words.count[words.tokens] > 0)
+        number = words.number[words.tokens]
+        keys, where = np.unique((place[asked] << 32) | number[asked], return_inverse=True)
+        train = np.bincount(where[np.repeat(words.train, words.sizes)[asked]], minlength=len(keys))
+        of = lambda values: _placed(len(keys), where, values[asked])
+        prior, seen = of(quantise(self.each)), of(seen)
+        context = self.keys[keys >> 32]
+        hot = seen > model.total // (2 * model.parts)
+        mixed = _mix(context.astype(np.uint64))
+        part = (np.where(hot, _mix(mixed ^ (keys & 0xFFFFFFFF).astype(np.uint64)), mixed) % np.uint64(model.parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        back = np.empty(len(keys), dtype=np.int64)
+        back[order] = np.arange(len(keys))
+        at = np.full(len(words.tokens), -1, dtype=np.int64)
+        at[asked] = back[where]
+        return context[order], (keys & 0xFFFFFFFF)[order], part[order], train[order], prior[order], np.where(hot, seen, 0)[order], at
+
+
+def _placed(n: int, where: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros(n, dtype=values.dtype)
+    out[where] = values
+    return out
+
+
+class Model:
+    """What all blocks share: sizes of the training corpus and of the model."""
+
+    def __init__(self, offsets: np.ndarray, starts: int, total: int, parts: int, mu: float, least: int):
+        self.offsets, self.starts, self.total, self.parts, self.mu, self.least = offsets, starts, total, parts, mu, least
+        self.vocabulary = int(offsets[-1])
+
+
+TRIPLES = "part int, block long, before binary, contexts binary, runs binary, words binary, prior binary, train binary, more binary, hot binary"
+
+
+def triple_parts(joined: DataFrame, model: Model) -> DataFrame:
+    """A block's distinct triples for each part of level 3."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(TRIPLES)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                context, word, part, train, prior, hot, _ = Pairs(row, model).triples(model)
+                cuts = np.searchsorted(part, np.arange(model.parts + 1))
+                rows = []
+                for p in np.flatnonzero(np.diff(cuts)):
+                    own = slice(cuts[p], cuts[p + 1])
+                    c, t = context[own], train[own]
+                    starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+                    rows.append((
+                        int(p), row["block"], _narrow(c[starts] >> 32), _narrow(c[starts] & 0xFFFFFFFF), _narrow(np.diff(np.r_[starts, len(c)])), _narrow(word[own]), prior[own].tobytes(),
+                        np.minimum(t, 255).astype(np.uint8).tobytes(), t[t >= 255].astype(np.int64).tobytes(), _narrow(hot[own][starts]) if hot[own].any() else b"",
+                    ))
+                yield rows_to_batch(rows, schema)
+
+    return joined.mapInArrow(run, TRIPLES)
+
+
+def triple_codes(asked: DataFrame, mu: float) -> DataFrame:
+    """(block, part, codes): builds each part's trie level from the training triples and answers all its blocks, unseen triples too."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        contexts = [_wide(r["before"]).astype(np.int64) << 32 | _wide(r["contexts"]).astype(np.int64) for r in rows]
+        every = np.unique(np.concatenate(contexts))
+        totals, given, own, train, prior = np.zeros(len(every)), np.zeros(len(every)), [], [], []
+        for r, c in zip(rows, contexts, strict=True):
+            rank = np.searchsorted(every, c)
+            if r["hot"]:
+                given[rank] = np.maximum(given[rank], _wide(r["hot"]))
+            own.append(np.repeat(rank, _wide(r["runs"])) << 32 | _wide(r["words"]).astype(np.int64))
+            t = _array(r["train"], np.uint8).astype(np.int64)
+            t[t == 255] = _array(r["more"], np.int64)
+            train.append(t)
+            prior.append(_array(r["prior"], np.uint8))
+        seen = [t > 0 for t in train]
+        keys, first, inverse = np.unique(np.concatenate([k[s] for k, s in zip(own, seen, strict=True)]), return_index=True, return_inverse=True)
+        count = np.bincount(inverse, np.concatenate([t[s] for t, s in zip(train, seen, strict=True)]), len(keys))
+        np.add.at(totals, keys >> 32, count)
+        totals = np.where(given > 0, given, totals)  # a hot context is dealt out: its total comes with it
+        before = 10.0 ** BOOK[np.concatenate([p[s] for p, s in zip(prior, seen, strict=True)])[first]]
+        codes = quantise(np.log10((count + mu * before) / (totals[keys >> 32] + mu)))
+        out = []
+        with Level(keys, codes, tempfile.gettempdir()) as level:
+            for r, k, p in zip(rows, own, prior, strict=True):
+                got = level.codes_of(k)
+                backed = quantise(BOOK[p] + np.log10(mu / (totals[k >> 32] + mu)))
+                out.append((r["block"], r["part"], np.where(got > 0, got, backed).astype(np.uint8).tobytes()))
+        return pa.Table.from_batches([rows_to_batch(out, arrow_schema("block long, part int, codes binary"))])
+
+    return asked.groupBy("part").applyInArrow(answer, "block long, part int, codes binary")
+
+
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def scores(joined: DataFrame, offsets: np.ndarray, start_count: int, total: int, vocabulary: int, parts: int, mu: float) -> DataFrame:
+def scores(joined: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(SCORES)
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                words = Words(row, offsets)
-                *_, at = words.pairs(start_count, total, parts)
-                codes = np.frombuffer(b"".join(a["codes"] for a in sorted(row["pairs"] or [], key=lambda a: a["part"])), dtype=np.uint8)
-                code = np.zeros(len(at), dtype=np.uint8)
-                code[at >= 0] = codes[at[at >= 0]]
-                p1 = np.log10((words.count + 1) / (total + vocabulary + 1))
-                backed = BOOK[quantise(p1)][words.tokens] + np.log10(mu / (words.context_count + mu))
-                each = np.where(code > 0, BOOK[code], backed)
+                pairs = Pairs(row, model)
+                words, (*_, at) = pairs.words, pairs.triples(model)
+                codes = np.frombuffer(b"".join(a["codes"] for a in sorted(row["triples"] or [], key=lambda a: a["part"])), dtype=np.uint8)
+                each = pairs.each
+                each[at >= 0] = BOOK[codes[at[at >= 0]]]
                 starts = np.concatenate([[0], np.cumsum(words.sizes)[:-1]])
                 yield to_batch([
                     pa.array(ids := _array(row["docs"], np.int64), mask=ids == NO_ID), words.sizes.astype(np.int64), np.add.reduceat((words.count > 0)[words.tokens].astype(np.int64), starts),
-                    np.add.reduceat(p1[words.tokens], starts), np.add.reduceat(each, starts),
+                    np.add.reduceat(pairs.p1[words.tokens], starts), np.add.reduceat(each, starts),
                 ], schema)
 
     return joined.mapInArrow(run, SCORES)
 
 
-def score_documents(docs: DataFrame, mu: float = MU) -> tuple[DataFrame, int]:
+def score_documents(docs: DataFrame, mu: float = MU, least: int = LEAST) -> tuple[DataFrame, int]:
     """docs: (doc_id, text, train). Scores of every document, and the number of training tokens."""
-    table = bucketed(blocks(docs), "block")
+    table, drop = bucketed(blocks(docs), "block")
     sums = table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "n_train", "n_train_docs", "n_words")]).first()
     total = sums["n_train"]
     word_n = max(1, -(-sums["n_words"] // PART_WORDS))
     pair_n = max(1, -(-sums["n_tokens"] // PART_PAIRS))
     counts = materialize(word_counts(word_parts(table, word_n)), "words")
     known = {r["part"]: r["known"] for r in counts.groupBy("part").agg(F.max("known").alias("known")).collect()}  # one row a part
-    offsets = np.concatenate([[0], np.cumsum([known.get(k, 0) for k in range(word_n)])])
-    vocabulary = int(offsets[-1])
-    by_block = counts.groupBy("block").agg(F.collect_list(F.struct("part", "counts", "ranks")).alias("words"))  # a block has one row a part
-    columns = ["block", "docs", "sizes", "train", "tokens", "n_words"]
-    with_words = table.select(*columns).join(by_block, "block")
-    codes = materialize(pair_codes(pair_parts(with_words, offsets, sums["n_train_docs"], total, vocabulary, pair_n), mu), "pairs")
-    pairs = codes.groupBy("block").agg(F.collect_list(F.struct("part", "codes")).alias("pairs"))
-    out = scores(with_words.join(pairs, "block", "left"), offsets, sums["n_train_docs"], total, vocabulary, pair_n, mu)
+    model = Model(np.concatenate([[0], np.cumsum([known.get(k, 0) for k in range(word_n)])]), sums["n_train_docs"], total, pair_n, mu, least)
+    answers = lambda df, name, *columns: df.groupBy("block").agg(F.collect_list(F.struct("part", *columns)).alias(name))  # noqa: E731 a block has one row a part
+    with_words = table.select("block", "docs", "sizes", "train", "tokens", "n_words").join(answers(counts, "words", "counts", "ranks"), "block")
+    codes = materialize(pair_codes(pair_parts(with_words, model.offsets, model.starts, total, model.vocabulary, pair_n), mu), "pairs")
+    with_pairs = with_words.join(answers(codes, "pairs", "codes"), "block", "left")
+    triples = materialize(triple_codes(triple_parts(with_pairs, model), mu), "triples")
+    out = materialize(scores(with_pairs.join(answers(triples, "triples", "codes"), "block", "left"), model), "scores")
+    discard(counts, codes, triples)
+    drop()
     return out, total
 
 
