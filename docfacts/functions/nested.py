@@ -60,38 +60,22 @@ def filter_certificate_evidence(evidence: Column) -> Column:
     return F.transform(kept, lambda e: F.struct(e["field"].alias("field"), mask_document_numbers(e["text"]).alias("text")))
 
 
-def leaves(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.DataType]]:
-    """Paths of all fields of a schema, arrays of structs entered as `path[]`."""
-    out = []
-    for f in schema.fields:
-        path, kind = f"{prefix}{f.name}", f.dataType
-        if isinstance(kind, T.StructType):
-            out += leaves(kind, path + ".")
-        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-            out += leaves(kind.elementType, path + "[].")
-        else:
-            out.append((path, kind))
-    return out
+def _cells(value: Column, kind: T.DataType, path: str) -> Column:
+    """Array of (path, value) of all scalar fields below a value; arrays of structs are entered as `path[]`."""
+    if isinstance(kind, T.StructType):
+        parts = [_cells(value.getField(f.name), f.dataType, f"{path}.{f.name}" if path else f.name) for f in kind.fields]
+        return F.concat(*parts) if parts else F.array().cast("array<struct<path:string,value:string>>")
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        inner = F.flatten(F.transform(value, lambda x: _cells(x, kind.elementType, path + "[]")))
+        return F.coalesce(inner, F.array().cast("array<struct<path:string,value:string>>"))
+    text = F.to_json(value) if isinstance(kind, (T.ArrayType, T.MapType)) else value.cast("string")
+    return F.array(F.struct(F.lit(path).alias("path"), text.alias("value")))
 
 
 def walk_fields(df: DataFrame, key: str) -> DataFrame:
-    """H8: (key, path, value) of every scalar field; arrays of structs give one row an element."""
-    parts = None
-    for path, kind in leaves(T.StructType([f for f in df.schema.fields if f.name != key])):
-        at, steps = df.select(key, F.struct(*[F.col(c) for c in df.columns if c != key]).alias("v")), path.split("[].")
-        for step in steps[:-1]:
-            at = at.select(key, F.explode_outer(_get(F.col("v"), step)).alias("v"))
-        value = _get(F.col("v"), steps[-1])
-        text = F.to_json(value) if isinstance(kind, (T.ArrayType, T.MapType)) else value.cast("string")
-        part = at.select(key, F.lit(path).alias("path"), text.alias("value")).filter("value IS NOT NULL")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
-
-
-def _get(value: Column, path: str) -> Column:
-    for name in path.split("."):
-        value = value.getField(name)
-    return value
+    """H8: (key, path, value) of every scalar field that is not null; arrays of structs give one row an element. One pass: a row's cells are one array."""
+    cells = F.concat(*[_cells(F.col(f.name), f.dataType, f.name) for f in df.schema.fields if f.name != key])
+    return df.select(key, F.explode(cells).alias("c")).select(key, "c.path", "c.value").filter("value IS NOT NULL")
 
 
 def present(c: Column, kind: T.DataType) -> Column:

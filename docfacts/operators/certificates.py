@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docfacts.functions.nested import entry_id, fact_key, stable_hash
 from docfacts.functions.text import certificate_identity_name, compact, credential_kind, level_suffix, mask_document_numbers, strict_text, unrelated_warning
 from docfacts.functions.values import date_consistency, strict_date, validity_status
-from docfacts.operators.joins import affiliation_reasons
+from docfacts.operators.joins import affiliation_reasons, small
 
 VERSION = "certificate-import-v1"
 SOURCE_REF = "certificate-batch:v1"
@@ -113,12 +112,14 @@ def plan_candidates(candidates: DataFrame, existing: DataFrame, history: DataFra
     values = ["cert_level", "issue_date", "expiry_date", "issuing_authority", "person_role", "cert_name", "cert_no", "person_name", "scope", "holder_name"]
     digest = stable_hash(*[F.col(v) for v in values])
     open_ = ~F.col("imported") & F.col("action").isNull()
-    w = W.partitionBy("fact_key", "_open")
-    order = W.partitionBy("fact_key", "_open").orderBy("source_hash", "index")
-    c = c.withColumn("_open", open_).withColumn("_digest", digest).withColumn("_first", F.first("_digest").over(order)).withColumn("_nth", F.row_number().over(order))
-    c = c.withColumn("_differs", F.col("_digest") != F.col("_first")).withColumn("_any", F.max("_differs").over(w))
-    batch = F.when(F.col("_open") & (F.col("_differs") | ((F.col("_nth") == 1) & F.col("_any"))), "REVIEW").when(F.col("_open") & (F.col("_nth") > 1), "DUPLICATE")
-    c = c.withColumn("_batch", batch)
+    # a fact's first row by aggregation and no window: a fact that is everywhere stays bounded, and rows without a fact take no part
+    c = c.withColumn("_open", open_).withColumn("_digest", digest).withColumn("_at", F.struct("source_hash", "index"))
+    facts = c.filter("_open").groupBy("fact_key").agg(
+        F.min("_at").alias("_first_at"), F.min_by("_digest", "_at").alias("_first"), (F.min("_digest") != F.max("_digest")).alias("_any"), F.lit(True).alias("_open")
+    )
+    c = c.join(facts, ["fact_key", "_open"], "left")
+    differs, first = F.col("_digest") != F.col("_first"), F.col("_at") == F.col("_first_at")
+    c = c.withColumn("_batch", F.when(F.col("_open"), F.when(differs | (first & F.col("_any")), "REVIEW").when(~first, "DUPLICATE")))
 
     known = existing.withColumn("fact_key", fact_key(F.col("kind"), F.col("cert_no"), F.col("cert_name"), F.col("person_name")))
     old = known.filter(compact(F.col("cert_no")) != "").groupBy("kind", "fact_key").agg(
@@ -131,8 +132,8 @@ def plan_candidates(candidates: DataFrame, existing: DataFrame, history: DataFra
     clash = j.filter("kind = 'personnel' AND _open").select("entry_id", compact(F.col("cert_no")).alias("_no"), compact(F.col("person_name")).alias("_p"), F.col("fact_key").alias("_k")).join(numbers, "_no").groupBy("entry_id").agg(
         F.bool_or(F.col("_p") != F.col("_person")).alias("other_person"), F.bool_or((F.col("_p") == F.col("_person")) & (F.col("_k") != F.col("_key"))).alias("other_name")
     )
-    j = j.join(clash, "entry_id", "left").join(F.broadcast(definitions.select("field_code", (F.col("is_enabled") & (F.col("value_type") == "ARRAY")).alias("_defined"))), "field_code", "left")
-    j = j.join(F.broadcast(manual_blocks.select("field_code", F.lit(True).alias("_blocked")).distinct()), "field_code", "left")
+    j = j.join(clash, "entry_id", "left").join(small(definitions.select("field_code", (F.col("is_enabled") & (F.col("value_type") == "ARRAY")).alias("_defined"))), "field_code", "left")
+    j = j.join(small(manual_blocks.select("field_code", F.lit(True).alias("_blocked")).distinct()), "field_code", "left")
     expired = F.col("time_status") == "EXPIRED"
     own = lambda v: compact(F.col(v).cast("string"))
     other_value = lambda v: lambda o: (compact(o[v]) != "") & (own(v) != "") & (compact(o[v]) != own(v))

@@ -131,7 +131,7 @@ def recovered_errors(errors: DataFrame, pages: DataFrame) -> DataFrame:
 
 def profile_gaps(contract: DataFrame, candidates: DataFrame, owners: DataFrame) -> DataFrame:
     """Contract fields without a candidate, per owner, with the reason by extraction mode."""
-    wanted = owners.crossJoin(F.broadcast(contract))  # the contract is a fixed list of fields
+    wanted = owners.crossJoin(small(contract))
     reason = F.when(F.col("mode") == "MANUAL", "NEEDS_MANUAL_INPUT").when(F.col("mode") == "DERIVED", "NO_SOURCE_FACTS").otherwise("NOT_IN_DOCUMENT")
     return wanted.join(candidates, [*owners.columns, "field_code"], "left_anti").withColumn("reason", reason)
 

@@ -7,31 +7,17 @@ conflict row with the evidence of both sides.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docfacts.functions.nested import stable_hash
 from docfacts.functions.text import clean_text
+from docfacts.storage import written
 
 META_FIELDS = ["qualityLevel", "profileAction", "conflictRefs"]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """A table in the folder of spark.checkpoint.dir: cuts lineage between rounds and survives lost executors."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-docfacts-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/docfacts-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def long_form(df: DataFrame, key: list[str], ordinal: str, refs: str, fields: list[str]) -> DataFrame:
     """(key, field, ordinal, value, refs) of the present scalar fields."""
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])

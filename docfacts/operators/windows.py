@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -70,13 +72,15 @@ def neighbours(df: DataFrame, key: list[str], at: str, text: str, cut: int) -> D
 
 
 def batch_duplicates(df: DataFrame, key: list[str], digest: str, ordinal: str) -> DataFrame:
-    """Adds batch_action: the first row of a fact stays (KEEP), equal later ones are DUPLICATE, and if any differs from the first, it and the first are REVIEW."""
-    w = W.partitionBy(*key)
-    first = F.first(digest).over(w.orderBy(ordinal).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    differs = F.col(digest) != first
-    return df.withColumn("_differs", differs).withColumn("_any", F.max("_differs").over(w)).withColumn("_n", F.row_number().over(w.orderBy(ordinal))).withColumn(
-        "batch_action", F.when(F.col("_differs") | ((F.col("_n") == 1) & F.col("_any")), "REVIEW").when(F.col("_n") > 1, "DUPLICATE").otherwise("KEEP")
-    ).drop("_differs", "_any", "_n")
+    """Adds batch_action: the first row of a fact stays (KEEP), equal later ones are DUPLICATE, and if any differs from the first, it and the first are REVIEW.
+
+    ordinal is unique. The first row comes from an aggregation and not a window, so a fact that is everywhere stays bounded."""
+    facts = df.groupBy(*key).agg(F.min(ordinal).alias("_at"), F.min_by(digest, ordinal).alias("_first"), (F.min(digest) != F.max(digest)).alias("_any"))
+    facts = facts.select(*[F.col(k).alias(f"_key_{k}") for k in key], "_at", "_first", "_any")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key])
+    differs, first = F.col(digest) != F.col("_first"), F.col(ordinal) == F.col("_at")
+    action = F.when(differs | (first & F.col("_any")), "REVIEW").when(~first, "DUPLICATE").otherwise("KEEP")
+    return df.join(facts, same).withColumn("batch_action", action).select(*df.columns, "batch_action")
 
 
 def collisions(df: DataFrame, keys: list[str], fact: str) -> DataFrame:

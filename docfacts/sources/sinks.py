@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfacts.functions.text import safe_error_message
-from docfacts.operators.merge import written
+from docfacts.storage import written
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
