@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docfacts.storage import discard, shared_dir
+from docfacts.storage import written as materialize
+
+__all__ = ["discard", "materialize", "shared_dir"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -18,32 +20,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-docfacts-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docfacts-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._docfacts_path = path
-    return out
-
-
-def discard(*written: DataFrame) -> None:
-    """Remove tables made by `materialize` that nothing reads any more."""
-    for df in written:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._docfacts_path).getParent()
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, UPPER.lower())
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, texts, to_batch, without_rows
+from docfacts.operators.merge import components
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
 BLOCK = 1500
@@ -234,32 +235,6 @@ def links(lists: DataFrame, agree: int, distance: int, block: int = BLOCK) -> Da
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of an edge list (a, b), by contraction to least neighbours until no edge is left.
-
-    Only counts reach the driver. Nodes are ordered by hash, so a chain shrinks
-    by a constant factor in each round.
-    """
-    rank = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
-    edges = materialize(edges.filter("a <> b").distinct(), "edges")
-    maps = []
-    while edges.limit(1).count():
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min(rank("b")).alias("m"))
-        to = materialize(least.select(F.col("a").alias("node"), F.when(F.col("m") < rank("a"), F.col("m.v")).otherwise(F.col("a")).alias("root")), "map")
-        maps.append(to)
-        edges = edges.join(to.select(F.col("node").alias("a"), F.col("root").alias("x")), "a").select("x", "b")
-        edges = edges.join(to.select(F.col("node").alias("b"), F.col("root").alias("y")), "b").filter("x <> y")
-        edges = materialize(edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    if not maps:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    out = maps[0]
-    for to in maps[1:]:
-        later = to.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        out = out.join(later, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return out
-
-
 def near_duplicates(
     docs: DataFrame, words: int = 3, bits: int = 64, distance: int = 3, keys: list[tuple[int, ...]] | None = None, agree: int | None = None
 ) -> DataFrame:
