@@ -19,7 +19,26 @@ CHECKED = ["cert_level", "issue_date", "expiry_date", "issuing_authority"]
 PATCHED = {"qualification": CHECKED, "personnel": ["cert_level", "person_role"]}
 
 
-def canonical_certificate(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
+# Names under which a field of a stored certificate may stand, first ones first.
+ALIASES = {
+    "cert_name": ["certName", "cert_name", "qualificationName", "qualification_name", "certificateName", "licenseName", "licencename", "资质名称", "证书名称", "许可证名称", "name", "type"],
+    "cert_no": ["certNo", "cert_no", "certificateNum", "certificateNo", "certificate_number", "licenseNumber", "licencenumber", "证书编号", "资质证书编号", "许可证编号"],
+    "cert_level": ["certLevel", "cert_level", "qualificationLevel", "qualification_level", "grade", "level", "资质等级", "等级"],
+    "issue_date": ["issueDate", "issue_date", "issuingCertificateTime", "startDate", "fromdate", "发证日期"],
+    "expiry_date": ["expiryDate", "expiry_date", "effectiveTime", "endDate", "validUntil", "todate", "有效期至", "到期日期"],
+    "issuing_authority": ["issuingAuthority", "issuing_authority", "organ", "orgAn", "department", "发证机关"],
+    "person_name": ["personName", "person_name", "姓名"],
+    "person_role": ["personRole", "person_role"],
+    "scope": ["scope", "范围"],
+    "profession": ["profession", "specialty", "major", "专业"],
+    "valid_from": ["validFrom", "valid_from"],
+    "holder_company_name": ["holderCompanyName", "company_name", "companyName", "注册单位"],
+    "registration_status": ["registrationStatus", "registration_status"],
+    "qualification_type": ["qualificationType", "qualification_type"],
+}
+
+
+def canonical_certificate(df: DataFrame, aliases: dict[str, list[str]] = ALIASES) -> DataFrame:
     """the first non-empty of each field's alias columns that df has; dates cut to ten characters; level from the name's suffix."""
     have = set(df.columns)
     out = {}

@@ -490,3 +490,92 @@ def error_rows(spark, sf_dir):
     df = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("e"), k.cast("string")).alias("source"), F.lit("IOError").alias("error_type"), F.when(k % 2 == 0, "cannot read /srv/in/x tel 13900000000").alias("error"))
     valid, errors = sinks.split_errors(df, ["/srv/in"])
     return errors.select(F.substring("source", 2, 20).cast("long").alias("c_custkey"), "source", "message").join(valid.select("c_custkey"), "c_custkey", "left_anti")
+
+
+_ID = "lpad(md5(c_nationkey::VARCHAR), 32, '0')"
+
+
+@query(f"""
+WITH f AS (SELECT c_nationkey AS n, c_custkey AS k, c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) AS first, c_custkey = max(c_custkey) OVER (PARTITION BY c_nationkey) AND count(*) OVER (PARTITION BY c_nationkey) > 1 AS last, {_ID} AS id FROM customer),
+t AS (SELECT *, CASE WHEN first THEN 'tender' ELSE 'bid' END AS kind FROM f)
+SELECT 'n' || n AS project_key, kind, CASE WHEN n % 2 = 0 THEN id END AS project_id, CASE WHEN kind = 'bid' THEN 'co' || k END AS company, '' AS error FROM t WHERE n % 5 <> 4 AND NOT (last AND n % 4 = 0)
+UNION ALL SELECT 'n' || n, NULL, NULL, NULL, 'id differs from the tender''s' FROM t WHERE n % 5 <> 4 AND last AND n % 4 = 0
+UNION ALL SELECT DISTINCT 'n' || n, NULL, NULL, NULL, 'no tender' FROM t WHERE n % 5 = 4
+UNION ALL SELECT 'n' || n, NULL, NULL, NULL, 'name does not say tender or bid' FROM t WHERE n % 5 = 4 AND first""")
+def project_files(spark, sf_dir):
+    """Customers as files of their nation's project, the first one its tender; even nations write an id."""
+    c = read(spark, sf_dir, "customer")
+    ends = c.groupBy("c_nationkey").agg(F.min("c_custkey").alias("a"), F.max("c_custkey").alias("z"))
+    n, k = F.col("c_nationkey"), F.col("c_custkey")
+    first, last = k == F.col("a"), (k == F.col("z")) & (F.col("a") != F.col("z"))
+    what = F.when(first & (n % 5 == 4), "别的文件").when(first, "招标文件").otherwise("投标文件")
+    number = F.when(n % 2 == 0, F.upper(F.md5(n.cast("string")))).otherwise("")
+    number = F.when(last & (n % 4 == 0), F.md5(F.lit("other"))).otherwise(number)
+    name = F.concat(F.when(first, "project").otherwise(F.concat(F.lit("co"), k.cast("string"))), F.lit("_"), number, F.lit(" "), what, F.lit(".PDF"))
+    files = c.join(ends, "c_nationkey").select(F.concat(F.lit("n"), n.cast("string")).alias("project_key"), name.alias("name"))
+    hidden = files.select("project_key", F.concat(F.lit("~$"), "name").alias("name")).union(files.select("project_key", F.lit("notes.md")))
+    documents, errors = records.project_inputs(files.union(hidden))
+    none = F.lit(None).cast("string")
+    return documents.select("project_key", "kind", "project_id", "company", F.lit("").alias("error")).union(errors.select("project_key", none, none, none, "error"))
+
+
+@query("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '/img/q/' || c_name || '.png' WHEN 1 THEN '/src/' || c_name || '.jpg' WHEN 3 THEN '/img/q/' || c_name || '.png' END AS image_path, c_custkey % 4 = 2 AS error FROM customer""")
+def image_locations(spark, sf_dir):
+    """J17."""
+    c = read(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 4
+    none = F.lit(None).cast("string")
+    png = F.concat("c_name", F.lit(".png"))
+    docs = c.select(
+        "c_custkey", F.when(k == 1, "person").otherwise("q").alias("kind"), F.when(k == 0, png).when(k == 2, F.concat(F.lit("../"), png)).otherwise(none).alias("source_file"),
+        F.when(k == 1, F.concat(F.lit("/src/"), "c_name", F.lit(".jpg"))).otherwise(F.concat(F.lit("C:\\in\\"), png)).alias("source_path"),
+    )
+    images = c.select(F.lit("q").alias("kind"), png.alias("name"), F.concat(F.lit("/img/q/"), png).alias("path"))
+    located, errors = records.select_image_location(docs, images)
+    return located.select("c_custkey", "image_path", F.lit(False).alias("error")).union(errors.select("c_custkey", none, F.lit(True)))
+
+
+@query("""
+SELECT o_orderkey, '一级' AS cert_level, CASE WHEN o_orderkey % 2 = 0 THEN 'N' || o_orderkey ELSE 'M' || o_orderkey END AS cert_no, strftime(o_orderdate, '%Y-%m-%d') AS issue_date, NULL AS person_name FROM orders""")
+def canonical_fields(spark, sf_dir):
+    """F11."""
+    k = F.col("o_orderkey").cast("string")
+    df = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.lit("施工总承包一级").alias("资质名称"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("N"), k)).otherwise("").alias("certNo"), F.concat(F.lit("M"), k).alias("证书编号"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("startDate"), F.lit("").alias("等级"),
+    )
+    return certificates.canonical_certificate(df).select("o_orderkey", *[F.col(f"canonical.{c}").alias(c) for c in ("cert_level", "cert_no", "issue_date", "person_name")])
+
+
+_PROFILES = """
+WITH p AS (SELECT l_suppkey AS owner, l_orderkey, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) * 100 AS HUGEINT) AS cents, o_orderstatus = 'F' AS won, o_orderdate::DATE AS day, c_mktsegment AS industry, c_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_orderkey % 11 <> 0),
+a AS (SELECT owner, sum(cents) FILTER (won) AS s, count(*) FILTER (won) AS n, min(cents) FILTER (won) AS lo, max(cents) FILTER (won) AS hi, CASE WHEN count(*) FILTER (won) > 0 THEN count(*) FILTER (won AND day BETWEEN DATE '1996-06-30' AND DATE '1999-06-30') END AS recent FROM p GROUP BY 1),
+i AS (SELECT owner, industry, count(*) AS n, min(l_orderkey) AS first FROM p GROUP BY 1, 2),
+j AS (SELECT owner, string_agg(industry || '=' || n, '|' ORDER BY n DESC, first, industry) AS industries FROM i GROUP BY 1)
+SELECT s_suppkey AS owner, industries, (s // n + CASE WHEN 2 * (s % n) > n OR (2 * (s % n) = n AND (s // n) % 2 = 1) THEN 1 ELSE 0 END)::DOUBLE / 100 AS average_amount, lo::DOUBLE / 100 AS min_amount, hi::DOUBLE / 100 AS max_amount, recent AS win_project_count_3y,
+  CASE s_suppkey % 4 WHEN 0 THEN 'LAWSUIT' ELSE '' END AS risk_tags FROM supplier JOIN a ON s_suppkey = a.owner JOIN j ON s_suppkey = j.owner"""
+
+
+@query(_PROFILES)
+def supplier_profiles(spark, sf_dir):
+    """A12 with A8, A9, A10: profiles of suppliers from orders without conflicts, with open, evidenced risks."""
+    li, o, c, s = (read(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier"))
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    money, none = "decimal(20,2)", no_strings()
+    perf = j.select(
+        F.col("l_suppkey").alias("owner"), F.col("l_orderkey").alias("ordinal"), F.array("c_mktsegment").alias("industry"), F.col("c_nationkey").cast("string").alias("province"), F.lit("").alias("city"),
+        F.array(F.lit("e")).alias("refs"), F.when(F.col("l_orderkey") % 11 == 0, F.array(F.lit("conflict"))).otherwise(none).alias("conflict_refs"), (F.col("o_orderstatus") == "F").alias("is_winner"), F.lit("OFFERED").alias("performance_status"),
+        F.lit(None).cast(money).alias("contract_amount"), F.col("l_extendedprice").cast(money).alias("bid_amount"), F.to_date("o_orderdate").alias("award_date"),
+    )
+    k = F.col("s_suppkey") % 4
+    risks = s.select(
+        F.col("s_suppkey").alias("owner"), F.lit("LAWSUIT").alias("risk_type"), F.when(k == 1, "未发现诉讼记录").otherwise("诉讼").alias("title"), F.when(k == 2, "CLOSED").otherwise("OPEN").alias("status"),
+        F.when(k == 3, none).otherwise(F.array(F.lit("e"))).alias("refs"), none.alias("conflict_refs"),
+    )
+    relations = perf.select("owner", F.lit(1).alias("project_count")).distinct()
+    tags = perf.select("owner", F.lit("n").alias("name"), F.lit("SUPPORTED").alias("support_status"), F.lit("DELIVERED").alias("claim_type")).distinct()
+    got = profile.derive_profile(perf, relations, risks, tags, F.lit("1999-06-30").cast("date"))
+    show = F.transform("main_industries", lambda x: F.concat(x["name"], F.lit("="), x["value"].cast("string")))
+    amounts = [F.col(n).cast("double").alias(n) for n in ("average_amount", "min_amount", "max_amount")]
+    return got.select("owner", joined(show).alias("industries"), *amounts, "win_project_count_3y", F.coalesce(joined(F.col("risk_tags")), F.lit("")).alias("risk_tags"))

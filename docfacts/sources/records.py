@@ -87,11 +87,72 @@ def read_front_matter(c: Column, most_lines: int = 100) -> Column:
     return F.map_from_entries(F.array_distinct(last))
 
 
+# An optional project id, and the words that say what a file is.
+PROJECT_ID, TENDER, BID = "[0-9a-fA-F]{32}", "招标文件", "投标文件"
+
+
+def project_inputs(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, errors) of files (project_key: their folder, name) by the grammar of file names.
+
+    A name is `prefix`, an optional 32-digit id, then what the file is; without an id it ends in that word. Only PDF files
+    count, hidden and temporary ones don't. A project has exactly one tender; a bid's id, if both have one, is the tender's.
+    documents: (project_key, name, kind, project_id of the tender, company: prefix of a bid).
+    """
+    plain = ~F.col("name").startswith(".") & ~F.col("name").startswith("~$") & F.lower("name").endswith(".pdf")
+    stem = F.regexp_replace("name", r"\.[^.]*$", "")
+    d = files.filter(plain).withColumn("_stem", stem).withColumn("_ids", F.regexp_extract_all("_stem", F.lit(f"({PROJECT_ID})"), F.lit(1)))
+    one = F.size("_ids") == 1
+    with_id = lambda group: F.regexp_extract("_stem", f"^(.*?){PROJECT_ID}(.*)$", group)
+    prefix = F.when(one, with_id(1)).otherwise(F.regexp_extract("_stem", f"^(.*)(?:{TENDER}|{BID})$", 1))
+    what = F.when(one, F.regexp_replace(with_id(2), "^[ _-]+", "")).otherwise(F.regexp_extract("_stem", f"({TENDER}|{BID})$", 1))
+    d = d.withColumn("_prefix", F.regexp_replace(prefix, "[ _-]+$", "")).withColumn("_what", what)
+    kind = F.when(F.col("_what").startswith(TENDER), "tender").when(F.col("_what").startswith(BID), "bid")
+    d = d.withColumn("kind", kind).withColumn("_id", F.when(one, F.lower(F.element_at("_ids", 1))))
+    wrong = F.when(F.size("_ids") > 1, "several project ids in the name").when(F.col("kind").isNull(), "name does not say tender or bid").when(F.col("_prefix") == "", "no name before the kind")
+    d = d.withColumn("_error", wrong)
+    good = d.filter("_error IS NULL")
+    by = files.select("project_key").distinct().join(
+        good.groupBy("project_key").agg(F.count_if(F.col("kind") == "tender").alias("_n"), F.max(F.when(F.col("kind") == "tender", F.col("_id"))).alias("project_id")), "project_key", "left"
+    ).withColumn("_n", F.coalesce("_n", F.lit(0)))
+    j = good.join(by, "project_key")
+    clash = (F.col("kind") == "bid") & (F.col("_n") == 1) & (F.col("_id") != F.col("project_id"))
+    kept = j.filter((F.col("kind") == "tender") | (F.col("_n") == 1)).filter(~F.coalesce(clash, F.lit(False)))
+    documents = kept.select("project_key", "name", "kind", F.when(F.col("_n") == 1, F.col("project_id")).alias("project_id"), F.when(F.col("kind") == "bid", F.col("_prefix")).alias("company"))
+    none = F.lit(None).cast("string")
+    errors = d.filter("_error IS NOT NULL").select("project_key", "name", F.col("_error").alias("error"))
+    errors = errors.unionByName(j.filter(clash).select("project_key", "name", F.lit("id differs from the tender's").alias("error")))
+    count = F.when(F.col("_n") == 0, "no tender").otherwise("several tenders")
+    return documents, errors.unionByName(by.filter("_n <> 1").select("project_key", none.alias("name"), count.alias("error")))
+
+
+def selected_projects(documents: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, unknown) of selections (selection) by a project's key or id, whatever their case."""
+    want = selected.select(F.lower("selection").alias("_s")).distinct()
+    names = documents.select("project_key", F.explode(F.array_compact(F.array(F.lower("project_key"), F.lower("project_id")))).alias("_s")).distinct()
+    hits = names.join(want, "_s")
+    return documents.join(hits.select("project_key").distinct(), "project_key", "left_semi"), want.join(hits, "_s", "left_anti").withColumnRenamed("_s", "selection")
+
+
+def select_image_location(documents: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(located, errors): each record's image by its exact file name in the folder of its kind; kinds without a folder keep their source path.
+
+    documents: (kind, source_file, source_path); images: (kind, name, path) of all images of the folders that were given.
+    """
+    base = F.regexp_extract(F.coalesce("source_path", F.lit("")), r"([^/\\]*)$", 1)
+    d = documents.withColumn("_name", F.coalesce("source_file", base))
+    given = images.select("kind", F.lit(True).alias("_given")).distinct()
+    d = d.join(given, "kind", "left")
+    bad = F.col("_given") & ~F.coalesce(F.col("_name").rlike(r"(?i)^[^/\\]+\.(png|jpe?g)$"), F.lit(False))
+    found = d.filter(~F.coalesce(bad, F.lit(False))).join(images.select("kind", F.col("name").alias("_name"), F.col("path").alias("_path")), ["kind", "_name"], "left")
+    located = found.withColumn("image_path", F.when(F.col("_given"), F.col("_path")).otherwise(F.col("source_path")))
+    return located.select(*documents.columns, "image_path"), d.filter(bad).select(*documents.columns, F.lit("source_file has to be the bare name of an image").alias("error"))
+
+
 FILE_NAME = r"^(.*?)[-_]?(招标文件|投标文件|tender|bid)[-_]?([0-9a-fA-F]{32})?(?:[-_](.*?))?\.(?:pdf|PDF|md)$"
 
 
 def discover_projects(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, errors) of file names (path): kind, project key and id by the file-name grammar; exactly one tender a project; ids have to agree."""
+    """(documents, errors) of flat folders, whose file names (path) begin with the project: a looser relative of `project_inputs`."""
     name = F.regexp_extract("path", "([^/]+)$", 1)
     d = files.withColumn("name", name).withColumn("kind", F.when(F.regexp_extract("name", FILE_NAME, 2).isin("招标文件", "tender"), "tender").when(F.regexp_extract("name", FILE_NAME, 2) != "", "bid"))
     d = d.withColumn("project", F.regexp_extract("name", FILE_NAME, 1)).withColumn("project_id", F.nullif(F.lower(F.regexp_extract("name", FILE_NAME, 3)), F.lit(""))).withColumn("company", F.nullif(F.regexp_extract("name", FILE_NAME, 4), F.lit("")))
