@@ -329,11 +329,13 @@ class EliasFano:
     def _in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Position of the k-th set bit of each word."""
         parts = words.view(np.uint8).reshape(-1, 8)
-        sums = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-        byte = (sums <= k[:, None]).sum(1)
+        # sums of set bits up to each byte, all eight in one word
+        sums = np.bitwise_count(parts).view(np.uint64).ravel() * np.uint64(0x0101010101010101)
+        each = sums.view(np.uint8).reshape(-1, 8)
+        byte = np.count_nonzero(each <= k.astype(np.uint8)[:, None], axis=1)
+        before = (sums << np.uint64(8)).view(np.uint8).reshape(-1, 8)
         row = np.arange(len(words))
-        rest = k - np.where(byte > 0, sums[row, np.maximum(byte - 1, 0)], 0)
-        return 8 * byte + _SELECT[parts[row, byte], rest]
+        return 8 * byte + _SELECT[parts[row, byte], k - before[row, byte]]
 
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Position of the k-th zero of the unary part."""
@@ -341,29 +343,40 @@ class EliasFano:
         return 64 * word + self._in_word(~self.words[word], k - self.before[word])
 
     def _one(self, k: np.ndarray) -> np.ndarray:
-        """Position of the k-th one: its word is bisected on the ones before each."""
-        lo, hi = np.zeros(len(k), dtype=np.int64), np.full(len(k), len(self.words) - 1)
-        for _ in range(len(self.words).bit_length()):
-            mid = (lo + hi + 1) // 2
-            less = 64 * mid - self.before[mid] <= k
-            lo, hi = np.where(less, mid, lo), np.where(less, hi, mid - 1)
-        return 64 * lo + self._in_word(self.words[lo], k - (64 * lo - self.before[lo]))
-
-    def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
-        """Index of the first element >= x (successor search), between `first` and `last` if given: the unary part gives the range of equal high bits, then the low bits are bisected."""
+        """Position of the k-th one of the unary part."""
+        before = 64 * np.arange(len(self.words)) - self.before
+        word = np.searchsorted(before, k, side="right") - 1
+        return 64 * word + self._in_word(self.words[word], k - before[word])
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Index of the first element >= x (successor search)."""
+        return self._search(x, None, None)[0]
+
+    def index_of(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of the element x between `first` and `last`, -1 where it is none."""
+        at, end, want = self._search(x, first, last)
+        found = np.flatnonzero(at < end)
+        found = found[self._low(at[found]) == want[found]]
+        out = np.full(len(x), -1)
+        out[found] = at[found]
+        return out
+
+    def _search(self, x: np.ndarray, first: np.ndarray | None, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(successor of x, end of the elements with its high bits, its low bits): the unary part gives the range of equal high bits, then the low bits are bisected."""
         x = x.astype(np.uint64)
         h = (x >> np.uint64(self.l)).astype(np.int64)
         want = x & np.uint64((1 << self.l) - 1)
         lo = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - np.maximum(h - 1, 0), 0)
-        hi = self._zero(h) - h
+        end = self._zero(h) - h
         if first is not None:
-            lo, hi = np.clip(lo, first, last), np.clip(hi, first, last)
+            lo, end = np.clip(lo, first, last), np.clip(end, first, last)
+        hi = end.copy()
         while (active := np.flatnonzero(lo < hi)).size:
             mid = (lo[active] + hi[active]) // 2
             less = self._low(mid) < want[active]
             lo[active[less]] = mid[less] + 1
             hi[active[~less]] = mid[~less]
-        return lo
+        return lo, end, want
 
     def at(self, i: np.ndarray) -> np.ndarray:
         return ((self._one(i) - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
@@ -420,9 +433,9 @@ class Level:
         own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(keys)]))
         asked = context[first]
         known = asked <= self.last
-        rank = np.zeros(len(first), dtype=np.int64)
-        rank[known] = self.contexts.find(asked[known])
-        known[known] = self.contexts.at(rank[known]) == asked[known].astype(np.uint64)
+        rank = np.full(len(first), -1)
+        rank[known] = self.contexts.index_of(asked[known])
+        known = rank >= 0
         start, end = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
         start[known] = self.pointers.at(rank[known])
         end[known] = self.pointers.at(rank[known] + 1)
@@ -430,10 +443,8 @@ class Level:
         for some in np.array_split(left, len(left) // (1 << 18) + 1):
             o = own[some]
             value = rank[o] << self.width | word[some]
-            at = self.successors.find(value, start[o], end[o])  # inside the context's own range
-            inside = np.flatnonzero(at < end[o])
-            same = inside[self.successors.at(at[inside]) == value[inside].astype(np.uint64)]
-            out[some[same]] = self.codes[at[same]]
+            at = self.successors.index_of(value, start[o], end[o])  # inside the context's own range
+            out[some[at >= 0]] = self.codes[at[at >= 0]]
         return out
 
 
@@ -580,12 +591,13 @@ def triple_codes(asked: DataFrame, mu: float) -> DataFrame:
         totals = np.where(given > 0, given, totals)  # a hot context is dealt out: its total comes with it
         before = 10.0 ** BOOK[np.concatenate([p[s] for p, s in zip(prior, seen, strict=True)])[first]]
         codes = quantise(np.log10((count + mu * before) / (totals[keys >> 32] + mu)))
-        out = []
+        out, fall = [], np.log10(mu / (totals + mu))
         with Level(keys, codes, tempfile.gettempdir()) as level:
             for r, k, p in zip(rows, own, prior, strict=True):
                 got = level.codes_of(k)
-                backed = quantise(BOOK[p] + np.log10(mu / (totals[k >> 32] + mu)))
-                out.append((r["block"], r["part"], np.where(got > 0, got, backed).astype(np.uint8).tobytes()))
+                rest = np.flatnonzero(got == 0)
+                got[rest] = quantise(BOOK[p[rest]] + fall[k[rest] >> 32])
+                out.append((r["block"], r["part"], got.tobytes()))
         return pa.Table.from_batches([rows_to_batch(out, arrow_schema("block long, part int, codes binary"))])
 
     return asked.groupBy("part").applyInArrow(answer, "block long, part int, codes binary")
