@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -57,6 +59,14 @@ class Shipped:
         self._sent.destroy()
 
 
+def trim() -> None:
+    """Gives back memory that a partition took: Python workers live on and would hold it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if release:
+        release(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, texts, to_batch, without_rows
+from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, texts, to_batch, trim, without_rows
 from docfacts.operators.merge import components
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
@@ -41,7 +41,7 @@ BLOCK = 1500
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
 #: Documents at most (about) whose shingles are counted to order them, and how many count as common.
-SOME, COMMON = 30_000, 1_000_000
+SOME, COMMON = 10_000, 500_000
 #: Bits of a set's parities.
 PARITY = 512
 
@@ -281,6 +281,7 @@ def _of_sets(docs: DataFrame, words: int, ddl: str, row) -> DataFrame:
                 ids = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True)
                 rows = [row(d, key, *shingle_set(t.as_py(), words)) for d, key, t in ids]
                 yield to_batch(list(zip(*rows, strict=True)), schema)
+        trim()
 
     return texts(docs, "doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, ddl)
 
@@ -342,6 +343,7 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
                     rows.append((int(bucket[some[0]]), *(x.tobytes() for x in packed)))
             if rows:
                 yield to_batch(list(zip(*rows, strict=True)), schema)
+        trim()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, parts = arrow_schema(LISTS), []
@@ -370,6 +372,8 @@ def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray)
             a, b = Lists(*columns, None, columns[1], least).stars()
             nothing = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32())]
             yield pa.RecordBatch.from_arrays([nothing[0], pa.array(a), *nothing[1:], pa.array(b)], schema=schema)
+        del k, node, size, at, by, own, columns, out
+        trim()
 
     packed = texts(docs, "doc_id", "text").mapInArrow(post, ddl)
     return packed.repartition(partitions(spark), "bucket").mapInArrow(gather, LISTS)
@@ -474,6 +478,8 @@ def open_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, least: floa
                 yield found(*(x[:tail] for x in got))
         if rest is not None:
             yield found(*rest)
+        del rest
+        trim()
 
     rooted = nodes.select("node", "parity").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     joined = lists.join(rooted, "node").select(*names)
@@ -499,6 +505,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, lea
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(shared >= least * max(len(x) + len(y) - shared, 1))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        trim()
 
     found = materialize(both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links")
     discard(pairs, wanted, sets)
