@@ -40,8 +40,8 @@ from docfacts.operators.merge import components
 BLOCK = 1500
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
-#: Documents at most (about) whose shingles are counted to order them, and how many count as common.
-SOME, COMMON = 10_000, 500_000
+#: About how many documents have their shingles counted to order them (up to twice as many), and how many shingles count as common.
+SOME, COMMON = 30_000, 1_000_000
 #: Bits of a set's parities.
 PARITY = 512
 
@@ -288,7 +288,7 @@ def _of_sets(docs: DataFrame, words: int, ddl: str, row) -> DataFrame:
 
 def common_shingles(docs: DataFrame, words: int, documents: int) -> np.ndarray:
     """Shingles found often in some of the documents, most frequent last. They only order a set's shingles: any order gives all pairs, rare ones first gives short lists."""
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-documents // SOME)))) == 0)
+    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, documents // SOME))) == 0)
     ddl = "shingle array<long>"
     each = _of_sets(some, words, ddl, lambda _d, _k, _n, own: (own.view(np.int64),)).select(F.explode("shingle").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).orderBy(F.desc("n"), "s").limit(COMMON)
