@@ -1,6 +1,6 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, decontaminate, html_template, language, language_model, packing, quality, sharding, simhash, url_filter
+from docfacts.llm import audio, decontaminate, html_template, language, language_model, merkle, packing, quality, sharding, simhash, url_filter, vector_codes
 
 QUERIES = {
     "op1_html_template": html_template.op1_html_template,
@@ -13,5 +13,7 @@ QUERIES = {
     "op8_audio": audio.op8_audio,
     "op9_pattern_packing": packing.op9_pattern_packing,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
-ORACLES = {"op10_url_filter": url_filter.ORACLE}
+ORACLES = {"op10_url_filter": url_filter.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_merkle_manifest": merkle.ORACLE}
