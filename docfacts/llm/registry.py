@@ -1,6 +1,6 @@
 """Queries and oracle SQL of this subpackage."""
 
-from docfacts.llm import audio, decontaminate, html_template, language, language_model, merkle, packing, quality, sharding, simhash, url_filter, vector_codes
+from docfacts.llm import audio, decontaminate, html_template, jaccard, language, language_model, merkle, packing, quality, sharding, simhash, url_filter, vector_codes
 
 QUERIES = {
     "op1_html_template": html_template.op1_html_template,
@@ -15,5 +15,6 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_ngram_jaccard": jaccard.op13_ngram_jaccard,
 }
 ORACLES = {"op10_url_filter": url_filter.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_merkle_manifest": merkle.ORACLE}

@@ -33,53 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, texts, to_batch, trim, without_rows
+from docfacts.llm.jaccard import near_copies
+from docfacts.llm.shared import arrow_schema, batch_rows, materialize, only_rows, partitions, read, texts, to_batch, without_rows
+from docfacts.llm.shingles import mixed, shingle_hashes
 from docfacts.operators.merge import components
 
 #: Members of a posting list compared in one group; longer lists are cut into blocks.
 BLOCK = 1500
 #: Longer posting lists than this are reduced by growing components instead of shifting.
 SHORT = 48
-#: About how many documents have their shingles counted to order them (up to twice as many), and how many shingles count as common.
-SOME, COMMON = 30_000, 1_000_000
-#: Bits of a set's parities.
-PARITY = 512
-
-
-def word_spans(text: str | None) -> tuple[bytes, list[int], list[int]]:
-    """The lower-cased (A-Z) words joined by one space, with the start and end of each."""
-    words = [] if text is None else text.encode().translate(LOWER).split()
-    if not words:
-        return b"", [], []
-    ends = np.cumsum(np.array([len(w) for w in words]) + 1) - 1
-    return b" ".join(words), [0, *(ends[:-1] + 1).tolist()], ends.tolist()
-
-
-#: A-Z to a-z; \x0b and \x0c are white space to bytes.split() as they are to the contract, and no other byte is.
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
-def shingle_hashes(text: str | None, n: int, seed: int = 42) -> np.ndarray:
-    """XXH64 of every n-word shingle, repeats included."""
-    import xxhash
-
-    joined, starts, ends = word_spans(text)
-    if not starts:
-        return np.zeros(0, dtype=np.uint64)
-    h = xxhash.xxh64_intdigest
-    tails = ends[n - 1:] or ends[-1:]
-    return np.array([h(joined[a:b], seed) for a, b in zip(starts, tails, strict=False)], dtype=np.uint64)
-
-
-def _mixed(hashes: np.ndarray, copy: int) -> np.ndarray:
-    """The hashes themselves, or an independent 64-bit remix of them for wider fingerprints."""
-    if copy == 0:
-        return hashes
-    with np.errstate(over="ignore"):
-        h = hashes ^ np.uint64(0x9E3779B97F4A7C15 * copy & 0xFFFFFFFFFFFFFFFF)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-        return h ^ (h >> np.uint64(31))
 
 
 def fingerprint(hashes: np.ndarray, bits: int = 64) -> bytes:
@@ -88,7 +50,7 @@ def fingerprint(hashes: np.ndarray, bits: int = 64) -> bytes:
         return bytes(bits // 8)
     parts = []
     for copy in range(bits // 64):
-        view = _mixed(hashes, copy).astype(">u8").view(np.uint8).reshape(-1, 8)
+        view = mixed(hashes, copy).astype(">u8").view(np.uint8).reshape(-1, 8)
         count = np.zeros(64, dtype=np.int64)
         for at in range(0, len(view), 4096):
             count += np.unpackbits(view[at:at + 4096], axis=1).sum(0, dtype=np.int64)
@@ -256,287 +218,6 @@ def near_duplicates(
     return marked.join(named, "fp")
 
 
-def shingle_set(text: str | None, words: int) -> tuple[int, np.ndarray]:
-    """(node, sorted distinct shingle hashes): texts of equal sets are one node, a 64-bit hash of the set."""
-    import xxhash
-
-    own = np.unique(shingle_hashes(text, words))
-    h = xxhash.xxh64_intdigest(own.tobytes(), 7)
-    return h - (1 << 64) if h >> 63 else h, own
-
-
-def parity(own: np.ndarray) -> bytes:
-    """PARITY bits: of how many of the hashes fall on each bit, whether the number is odd. Of two sets at least so many members are in one only as bits differ."""
-    return np.packbits(np.bincount((own >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY) & 1).tobytes()
-
-
-def _of_sets(docs: DataFrame, words: int, ddl: str, row) -> DataFrame:
-    """One row, made by row(doc_id, hash of the text, node, set), of each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(ddl)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True)
-                rows = [row(d, key, *shingle_set(t.as_py(), words)) for d, key, t in ids]
-                yield to_batch(list(zip(*rows, strict=True)), schema)
-        trim()
-
-    return texts(docs, "doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, ddl)
-
-
-def common_shingles(docs: DataFrame, words: int, documents: int) -> np.ndarray:
-    """Shingles found often in some of the documents, most frequent last. They only order a set's shingles: any order gives all pairs, rare ones first gives short lists."""
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, documents // SOME))) == 0)
-    ddl = "shingle array<long>"
-    each = _of_sets(some, words, ddl, lambda _d, _k, _n, own: (own.view(np.int64),)).select(F.explode("shingle").alias("s"))
-    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).orderBy(F.desc("n"), "s").limit(COMMON)
-    return often.select("s").toArrow().column("s").to_numpy()[::-1].astype(np.int64).view(np.uint64)
-
-
-def prefix(own: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
-    """The first shingles of a set, common ones last: two sets of a similarity of `least` or more share one of their first n - least * n + 1."""
-    n = len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1 if len(own) else 0
-    if not len(common):
-        return own[:n]
-    at = np.minimum(np.searchsorted(common[0], own), len(common[0]) - 1)
-    rank = np.where(common[0][at] == own, common[1][at] + 1, 0)
-    return own[np.argsort(rank, kind="stable")[:n]]
-
-
-LISTS = "k long, node long, size int, at int, other long"
-
-
-def shared_lists(docs: DataFrame, words: int, least: float, common: np.ndarray) -> DataFrame:
-    """The inverted index over prefixes without lists of one node: (k, node, size, position); and, where k is null, the pairs (node, other) of its stars.
-
-    Postings travel packed, a row for each batch and bucket of shingles.
-    """
-    spark, buckets = docs.sparkSession, 3 * partitions(docs.sparkSession)
-    order = np.argsort(common)
-    ranked = Shipped(spark, (common[order], order) if len(common) else ())
-    ddl = "bucket int, k binary, owner binary, at binary, node binary, size binary"
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, known = arrow_schema(ddl), ranked.value
-        for batch in batches:
-            keys, nodes, sizes = [], [], []
-            for t in batch.column(1):
-                node, own = shingle_set(t.as_py(), words)
-                keys.append(prefix(own, known, least))
-                nodes.append(node)
-                sizes.append(len(own))
-            if not nodes:
-                continue
-            n = np.array([len(k) for k in keys])
-            k, nodes, sizes = np.concatenate(keys), np.array(nodes, dtype=np.int64), np.array(sizes, dtype=np.int32)
-            owner = np.repeat(np.arange(len(n)), n).astype(np.uint16)
-            at = np.minimum(np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n), 65535).astype(np.uint16)
-            bucket = (k % np.uint64(buckets)).astype(np.int32)
-            by = np.argsort(bucket, kind="stable")
-            rows = []
-            for some in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
-                if len(some):
-                    docs_of, own = np.unique(owner[some], return_inverse=True)
-                    packed = (k[some], own.astype(np.uint16), at[some], nodes[docs_of], sizes[docs_of])
-                    rows.append((int(bucket[some[0]]), *(x.tobytes() for x in packed)))
-            if rows:
-                yield to_batch(list(zip(*rows, strict=True)), schema)
-        trim()
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, parts = arrow_schema(LISTS), []
-        for batch in batches:
-            for k, owner, at, node, size in zip(*(batch.column(c) for c in range(1, 6)), strict=True):
-                own = np.frombuffer(owner.as_py(), np.uint16)
-                parts.append((
-                    np.frombuffer(k.as_py(), np.uint64), np.frombuffer(node.as_py(), np.int64)[own],
-                    np.frombuffer(size.as_py(), np.int32)[own], np.frombuffer(at.as_py(), np.uint16),
-                ))
-        if not parts:
-            return
-        k, node, size, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-        parts.clear()
-        by = np.argsort(k, kind="stable")
-        k = k[by]
-        same = np.r_[(k[1:] == k[:-1]), False]
-        shared = same | np.r_[False, same[:-1]]
-        own = by[shared]
-        columns = [k[shared].view(np.int64), node[own], size[own].astype(np.int32), at[own].astype(np.int32)]
-        none = pa.nulls(len(own), pa.int64())
-        out = pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), none], schema=schema)
-        for cut in range(0, out.num_rows, 50_000):
-            yield out.slice(cut, 50_000)
-        if len(own):
-            a, b = Lists(*columns, None, columns[1], least).stars()
-            nothing = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([nothing[0], pa.array(a), *nothing[1:], pa.array(b)], schema=schema)
-        del k, node, size, at, by, own, columns, out
-        trim()
-
-    packed = texts(docs, "doc_id", "text").mapInArrow(post, ddl)
-    return packed.repartition(partitions(spark), "bucket").mapInArrow(gather, LISTS)
-
-
-class Lists:
-    """Some whole lists, list by list in ascending size of the nodes: arrays k, node, size, at, parity (rows of words, or None) and root."""
-
-    def __init__(self, k, node, size, at, parities, root, least: float):
-        by = np.lexsort((node, size, k))
-        self.k, self.node, self.size, self.at = k[by], node[by], size[by].astype(np.int64), at[by].astype(np.int64)
-        self.parity, self.root, self.least = None if parities is None else parities[by], root[by], least
-        self.starts = np.flatnonzero(np.r_[True, self.k[1:] != self.k[:-1]])
-        self.sizes = np.diff(np.r_[self.starts, len(k)])
-        self.list = np.repeat(np.arange(len(self.starts)), self.sizes)
-        self.found: list[np.ndarray] = []
-        self.waiting = 0
-
-    def may_match(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether lengths, what follows the shared shingle, and the bits that differ allow the similarity. No pair that has it is refused."""
-        a, b = self.size[i], self.size[j]
-        need = np.ceil(self.least / (1 + self.least) * (a + b) - 1e-9)
-        ok = (self.root[i] != self.root[j]) & (np.minimum(a, b) >= self.least * np.maximum(a, b) - 1e-9)
-        ok &= np.minimum(a - self.at[i], b - self.at[j]) >= need
-        if self.parity is None:
-            return ok
-        left = np.flatnonzero(ok)
-        for some in np.array_split(left, len(left) // 200_000 + 1):
-            differ = np.bitwise_count(self.parity[i[some]] ^ self.parity[j[some]]).sum(1, dtype=np.int64)
-            ok[some] = differ <= a[some] + b[some] - 2 * need[some]
-        return ok
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Keeps the pairs that may match; returns which do."""
-        ok = self.may_match(i, j)
-        a, b = self.node[i[ok]], self.node[j[ok]]
-        self.found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-        self.waiting += len(a)
-        if self.waiting > 1 << 22:
-            self.found = [self.pairs()]
-            self.waiting = self.found[0].shape[1]
-        return ok
-
-    def pairs(self) -> np.ndarray:
-        """The distinct pairs (a, b), a < b, that were kept."""
-        return np.unique(np.concatenate(self.found, axis=1), axis=1) if self.found else np.zeros((2, 0), dtype=np.int64)
-
-    def stars(self, rounds: int = 3) -> np.ndarray:
-        """Pairs of each list's least node with all others that may match it; those that don't get a centre of their own in the next round.
-
-        Nodes alike share many lists and so their centres: a large group has few pairs a node."""
-        left = np.lexsort((self.node, self.list))
-        for _ in range(rounds):
-            if len(left) < 2:
-                break
-            first = np.r_[True, self.list[left][1:] != self.list[left][:-1]]
-            centre = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
-            others = ~first
-            ok = self.add(left[others], centre[others])
-            left = left[others][~ok]
-        return self.pairs()
-
-    def open(self) -> np.ndarray:
-        """All pairs of different roots that may match."""
-        mixed = np.minimum.reduceat(self.root, self.starts) != np.maximum.reduceat(self.root, self.starts)
-        left_in = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.k))
-        i = np.flatnonzero(np.repeat(mixed & (self.sizes <= SHORT), self.sizes))
-        for shift in range(1, SHORT):
-            i = i[left_in[i] > shift]
-            i = i[self.size[i] >= self.least * self.size[i + shift] - 1e-9]  # a list ascends in size
-            if not len(i):
-                break
-            self.add(i, i + shift)
-        for r in np.flatnonzero(mixed & (self.sizes > SHORT)):
-            # pairs inside the largest component of the list are not looked at
-            own = np.arange(self.starts[r], self.starts[r] + self.sizes[r])
-            names, count = np.unique(self.root[own], return_counts=True)
-            for x in own[self.root[own] != names[count.argmax()]]:
-                self.add(np.full(len(own), x), own)
-        return self.pairs()
-
-
-def open_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """(a, b): all pairs of nodes of different roots that may have the similarity."""
-    ddl, names = "a long, b long", ["k", "node", "size", "at", "parity", "root"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, rest = arrow_schema(ddl), None
-
-        def found(*columns) -> pa.RecordBatch:
-            return to_batch(list(Lists(*columns, least).open()), schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
-            got = [batch.column(c).to_numpy() if c != "parity" else bits for c in names]
-            got = got if rest is None else [np.concatenate(x) for x in zip(rest, got, strict=True)]
-            tail = int(np.searchsorted(got[0], got[0][-1]))
-            rest = [x[tail:] for x in got]
-            if tail:
-                yield found(*(x[:tail] for x in got))
-        if rest is not None:
-            yield found(*rest)
-        del rest
-        trim()
-
-    rooted = nodes.select("node", "parity").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    joined = lists.join(rooted, "node").select(*names)
-    batch_rows(lists.sparkSession, 50_000)
-    return joined.repartition(partitions(lists.sparkSession), "k").sortWithinPartitions("k").mapInArrow(run, ddl)
-
-
-def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, least: float) -> DataFrame:
-    """Of pairs (a, b), those with a Jaccard similarity of at least `least`; only texts in a pair are read again."""
-    pairs = materialize(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = materialize(nodes.join(wanted, "node", "left_semi").select("first.*"), "wanted")
-    sets = _of_sets(only_rows(docs, wanted), words, "node long, shingles binary", lambda _d, _k, node, own: (node, own.tobytes()))
-    sets = materialize(sets.dropDuplicates(["node"]), "shingles")
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    batch_rows(docs.sparkSession, 500)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= least * max(len(x) + len(y) - shared, 1))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        trim()
-
-    found = materialize(both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links")
-    discard(pairs, wanted, sets)
-    return found
-
-
-def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, key, first) of every document: key is a hash of its text, first the least (doc_id, key) reachable over pairs of a similarity of `least` or more.
-
-    The search is complete: such pairs share a shingle of their prefixes. A
-    few pairs of each node come first, so that large groups are joined by few;
-    then all pairs between components that lengths, positions and parities
-    allow are verified, and only what passed links.
-    """
-    ddl = "doc_id long, key long, node long, parity binary"
-    marked = materialize(_of_sets(docs, words, ddl, lambda d, key, node, own: (d, key, node, parity(own))), "marked")
-    each = F.struct("doc_id", "key")
-    nodes = materialize(marked.groupBy("node").agg(F.min(each).alias("first"), F.min("parity").alias("parity")), "nodes")
-    copies = marked.select("node", each.alias("own")).join(nodes.select("node", "first"), "node").filter("own <> first")
-    firsts = without_rows(docs, copies.select("own.*"))
-    lists = materialize(shared_lists(firsts, words, least, common_shingles(docs, words, marked.count())), "lists")
-    stars, lines = lists.filter("k IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), lists.filter("k IS NOT NULL")
-    some = similar(stars, nodes, docs, words, least)
-    rest = similar(open_pairs(lines, nodes, components(some), least), nodes, docs, words, least)
-    roots = components(some.union(rest))
-    joined = materialize(nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
-    named = materialize(joined.join(joined.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", F.col("least").alias("first")), "named")
-    discard(lists, some, rest, joined)
-    return marked.select("doc_id", "key", "node").join(named, "node").select("doc_id", "key", "first")
-
-
 def kept(docs: DataFrame) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the least doc_id (null ones first), then hash of the text.
 

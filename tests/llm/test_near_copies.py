@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from docfacts.llm import simhash
+from docfacts.llm import jaccard, simhash
 
 
 def test_repeated_rows_and_shared_ids(spark):
@@ -29,7 +29,7 @@ def test_parity_never_refuses_a_pair():
             b = a.copy()
             change = rng.choice(n, int(rng.integers(0, n // 5 + 1)), replace=False)
             b[change] = rng.integers(0, 1 << 63, len(change)).astype(np.uint64)
-            x, y = (np.frombuffer(simhash.parity(np.unique(s)), np.uint64) for s in (a, b))
+            x, y = (np.frombuffer(jaccard.parity(np.unique(s)), np.uint64) for s in (a, b))
             assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
 
 
@@ -41,8 +41,8 @@ def test_stars_and_open_pairs():
     node = rng.integers(0, 60, n)
     size, at = 20 + node % 5, rng.integers(0, 3, n)
     bits = np.zeros((n, 8), dtype=np.uint64)
-    whole = simhash.Lists(k, node, size, at, bits, node % 7, 0.8)
-    got = set(map(tuple, whole.open().T.tolist()))
+    whole = jaccard.Lists(k, node, size, at, k, jaccard.Threshold(4, 5), node % 7, bits)
+    got = set(map(tuple, whole.between_roots().T.tolist()))
     want = set()
     for i in range(n):
         for j in range(n):
@@ -51,5 +51,5 @@ def test_stars_and_open_pairs():
                 if min(size[i], size[j]) >= 0.8 * max(size[i], size[j]) - 1e-9 and min(size[i] - at[i], size[j] - at[j]) >= need:
                     want.add((int(node[i]), int(node[j])))
     assert got == want
-    stars = simhash.Lists(k, node, size, at, bits, node, 0.8).stars()
+    stars = jaccard.Lists(k, node, size, at, k, jaccard.Threshold(4, 5)).stars()
     assert 0 < stars.shape[1] < n and (stars[0] < stars[1]).all()
