@@ -129,10 +129,14 @@ def recovered_errors(errors: DataFrame, pages: DataFrame) -> DataFrame:
     return joined.groupBy("doc_id", "start", "end").agg(F.bool_and(F.coalesce("usable", F.lit(False))).alias("recovered"))
 
 
+# Why a field has no value, by its extraction mode; of all other modes the sources held none.
+GAP_REASONS = {"USER_CONFIRMED_ONLY": "USER_NOT_PROVIDED", "POST_IMPORT_DERIVED": "DEPENDENCY_MISSING", "EXTERNAL_ONLY": "NOT_COLLECTED"}
+
+
 def profile_gaps(contract: DataFrame, candidates: DataFrame, owners: DataFrame) -> DataFrame:
-    """Contract fields without a candidate, per owner, with the reason by extraction mode."""
+    """Contract fields (field_code, mode) without a candidate, per owner, with the reason by extraction mode."""
     wanted = owners.crossJoin(small(contract))
-    reason = F.when(F.col("mode") == "MANUAL", "NEEDS_MANUAL_INPUT").when(F.col("mode") == "DERIVED", "NO_SOURCE_FACTS").otherwise("NOT_IN_DOCUMENT")
+    reason = F.coalesce(*[F.when(F.col("mode") == mode, F.lit(said)) for mode, said in GAP_REASONS.items()], F.lit("SOURCE_EMPTY"))
     return wanted.join(candidates, [*owners.columns, "field_code"], "left_anti").withColumn("reason", reason)
 
 

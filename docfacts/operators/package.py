@@ -40,7 +40,6 @@ DIMENSION_FIELDS = {
     "buyer_relationship_capability": ["capability.buyer_relationships", "capability.project_performances"],
     "tender_performance_capability": ["capability.tender_records", "capability.project_performances"],
 }
-GAP_REASONS = {"DERIVED": "NO_SOURCE_FACTS", "POST_IMPORT_DERIVED": "DERIVED_AFTER_IMPORT", "USER_CONFIRMED_ONLY": "USER_CONFIRMATION_REQUIRED", "EXTERNAL_ONLY": "EXTERNAL_SOURCE_REQUIRED"}
 #: Direct fields: company column and the fragments of evidence paths that support it.
 DIRECT = {
     "enterprise.name": ("company_name", ["companyname", "enterprise.name"]), "enterprise.credit_code": ("credit_code", ["creditcode", "credit_code"]),

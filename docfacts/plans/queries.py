@@ -284,13 +284,16 @@ def capability_rollup(spark, sf_dir):
 
 
 @query("""
-SELECT n_nationkey, t.p_type AS field_code, CASE WHEN t.p_type LIKE '%A%' THEN 'NEEDS_MANUAL_INPUT' ELSE 'NOT_IN_DOCUMENT' END AS reason FROM nation, (SELECT DISTINCT p_type FROM part) t
+SELECT n_nationkey, t.p_type AS field_code, CASE WHEN t.p_type = 'PROMO' THEN 'USER_NOT_PROVIDED' WHEN t.p_type = 'STANDARD' THEN 'DEPENDENCY_MISSING' WHEN t.p_type = 'SMALL' THEN 'NOT_COLLECTED' ELSE 'SOURCE_EMPTY' END AS reason FROM nation, (SELECT DISTINCT p_type FROM part) t
 WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part p ON l_partkey = p.p_partkey WHERE s_nationkey = n_nationkey AND p.p_type = t.p_type AND l_quantity >= 50)""")
 def profile_gaps(spark, sf_dir):
     """J13."""
     li, s, p, n = (read(spark, sf_dir, t) for t in ("lineitem", "supplier", "part", "nation"))
     have = li.filter("l_quantity >= 50").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("s_nationkey").alias("n_nationkey"), F.col("p_type").alias("field_code")).distinct()
-    contract = p.select(F.col("p_type").alias("field_code")).distinct().withColumn("mode", F.when(F.col("field_code").contains("A"), "MANUAL").otherwise("DIRECT"))
+    contract = p.select(F.col("p_type").alias("field_code")).distinct()
+    code = F.col("field_code")
+    mode = F.when(code == "PROMO", "USER_CONFIRMED_ONLY").when(code == "STANDARD", "POST_IMPORT_DERIVED").when(code == "SMALL", "EXTERNAL_ONLY").otherwise("DIRECT")
+    contract = contract.withColumn("mode", mode)
     return joins.profile_gaps(contract, have, n.select("n_nationkey")).select("n_nationkey", "field_code", "reason")
 
 

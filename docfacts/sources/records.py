@@ -148,25 +148,6 @@ def select_image_location(documents: DataFrame, images: DataFrame) -> tuple[Data
     return located.select(*documents.columns, "image_path"), d.filter(bad).select(*documents.columns, F.lit("source_file has to be the bare name of an image").alias("error"))
 
 
-FILE_NAME = r"^(.*?)[-_]?(招标文件|投标文件|tender|bid)[-_]?([0-9a-fA-F]{32})?(?:[-_](.*?))?\.(?:pdf|PDF|md)$"
-
-
-def discover_projects(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, errors) of flat folders, whose file names (path) begin with the project: a looser relative of `project_inputs`."""
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    d = files.withColumn("name", name).withColumn("kind", F.when(F.regexp_extract("name", FILE_NAME, 2).isin("招标文件", "tender"), "tender").when(F.regexp_extract("name", FILE_NAME, 2) != "", "bid"))
-    d = d.withColumn("project", F.regexp_extract("name", FILE_NAME, 1)).withColumn("project_id", F.nullif(F.lower(F.regexp_extract("name", FILE_NAME, 3)), F.lit(""))).withColumn("company", F.nullif(F.regexp_extract("name", FILE_NAME, 4), F.lit("")))
-    by = d.filter("kind IS NOT NULL").groupBy("project").agg(F.count_if(F.col("kind") == "tender").alias("tenders"), F.count_distinct("project_id").alias("ids"))
-    bad = by.filter("tenders <> 1 OR ids > 1").select("project", F.when(F.col("tenders") == 0, "no tender").when(F.col("tenders") > 1, "several tenders").otherwise("project ids differ").alias("error"))
-    return d.filter("kind IS NOT NULL").join(bad, "project", "left_anti"), bad.unionByName(d.filter("kind IS NULL").select(F.col("name").alias("project"), F.lit("file name does not fit").alias("error")))
-
-
-def unknown_selection(selected: DataFrame, documents: DataFrame) -> DataFrame:
-    """Selections (selection) that are no project's key or id."""
-    known = documents.select(F.col("project").alias("selection")).union(documents.select("project_id")).distinct()
-    return selected.join(known, "selection", "left_anti")
-
-
 def load_state(tables: dict[str, DataFrame], company_id: int, field_codes: list[str]) -> dict[str, DataFrame]:
     """The company's part of every state table; filters and columns reach the source."""
     out = {n: t.where(F.col("company_id") == company_id) for n, t in tables.items() if "company_id" in t.columns}

@@ -12,7 +12,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir. Where it is unset, a temporary one in local mode and an error on a cluster, whose machines share no local folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-docfacts-")
         spark.conf.set("spark.checkpoint.dir", base)

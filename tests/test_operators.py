@@ -6,7 +6,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from docfacts.operators import certificates, checks, classify, joins, layout, merge, profile, tender, windows
+from docfacts.operators import certificates, checks, classify, joins, layout, merge, package, profile, tender, windows
 from docfacts.sources import records, sinks
 
 
@@ -165,13 +165,18 @@ def test_sources(spark):
     cells = [("s", r, c, v) for r, row in enumerate([["title"], ["项目名称", "标段名称", "中标人", "中标金额"], ["p1", "l1", "甲", "12"], ["p1", "l2", "无数据", ""], ["group"]], 1) for c, v in enumerate(row, 1)]
     awards = records.read_award_rows(spark.createDataFrame(cells, "sheet string, row_no int, col_no int, value string")).orderBy("row_no").collect()
     assert [(r["project_name"], r["lot"], r["winner"]) for r in awards] == [("p1", "l1", "甲"), ("p1", "l2", None)]
-    files = spark.createDataFrame([("/x/p1-tender.pdf",), ("/x/p1-bid-甲.pdf",), ("/x/p2-bid.pdf",), ("/x/other.txt",)], "path string")
-    docs, bad = records.discover_projects(files)
-    assert docs.count() == 2 and {r["error"] for r in bad.collect()} == {"no tender", "file name does not fit"}
     parsed = spark.createDataFrame([('say ```json\n{"a": 1}\n``` ok',), ("none",)], "t string").select(records.parse_json_object_text(F.col("t"), "a int").alias("o")).collect()
     assert parsed[0]["o"]["a"] == 1 and parsed[1]["o"] is None
 
 
+def test_gap_reasons_of_the_contract(spark):
+    contract, _ = package.contract_table(spark)
+    have = spark.createDataFrame([(1, "enterprise.name"), (1, "quality.api_coverage")], "company int, field_code string")
+    gaps = {r["field_code"]: r["reason"] for r in joins.profile_gaps(contract, have, spark.createDataFrame([(1,)], "company int")).collect()}
+    assert len(gaps) == 28 and "enterprise.name" not in gaps
+    assert gaps["preference.amount_range"] == "USER_NOT_PROVIDED" and gaps["evaluation.scores"] == "DEPENDENCY_MISSING" and gaps["tag.risks"] == "SOURCE_EMPTY"
+
+
 def test_snapshot_and_receipts(spark, tmp_path):
     root = f"file://{tmp_path}/snap"
     for v in (1, 2):
