@@ -4,11 +4,21 @@ Every page is a sequence of tokens: element starts and ends told apart by their
 path in the page (tags with their first class and id), and text runs told apart
 by path and content. Tokens of one host that occur equally often on each of its
 pages (equal occurrence vectors, compared through a commutative hash of page and
-count) form an equivalence class. Classes found on enough pages are kept if they
-are valid: on every page their tokens stand in the same order, inside the same
-element of one parent class, and in the same gaps of that parent class. So valid
-classes nest into a tree, the host's template; what lies between its tokens
-fills slots.
+count) inside the same element form an equivalence class, if they are found on
+enough pages.
+
+Equal paths may play different roles, an advert's `div` and the article's, so
+roles are told apart until nothing changes: a token that occurs the same number
+of times on every page becomes as many roles, one for each place in the order;
+and tokens that are in no class yet are told apart by the template element
+around them and the gap between its inner template tokens in which they stand.
+Each round forms classes anew from the finer roles (partition refinement; at
+most `ROUNDS`).
+
+Classes are kept if they are valid: on every page their tokens stand in the same
+order, inside the same element of one parent class, and in the same gaps of that
+parent class. So valid classes nest into a tree, the host's template; what lies
+between its tokens fills slots.
 
 The article is chosen among the template's elements by what varies: text of a
 page that is no template token counts for all template elements around it.
@@ -45,7 +55,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, materialize, read, rows_to_batch, texts
+from docfacts.llm.shared import arrow_schema, discard, materialize, read, rows_to_batch, slices, texts
 from docfacts.llm.url_filter import split_url
 
 #: A class has to occur on this many different pages of a host, and on this share of them.
@@ -56,6 +66,10 @@ MOST = 0.6
 BROADCAST_TOKENS = 500_000
 #: Elements deeper than this become siblings, as in browsers.
 DEPTH = 512
+#: Rounds in which roles are told apart by their surroundings, and the most places in the order that one token is split into.
+ROUNDS, PLACED = 2, 8
+#: What the place in the order adds to a role, by exclusive or: the end of an element, its start's complement, stays the complement.
+PLACE = [0, *(((k * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64)) - (1 << 63) for k in range(1, PLACED + 1))]
 
 # One attribute, as browsers cut it: a name and a value in quotes or up to white space; quotes elsewhere are plain characters.
 _VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
@@ -226,10 +240,10 @@ def token_of(kind: int, value: str, element: Element) -> int:
 ASIDE, HEADING, MARKED, LENGTH = 4, 8, 16, 32
 
 
-def page_tokens(page: str) -> tuple[list[int], list[int], list[int]]:
-    """The tokens of a page in order (elements and texts that are not blank), their flags, and at each first occurrence how often it occurs."""
-    tokens, flags, heading = [], [], 0
-    for kind, value, e in events(page):
+def token_list(found: list[tuple[int, str, Element]]) -> tuple[list[int], list[int], list[int]]:
+    """The tokens of a page's events in order (elements and texts that are not blank), their flags, and the event of each."""
+    tokens, flags, at, heading = [], [], [], 0
+    for k, (kind, value, e) in enumerate(found):
         if kind == TEXT:
             n = len(value) - value.count(" ")
             if not n or value.isspace():
@@ -242,42 +256,124 @@ def page_tokens(page: str) -> tuple[list[int], list[int], list[int]]:
             flag = kind | MARKED * (kind == OPEN and e.marked)
         tokens.append(token_of(kind, value, e))
         flags.append(flag | ASIDE * e.aside | HEADING * (heading > 0))
-    counts, first = Counter(tokens), set()
-    return tokens, flags, [0 if t in first or first.add(t) else counts[t] for t in tokens]
+        at.append(k)
+    return tokens, flags, at
+
+
+def page_tokens(page: str) -> tuple[list[int], list[int]]:
+    return token_list(list(events(page)))[:2]
+
+
+def in_order(roles: list[int], flags: list[int], split: set[int]) -> list[int]:
+    """Roles of `split` told apart by their place in the page; an element's end follows its start."""
+    if not split:
+        return roles
+    count: Counter[int] = Counter()
+    opened: dict[int, list[int]] = {}
+    out = []
+    for t, f in zip(roles, flags, strict=True):
+        kind = f & 3
+        if kind == CLOSE:
+            starts = opened.get(~t)
+            out.append(~starts.pop() if starts else t)
+            continue
+        own = t
+        if t in split:
+            count[t] += 1
+            own = t ^ PLACE[min(count[t], PLACED)]
+        out.append(own)
+        if kind == OPEN:
+            opened.setdefault(t, []).append(own)
+    return out
+
+
+def in_gaps(roles: list[int], flags: list[int], template: set[int]) -> list[int]:
+    """Roles outside the template told apart by the template element around them and the number of template tokens before them in it."""
+    around = [[0, 0]]  # open template elements: role, template tokens passed directly inside
+    opened: dict[int, list[int]] = {}
+    out = []
+    for t, f in zip(roles, flags, strict=True):
+        kind, known = f & 3, t in template
+        if kind == CLOSE:
+            starts = opened.get(~t)
+            own = ~starts.pop() if starts else t
+            if around[-1][0] == ~own and len(around) > 1:
+                around.pop()
+        elif known:
+            own = t
+        else:
+            own = signed(xxhash.xxh64_intdigest(b"%d %d" % (around[-1][0], around[-1][1]), t & 0xFFFFFFFFFFFFFFFF))
+        out.append(own)
+        around[-1][1] += known
+        if kind == OPEN:
+            opened.setdefault(t, []).append(own)
+            if known:
+                around.append([own, 0])
+    return out
+
+
+def shape(roles: list[int], flags: list[int]) -> tuple[list[int], list[int]]:
+    """At each role's first occurrence how often it occurs (else 0), and the innermost element around it that occurs once."""
+    counts, seen, around = Counter(roles), set(), [0]
+    times, parents = [], []
+    for t, f in zip(roles, flags, strict=True):
+        kind = f & 3
+        if kind == CLOSE and len(around) > 1 and around[-1] == ~t:
+            around.pop()
+        times.append(0 if t in seen else counts[t])
+        parents.append(around[-1])
+        seen.add(t)
+        if kind == OPEN and counts[t] == 1:
+            around.append(t)
+    return times, parents
 
 
-TOKENS = "host string, content long, tokens array<long>, flags array<long>, counts array<int>"
+TOKENS = "host string, content long, tokens array<long>, flags array<long>, counts array<int>, parents array<long>"
 
 
 def tokenised(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(TOKENS)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                hosts, contents = part.column(0).to_pylist(), part.column(1).to_pylist()
-                rows = [(h, c, *page_tokens(p.as_py())) for h, c, p in zip(hosts, contents, part.column(2), strict=True)]
+            for part in slices(batch, "html", 2 << 20):
+                rows = []
+                for h, c, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                    tokens, flags = page_tokens(p.as_py())
+                    rows.append((h, c, tokens, flags, *shape(tokens, flags)))
                 yield rows_to_batch(rows, schema)
 
     return texts(pages.filter(F.length("html") > 0), "host", F.xxhash64("html").alias("content"), "html").mapInArrow(run, TOKENS)
 
 
-def classes(tokens: DataFrame) -> DataFrame:
-    """(host, class, support, tokens): equivalence classes that occur on enough pages of their host."""
+def roles(tokens: DataFrame) -> DataFrame:
+    """(host, role, support, vector, parent, once, split): roles on enough pages of their host, inside one element. Tokens that occur equally often on all pages give a role for each place in the order."""
     sizes = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES)
-    first = F.filter(F.arrays_zip("tokens", "counts"), lambda t: t["counts"] > 0)
-    vectors = tokens.select("host", "content", F.explode(first).alias("t")).groupBy("host", F.col("t.tokens").alias("token")).agg(
-        F.count(F.lit(1)).alias("support"), F.bit_xor(F.xxhash64("content", "t.counts")).alias("vector")
-    ).filter(F.col("support") >= MIN_PAGES)
+    first = F.filter(F.arrays_zip("tokens", "counts", "parents"), lambda t: t["counts"] > 0)
+    each = tokens.select("host", "content", F.explode(first).alias("t")).select("host", "content", "t.*")
+    vectors = each.groupBy("host", "tokens").agg(
+        F.count(F.lit(1)).alias("support"), F.bit_xor(F.xxhash64("content", "counts")).alias("vector"), F.bit_xor(F.xxhash64("content", F.lit(1))).alias("flat"),
+        F.min("counts").alias("low"), F.max("counts").alias("high"), F.min("parents").alias("parent"), F.max("parents").alias("other"),
+    ).filter((F.col("support") >= MIN_PAGES) & (F.col("parent") == F.col("other")))
     vectors = vectors.join(sizes, "host").filter(F.col("support") >= F.col("pages") * MIN_SHARE)
-    return vectors.groupBy("host", "support", "vector").agg(F.collect_list("token").alias("tokens")).select(
-        "host", F.xxhash64("support", "vector").alias("class"), "support", "tokens"
+    split = (F.col("low") == F.col("high")) & F.col("low").between(2, PLACED)
+    places = F.slice(F.array(*[F.lit(p) for p in PLACE[1:]]), 1, F.col("low"))
+    own = F.when(split, F.transform(places, lambda p: F.col("tokens").bitwiseXOR(p))).otherwise(F.array("tokens"))
+    return vectors.select(
+        "host", F.explode(own).alias("role"), "support", F.when(split, F.col("flat")).otherwise(F.col("vector")).alias("vector"), "parent",
+        (split | (F.col("high") == 1)).alias("once"), F.when(split, F.col("tokens")).alias("split"),
+    )
+
+
+def classes(found: DataFrame) -> DataFrame:
+    """(host, class, support, once, tokens, splits): equivalence classes, with the tokens that were told apart by their order."""
+    return found.groupBy("host", "support", "vector", "parent", "once").agg(F.collect_list("role").alias("tokens"), F.collect_set("split").alias("splits")).select(
+        "host", F.xxhash64("support", "vector", "parent").alias("class"), "support", "once", "tokens", "splits"
     )
 
 
 def by_host(found: DataFrame) -> DataFrame:
     """One row per host: its classes, most frequent and largest first."""
-    each = F.struct("support", F.size("tokens").alias("n"), "class", "tokens")
+    each = F.struct("support", F.size("tokens").alias("n"), "class", "once", "tokens", "splits")
     return found.groupBy("host").agg(F.sort_array(F.collect_list(each), asc=False).alias("template"))
 
 
@@ -286,6 +382,37 @@ def attach(pages: DataFrame, templates: DataFrame, size: str) -> DataFrame:
     return pages.join(F.broadcast(templates) if n <= BROADCAST_TOKENS else templates, "host", "left")
 
 
+TEMPLATE_SIZE = "aggregate(template, 0L, (s, c) -> s + size(c.tokens))"
+
+
+def step_of(template: list[dict] | None) -> tuple[set[int], set[int]]:
+    """(tokens told apart by their order, roles that occur once): what a round needs of a host's classes."""
+    return {t for c in template or () for t in c["splits"]}, {t for c in template or () if c["once"] for t in c["tokens"]}
+
+
+def refined(tokens: DataFrame, found: DataFrame) -> DataFrame:
+    """The pages' tokens with roles told apart by order, then by surroundings, ready for the next round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, known = arrow_schema(TOKENS), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                rows = []
+                for host, content, own, flags, template in zip(*(batch.slice(at, 200).column(c) for c in ("host", "content", "tokens", "flags", "template")), strict=True):
+                    key = host.as_py()
+                    if key not in known:
+                        if len(known) > 1000:
+                            known.clear()
+                        known[key] = step_of(template.as_py())
+                    split, once = known[key]
+                    own, flags = own.as_py(), flags.as_py()
+                    own = in_gaps(in_order(own, flags, split), flags, once)
+                    rows.append((key, content.as_py(), own, flags, *shape(own, flags)))
+                yield rows_to_batch(rows, schema)
+
+    return attach(tokens.select("host", "content", "tokens", "flags"), by_host(found), TEMPLATE_SIZE).mapInArrow(run, TOKENS)
+
+
 PLACES = "host string, class long, token long, ordered long, gap long, parent long, mass long, heading long, marked int, depth int"
 
 
@@ -293,9 +420,9 @@ def page_places(tokens: list[int], flags: list[int], owner: dict[int, int], ids:
     """Of one page, (class, None, hashes of the order and of the gaps of its tokens, parent class) for each class, and (class, token,
     ..., varying text, varying headings, marked, depth) for each template element that occurs once; token 0 has the page's sums.
 
-    The parent of a class is that of the innermost template element around its
-    first token, a class of its own or a more frequent one; gaps count the
-    parent's tokens before each token. owner: class number by token, most frequent first.
+    The parent of a class is that of the innermost template element of another
+    class around its first token; gaps count the parent's tokens before each
+    token. owner: class number by token.
     """
     digest = xxhash.xxh64_intdigest
     seen = [0] * len(ids)
@@ -310,7 +437,7 @@ def page_places(tokens: list[int], flags: list[int], owner: dict[int, int], ids:
             around.pop()
         if k is not None:
             if k not in parents:
-                parents[k] = next((c for _, c in reversed(around) if c < k), -1)
+                parents[k] = next((c for _, c in reversed(around) if c != k), -1)
             parent = parents[k]
             gaps.setdefault(k, {}).setdefault(t, seen[parent] if parent >= 0 else 0)
             seen[k] += 1
@@ -345,17 +472,28 @@ def places(tokens: DataFrame, templates: DataFrame) -> DataFrame:
                 for row in batch.slice(at, 200).to_pylist():
                     if row["template"]:
                         owner = {t: k for k, c in enumerate(row["template"]) for t in c["tokens"]}
-                        rows += [(row["host"], *r) for r in page_places(row["tokens"], row["flags"], owner, [c["class"] for c in row["template"]])]
+                        own = in_order(row["tokens"], row["flags"], step_of(row["template"])[0])
+                        rows += [(row["host"], *r) for r in page_places(own, row["flags"], owner, [c["class"] for c in row["template"]])]
                 yield rows_to_batch(rows, schema)
 
-    joined = attach(tokens.select("host", "tokens", "flags"), templates, "aggregate(template, 0L, (s, c) -> s + size(c.tokens))")
+    joined = attach(tokens.select("host", "tokens", "flags"), templates, TEMPLATE_SIZE)
     return joined.mapInArrow(run, PLACES)
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens, article): tokens of the valid classes of every host that has any, and the element that holds its articles (null: none does)."""
-    tokens = materialize(tokenised(pages), "page_tokens").dropDuplicates(["host", "content"])
-    found = materialize(classes(tokens), "classes")
+    """Of every host with a valid class: (host, splits, steps, tokens, article): what tells roles apart by order and by surroundings in each round, the
+    roles of its template, and the one of the element that holds its articles (null: none does)."""
+    raw = materialize(tokenised(pages), "page_tokens")
+    tokens, rounds, had = raw.dropDuplicates(["host", "content"]), [], -1
+    for k in range(ROUNDS + 1):
+        found = materialize(classes(roles(tokens)), "classes")
+        rounds.append(found)
+        have = found.filter("once").agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("n")).first()["n"]
+        if k == ROUNDS or have == had:
+            break
+        had, finer = have, materialize(refined(tokens, found), "page_roles")
+        discard(raw)
+        tokens = raw = finer
     placed = materialize(places(tokens, by_host(found)).groupBy("host", "class", "token").agg(
         *[f(c).alias(f"{c}_{f.__name__}") for c in ("ordered", "gap", "parent") for f in (F.min, F.max)],
         F.sum("mass").alias("mass"), F.sum("heading").alias("heading"), F.max("marked").alias("marked"), F.max("depth").alias("depth"),
@@ -369,10 +507,36 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     chain = elements.filter((F.col("mass") > 0) & (F.col("mass") >= least * F.col("all")) & (F.col("heading") >= MOST * F.col("all_headings")))
     articles = chain.groupBy("host").agg(F.max_by("token", F.struct("marked", "depth")).alias("article"))
     template = found.join(valid, ["host", "class"]).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    return materialize(template.join(articles, "host", "left"), "templates")
+    out = template.join(articles, "host", "left")
+    for k, one in enumerate(rounds):
+        steps = one.groupBy("host").agg(
+            F.array_distinct(F.flatten(F.collect_list("splits"))).alias("split"), F.flatten(F.collect_list(F.when(F.col("once"), F.col("tokens")).otherwise(F.array().cast("array<long>")))).alias("once")
+        )
+        out = out.join(steps.select("host", F.struct("split", "once").alias(f"_{k}")), "host", "left")
+    out = materialize(out.select("host", "tokens", "article", F.array(*[f"_{k}" for k in range(len(rounds))]).alias("steps")), "templates")
+    discard(raw, placed, *rounds)
+    return out
+
+
+class Template:
+    """A host's template: its roles, the role of the element that holds the articles, and what tells roles apart in each round."""
+
+    def __init__(self, tokens=(), article: int | None = None, steps=()):
+        self.roles, self.article = frozenset(tokens), article
+        self.steps = [(set(s["split"] or ()), set(s["once"] or ())) for s in steps if s is not None]
+
+    def roles_of(self, tokens: list[int], flags: list[int]) -> list[int]:
+        for k, (split, once) in enumerate(self.steps):
+            tokens = in_order(tokens, flags, split)
+            if k < len(self.steps) - 1:
+                tokens = in_gaps(tokens, flags, once)
+        return tokens
+
+
+NOTHING = Template()
 
 
-def main_text(page: str | None, template: set[int] = frozenset(), article: int | None = None) -> str:
+def main_text(page: str | None, template: Template = NOTHING) -> str:
     """Text of the article's slots, block by block in page order."""
     if not page:
         return ""
@@ -388,16 +552,21 @@ def main_text(page: str | None, template: set[int] = frozenset(), article: int |
         run.clear()
         state[2] = True
 
-    for kind, value, e in events(page):
+    found = list(events(page))
+    roles_at: dict[int, int] = {}
+    if template.roles:
+        tokens, flags, at = token_list(found)
+        roles_at = dict(zip(at, template.roles_of(tokens, flags), strict=True))
+    for k, (kind, value, e) in enumerate(found):
         if kind == TEXT:
             if not e.aside:
                 state[0], state[1] = inside > 0, e.main
-                state[2] = state[2] and (not value.strip() or token_of(kind, value, e) in template)
+                state[2] = state[2] and (not value.strip() or roles_at.get(k) in template.roles)
                 run.append(html_entities.unescape(value))
             continue
         if value not in INLINE:
             close()
-        if article is not None and value not in VOID and signed(e.path) == article:
+        if template.article is not None and k in roles_at and roles_at[k] == (template.article if kind == OPEN else ~template.article):
             inside += 1 if kind == OPEN else -1
     close()
     for k in (1, 2):
@@ -419,17 +588,17 @@ def extract(pages: DataFrame) -> DataFrame:
         schema, known = arrow_schema(EXTRACTED), {}
         for batch in batches:
             rows = []
-            for page_id, url, page, host, tokens, article in zip(*(batch.column(c) for c in ("page_id", "url", "html", "host", "tokens", "article")), strict=True):
+            for page_id, url, page, host, tokens, article, steps in zip(*(batch.column(c) for c in ("page_id", "url", "html", "host", "tokens", "article", "steps")), strict=True):
                 key = host.as_py()
                 if key not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[key] = frozenset(tokens.as_py() or ()), article.as_py()
-                text = main_text(page.as_py(), *known[key])
-                rows.append((page_id.as_py(), url.as_py(), text, len(text), len(known[key][0])))
+                    known[key] = Template(tokens.as_py() or (), article.as_py(), steps.as_py() or ())
+                text = main_text(page.as_py(), known[key])
+                rows.append((page_id.as_py(), url.as_py(), text, len(text), len(known[key].roles)))
             yield rows_to_batch(rows, schema)
 
-    return attach(pages, templates, "size(tokens)").mapInArrow(run, EXTRACTED)
+    return attach(pages, templates, "size(tokens) + aggregate(steps, 0, (s, x) -> s + coalesce(size(x.once), 0))").mapInArrow(run, EXTRACTED)
 
 
 def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:

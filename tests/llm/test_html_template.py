@@ -108,3 +108,39 @@ def test_odd_rows(spark):
     rows = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in H.extract(df).collect())
     assert rows == [(0, "", 0), (1, "", 0), (2, "", 0), (3, "Only text", 9), (3, "Only text", 9), (4, "no markup & more", 16)]
     assert H.extract(df.limit(0)).count() == 0
+
+
+def in_places(i):
+    """Teasers and the story are elements of equal path; only the headings between them tell which is which, and teasers vary in number."""
+    body, want = page(i)
+    teasers = "".join(f"<div><p>Teaser {i} {k} and more</p></div>" for k in range(1 + i % 3))
+    return f"<body><h2>Teasers</h2>{teasers}<h2>Today</h2><div><h1>Headline {i}</h1>{body}</div><h2>More</h2><div><p>Seen {i} times</p></div></body>", want
+
+
+def test_equal_paths_are_told_apart_by_gaps(spark):
+    pages = [(i, f"http://g.example/{i}", in_places(i)[0]) for i in range(9)]
+    got = texts_of(spark, pages)
+    assert all(got[i] == in_places(i)[1] for i in range(9))
+
+
+def test_roles_by_order_and_gap():
+    tokens, flags = H.page_tokens("<div><p>a</p></div><div><p>b</p></div>")
+    div, p = tokens[0], tokens[1]
+    own = H.in_order(tokens, flags, {div})
+    assert own[0] != own[5] and own[4] == ~own[0] and own[9] == ~own[5] and own[1] == own[6] == p
+    finer = H.in_gaps(own, flags, {own[0], ~own[0], own[5], ~own[5]})
+    assert finer[0] == own[0] and finer[1] != finer[6] and finer[3] == ~finer[1] and finer[8] == ~finer[6]
+    assert H.in_order(tokens, flags, set()) == tokens
+
+
+def test_given_pages_without_telling_markup(spark):
+    """Articles and adverts made plain elements without names: on hosts with a template the texts are those of the marked pages, elsewhere they can't be."""
+    import re
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    plain = lambda h: re.sub(r' (class|id)="[^"]*"', "", h.replace("<article", "<div").replace("</article>", "</div>"))
+    df = spark.createDataFrame([(r[0], r[1], plain(r[2])) for r in rows], FIELDS)
+    got = {r["page_id"]: r for r in H.extract(df).collect()}
+    same = {r[0] for r in rows if got[r[0]]["text"] == H.main_text(r[2])}
+    assert same >= {k for k, r in got.items() if r["template_tokens"]} and len(same) >= 222
+    assert not any(H.main_text(plain(r[2])) == got[r[0]]["text"] for r in rows if r[0] in same)  # without the template adverts stay
