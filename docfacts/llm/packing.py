@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materialize, read, texts, to_batch
+from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materialize, read, slices, texts, to_batch
 
 CAPACITY = 4096
 END_ID = 1
@@ -45,6 +45,8 @@ WORDS_KEPT = 800_000
 
 #: Marks that may follow a word.
 MARKS = ",.;:!?$#%&*|"
+#: The one character whose lower case has several code points, a letter and a mark; words with it are tokenised with what follows them.
+DOTTED_I = "\u0130"
 #: The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(PRINTABLE))}
@@ -67,7 +69,7 @@ class WordTokens(dict):
     def __missing__(self, word: str) -> bytes:
         # a run of marks after a letter is a pre-token of its own, so `word,` is `word` and `,`
         stem = word.rstrip(MARKS)
-        if len(stem) < len(word) and stem[-1:].isalpha() and "'" not in word:
+        if len(stem) < len(word) and stem[-1:].isalpha() and "'" not in word and DOTTED_I not in word:
             found = self[stem] + self[word[len(stem):]]
         else:
             found = self._tokenise(word)
@@ -107,8 +109,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
         words, schema = WordTokens(vocabulary), arrow_schema(fields)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 columns: list[list] = [[] for _ in schema]
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = words.ids(text or "") + end

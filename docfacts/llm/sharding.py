@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import global_rank, materialize, read
+from docfacts.llm.shared import discard, global_rank, materialize, read
 
 
 #: Distinct values of a dimension up to which their cells are broadcast; more are joined.
@@ -84,8 +84,8 @@ def size_cell(values: DataFrame, bits: int):
     return cell
 
 
-def quantised(docs: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, size, text_crc32, group key, dimensions) of every document; no text is moved.
+def quantised(docs: DataFrame, bits: int, *keep: str) -> DataFrame:
+    """(doc_id, size, text_crc32, group key, dimensions, and the columns to keep) of every document; no text is moved.
 
     A dimension keeps the order of its column, so that near cells hold near values and a file's least and largest value say what it lacks.
     """
@@ -97,6 +97,7 @@ def quantised(docs: DataFrame, bits: int) -> DataFrame:
         F.xxhash64(raw).alias("text_key"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
+        *keep,
     )
     base = materialize(base, "base")
     groups = materialize(
@@ -107,15 +108,16 @@ def quantised(docs: DataFrame, bits: int) -> DataFrame:
         groups = groups.join(F.broadcast(cells) if cells.count() <= MOST_CELLS else cells, column)
     cells = groups.select("text_key", "text_crc32", "size", "d_source", "d_lang", size_cell(groups, bits)(F.col("size")).alias("d_size"))
     # both sides are written: the join can then split a large group's rows
-    return base.select("doc_id", "size", "text_crc32", "text_key").join(materialize(cells, "groups"), ["text_key", "text_crc32", "size"])
+    return base.select("doc_id", "size", "text_crc32", "text_key", *keep).join(materialize(cells, "groups"), ["text_key", "text_crc32", "size"])
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = 8) -> DataFrame:
-    """Every document's shard and its slot there, in Hilbert order."""
-    cells = materialize(quantised(docs, bits), "cells")
+def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = 8, *keep: str) -> DataFrame:
+    """Every document's shard and its slot there, in Hilbert order, with the columns to keep."""
+    cells = materialize(quantised(docs, bits, *keep), "cells")
     order = cells.withColumn("hilbert", hilbert_index(bits)("d_source", "d_lang", "d_size"))
-    ranked = global_rank(order.select("doc_id", "size", "text_crc32", "text_key", "hilbert"), ["hilbert", "text_key", "doc_id"], "ranked")
+    ranked = global_rank(order.select("doc_id", "size", "text_crc32", "text_key", "hilbert", *keep), ["hilbert", "text_key", "doc_id", *keep], "ranked")
     total = cells.count()
+    discard(cells)
     base, more = divmod(total, shards)  # the first `more` shards have one row more
     cut = more * (base + 1)
     shard = F.when(F.col("rank") < cut, F.floor(F.col("rank") / (base + 1))).otherwise(more + F.floor((F.col("rank") - cut) / max(base, 1))).cast("int")
@@ -124,9 +126,15 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = 8) -> DataFram
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, bits: int = 8) -> None:
-    """Write documents as one folder per shard in curve order, for file pruning."""
-    placed = hilbert_shards(docs, shards, bits).select("doc_id", "shard", "slot")
-    docs.join(placed, "doc_id").repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write documents as one folder per shard in curve order, for file pruning; shard and slot take the place of columns of that name."""
+    # rows are numbered and written once: doc_ids may repeat, and equal rows each have a place
+    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.monotonically_increasing_id().alias("row_number")), "numbered")
+    placed = hilbert_shards(rows.select("r.*", F.col("row_number").alias("_row")), shards, bits, "_row").select(F.col("_row").alias("row_number"), "shard", "slot")
+    out = rows.join(placed, "row_number").select("shard", "slot", "r")
+    taken = [c for c in docs.columns if c not in ("shard", "slot")]
+    out = out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").select("shard", "slot", *[F.col(f"r.`{c}`").alias(c) for c in taken])
+    out.write.partitionBy("shard").parquet(path)
+    discard(rows)
 
 
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

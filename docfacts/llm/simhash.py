@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfacts.llm.jaccard import near_copies
-from docfacts.llm.shared import arrow_schema, batch_rows, materialize, only_rows, partitions, read, texts, to_batch, without_rows
+from docfacts.llm.shared import arrow_schema, batch_rows, materialize, only_rows, partitions, read, slices, texts, to_batch, without_rows
 from docfacts.llm.shingles import mixed, shingle_hashes
 from docfacts.operators.merge import components
 
@@ -64,8 +64,7 @@ def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("doc_id long, fp binary")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, "text"):
                 yield to_batch([part.column(0), [fingerprint(shingle_hashes(t.as_py(), words), bits) for t in part.column(1)]], schema)
 
     return texts(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp binary")

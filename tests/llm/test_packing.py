@@ -48,3 +48,24 @@ def test_fit_places_most_pieces(n, share):
     assert placed == (counts - left).sum() >= share * n and (left >= 0).all()
     sequences = sum(times for _, times in packing.plan(counts))
     assert sequences <= -(-int((counts * np.arange(4097)).sum()) // 4096) + 1
+
+
+def test_ids_are_those_of_the_tokeniser():
+    """Random strings of letters whose case, marks or width are odd, punctuation and white space, against the whole tokeniser."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, words = Tokenizer.from_file(path), packing.WordTokens(path)
+    rng = np.random.default_rng(11)
+    letters = list("abzAZéÉßſİıÏöŸΣςﬁ한글中ñŽđĲ̇́") + list("09٣½²") + list(",.;:!?$#%&*|'\"-_()/\\@") + list(" \t\n  　\x1c\x0b") + ["😀", "‍", "İ;", "İ%."]
+    for text in ["İ;", "한&İ%.", "İ", "İstanbul, İzmir; DİYARBAKIR!", "", *("".join(rng.choice(letters, int(rng.integers(1, 14)))) for _ in range(20_000))]:
+        ids = np.frombuffer(words.ids(text), "<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_very_long_texts(spark):
+    text = "İki satır, bir söz. " * 400_000  # 10 MB in one row
+    got = packing.pack_documents(spark.createDataFrame([(1, text), (2, "a b"), (3, None)], "doc_id long, text string")).orderBy("doc_id", "piece").collect()
+    own = [r for r in got if r["doc_id"] == 1]
+    assert [r["start"] for r in own] == [k * 4096 for k in range(len(own))] and {r["length"] for r in own[:-1]} == {4096} and len(own) > 500

@@ -39,3 +39,15 @@ def test_files_can_be_left_out(spark, tmp_path):
         opened[name] = sum(b[f"min_{c}"] is not None and b[f"min_{c}"] <= high and b[f"max_{c}"] >= low for c, low, high in asked for b in boxes)
     assert opened["curve"] < 0.6 * opened["plain"]
     assert spark.read.parquet(str(tmp_path / "curve")).count() == docs.count()
+
+
+def test_written_rows_are_the_given_ones(spark, tmp_path):
+    """doc_ids that repeat, equal rows and null doc_ids: every row is stored once, in its own place."""
+    rows = [(1, "a", "s", "en", 7), (1, "b", "s", "en", 8), (1, "b", "s", "en", 8), (None, "b", None, None, 9), (None, None, None, None, None)] + [(i, f"text {i}", "s", "de", i) for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, slot long")
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=4)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    same = lambda rs: sorted((tuple(r[c] for c in ("doc_id", "text", "source", "lang")) for r in rs), key=repr)
+    assert same(got.collect()) == same(docs.collect())
+    for shard, slots in got.groupBy("shard").agg(F.sort_array(F.collect_list("slot"))).collect():
+        assert slots == list(range(len(slots))) and 8 <= len(slots) <= 9
