@@ -7,8 +7,9 @@ is. So a pair has to pass the same test under several orders:
 1. order 0 has rare tokens first; it gives an inverted index over prefixes, and
    pairs that meet in a list and whose sizes and positions allow the threshold;
 2. orders 1 and 2 are independent hash orders; a pair that shares no prefix
-   token under one of them goes, and so does one whose parity bits differ too
-   much. Prefixes travel as 32-bit tokens, a sixth of the sets;
+   token under one of them goes, and so does one whose parity bits (about as
+   many as tokens) differ too much. Prefixes travel as 32-bit tokens, a sixth
+   of the sets;
 3. what passes all of them is verified on the sets, in integers.
 
 Which tokens are common is counted over all documents: tasks count by lossy
@@ -16,13 +17,12 @@ counting and send what is in a thousandth of their documents or more. Counts
 only order the tokens, so they change the length of lists and no result.
 
 Sets that are equal are one node. In the first round a list gives stars, its
-least node with all others; verified links make components, and in the second
-round only lists that hold several components are looked at, this time at all
-pairs between components. So a large group of near copies costs few pairs a
-node and still no link between components is lost. Lists of very common tokens
-are dealt out by node for the stars, which are then repeated among one node of
-each component; in the second round lists over `BLOCK` nodes are compared in
-pairs of blocks.
+centre with all others, and verified links make components. (Lists of very
+common tokens are dealt out by node for these stars; then stars are repeated
+among one node of each component, where the parts meet.) In the last round only lists that hold
+several components are looked at, this time at all pairs between components. So
+a large group of near copies costs few pairs a node and still no link between
+components is lost. Lists over `BLOCK` nodes are compared in pairs of blocks.
 
 Edge cases: null and empty texts, and texts without words, have an empty set:
 `op13_ngram_jaccard` links them with nothing, `near_copies` counts them as
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfacts.llm.shared import Shipped, arrow_schema, batch_rows, discard, materialize, only_rows, partitions, read, slices, texts, to_batch, trim
-from docfacts.llm.shingles import mixed, shingle_hashes
+from docfacts.llm.shingles import LOWER, mixed
 from docfacts.operators.merge import components
 
 #: Orders whose prefixes a pair has to share tokens of, the first one included.
@@ -57,8 +57,8 @@ BLOCK, SHORT = 1500, 48
 GATHERED = 50_000
 #: Bits of a set's parities.
 PARITY = 512
-#: Tokens that a task counts before it drops rare ones.
-COUNTED = 1 << 20
+#: Tokens that a task counts before it drops rare ones, and words whose hashes it keeps.
+COUNTED, WORDS = 1 << 20, 500_000
 
 
 class Threshold(NamedTuple):
@@ -82,38 +82,79 @@ class Threshold(NamedTuple):
         return self.den * shared >= self.num * (a + b - shared)
 
 
-def token_set(text: str | None, words: int) -> tuple[int, np.ndarray]:
-    """(node, sorted distinct shingle hashes): the node is a 64-bit hash of the set."""
-    own = np.unique(shingle_hashes(text, words))
-    h = xxhash.xxh64_intdigest(own.tobytes(), 7)
-    return h - (1 << 64) if h >> 63 else h, own
+class WordHashes(dict):
+    """XXH64 of words by word, kept between texts; the store starts anew beyond `WORDS`."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > WORDS:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
 
-def parity(own: np.ndarray) -> bytes:
-    """PARITY bits: of how many of the tokens fall on each bit, whether the number is odd. Of two sets at least so many members are in one only as bits differ."""
-    return np.packbits(np.bincount((own >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY) & 1).tobytes()
+
+def token_set(text: str | None, words: int, known: WordHashes) -> tuple[int, np.ndarray]:
+    """(node, sorted distinct tokens): a token is a 64-bit hash of n words, made of theirs, and the node one of the set."""
+    own = [] if text is None else text.encode().translate(LOWER).split()  # \x0b and \x0c are white space to bytes.split() too, and no other byte is
+    if own:
+        w = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
+        n = min(words, len(own))
+        token = np.full(len(own) - n + 1, n, dtype=np.uint64)
+        for k in range(n):
+            token = (token ^ w[k:len(own) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+            token ^= token >> np.uint64(29)
+        token = np.unique(token * np.uint64(0xBF58476D1CE4E5B9))
+    else:
+        token = np.zeros(0, dtype=np.uint64)
+    h = xxhash.xxh64_intdigest(token.tobytes(), 7)
+    return h - (1 << 64) if h >> 63 else h, token
+
+
+def parity(own: np.ndarray, bits: int = PARITY) -> bytes:
+    """Of how many of the tokens fall on each bit, whether the number is odd. Of two sets at least so many members are in one only as bits differ."""
+    return np.packbits(np.bincount((own >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1).tobytes()
+
+
+def wide(n: int) -> int:
+    """Bits of the second parity of a set of n tokens: as many as tokens, to a power of two; 0 for small sets, for which the first one does."""
+    return 0 if n <= PARITY else min(1 << (n - 1).bit_length(), 1 << 16)
 
 
 def signature(own: np.ndarray, at_least: Threshold, orders: int) -> bytes:
     """The set's parities and, for each order from 1 on, 32 bits of each token of its prefix."""
     n, parts = at_least.prefix(len(own)), [parity(own)]
+    if wide(len(own)):
+        parts.append(parity(own, wide(len(own))))
     for k in range(1, orders):
         rank = mixed(own, k)
         first = own[np.argpartition(rank, n - 1)[:n]] if 0 < n < len(own) else own[:n]
-        parts.append(np.sort(first.astype(np.uint32)).tobytes())
+        parts.append(first.astype(np.uint32).tobytes())
     return b"".join(parts)
 
 
+def _parities(x: bytes, y: bytes, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The widest parities that both signatures have: a wider one is folded by halves."""
+    bits = min(wide(a), wide(b))
+    if not bits:
+        return np.frombuffer(x, np.uint64, PARITY // 64), np.frombuffer(y, np.uint64, PARITY // 64)
+    out = []
+    for sign, own in ((x, wide(a)), (y, wide(b))):
+        p = np.frombuffer(sign, np.uint64, own // 64, PARITY // 8)
+        while len(p) > bits // 64:
+            p = p[:len(p) // 2] ^ p[len(p) // 2:]
+        out.append(p)
+    return out[0], out[1]
+
+
 def may_link(x: bytes, y: bytes, a: int, b: int, at_least: Threshold, orders: int) -> bool:
     """Whether two signatures of sets of a and b tokens share a prefix token under each order and differ in few enough bits. No pair of the similarity is refused."""
-    whole = PARITY // 8
-    differ = int(np.bitwise_count(np.frombuffer(x[:whole], np.uint64) ^ np.frombuffer(y[:whole], np.uint64)).sum())
-    if differ > a + b - 2 * at_least.need(a, b):
+    p, q = _parities(x, y, a, b)
+    if int(np.bitwise_count(p ^ q).sum()) > a + b - 2 * at_least.need(a, b):
         return False
     n, m = at_least.prefix(a), at_least.prefix(b)
+    before = [(PARITY + wide(c)) // 8 for c in (a, b)]
     for k in range(orders - 1):
-        mine, theirs = np.frombuffer(x, np.uint32, n, whole + 4 * n * k), np.frombuffer(y, np.uint32, m, whole + 4 * m * k)
-        if not len(np.intersect1d(mine, theirs)):
+        mine, theirs = np.frombuffer(x, np.uint32, n, before[0] + 4 * n * k), np.frombuffer(y, np.uint32, m, before[1] + 4 * m * k)
+        if set(mine.tolist()).isdisjoint(theirs.tolist()):
             return False
     return True
 
@@ -148,12 +189,12 @@ def marked_sets(docs: DataFrame, words: int, at_least: Threshold, orders: int) -
     """A row for each document (doc_id, hash of the text, node, size, and at a node's first row in a task its signature), and rows (token, count) of what is common in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, seen, tally, documents = arrow_schema(MARKED), set(), Tally(), 0
+        schema, seen, tally, documents, known = arrow_schema(MARKED), set(), Tally(), 0, WordHashes()
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
                 for doc_id, key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
-                    node, own = token_set(text.as_py(), words)
+                    node, own = token_set(text.as_py(), words, known)
                     new = node not in seen
                     if new:
                         seen.add(node)
@@ -217,12 +258,12 @@ def prefix_lists(docs: DataFrame, words: int, at_least: Threshold, common: Commo
     ddl = "bucket int, k binary, owner binary, at binary, node binary, size binary"
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, known, seen = arrow_schema(ddl), shipped.value, set()
+        schema, known, seen, hashes = arrow_schema(ddl), shipped.value, set(), WordHashes()
         for batch in batches:
             for part in slices(batch, "text"):
                 keys, nodes, sizes = [], [], []
                 for text in part.column(0):
-                    node, own = token_set(text.as_py(), words)
+                    node, own = token_set(text.as_py(), words, hashes)
                     if node in seen or not len(own):
                         continue
                     seen.add(node)
@@ -331,10 +372,13 @@ class Lists:
         return np.unique(np.concatenate(self.found, axis=1), axis=1) if self.found else np.zeros((2, 0), dtype=np.int64)
 
     def stars(self, rounds: int = 3) -> np.ndarray:
-        """Pairs of each list's least node with all others that may match it; those that don't get a centre of their own in the next round.
+        """Pairs of each list's centre with all others that may match it; those that don't get a centre of their own in the next round.
 
-        Nodes alike share many lists and so their centres: a large group has few pairs a node."""
-        left = np.lexsort((self.node, self.list))
+        The centre is the node with the fewest rarer tokens before the shared
+        one, and so the fewest edits of its own: of copies with edits, the one
+        that most of the others are similar to. Nodes alike share many lists
+        and so their centres: a large group has few pairs a node."""
+        left = np.lexsort((self.node, self.at, self.list))
         for _ in range(rounds):
             if len(left) < 2:
                 break
@@ -416,7 +460,7 @@ def _number(columns: list[np.ndarray]) -> np.ndarray:
 
 def stars_of_components(several: DataFrame, at_least: Threshold) -> DataFrame:
     """(a, b): stars again, among one node of each component of a list: what was dealt out to several lists meets here."""
-    one = several.groupBy("k", "root").agg(F.min(F.struct("node", "size", "at")).alias("m")).select("k", "root", "m.*")
+    one = several.groupBy("k", "root").agg(F.min(F.struct("at", "node", "size")).alias("m")).select("k", "root", "m.*")
     batch_rows(several.sparkSession, 50_000)
     return _grouped(one, ["k"], lambda g: Lists(g["k"], g["node"], g["size"], g["at"], _number([g["k"]]), at_least, g["root"]).stars())
 
@@ -457,10 +501,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, signs: DataFrame, docs: DataFra
     rows = materialize(nodes.join(wanted, "node", "left_semi").select("first.*"), "wanted")
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("node long, tokens binary")
+        schema, known = arrow_schema("node long, tokens binary"), WordHashes()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [token_set(t.as_py(), words) for t in part.column("text")]
+                found = [token_set(t.as_py(), words, known) for t in part.column("text")]
                 yield to_batch([[node for node, _ in found], [tokens.tobytes() for _, tokens in found]], schema)
         trim()
 
@@ -495,8 +539,7 @@ def linked_sets(docs: DataFrame, words: int, at_least: Threshold, orders: int =
     links = verified(stars, *known)
     several = with_roots(lines, components(links))
     if (common.lists > 1).any():
-        more = links.union(verified(stars_of_components(several, at_least), *known))
-        links = materialize(more, "more_links")
+        links = links.union(verified(stars_of_components(several, at_least), *known))
         discard(several)
         several = with_roots(lines, components(links))
     links = links.union(verified(pairs_between(several, signs, at_least), *known))

@@ -112,7 +112,7 @@ def test_filters_refuse_unlike_sets():
     pool, t = rng.integers(0, 1 << 63, 200).astype(np.uint64), Threshold(85, 100)
     sets = [np.unique(np.concatenate([rng.choice(pool, 30, replace=False), rng.integers(0, 1 << 63, 270).astype(np.uint64)])) for _ in range(30)]  # about five in common
     signs = [jaccard.signature(s, t, 3) for s in sets]
-    blind = [bytes(64) + s[64:] for s in signs]  # the orders alone
+    blind = [bytes(64) + s[64:] for s in signs]  # without parity bits
     assert not any(jaccard.may_link(signs[i], signs[j], 300, 300, t, 3) for i in range(30) for j in range(i))
     one, two, three = (sum(jaccard.may_link(blind[i], blind[j], len(sets[i]), len(sets[j]), t, k) for i in range(30) for j in range(i)) for k in (1, 2, 3))
     assert one == 435 and three < two < one
