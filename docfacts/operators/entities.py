@@ -1,35 +1,16 @@
-"""Record and entity normalisers, evidence and the domain merge."""
+"""Record normaliser and domain evidence (H10, H12); families of entities are in `families`."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfacts.functions.nested import add_warnings, stable_hash, string_list
-from docfacts.functions.text import clean_inline_text, clean_text, compact, normalize_company_name, normalize_credit_code, redact_sensitive
-from docfacts.functions.values import certificate_status, expiry_status, finite_number, normalize_confidence, normalize_date, normalize_date_keep, normalize_document_type, normalize_enum, normalize_money, within_last_years
-from docfacts.operators.joins import company_match, resolve_refs
-from docfacts.operators.merge import merge_with_conflicts, long_form, resolve_entities
+from docfacts.functions.nested import add_warnings, stable_hash
+from docfacts.functions.text import clean_inline_text, clean_text, compact, redact_sensitive
+from docfacts.functions.values import expiry_status, normalize_confidence, normalize_date, normalize_date_keep, normalize_document_type
+from docfacts.operators.joins import company_match
 
 MAX_ENTRIES, MAX_UNCLASSIFIED, MAX_EVIDENCE = 50, 100, 200
-#: Kinds of an entity's columns: how each one is cleaned.
-CLEAN = {
-    "text": clean_text, "name": normalize_company_name, "code": normalize_credit_code, "date": normalize_date, "number": finite_number,
-    "money": lambda c: normalize_money(c)["amount_yuan"], "list": string_list,
-}
-# Entity families with their columns; the token columns that link rows (strong ones first) or the identity columns.
-FAMILIES = {
-    "company": ({"company_name": "name", "credit_code": "code", "legal_person": "text", "registered_capital": "money", "established_date": "date", "business_scope": "text"}, ["credit_code"], ["company_name"]),
-    "qualification": ({"cert_name": "text", "cert_no": "text", "cert_level": "text", "issue_date": "date", "expiry_date": "date", "issuing_authority": "text"}, ["cert_no"], []),
-    "intellectual_property": ({"title": "text", "registration_no": "text", "application_no": "text", "property_type": "text"}, ["registration_no", "application_no"], ["title"]),
-    "financial": ({"year": "number", "revenue": "money", "net_profit": "money", "total_assets": "money"}, [], ["year"]),
-    "risk": ({"risk_type": "text", "title": "text", "status": "text", "event_date": "date"}, [], ["risk_type", "title"]),
-    "person": ({"person_name": "text", "person_role": "text", "cert_no": "text", "title": "text"}, ["cert_no"], ["person_name"]),
-    "performance": ({"project_name": "text", "project_code": "text", "contract_no": "text", "customer": "name", "amount": "money", "award_date": "date"}, ["project_code", "contract_no"], ["project_name"]),
-    "relationship": ({"related_company": "name", "relation_type": "text"}, [], ["related_company", "relation_type"]),
-    "product": ({"product_name": "text", "model": "text", "manufacturer": "name"}, [], ["product_name", "model"]),
-    "claim": ({"claim_name": "text", "category": "text", "description": "text"}, [], ["claim_name", "category"]),
-}
 
 
 def normalize_records(df: DataFrame, as_of: Column, target_company: Column, days: int = 180, threshold: float = 0.8) -> DataFrame:
@@ -56,16 +37,6 @@ def normalize_records(df: DataFrame, as_of: Column, target_company: Column, days
     return out.withColumn("review_required", review)
 
 
-def normalize_entity(df: DataFrame, family: str) -> DataFrame:
-    """The family's columns cleaned by kind; all others are dropped but doc_id, ordinal and refs."""
-    columns, _, _ = FAMILIES[family]
-    return df.select("doc_id", "ordinal", "refs", *[CLEAN[k](F.col(c)).alias(c) for c, k in columns.items()])
-
-
-def with_certificate_status(df: DataFrame, reported: str, as_of: Column) -> DataFrame:
-    return df.withColumn("status", certificate_status(F.col("issue_date"), F.col("expiry_date"), F.col(reported), as_of))
-
-
 def domain_evidence(evidence: DataFrame, pages: DataFrame, strengths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) evidence (doc_id, domain, local_id, physical_page, field_path, source_text): the text has to stand on the redacted page; ids become stable; strength follows the page's type."""
     right = pages.select("doc_id", "physical_page", compact(redact_sensitive(F.col("text"))[0]).alias("_page"), "document_type")
@@ -78,33 +49,3 @@ def domain_evidence(evidence: DataFrame, pages: DataFrame, strengths: dict[str,
     strength = F.coalesce(*[F.when(F.col("document_type") == t, F.lit(s)) for t, s in strengths.items()], F.lit("D"))
     marked = joined.withColumn("reason", reason).withColumn("source_strength", strength).withColumn("evidence_id", stable_hash(F.col("doc_id"), F.col("physical_page"), F.col("field_path"), F.col("source_text"), length=24)).drop("_page")
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL").select("doc_id", "domain", "local_id", "reason")
-
-
-def merge_family(df: DataFrame, family: str) -> tuple[DataFrame, DataFrame]:
-    """A4 for one family: rows resolved to entities by strong and weak tokens, then merged with conflicts: (values, conflicts)."""
-    columns, strong, weak = FAMILIES[family]
-    rows = normalize_entity(df, family).withColumn("row_id", stable_hash(F.col("doc_id"), F.col("ordinal"), length=32))
-    token = lambda c: F.struct(F.lit(c).alias("label"), F.when(F.col(c).isNotNull(), F.concat(F.lit(c + ":"), F.lower(F.col(c).cast("string")))).alias("token"))
-    tokens = rows.select("row_id", F.explode(F.array(*[token(c) for c in [*strong, *weak]])).alias("t")).select("row_id", "t.label", "t.token").filter("token IS NOT NULL")
-    alone = rows.select("row_id").join(tokens, "row_id", "left_anti").select("row_id", F.lit("row").alias("label"), F.concat(F.lit("row:"), F.col("row_id")).alias("token"))
-    entities = resolve_entities(tokens.unionByName(alone), strong or ["row"]).select("row_id", F.concat(F.lit(f"{family.replace('_', '-')}:sha256:"), stable_hash(F.col("canonical_token"), length=24)).alias("entity_key"))
-    keyed = rows.join(entities, "row_id").withColumn("at", F.struct("doc_id", "ordinal"))
-    return merge_with_conflicts(long_form(keyed, ["entity_key"], "at", "refs", list(columns)), ["entity_key"])
-
-
-def merge_domains(frames: dict[str, DataFrame], evidence: DataFrame) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """A4: every family: references without evidence dropped, rows merged, facts labelled UNVERIFIED."""
-    out = {}
-    for family, df in frames.items():
-        clean = resolve_refs(df, ["doc_id", "ordinal"], "refs", evidence, "evidence_id").drop("unresolved")
-        values, conflicts = merge_family(clean, family)
-        out[family] = (values.withColumn("verification_status", F.lit("UNVERIFIED")), conflicts.withColumn("entity_type", F.lit(family.upper())))
-    return out
-
-
-def reported_status(c: Column) -> Column:
-    return normalize_enum(c, ["VALID", "EXPIRING", "EXPIRED", "REVOKED", "UNKNOWN"], "UNKNOWN", {"有效": "VALID", "过期": "EXPIRED", "吊销": "REVOKED"})
-
-
-def recent(df: DataFrame, day: str, as_of: Column) -> DataFrame:
-    return df.filter(within_last_years(F.col(day), as_of))

@@ -148,20 +148,35 @@ def front_value_columns(nodes: DataFrame) -> DataFrame:
     return nodes.join(edge, ["doc_id", "page"]).filter("x >= edge").drop("edge")
 
 
+def solid_marks(text: Column) -> Column:
+    """The index from solid characters to raw ones: where in the text its first, second, ... character that is no white space stands."""
+    marks = F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike(r"(?U)\S"), i))
+    return F.filter(marks, lambda i: i.isNotNull())
+
+
 def map_span_to_evidence(spans: DataFrame, view: DataFrame, key: list[str]) -> DataFrame:
     """Spans (key, span_id, start, end) of a view's text as one evidence row per node, with offsets in the node's own text."""
     pairs = spans.join(view, key).filter("start < end_off AND end > start_off")
-    marks = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1))), lambda i: F.when(F.substring(F.col("text"), i, F.lit(1)).rlike(r"(?U)\S"), i - 1)), lambda i: i.isNotNull())
     a = F.greatest(F.col("start") - F.col("start_off"), F.lit(0)).cast("int")
     b = (F.least(F.col("end"), F.col("end_off")) - F.col("start_off")).cast("int")
-    rows = pairs.withColumn("marks", marks).withColumn("from", F.element_at("marks", a + 1)).withColumn("to", F.element_at("marks", b) + 1)
+    rows = pairs.withColumn("marks", solid_marks(F.col("text"))).withColumn("from", F.element_at("marks", a + 1)).withColumn("to", F.element_at("marks", b) + 1)
     return rows.select(*key, "span_id", "item_id", "page", F.col("from").alias("start"), F.col("to").alias("end"), F.array("x", "y", "width", "height").alias("bbox"), F.substring(F.col("text"), F.col("from") + 1, F.col("to") - F.col("from")).alias("text"))
 
 
 def truncate_with_evidence(evidence: DataFrame, key: list[str], order: str, length: Column) -> DataFrame:
-    """C14: evidence pieces cut to the first `length` solid characters of their value."""
-    length_of = F.length(solid(F.col("text")))
+    """C14: evidence pieces (start, end, text) cut to the first `length` solid characters of their value, to the raw character at which these end."""
     w = W.partitionBy(*key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    rows = evidence.withColumn("_before", F.coalesce(F.sum(length_of).over(w), F.lit(0))).withColumn("_room", length - F.col("_before")).filter("_room > 0")
-    cut = F.least(F.col("_room"), F.length("text")).cast("int")
-    return rows.withColumn("text", F.left("text", cut)).withColumn("end", F.col("start") + F.length("text")).drop("_before", "_room")
+    rows = evidence.withColumn("_marks", solid_marks(F.col("text")))
+    rows = rows.withColumn("_room", length - F.coalesce(F.sum(F.size("_marks")).over(w), F.lit(0))).filter("_room > 0")
+    cut = F.when(F.col("_room") < F.size("_marks"), F.element_at("_marks", F.col("_room").cast("int")) + 1).otherwise(F.length("text"))
+    return rows.withColumn("text", F.left("text", cut)).withColumn("end", F.col("start") + F.length("text")).drop("_marks", "_room")
+
+
+def merge_ranges(ranges: DataFrame, key: list[str]) -> DataFrame:
+    """(key, start, end, roles): ranges (key, start, end, role) that overlap are one; a sweep over their starts with the furthest end so far. Empty ones are left out."""
+    w = W.partitionBy(*key).orderBy("start", "end")
+    reached = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    once = ranges.filter(F.col("end") > F.col("start")).groupBy(*key, "start", "end").agg(F.collect_set("role").alias("_roles"))  # so that the order has no ties
+    rows = once.withColumn("_new", (reached.isNull() | (F.col("start") >= reached)).cast("int"))
+    grouped = rows.withColumn("_range", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return grouped.groupBy(*key, "_range").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_roles")))).alias("roles")).drop("_range")

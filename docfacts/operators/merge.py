@@ -1,15 +1,19 @@
 """Merging facts without losing any (A1, A2, A5-A7, A16-A20) and entity resolution (A3).
 
-Rows are long: one row per (entity, field, ordinal) with a value and its
-evidence. The first present value of a field wins; every other value goes to a
-conflict row with the evidence of both sides.
+Rows are long, one per (entity, field, ordinal) with a value and its evidence, or
+nested (`merge_nested`). The first present value of a field wins; every other
+value goes to a conflict row, and evidence stays in rows of its own.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from docfacts.functions.nested import stable_hash
 from docfacts.functions.text import clean_text
@@ -26,25 +30,111 @@ def long_form(df: DataFrame, key: list[str], ordinal: str, refs: str, fields: li
     ).filter("value IS NOT NULL AND value <> ''")
 
 
-def merge_with_conflicts(cells: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """A1: (merged values, conflicts) of long rows (key, field, ordinal, value, refs).
+def merge_with_conflicts(cells: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A1: (merged values, conflicts, evidence) of long rows (key, field, ordinal, value, refs).
 
     Equal values are put together before anything is compared, so a hot entity
-    is reduced map-side to its distinct values. A conflict holds, for each
-    value that differs from the winner, the evidence seen before it and its own.
+    is reduced map-side to its distinct values. A conflict stands for a value
+    that differs from the winner, with the number of references seen under
+    earlier values (left_n) and under its own (right_n); the references
+    themselves are the rows of evidence (key, field, value, ref, ordinal), as
+    many as there were in the cells.
     """
-    distinct = cells.groupBy(*key, "field", "value").agg(F.min("ordinal").alias("first_ordinal"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("refs", F.array().cast("array<string>"))))).alias("value_refs"))
+    named = [*key, "field", "value"]
+    evidence = cells.select(*named, "ordinal", F.explode("refs").alias("ref")).groupBy(*named, "ref").agg(F.min("ordinal").alias("ordinal"))
+    found = evidence.groupBy(*named).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast(cells.schema["ordinal"].dataType).alias("at"))
+    seen = cells.groupBy(*named).agg(F.lit(0).cast("long").alias("n"), F.min("ordinal").alias("at"))
+    distinct = seen.unionByName(found).groupBy(*named).agg(F.sum("n").alias("right_n"), F.min("at").alias("first_ordinal"))
     w = W.partitionBy(*key, "field").orderBy("first_ordinal", "value")
     ranked = distinct.withColumn("_n", F.row_number().over(w)).withColumn("winner", F.first("value").over(w))
-    before = w.rowsBetween(W.unboundedPreceding, -1)
-    ranked = ranked.withColumn("left_refs", F.array_sort(F.array_distinct(F.flatten(F.collect_list("value_refs").over(before)))))
+    ranked = ranked.withColumn("left_n", F.sum("right_n").over(w.rowsBetween(W.unboundedPreceding, -1)))
     merged = ranked.filter("_n = 1").select(*key, "field", "value")
-    conflicts = ranked.filter((F.col("_n") > 1) & ~F.col("field").isin(META_FIELDS)).select(
-        *key, "field", F.col("winner").alias("left_value"), "left_refs", F.col("value").alias("right_value"), F.array_sort("value_refs").alias("right_refs"),
+    conflicts = ranked.filter((F.col("_n") > 1) & ~F.substring_index("field", ".", -1).isin(META_FIELDS)).select(
+        *key, "field", F.col("winner").alias("left_value"), "left_n", F.col("value").alias("right_value"), "right_n", "first_ordinal",
         F.concat(F.lit("conflict:"), stable_hash(*[F.col(k) for k in key], F.col("field"), F.col("winner"), F.col("value"), length=18)).alias("conflict_id"),
         F.lit("UNRESOLVED").alias("resolution"), F.lit(True).alias("review_required"),
     )
-    return merged, conflicts
+    return merged, conflicts, evidence
+
+
+class Leaf(NamedTuple):
+    """A scalar or a list inside nested rows: its dotted path, whether it is a list, and its type (of an item, for lists)."""
+
+    path: str
+    is_list: bool
+    kind: DataType
+
+
+def leaves(schema: StructType, names: list[str], before: str = "") -> list[Leaf]:
+    """What a nested merge compares, in schema order: structs are walked, lists and scalars are leaves."""
+    out = []
+    for name in names:
+        kind, path = schema[name].dataType, f"{before}{name}"
+        if isinstance(kind, StructType):
+            out += leaves(kind, kind.names, f"{path}.")
+        else:
+            out.append(Leaf(path, isinstance(kind, ArrayType), kind.elementType if isinstance(kind, ArrayType) else kind))
+    return out
+
+
+def merge_nested(df: DataFrame, key: list[str], ordinal: str, refs: str, fields: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A1 for nested rows: (merged, conflicts, evidence). merged has the key and the fields with their types.
+
+    Structs are merged member by member: of each scalar the first present value
+    stands and others become conflicts with a dotted path; lists become the
+    union of their items in the order of first sight. Values are present unless
+    null, empty texts or empty lists, a struct if one of its members is. The
+    plan is made from the schema; rows are aggregated, never collected: of a hot
+    entity only distinct values and distinct items meet.
+    """
+    found = leaves(df.schema, fields)
+    at = lambda path: reduce(lambda c, name: c[name], path.split(".")[1:], F.col(path.split(".")[0]))
+    scalars, lists = [f for f in found if not f.is_list], [f for f in found if f.is_list]
+
+    def present(leaf: Leaf) -> Column:
+        c = at(leaf.path)
+        return c.isNotNull() & (c != "") if isinstance(leaf.kind, StringType) else c.isNotNull()
+
+    firsts = [F.min(F.when(present(f), F.struct(F.col(ordinal).alias("o"), at(f.path).alias("v"))))["v"].alias(f"s{k}") for k, f in enumerate(scalars)]
+    merged = df.groupBy(*key).agg(*(firsts or [F.count(F.lit(1)).alias("_n")]))
+    if lists:
+        empty = lambda f: F.array().cast(ArrayType(f.kind))
+
+        def listed(k: int, leaf: Leaf) -> Column:
+            """The items of one list with their place, a hash, and a struct that has one member for each list."""
+
+            def item(x: Column, i: Column) -> Column:
+                slot = F.struct(*[(x if j == k else F.lit(None).cast(f.kind)).alias(f"l{j}") for j, f in enumerate(lists)])
+                return F.struct(F.lit(k).alias("_list"), i.cast("long").alias("_place"), F.sha2(F.to_json(F.struct(x.alias("v"))), 256).alias("_hash"), slot.alias("_item"))
+
+            return F.transform(F.coalesce(at(leaf.path), empty(leaf)), item)
+
+        items = F.concat(*[listed(k, f) for k, f in enumerate(lists)])
+        each = df.select(*key, F.col(ordinal).alias("_o"), F.explode(items).alias("_t")).select(*key, "_o", "_t.*")
+        once = each.groupBy(*key, "_list", "_hash").agg(F.min(F.struct("_o", "_place")).alias("_at"), F.min_by("_item", F.struct("_o", "_place")).alias("_item"))
+        own = lambda k: F.when(F.col("_list") == k, F.struct("_at", "_hash", F.col(f"_item.l{k}").alias("v")))
+        gathered = [F.transform(F.array_sort(F.collect_list(own(k))), lambda y: y["v"]).alias(f"l{k}") for k in range(len(lists))]
+        theirs = once.groupBy(*key).agg(*gathered)
+        on = [merged[c].eqNullSafe(theirs[c]) for c in key]
+        merged = merged.join(theirs, on, "left").select(*[merged[c] for c in key], *[merged[f"s{k}"] for k in range(len(scalars))], *[F.coalesce(theirs[f"l{k}"], empty(f)).alias(f"l{k}") for k, f in enumerate(lists)])
+    number = {f.path: f"s{k}" for k, f in enumerate(scalars)} | {f.path: f"l{k}" for k, f in enumerate(lists)}
+
+    def rebuilt(kind: StructType, names: list[str], before: str = "") -> list[Column]:
+        out = []
+        for name in names:
+            own, path = kind[name].dataType, f"{before}{name}"
+            if isinstance(own, StructType):
+                inside = [F.col(number[x.path]) for x in leaves(own, own.names, f"{path}.")]
+                some = reduce(lambda a, b: a | b, [(F.size(c) > 0) if number_is_list else c.isNotNull() for c, number_is_list in zip(inside, [x.is_list for x in leaves(own, own.names, f"{path}.")], strict=True)])
+                out.append(F.when(some, F.struct(*rebuilt(own, own.names, f"{path}."))).alias(name))
+            else:
+                out.append(F.col(number[path]).alias(name))
+        return out
+
+    cells = F.array(*[F.struct(F.lit(f.path).alias("field"), F.when(present(f), at(f.path).cast("string")).alias("value")) for f in scalars]) if scalars else F.array().cast("array<struct<field:string,value:string>>")
+    long = df.select(*key, F.col(ordinal).alias("ordinal"), F.col(refs).alias("refs"), F.explode(cells).alias("c")).select(*key, "c.field", "ordinal", "c.value", "refs").filter("value IS NOT NULL")
+    _, conflicts, evidence = merge_with_conflicts(long, key)
+    return merged.select(*key, *rebuilt(df.schema, fields)), conflicts, evidence
 
 
 def merge_lists(df: DataFrame, key: list[str], ordinal: str, items: str) -> DataFrame:
@@ -60,7 +150,7 @@ def identity_hash(parts: list[str], fallback: list[str]) -> Column:
     return F.when(F.size(named) > 0, stable_hash(named, length=24)).otherwise(stable_hash(*[F.col(c) for c in fallback], length=24))
 
 
-def group_entities(df: DataFrame, entity_type: str, identity: list[str], fields: list[str], ordinal: str, refs: str) -> tuple[DataFrame, DataFrame]:
+def group_entities(df: DataFrame, entity_type: str, identity: list[str], fields: list[str], ordinal: str, refs: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A2: rows of one identity merged under a stable key; empty rows are left out."""
     kept = df.filter(F.coalesce(*[F.nullif(F.col(f).cast("string"), F.lit("")) for f in fields]).isNotNull())
     key = F.concat(F.lit(entity_type.lower().replace("_", "-") + ":sha256:"), identity_hash(identity, fields))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docfacts.functions.text import extract_level, legal_entity_name, split_numbered_clauses
 from docfacts.operators.classify import classify_requirement
+from docfacts.operators.layout import merge_ranges
 
 # Forms of dates, amounts and numbers in running text.
 DATE = r"[0-9]{4}(?:年|[-/.])[0-9]{1,2}(?:月|[-/.])[0-9]{1,2}日?(?:[0-9]{1,2}[时:][0-9]{1,2}分?)?"
@@ -18,6 +19,10 @@ NUMBER = r"[A-Za-z0-9][A-Za-z0-9_.\/-]+"
 #: Ends of a value in running text.
 STOP = r"(?=[一二三四五六七八九十]+[、.．]|[0-9]+\.[0-9]|招标人|采购人|代理机构|联系人|[。；;]|$)"
 
+# The head of a major section, which no value reaches into, and fields that keep their last full stop.
+MAJOR_SECTION = r"[一二三四五六七八九十]+[、.．](?:招标|投标|开标|资格|发布|其他|监督|联系)"
+WHOLE_SENTENCES = ["项目规模", "申请人资格要求/投标人资格要求", "招标文件获取方式", "递交方法"]
+
 # Labels of announcement clauses per field.
 CLAUSE_LABELS = {
     "项目名称": ["项目名称", "招标项目名称"], "项目规模": ["项目规模", "项目概况", "建设内容"], "项目地点": ["项目地点", "建设地点"],
@@ -95,11 +100,14 @@ def first_priority(candidates: DataFrame) -> DataFrame:
 def finalize_fields(candidates: DataFrame, docs: DataFrame, names: list[str], longest: list[str] = (), shortest: list[str] = ()) -> DataFrame:
     """One record per document and field: EXTRACTED, CONFLICT or MISSING.
 
-    References to other places don't count. Of `longest` fields the longest
+    Values end where a major section begins and, but for whole sentences, before
+    the full stop. References to other places don't count. Of `longest` fields the longest
     value stands if it contains the others, of `shortest` ones the shortest if
     the others contain it.
     """
-    good = candidates.filter(~F.col("value").rlike("^(?:详)?见.{0,20}(?:附表|公告|章|条)"))
+    cut = F.regexp_replace("value", f"(?s){MAJOR_SECTION}.*$", "")
+    cut = F.when(F.col("field").isin(WHOLE_SENTENCES), cut).otherwise(F.regexp_replace(cut, "[。；;]+$", ""))
+    good = candidates.withColumn("value", cut).filter(~F.col("value").rlike("^(?:(?:见|详见|同投标截止时间)|$)"))
     agg = good.groupBy("doc_id", "field").agg(F.array_sort(F.collect_set("value")).alias("values"))
     long = F.array_sort("values", lambda a, b: F.length(b) - F.length(a))
     top, low = F.element_at(long, 1), F.element_at(long, -1)
@@ -120,19 +128,71 @@ def extract_tender_fields(texts: DataFrame, clause_values: DataFrame, rows: Data
     return finalize_fields(pool, texts, names, ["招标编号", "招标项目编号"], [f"{r}名称" for r in ROLES])
 
 
+# Where requirements begin and end in announcements and front tables, and how long they are if no end is found.
+ANNOUNCED, ANNOUNCED_END, ANNOUNCED_LENGTH = "本次招标要求投标人|投标人资格要求|投标人应具备", "招标文件(?:的)?获取|投标文件(?:的)?递交|发布公告", 2500
+FRONT = ["资质条件：", "资质条件:", "投标人资格条件：", "投标人资格要求：", "投标人资质、能力和信誉"]
+FRONT_END, FRONT_LENGTH = "投标截止时间|是否接受联合体|踏勘现场|投标预备会", 2200
+FRONT_WHOLE = r"([（(]1[）)]资质要求[：:].+?)(?=☑不组织|□不组织|踏勘现场)"
+#: What is no requirement by itself.
+NO_REQUIREMENT = (
+    r"^(?:无|不要求|详见.+|业绩要求[：:]?[\\/]*|(?:[0-9]{3})?(?:第一标段|不分标段|本项目的特定资格要求|本次招标要求申请人应具备以下资格条件|法人资格|业绩资格要求|商业信誉的要求|投融资能力)[：:]?)$"
+)
+
+
+def _until(text: Column, start: Column, end: str, length: int) -> Column:
+    """Where what begins at `start` (from 0) ends: at the pattern, or after `length` characters or the text."""
+    found = F.regexp_instr(F.substring(text, start + 1, F.length(text)), F.lit(end))
+    return F.when(found > 0, start + found - 1).otherwise(F.least(F.length(text), start + length))
+
+
+def requirement_ranges(texts: DataFrame, clauses: DataFrame) -> DataFrame:
+    """C17: (doc_id, section, start, end, roles): where a document's requirements stand, overlapping places put together.
+
+    texts: (doc_id, section, view_text); clauses: (doc_id, start, end), the
+    announcement's own requirement clauses. Three sources: the clauses, or else
+    the first two markers of the announcement; the first marker of the front
+    table; and only where these give nothing its numbered requirement cell.
+    """
+    t = F.col("view_text")
+    ann, front = texts.filter("section = 'announcement'"), texts.filter("section = 'front'")
+    given = clauses.select("doc_id", F.lit("announcement").alias("section"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), F.lit("ANNOUNCEMENT").alias("role"))
+    # lengths of the pieces before each marker add up to where it stands
+    lengths = F.transform(F.split(t, f"(?={ANNOUNCED})"), lambda x: F.length(x))
+    sums = F.aggregate(lengths, F.array(F.lit(0)), lambda done, n: F.array_append(done, F.element_at(done, -1) + n))
+    starts = F.filter(sums, lambda at: F.substring(t, at + 1, F.lit(10)).rlike(f"^(?:{ANNOUNCED})"))
+    marked = ann.join(clauses.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "section", "view_text", F.explode(F.slice(starts, 1, 2)).alias("start"))
+    marked = marked.select("doc_id", "section", "start", _until(t, F.col("start") + 5, ANNOUNCED_END, ANNOUNCED_LENGTH - 5).alias("end"), F.lit("ANNOUNCEMENT").alias("role"))
+    first = F.coalesce(*[F.when(F.instr(t, m) > 0, F.instr(t, m) - 1 + len(m)) for m in FRONT])
+    table = front.withColumn("start", first).filter("start IS NOT NULL").select("doc_id", "section", "start", _until(t, F.col("start"), FRONT_END, FRONT_LENGTH).alias("end"), F.lit("FRONT_TABLE").alias("role"))
+    found = given.unionByName(marked).unionByName(table)
+    cell = F.regexp_extract(t, FRONT_WHOLE, 1)
+    whole = front.join(found.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("cell", cell).filter("cell <> ''")
+    whole = whole.withColumn("start", F.instr(t, F.col("cell")) - 1).select("doc_id", "section", "start", (F.col("start") + F.length("cell")).alias("end"), F.lit("FRONT_TABLE").alias("role"))
+    return merge_ranges(found.unionByName(whole), ["doc_id", "section"])
+
+
 def requirement_sources(blocks: DataFrame) -> DataFrame:
-    """C17: requirement rows (doc_id, page, ordinal, requirement, type, name, identity, level) of text blocks (doc_id, page, ordinal, text)."""
+    """C17: requirement rows (doc_id, page, ordinal, requirement, type, name, identity, level) of text blocks (doc_id, page, ordinal, text); a block names each requirement once."""
     head = "^(?:资质条件|资格要求|投标人资格要求)[：:]?"
-    each = blocks.select("doc_id", "page", "ordinal", F.posexplode(split_numbered_clauses(F.col("text"))).alias("part", "requirement"))
-    each = each.withColumn("requirement", F.regexp_replace("requirement", head, "")).filter(
-        (F.length("requirement") >= 4) & ~F.col("requirement").rlike("^(?:无|不要求|详见.+|业绩要求[：:]?[\\\\/]*|第一标段|不分标段|本项目的特定资格要求|法人资格|业绩资格要求)[：:]?$")
-    )
+    parts = F.array_distinct(F.transform(split_numbered_clauses(F.col("text")), lambda x: F.regexp_replace(x, head, "")))
+    each = blocks.select("doc_id", "page", "ordinal", F.posexplode(parts).alias("part", "requirement"))
+    each = each.filter((F.length("requirement") >= 4) & ~F.col("requirement").rlike(NO_REQUIREMENT))
     kind = classify_requirement(F.col("requirement"))
     rows = each.withColumn("k", kind)
     level = F.when(F.col("k.type").isin("PROFESSIONAL_QUALIFICATION", "PERSONNEL"), extract_level(F.col("requirement")))
     return rows.select("doc_id", "page", (F.col("ordinal") * 1000 + F.col("part")).alias("ordinal"), "requirement", "k.type", "k.name", "k.identity", level.alias("level"))
 
 
+def requirements_of(texts: DataFrame, clauses: DataFrame) -> DataFrame:
+    """C17: requirement rows of documents with their place: (doc_id, section, start, end, roles, requirement, type, name, identity, level), offsets in the section's text."""
+    ranges = requirement_ranges(texts, clauses).join(texts, ["doc_id", "section"])
+    blocks = ranges.withColumn("text", F.substring(F.col("view_text"), F.col("start") + 1, F.col("end") - F.col("start")))
+    rows = requirement_sources(blocks.select("doc_id", F.struct("section", "start").alias("page"), F.lit(0).alias("ordinal"), "text"))
+    placed = rows.join(blocks.select("doc_id", F.struct("section", "start").alias("page"), "roles", F.col("text").alias("_text")), ["doc_id", "page"])
+    at = F.col("page.start") + F.instr(F.col("_text"), F.col("requirement")) - 1
+    return placed.select("doc_id", "page.section", at.alias("start"), (at + F.length("requirement")).alias("end"), "roles", "requirement", "type", "name", "identity", "level")
+
+
 def jcebid_requirement_sources(blocks: DataFrame, words: dict[str, str]) -> DataFrame:
     """The second rule profile: proof materials named in the text, identified by a word list."""
     pattern = "([\\u4e00-\\u9fff]{0,20}(?:" + "|".join(words) + ")[\\u4e00-\\u9fff]{0,10})"

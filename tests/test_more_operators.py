@@ -43,14 +43,6 @@ def test_record_normaliser(spark):
     assert b["document_type"] == "unknown" and b["review_required"] and len(b["warnings"]) == 2 and b["company_match"] == "OTHER_COMPANY"
 
 
-def test_merge_family(spark):
-    rows = [("d1", 1, "P1", "C-1", "项目甲", "100元", ["e1"]), ("d2", 1, "P1", "C-1", "项目甲", "200元", ["e2"]), ("d3", 1, None, "C-2", "项目甲", None, ["e3"])]
-    df = spark.createDataFrame(rows, "doc_id string, ordinal int, project_code string, contract_no string, project_name string, amount string, refs array<string>").withColumn("customer", F.lit(None).cast("string")).withColumn("award_date", F.lit(None).cast("string"))
-    values, conflicts = entities.merge_family(df, "performance")
-    assert values.select("entity_key").distinct().count() == 2
-    assert [(c["field"], c["left_value"], c["right_value"]) for c in conflicts.collect()] == [("amount", "100.00", "200.00")]
-
-
 def test_overlay_and_refined(spark):
     pages = spark.createDataFrame([("d", 1, "原文", "NATIVE"), ("d", 2, " ", "NATIVE"), ("d", 3, "", "NATIVE")], "doc_id string, physical_page int, text string, content_source string")
     ocr = spark.createDataFrame([("d", 2, "识别出来的一段足够长的文字内容"), ("d", 3, " ")], "doc_id string, physical_page int, text string")

@@ -12,10 +12,11 @@ from docfacts.sources import records, sinks
 
 def test_merge_keeps_conflicts(spark):
     cells = spark.createDataFrame([("p", "amount", 1, "296800", ["e1"]), ("p", "amount", 2, "295800", ["e2"]), ("p", "amount", 3, "296800", ["e3"])], "k string, field string, ordinal int, value string, refs array<string>")
-    values, conflicts = merge.merge_with_conflicts(cells, ["k"])
+    values, conflicts, evidence = merge.merge_with_conflicts(cells, ["k"])
     assert [r["value"] for r in values.collect()] == ["296800"]
     c = conflicts.collect()
-    assert len(c) == 1 and (c[0]["left_value"], c[0]["right_value"], c[0]["right_refs"]) == ("296800", "295800", ["e2"]) and "e1" in c[0]["left_refs"]
+    assert len(c) == 1 and (c[0]["left_value"], c[0]["right_value"], c[0]["left_n"], c[0]["right_n"]) == ("296800", "295800", 2, 1)
+    assert sorted((r["value"], r["ref"], r["ordinal"]) for r in evidence.collect()) == [("295800", "e2", 2), ("296800", "e1", 1), ("296800", "e3", 3)]
 
 
 def test_components_against_union_find(spark):
