@@ -97,17 +97,17 @@ def first_priority(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("_r", F.rank().over(W.partitionBy("doc_id", "field").orderBy("priority"))).filter("_r = 1").drop("_r")
 
 
-def finalize_fields(candidates: DataFrame, docs: DataFrame, names: list[str], longest: list[str] = (), shortest: list[str] = ()) -> DataFrame:
+def finalize_fields(candidates: DataFrame, docs: DataFrame, names: list[str], longest: list[str] = (), shortest: list[str] = (), prose: bool = True) -> DataFrame:
     """One record per document and field: EXTRACTED, CONFLICT or MISSING.
 
-    Values end where a major section begins and, but for whole sentences, before
-    the full stop. References to other places don't count. Of `longest` fields the longest
+    In prose, values end where a major section begins and, but for whole
+    sentences, before the full stop. References to other places don't count. Of `longest` fields the longest
     value stands if it contains the others, of `shortest` ones the shortest if
     the others contain it.
     """
     cut = F.regexp_replace("value", f"(?s){MAJOR_SECTION}.*$", "")
     cut = F.when(F.col("field").isin(WHOLE_SENTENCES), cut).otherwise(F.regexp_replace(cut, "[。；;]+$", ""))
-    good = candidates.withColumn("value", cut).filter(~F.col("value").rlike("^(?:(?:见|详见|同投标截止时间)|$)"))
+    good = candidates.withColumn("value", cut if prose else F.col("value")).filter(~F.col("value").rlike("^(?:(?:见|详见|同投标截止时间)|$)"))
     agg = good.groupBy("doc_id", "field").agg(F.array_sort(F.collect_set("value")).alias("values"))
     long = F.array_sort("values", lambda a, b: F.length(b) - F.length(a))
     top, low = F.element_at(long, 1), F.element_at(long, -1)

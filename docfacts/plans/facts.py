@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docfacts.operators import families, layout, merge, tender
+from docfacts.operators import families, layout, merge, tender, transactions
 from docfacts.plans.queries import query, read
 
 _SCALARS = """(SELECT o_custkey, o_orderkey AS o, 'head.status' AS field, o_orderstatus AS value FROM orders UNION ALL SELECT o_custkey, o_orderkey, 'head.terms.priority', o_orderpriority FROM orders
@@ -94,3 +94,18 @@ def requirement_places(spark, sf_dir):
     texts = listed.select("doc_id", F.lit("announcement").alias("section"), F.concat(F.lit("投标人资格要求："), "t", F.lit("；招标文件的获取")).alias("view_text"))
     none = texts.select("doc_id", F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
     return tender.requirements_of(texts, none).select("doc_id", "requirement", "type", "start")
+
+
+_DIGEST_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+_DIGESTED = "sha256(" + " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in _DIGEST_COLUMNS) + ")"
+_PIECES = ", ".join(
+    f"sum(list_reduce(list_transform(string_split(substr(h, {1 + 8 * k}, 8), ''), lambda c: CAST(instr('0123456789abcdef', c) - 1 AS BIGINT)), lambda a, b: a * 16 + b))::VARCHAR AS s{k}" for k in range(3)
+)
+
+
+@query(f"""
+WITH r AS (SELECT CAST(o_orderkey % 16 AS INT) AS bucket, {_DIGESTED} AS h FROM orders), s AS (SELECT bucket, count(*) AS n, {_PIECES} FROM r GROUP BY bucket)
+SELECT bucket, n, sha256(bucket || '|' || n || '|' || s0 || '|' || s1 || '|' || s2) AS digest FROM s""")
+def state_digests(spark, sf_dir):
+    """Digests of the orders by ranges of their keys."""
+    return transactions.state_digest(read(spark, sf_dir, "orders"), F.col("o_orderkey"), _DIGEST_COLUMNS, 16)

@@ -80,7 +80,7 @@ def tender_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prioritised rule table over pages: one value, none, or several."""
     texts = read(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.lit("page").alias("section"), F.col("html").alias("view_text"))
     pool = tender.first_priority(tender.extract_rules(texts, PAGE_RULES))
-    fields = tender.finalize_fields(pool, texts, list(dict.fromkeys(r[0] for r in PAGE_RULES)))
+    fields = tender.finalize_fields(pool, texts, list(dict.fromkeys(r[0] for r in PAGE_RULES)), prose=False)  # markup
     return fields.select(F.col("doc_id").alias("page_id"), "field", "status", F.md5("value").alias("value"))
 
 

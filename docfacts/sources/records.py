@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docfacts.functions.text import once
+
 IMAGE_SUFFIXES = r"(?i)\.(jpg|jpeg|png|bmp|webp|tif|tiff|pdf)$"
 AWARD_HEADERS = ["项目名称", "标段名称", "中标人", "中标金额"]
 
@@ -174,17 +176,30 @@ def read_model_responses(spark: SparkSession, path: str, payload: str) -> DataFr
     return spark.read.schema(f"chunk_key string, data {payload}, usage map<string,string>, cached boolean, request_count int").json(path)
 
 
-def parse_json_object_text(c: Column, schema: str) -> Column:
-    """The object in a model's text: a fenced block, else from the first brace to the last one; null if it can't be read."""
-    fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    braces = F.regexp_extract(c, r"(?s)(\{.*\})", 1)
-    return F.from_json(F.when(fenced != "", fenced).otherwise(braces), schema, {"mode": "PERMISSIVE"})
+def first_object(c: Column) -> Column:
+    """The first balanced JSON object in a text: braces in strings don't count, nor do escaped quotes. Null if none closes."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+
+    def step(s: Column, x: Column) -> Column:
+        ch, i = x["ch"], x["i"]
+        inside = s["depth"] > 0
+        quote = inside & (ch == '"') & ~s["escaped"]
+        opens, closes = ~s["quoted"] & (ch == "{"), inside & ~s["quoted"] & (ch == "}")
+        depth = s["depth"] + opens.cast("int") - closes.cast("int")
+        now = F.struct(
+            depth.alias("depth"), F.when(quote, ~s["quoted"]).otherwise(s["quoted"]).alias("quoted"), (s["quoted"] & ~s["escaped"] & (ch == "\\")).alias("escaped"),
+            F.when(opens & ~inside, i).otherwise(s["first"]).alias("first"), F.when(closes & (depth == 0), i).otherwise(s["last"]).alias("last"),
+        )
+        return F.when(s["last"] >= 0, s).otherwise(now)
 
+    chars = F.transform(F.split(c, ""), lambda ch, i: F.struct(ch.alias("ch"), i.alias("i")))
+    found = F.aggregate(chars, start, step)
+    return once(found, lambda s: F.when(s["last"] >= 0, F.substring(c, s["first"] + 1, s["last"] - s["first"] + 1)))
 
-def read_reviews(c: Column) -> Column:
-    """Manual confirmations {entry id: {...}} as an array of (entry_id, review)."""
-    parsed = F.from_json(c, "map<string,struct<note:string,contentConfirmed:boolean,affiliationConfirmed:boolean,companyId:int>>")
-    return F.map_entries(parsed)
+
+def parse_json_object_text(c: Column, schema: str) -> Column:
+    """The first balanced object of a model's answer, read with a schema."""
+    return F.from_json(first_object(c), schema)
 
 
 def review_errors(reviews: DataFrame, known: DataFrame) -> DataFrame:
