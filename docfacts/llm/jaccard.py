@@ -145,20 +145,28 @@ def _parities(x: bytes, y: bytes, a: int, b: int) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def may_link(x: bytes, y: bytes, a: int, b: int, at_least: Threshold, orders: int) -> bool:
-    """Whether two signatures of sets of a and b tokens share a prefix token under each order and differ in few enough bits. No pair of the similarity is refused."""
+def few_bits_differ(x: bytes, y: bytes, a: int, b: int, at_least: Threshold) -> bool:
+    """Whether the parities of sets of a and b tokens allow the similarity."""
     p, q = _parities(x, y, a, b)
-    if int(np.bitwise_count(p ^ q).sum()) > a + b - 2 * at_least.need(a, b):
-        return False
+    return int(np.bitwise_count(p ^ q).sum()) <= a + b - 2 * at_least.need(a, b)
+
+
+def prefixes_meet(x: bytes, y: bytes, a: int, b: int, at_least: Threshold, orders: int) -> bool:
+    """Whether sets of a and b tokens share a prefix token under each order from 1 on."""
     n, m = at_least.prefix(a), at_least.prefix(b)
-    before = [(PARITY + wide(c)) // 8 for c in (a, b)]
     for k in range(orders - 1):
-        mine, theirs = np.frombuffer(x, np.uint32, n, before[0] + 4 * n * k), np.frombuffer(y, np.uint32, m, before[1] + 4 * m * k)
+        mine, theirs = np.frombuffer(x, np.uint32, n, 4 * n * k), np.frombuffer(y, np.uint32, m, 4 * m * k)
         if set(mine.tolist()).isdisjoint(theirs.tolist()):
             return False
     return True
 
 
+def may_link(x: bytes, y: bytes, a: int, b: int, at_least: Threshold, orders: int) -> bool:
+    """Both filters on two signatures. No pair of the similarity is refused."""
+    p, q = ((PARITY + wide(n)) // 8 for n in (a, b))
+    return few_bits_differ(x, y, a, b, at_least) and prefixes_meet(x[p:], y[q:], a, b, at_least, orders)
+
+
 class Tally:
     """Lossy counting of tokens: after each COUNTED tokens those are dropped whose count is not above the number of rounds."""
 
@@ -248,7 +256,7 @@ LISTS = "k long, node long, size int, at int, other long"
 
 
 def prefix_lists(docs: DataFrame, words: int, at_least: Threshold, common: CommonTokens) -> DataFrame:
-    """The inverted index of order 0 without lists of one node, (k, node, size, position); and, where k is null, the pairs (node, other) of its stars.
+    """The inverted index of order 0, (k, node, size, position), of nodes that may match another one in their list; and, where k is null, the pairs (node, other) of its stars.
 
     Postings travel packed, a row for each slice of a batch and bucket of
     tokens. A node posts once a task, so copies add no postings.
@@ -299,10 +307,12 @@ def prefix_lists(docs: DataFrame, words: int, at_least: Threshold, common: Commo
         k, node, size, at, like = (x[shared] for x in (k, node, size.astype(np.int32), at.astype(np.int32), like))
         if not len(k):
             return
-        for cut in range(0, len(k), 50_000):
-            some = [x[cut:cut + 50_000] for x in (k.view(np.int64), node, size, at)]
-            yield to_batch([*some, pa.nulls(len(some[0]), pa.int64())], schema)
-        a, b = Lists(k, node, size, at, np.cumsum(~like), at_least).stars()
+        whole = Lists(k, node, size, at, np.cumsum(~like), at_least)
+        left = whole.partnered() | known.dealt(whole.k)
+        for cut in np.array_split(np.flatnonzero(left), int(left.sum()) // 50_000 + 1):
+            some = [x[cut] for x in (whole.k.view(np.int64), whole.node, whole.size.astype(np.int32), whole.at.astype(np.int32))]
+            yield to_batch([*some, pa.nulls(len(cut), pa.int64())], schema)
+        a, b = whole.stars()
         none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32())]
         yield to_batch([none[0], a, none[1], none[1], b], schema)
 
@@ -389,6 +399,23 @@ class Lists:
             left = left[others][~ok]
         return self.pairs()
 
+    def partnered(self) -> np.ndarray:
+        """Which entries may match another one of their list. In long lists only the sizes next to an entry's are looked at."""
+        out = np.zeros(len(self.node), dtype=bool)
+        left_in = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.node))
+        i = np.flatnonzero(np.repeat(self.sizes <= SHORT, self.sizes))
+        for shift in range(1, SHORT):
+            i = i[left_in[i] > shift]
+            i = i[self.at_least.sizes(self.size[i], self.size[i + shift])]  # a list ascends in size
+            if not len(i):
+                break
+            ok = i[self.may_match(i, i + shift)]
+            out[ok] = out[ok + shift] = True
+        i = np.flatnonzero(np.repeat(self.sizes > SHORT, self.sizes) & (left_in > 1))
+        ok = i[self.at_least.sizes(self.size[i], self.size[i + 1])]
+        out[ok] = out[ok + 1] = True
+        return out
+
     def between_roots(self) -> np.ndarray:
         """All pairs of different roots that may match."""
         several = np.minimum.reduceat(self.root, self.starts) != np.maximum.reduceat(self.root, self.starts)
@@ -487,16 +514,26 @@ def verified(pairs: DataFrame, nodes: DataFrame, signs: DataFrame, docs: DataFra
     pairs = materialize(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     own = materialize(signs.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("sign").alias("sign"), F.min("size").alias("size")), "signatures")
-    both = pairs.join(own.toDF("a", "x", "m"), "a").join(own.toDF("b", "y", "n"), "b").select("a", "b", "x", "y", "m", "n")
+    grown = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest("size", F.lit(1)).cast("double")))).cast("int")
+    bits = PARITY + F.when(F.col("size") <= PARITY, 0).otherwise(F.least(grown, F.lit(1 << 16)))
+    batch_rows(docs.sparkSession, 1000)
 
-    def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [may_link(*(v.as_py() for v in row), at_least, orders) for row in zip(*(batch.column(c) for c in range(2, 6)), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        trim()
+    def passing(left: DataFrame, part, name: str, test) -> DataFrame:
+        """The pairs of which test(x, y, sizes) holds, x and y being one part of the signatures: small parts are moved first."""
+        parts = own.select("node", part.alias("part"), "size")
+        both = left.join(parts.toDF("a", "x", "m"), "a").join(parts.toDF("b", "y", "n"), "b").select("a", "b", "x", "y", "m", "n")
 
-    batch_rows(docs.sparkSession, 1000)
-    left = materialize(both.mapInArrow(filters, PAIRS), "candidates")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = [test(*(v.as_py() for v in row)) for row in zip(*(batch.column(c) for c in range(2, 6)), strict=True)]
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            trim()
+
+        return materialize(both.mapInArrow(run, PAIRS), name)
+
+    near = passing(pairs, F.substring(F.col("sign"), F.lit(1), (bits / 8).cast("int")), "near_in_bits", lambda x, y, m, n: few_bits_differ(x, y, m, n, at_least))
+    rest = F.substring(F.col("sign"), (bits / 8).cast("int") + 1, F.length("sign"))
+    left = passing(near, rest, "candidates", lambda x, y, m, n: prefixes_meet(x, y, m, n, at_least, orders))
     wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     rows = materialize(nodes.join(wanted, "node", "left_semi").select("first.*"), "wanted")
 
@@ -523,7 +560,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, signs: DataFrame, docs: DataFra
 
     batch_rows(docs.sparkSession, 200)
     found = materialize(both.mapInArrow(verify, PAIRS), "links")
-    discard(pairs, own, left, rows, sets)
+    discard(pairs, own, near, left, rows, sets)
     return found
 
 
