@@ -119,6 +119,22 @@ def expand_page_range(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(F.split(c, ","), pages))))
 
 
+def page_range_error(c: Column, total_pages: Column) -> Column:
+    """Why a page range is refused, null if it is none or right: a part that is no range, a start after its end, pages outside 1 to total_pages."""
+    form, blank = r"^\s*[0-9]+\s*(-\s*[0-9]+\s*)?$", r"^\s*$"
+    parts = F.filter(F.split(c, ","), lambda p: ~p.rlike(blank))
+    end = lambda p: F.regexp_extract(p, r"([0-9]+)\s*$", 1).try_cast("long")
+    start = lambda p: F.regexp_extract(p, r"^\s*([0-9]+)", 1).try_cast("long")
+    wrong = F.filter(parts, lambda p: ~p.rlike(form))
+    turned = F.filter(parts, lambda p: p.rlike(form) & (start(p) > end(p)))
+    outside = F.exists(parts, lambda p: F.coalesce((start(p) < 1) | (end(p) > total_pages), F.lit(True)))
+    return F.when(F.coalesce(c, F.lit("")) == "", F.lit(None).cast("string")).otherwise(
+        F.when(F.size(wrong) > 0, F.concat(F.lit("no page range: "), F.trim(F.element_at(wrong, 1))))
+        .when(F.size(turned) > 0, F.concat(F.lit("start after end: "), F.trim(F.element_at(turned, 1))))
+        .when((F.size(parts) == 0) | outside, F.concat(F.lit("pages have to lie in 1 to "), total_pages.cast("string")))
+    )
+
+
 def page_set_ops(a: Column, b: Column) -> tuple[Column, Column]:
     """Union and intersection."""
     return F.array_sort(F.array_union(a, b)), F.array_sort(F.array_intersect(a, b))

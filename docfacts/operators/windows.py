@@ -47,8 +47,22 @@ def contiguous_ranges(df: DataFrame, key: list[str], at: str, most: int | None =
     return runs.groupBy(*keys).agg(F.min(at).alias("start"), F.max(at).alias("end"), F.count(F.lit(1)).alias("n")).drop("_island", "_part")
 
 
-def chunk_rows(df: DataFrame, key: list[str], order: list[str], size: str, most_rows: int, most_size: int) -> DataFrame:
-    """Greedy packing of each key's rows in order, by row count and total size: adds `chunk` from 0.
+def page_blocks(pages: DataFrame, key: list[str], page: str, text: str, limit: int) -> DataFrame:
+    """(key, page, part, block): pages under their marker; a page that is longer than the limit is split, and its parts say which they are."""
+    header = F.concat(F.lit("<!-- PDF page "), F.col(page).cast("string"), F.lit(" -->"))
+    body = F.coalesce(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    rows = pages.select(*key, page, header.alias("_h"), body.alias("_t"))
+    room = F.greatest(F.lit(1000), F.lit(limit - 80) - F.length("_h"))
+    fits = F.length("_h") + F.length("_t") + 1 <= limit
+    n = F.when(fits, 1).otherwise(F.greatest(F.ceil(F.length("_t") / room).cast("int"), F.lit(1)))
+    each = rows.withColumn("_room", room).withColumn("_fits", fits).withColumn("_n", n).withColumn("part", F.explode(F.sequence(F.lit(1), "_n")))
+    piece = F.substring(F.col("_t"), (F.col("part") - 1) * F.col("_room") + 1, F.col("_room"))
+    marked = F.concat("_h", F.lit("\n[本页分段 "), F.col("part").cast("string"), F.lit("/"), F.col("_n").cast("string"), F.lit("]\n"), piece)
+    return each.select(*key, page, "part", F.when(F.col("_fits"), F.concat("_h", F.lit("\n"), "_t")).otherwise(marked).alias("block"))
+
+
+def chunk_rows(df: DataFrame, key: list[str], order: list[str], size: str, most_rows: int, most_size: int, separator: int = 0) -> DataFrame:
+    """Greedy packing of each key's rows in order, by row count and total size, separators between rows included: adds `chunk` from 0.
 
     A fold over the key's ordered array; one document is the unit of order, so
     arrays are bounded by a document.
@@ -56,10 +70,10 @@ def chunk_rows(df: DataFrame, key: list[str], order: list[str], size: str, most_
     item = F.struct(*[F.col(c) for c in order], F.col(size).alias("_size"))
     lists = df.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
     start = "named_struct('chunk', 0, 'rows', 0, 'size', 0L, 'out', cast(array() as array<int>))"
-    full = f"(s.rows > 0 AND (s.rows >= {most_rows} OR s.size + x._size > {most_size}))"
+    full = f"(s.rows > 0 AND (s.rows >= {most_rows} OR s.size + {separator} + x._size > {most_size}))"
     fold = f"""aggregate(_items, {start}, (s, x) -> IF({full},
         named_struct('chunk', s.chunk + 1, 'rows', 1, 'size', cast(x._size as bigint), 'out', array_append(s.out, s.chunk + 1)),
-        named_struct('chunk', s.chunk, 'rows', s.rows + 1, 'size', s.size + cast(x._size as bigint), 'out', array_append(s.out, s.chunk))), s -> s.out)"""
+        named_struct('chunk', s.chunk, 'rows', s.rows + 1, 'size', s.size + IF(s.rows > 0, {separator}, 0) + cast(x._size as bigint), 'out', array_append(s.out, s.chunk))), s -> s.out)"""
     zipped = lists.select(*key, F.explode(F.arrays_zip("_items", F.expr(fold).alias("_chunks"))).alias("z"))
     return zipped.select(*key, *[F.col(f"z._items.{c}").alias(c) for c in order], F.col("z._items._size").alias(size), F.col("z._chunks").alias("chunk"))
 

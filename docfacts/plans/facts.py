@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docfacts.operators import families, layout, merge, tender, transactions
+from docfacts.operators import checks, families, layout, merge, tender, transactions, windows
 from docfacts.plans.queries import query, read
 
 _SCALARS = """(SELECT o_custkey, o_orderkey AS o, 'head.status' AS field, o_orderstatus AS value FROM orders UNION ALL SELECT o_custkey, o_orderkey, 'head.terms.priority', o_orderpriority FROM orders
@@ -109,3 +109,33 @@ SELECT bucket, n, sha256(bucket || '|' || n || '|' || s0 || '|' || s1 || '|' ||
 def state_digests(spark, sf_dir):
     """Digests of the orders by ranges of their keys."""
     return transactions.state_digest(read(spark, sf_dir, "orders"), F.col("o_orderkey"), _DIGEST_COLUMNS, 16)
+
+
+@query("""
+WITH RECURSIVE p AS (SELECT conv_id, turn, regexp_replace(repeat(text, CAST(1 + turn % 9 AS INT)), '^\\s+|\\s+$', '', 'g') AS t, 18 + length(CAST(turn AS VARCHAR)) AS h FROM conversations),
+n AS (SELECT conv_id, turn, t, h, greatest(1000, 1200 - h - 80) AS room, CASE WHEN h + length(t) + 1 <= 1200 THEN 0 ELSE CAST(ceil(length(t) / greatest(1000.0, 1200 - h - 80)) AS INT) END AS n FROM p),
+b AS (SELECT conv_id, turn, part, CASE WHEN n = 0 THEN h + 1 + length(t) ELSE h + 10 + length(part || '/' || n) - 1 + least(room, length(t) - (part - 1) * room) END AS size
+  FROM (SELECT *, unnest(range(1, greatest(n, 1) + 1)) AS part FROM n)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, part) AS rn FROM b),
+g AS (SELECT conv_id, turn, part, size, rn, 0 AS chunk, size AS total FROM o WHERE rn = 1
+  UNION ALL SELECT o.conv_id, o.turn, o.part, o.size, o.rn, CASE WHEN g.total + 2 + o.size > 1200 THEN g.chunk + 1 ELSE g.chunk END, CASE WHEN g.total + 2 + o.size > 1200 THEN o.size ELSE g.total + 2 + o.size END
+  FROM g JOIN o ON o.conv_id = g.conv_id AND o.rn = g.rn + 1)
+SELECT conv_id, turn, part::INT AS part, size::INT AS size, chunk FROM g""")
+def split_chunks(spark, sf_dir):
+    """Turns as pages, over-long ones split, packed with their separators."""
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.repeat("text", (1 + F.col("turn") % 9).cast("int")).alias("text"))
+    blocks = windows.page_blocks(c, ["conv_id"], "turn", "text", 1200).select("conv_id", "turn", "part", F.length("block").alias("size"))
+    return windows.chunk_rows(blocks, ["conv_id"], ["turn", "part"], "size", 1_000_000, 1200, 2)
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 4 WHEN 0 THEN l_linenumber || '-' || CAST(l_quantity AS INT) WHEN 1 THEN 'p' || l_linenumber WHEN 2 THEN '' ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS r,
+  CAST(l_quantity AS INT) AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE l_orderkey % 4 WHEN 1 THEN 'no page range: ' || r WHEN 2 THEN NULL WHEN 0 THEN CASE WHEN l_linenumber > q THEN 'start after end: ' || r WHEN q > 40 THEN 'pages have to lie in 1 to 40' END
+  ELSE CASE WHEN q > 40 OR q < 1 THEN 'pages have to lie in 1 to 40' END END AS error FROM r""")
+def range_errors(spark, sf_dir):
+    """Why written page ranges are refused."""
+    q = F.col("l_quantity").cast("int").cast("string")
+    k = F.col("l_orderkey") % 4
+    written = F.when(k == 0, F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), q)).when(k == 1, F.concat(F.lit("p"), F.col("l_linenumber").cast("string"))).when(k == 2, "").otherwise(q)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", checks.page_range_error(written, F.lit(40)).alias("error"))

@@ -118,3 +118,16 @@ def test_values_end_at_major_sections(spark):
     docs = spark.createDataFrame([("d",)], "doc_id string")
     got = {r["field"]: (r["value"], r["status"]) for r in tender.finalize_fields(spark.createDataFrame(rows, "doc_id string, field string, value string"), docs, [r[1] for r in rows]).collect()}
     assert got == {"项目名称": ("甲工程", "EXTRACTED"), "项目规模": ("一座。", "EXTRACTED"), "质量要求": (None, "MISSING"), "资金来源": ("自筹", "EXTRACTED")}
+
+
+def test_long_pages_are_split(spark):
+    from docfacts.operators import checks, windows
+
+    pages = spark.createDataFrame([("d", 1, " short \n"), ("d", 2, "x" * 2500), ("d", 3, None)], "doc string, page int, text string")
+    got = {(r["page"], r["part"]): r["block"] for r in windows.page_blocks(pages, ["doc"], "page", "text", 1200).collect()}
+    assert got[1, 1] == "<!-- PDF page 1 -->\nshort" and got[3, 1] == "<!-- PDF page 3 -->\n" and len(got) == 5
+    parts = [got[2, k].split("]\n")[1] for k in (1, 2, 3)]
+    assert "".join(parts) == "x" * 2500 and [len(p) for p in parts] == [1101, 1101, 298] and "[本页分段 2/3]" in got[2, 2]
+    ranges = spark.createDataFrame([("1-3, 7",), ("3-1",), ("a",), ("0",), ("9",), ("",), (None,), (" , ",)], "r string").select(checks.page_range_error(F.col("r"), F.lit(8)).alias("e"))
+    limits = "pages have to lie in 1 to 8"
+    assert [r["e"] for r in ranges.collect()] == [None, "start after end: 3-1", "no page range: a", limits, limits, None, None, limits]
