@@ -58,7 +58,7 @@ GATHERED = 50_000
 #: Bits of a set's parities.
 PARITY = 512
 #: Tokens that a task counts before it drops rare ones, and words whose hashes it keeps.
-COUNTED, WORDS = 1 << 20, 500_000
+COUNTED, WORDS = 1 << 20, 250_000
 
 
 class Threshold(NamedTuple):

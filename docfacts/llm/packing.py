@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materialize, read, slices, texts, to_batch
+from docfacts.llm.shared import arrow_schema, batch_rows, global_rank, materialize, read, slices, texts, to_batch, trim
 
 CAPACITY = 4096
 END_ID = 1
 #: Lengths of a pattern at most, shares of the room left that its middle lengths take, ways to close one with a pair, and fits in a row.
 MOST, SHARES, PAIR_WAYS, FITS = 8, (0.3, 0.6), 2, 3
 #: Words kept per worker between batches; beyond it the store starts anew.
-WORDS_KEPT = 800_000
+WORDS_KEPT = 250_000
 
 #: Marks that may follow a word.
 MARKS = ",.;:!?$#%&*|"
@@ -118,6 +118,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
                         for column, value in zip(columns, (doc_id, k, start // 4, len(own) // 4, zlib.crc32(own), own), strict=False):
                             column.append(value)
                 yield to_batch(columns, schema)
+        words.clear()
+        trim()
 
     return texts(docs, "doc_id", "text").mapInArrow(tokenise, fields)
 

@@ -137,6 +137,7 @@ def filter_rows(df: DataFrame, keep) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(keep(batch), pa.bool_()))
+        trim()
 
     return df.mapInArrow(run, df.schema)
 
