@@ -202,6 +202,11 @@ def parse_json_object_text(c: Column, schema: str) -> Column:
     return F.from_json(first_object(c), schema)
 
 
+def read_reviews(c: Column) -> Column:
+    """Manual confirmations {entry id: {...}} as an array of (key, value), the entry's id and its review."""
+    return F.map_entries(F.from_json(c, "map<string,struct<note:string,contentConfirmed:boolean,affiliationConfirmed:boolean,companyId:int>>"))
+
+
 def review_errors(reviews: DataFrame, known: DataFrame) -> DataFrame:
     """Reviews (entry_id, note) with a bad key, no note, or an unknown entry."""
     bad = reviews.filter(~F.col("entry_id").rlike("^[0-9a-f]{64}$") | (F.trim(F.coalesce("note", F.lit(""))) == "")).select("entry_id", F.lit("key or note is missing").alias("error"))

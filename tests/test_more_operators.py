@@ -112,6 +112,13 @@ def test_readers(spark, tmp_path):
     assert records.scan_content_hash(spark, f"file://{tmp_path}", 2).filter("error IS NOT NULL").count() == 3
 
 
+def test_reviews(spark):
+    """An entry for each key of an answer; unreadable answers give none."""
+    answers = spark.createDataFrame([('{"a": {"note": "seen", "companyId": 3}, "b": {"contentConfirmed": true}}',), ("{}",), (None,)], "t string")
+    got = answers.select(F.explode(records.read_reviews(F.col("t"))).alias("r")).select("r.key", "r.value.*").orderBy("key").collect()
+    assert [tuple(r) for r in got] == [("a", "seen", None, None, 3), ("b", None, True, None, None)]
+
+
 def test_limits_and_status(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, ordinal int")
     assert [r["ordinal"] for r in windows.limit_input(df, ["k", "ordinal"], 2).collect()] == [1, 2]
