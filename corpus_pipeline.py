@@ -22,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: one document of each group of exact or near copies stays."""
+    """Operator 6: one document of each group of exact or near copies stays. Its links are verified, and an exact search adds those that fingerprints miss."""
     return simhash.kept(docs)
 
 

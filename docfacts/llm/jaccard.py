@@ -22,7 +22,9 @@ common tokens are dealt out by node for these stars; then stars are repeated
 among one node of each component, where the parts meet.) In the last round only lists that hold
 several components are looked at, this time at all pairs between components. So
 a large group of near copies costs few pairs a node and still no link between
-components is lost. Lists over `BLOCK` nodes are compared in pairs of blocks.
+components is lost. Pairs that another search proposes (for `near_copies` the
+SimHash index of operator 6) are verified before the first round, and stars
+inside the components that they make are left out. Lists over `BLOCK` nodes are compared in pairs of blocks.
 
 Edge cases: null and empty texts, and texts without words, have an empty set:
 `op13_ngram_jaccard` links them with nothing, `near_copies` counts them as
@@ -34,7 +36,7 @@ not looked at, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -564,16 +566,31 @@ def verified(pairs: DataFrame, nodes: DataFrame, signs: DataFrame, docs: DataFra
     return found
 
 
-def linked_sets(docs: DataFrame, words: int, at_least: Threshold, orders: int = ORDERS) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): of every document (doc_id, key, node, size), key being a hash of its text; of every node the least (doc_id, key) reachable over links."""
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes of different components."""
+    both = pairs.join(roots.toDF("a", "x"), "a", "left").join(roots.toDF("b", "y"), "b", "left")
+    return both.filter(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+
+
+def linked_sets(
+    docs: DataFrame, words: int, at_least: Threshold, orders: int = ORDERS, proposed: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): of every document (doc_id, key, node, size), key being a hash of its text; of every node the least (doc_id, key) reachable over links.
+
+    `proposed` is another search: of nodes (node, key), it gives pairs (a, b).
+    They are verified first, and what they join needs no further look.
+    """
     both = materialize(marked_sets(docs, words, at_least, orders), "marked")
     marked, signs = both.filter("node IS NOT NULL").select("doc_id", "key", "node", "size"), both.filter("sign IS NOT NULL").select("node", "sign", "size")
     nodes = materialize(marked.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("first")), "nodes")
+    known = (nodes, signs, docs, words, at_least, orders)
+    if proposed:
+        given = verified(proposed(nodes.select("node", "first.key")), *known)
+        together = materialize(components(given), "together")
     common = common_tokens(both)
     lists = materialize(prefix_lists(docs, words, at_least, common), "lists")
     stars, lines = lists.filter("k IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), lists.filter("k IS NOT NULL").drop("other")
-    known = (nodes, signs, docs, words, at_least, orders)
-    links = verified(stars, *known)
+    links = given.union(verified(apart(stars, together), *known)) if proposed else verified(stars, *known)
     several = with_roots(lines, components(links))
     if (common.lists > 1).any():
         links = links.union(verified(stars_of_components(several, at_least), *known))
@@ -584,13 +601,15 @@ def linked_sets(docs: DataFrame, words: int, at_least: Threshold, orders: int =
     joined = materialize(nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "roots")
     least = joined.groupBy("root").agg(F.min("first").alias("least"))
     classes = materialize(joined.join(least, "root").select("node", F.col("least").alias("first")), "classes")
-    discard(lists, several, joined, nodes)
+    discard(lists, several, joined, nodes, *([together] if proposed else []))
     return marked, classes
 
 
-def near_copies(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
+def near_copies(
+    docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), proposed: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(doc_id, key, first) of every document: first is the least (doc_id, key) reachable over pairs of a similarity of `least` (a fraction) or more."""
-    marked, classes = linked_sets(docs, words, Threshold(*least))
+    marked, classes = linked_sets(docs, words, Threshold(*least), proposed=proposed)
     return marked.join(classes, "node").select("doc_id", "key", "first")
 
 

@@ -15,6 +15,9 @@ links rather than all pairs: components stay the same and rows stay linear.
 Components come from repeated contraction: every node joins its least
 neighbour (by hash), edges are rewritten, and rounds are few.
 
+The pipeline's stage (`kept`) takes its first links from the same fingerprints
+and index, and checks them on sets of shingles.
+
 Edge cases: null and empty texts have fingerprint zero and are linked like any
 other; fewer words than a shingle give one shingle of all words; texts of any
 length count whole. Repeated rows fall in one component, and so do rows that
@@ -196,20 +199,21 @@ def links(lists: DataFrame, agree: int, distance: int, block: int = BLOCK) -> Da
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
+def linked(nodes: DataFrame, bits: int = 64, distance: int = 3, keys: list[tuple[int, ...]] | None = None, agree: int | None = None) -> DataFrame:
+    """(a, b): links of distinct fingerprints (fp). Without keys, combinations of three positional bytes cover every pair
+    within `distance` exactly (bits // 8 - distance bytes agree at least)."""
+    positions = bits // 8
+    agree = positions - distance if agree is None else agree
+    return links(postings(nodes, keys or cover(positions, agree, 3)), agree, distance)
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 3, bits: int = 64, distance: int = 3, keys: list[tuple[int, ...]] | None = None, agree: int | None = None
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every document: the least doc_id reachable over links.
-
-    Without keys, combinations of three positional bytes cover every pair
-    within `distance` exactly (bits // 8 - distance bytes agree at least).
-    """
-    positions = bits // 8
-    agree = positions - distance if agree is None else agree
+    """(doc_id, fp, component_id) of every document: the least doc_id reachable over links."""
     marked = materialize(fingerprints(docs, words, bits), "fingerprints")
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    found = links(postings(nodes, keys or cover(positions, agree, 3)), agree, distance)
-    roots = components(found)
+    roots = components(linked(nodes, bits, distance, keys, agree))
     # written before they are joined: the join can then split a large component's rows
     joined = materialize(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
     least = materialize(joined.groupBy("root").agg(F.min("least").alias("component_id")), "least")
@@ -217,12 +221,27 @@ def near_duplicates(
     return marked.join(named, "fp")
 
 
+def proposed_pairs(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): of nodes (node, key), key being the hash of a text, those whose texts' fingerprints are linked or equal: each with the
+    least node of its fingerprint, and these among one another."""
+    by_text = fingerprints(docs.select(F.xxhash64("text").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "fp").distinct()
+    marked = materialize(nodes.join(by_text, "key").select("node", "fp"), "fingerprints")
+    leasts = materialize(marked.groupBy("fp").agg(F.min("node").alias("least")), "nodes")
+    found = materialize(linked(leasts), "linked")
+    near = found.join(leasts.toDF("a", "x"), "a").join(leasts.toDF("b", "y"), "b").select("x", "y")
+    same = marked.join(leasts, "fp").filter("node <> least").select("node", "least")
+    return near.union(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def kept(docs: DataFrame) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the least doc_id (null ones first), then hash of the text.
 
-    Of rows that repeat both, the least in all columns stays.
+    Fingerprints propose the first links, which are verified on the sets of
+    shingles; the search over prefixes then finds the pairs that lie further
+    apart in bits. Of rows that repeat doc_id and text, the least in all columns
+    stays.
     """
-    copies = near_copies(docs).withColumn("own", F.struct("doc_id", "key"))
+    copies = near_copies(docs, proposed=lambda nodes: proposed_pairs(docs, nodes)).withColumn("own", F.struct("doc_id", "key"))
     gone = copies.filter("own <> first").select("own.*")
     again = copies.filter("own = first").groupBy("own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("own.*")
     again = materialize(again, "again")
@@ -238,7 +257,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Wide fingerprints: five-word shingles, 256 bits of which texts of a similarity of 0.8 differ in 39 on average (54 is 2.6
-#: standard deviations more). They miss some pairs; the pipeline uses near_copies, which misses none.
+#: standard deviations more). They miss some pairs; in the pipeline near_copies finds those that fingerprints miss.
 WIDE = {"words": 5, "bits": 256, "distance": 54, "agree": 2}
 
 

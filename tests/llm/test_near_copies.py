@@ -21,6 +21,21 @@ def test_nulls_and_empty_tables(spark):
     assert simhash.kept(docs.limit(0)).count() == 0
 
 
+def test_fingerprints_propose_the_first_links(spark, monkeypatch):
+    """Without the search over prefixes the copies that operator 6 links still go, and texts of one fingerprint and different sets stay."""
+    words = [f"w{k}" for k in range(2000)]
+    near = [*words[:1000], "changed", *words[1001:]]
+    spam = ["spam " * 400 + " ".join(f"{name}{k}" for k in range(60)) for name in "ab"]
+    docs = spark.createDataFrame(list(enumerate([" ".join(words), " ".join(near), " ".join(words).upper() + "\n", *spam])), "doc_id long, text string")
+    fps = {r["doc_id"]: bytes(r["fp"]) for r in simhash.fingerprints(docs).collect()}
+    assert fps[3] == fps[4] and fps[0] == fps[2]
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3}
+    assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {0, 3, 4}
+    prefix_lists = jaccard.prefix_lists
+    monkeypatch.setattr(jaccard, "prefix_lists", lambda *args: prefix_lists(*args).limit(0))
+    assert {r["doc_id"] for r in simhash.kept(docs).collect()} == {0, 3, 4}
+
+
 def test_parity_never_refuses_a_pair():
     rng = np.random.default_rng(3)
     for n in (4, 40, 700, 5000):
