@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from docfacts.functions.nested import stable_hash, string_list
-from docfacts.functions.text import clean_text, clean_verbatim_text, normalize_company_name, normalize_credit_code
+from docfacts.functions.text import clean_text, clean_verbatim_text, normalize_company_name, normalize_credit_code, once
 from docfacts.functions.values import certificate_status, finite_number, finite_signed_number, normalize_date, normalize_enum, normalize_money, parse_arabic_money
 from docfacts.operators.joins import resolve_refs, subject_match
-from docfacts.operators.merge import identity_hash, merge_nested, resolve_entities
+from docfacts.operators.merge import dealt, identity_hash, merge_nested, resolve_entities
 from docfacts.storage import written
 
 
@@ -244,8 +244,8 @@ def _labelled(combined: Column, label: str) -> Column:
     return F.transform(combined, lambda parts: F.struct(F.lit(label).alias("label"), token(parts).alias("token")))
 
 
-def entity_tokens(rows: DataFrame, family: str) -> DataFrame:
-    """(row_id, label, token): what rows have in common if they are one entity; a row with none has a token of all it says."""
+def _tokens_of(family: str) -> Column:
+    """A row's tokens (label, token), an array: what it has in common with others if they are one entity; a row with none has a token of all it says."""
     own = FAMILIES[family]
     found = []
     for label, paths in own.tokens:
@@ -253,10 +253,14 @@ def entity_tokens(rows: DataFrame, family: str) -> DataFrame:
         for p in paths[1:]:
             combined = _each_with(combined, _parts(p))
         found.append(_labelled(combined, label))
-    tokens = rows.select("row_id", F.explode(F.array_distinct(F.concat(*found))).alias("t")).select("row_id", "t.label", "t.token")
     everything = stable_hash(*[F.col(n) for n in own.fields], length=24)
-    alone = rows.join(tokens.select("row_id").distinct(), "row_id", "left_anti").select("row_id", F.lit("99:fallback").alias("label"), F.concat(F.lit("99:fallback:"), everything).alias("token"))
-    return tokens.unionByName(alone)
+    alone = F.array(F.struct(F.lit("99:fallback").alias("label"), F.concat(F.lit("99:fallback:"), everything).alias("token")))
+    return once(F.array_distinct(F.concat(*found)), lambda x: F.when(F.size(x) > 0, x).otherwise(alone))
+
+
+def entity_tokens(rows: DataFrame, family: str) -> DataFrame:
+    """(row_id, label, token): what rows have in common if they are one entity; a row with none has a token of all it says."""
+    return rows.select("row_id", F.explode(_tokens_of(family)).alias("t")).select("row_id", "t.label", "t.token")
 
 
 def _filled(df: DataFrame, fields: dict) -> Column:
@@ -267,24 +271,44 @@ def _filled(df: DataFrame, fields: dict) -> Column:
     return F.exists(F.array(*said), lambda x: x.isNotNull() & ~x.isin(*empty)) if names else F.lit(False)
 
 
-def merge_family(df: DataFrame, family: str, as_of: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A4 for one family: (entities, conflicts, evidence). Rows become entities by tokens or identity and are merged at every depth."""
+def keyed_rows(df: DataFrame, family: str, as_of: Column) -> DataFrame:
+    """A family's rows cleaned, with the key of their entity (entityKey) and their place (at), in a stored table.
+
+    A token that only rows without other tokens have is an entity by itself; rows that have several tokens, and those that share one with them, are resolved.
+    """
     own = FAMILIES[family]
-    rows = normalize_entity(df.filter(_filled(df, own.fields)), family, as_of).withColumn("row_id", stable_hash(F.col("doc_id"), F.col("ordinal"), length=32))
-    rows = written(rows, "rows")  # several aggregations read them
+    rows = normalize_entity(df.filter(_filled(df, own.fields)), family, as_of).withColumn("at", F.struct("doc_id", "ordinal"))
     prefix = F.lit(f"{family.replace('_', '-')}:sha256:")
-    if own.tokens:
-        entities = resolve_entities(entity_tokens(rows, family), list(own.strong)).select("row_id", F.concat(prefix, stable_hash(F.col("canonical_token"), length=24)).alias("entityKey"))
-        keyed = rows.join(entities, "row_id")
-    else:
+    if not own.tokens:
         said = identity_hash(list(own.identity), list(own.fields)) if own.identity else F.lit("current")
         if family == "alias":
             said = stable_hash(F.lower(normalize_company_name(F.col("aliasName"))), length=24)
-        keyed = rows.withColumn("entityKey", F.concat(prefix, said) if own.identity else F.lit(f"{family.split('_')[0]}:current"))
-    keyed = written(keyed.withColumn("at", F.struct("doc_id", "ordinal")), "keyed")
-    merged, conflicts, evidence = merge_nested(keyed, ["entityKey"], "at", "evidenceRefs", [*own.fields, "evidenceRefs"])
-    evidence = written(evidence, "evidence")
+        return written(rows.withColumn("entityKey", F.concat(prefix, said) if own.identity else F.lit(f"{family.split('_')[0]}:current")), "keyed")
+    rows = written(rows.withColumn("_tokens", _tokens_of(family)), "rows")  # several aggregations read them
+    named = lambda found: found.withColumn("entityKey", F.concat(prefix, stable_hash(F.col("canonical_token"), length=24))).drop("canonical_token", "_tokens")
+    several, one = rows.filter(F.size("_tokens") > 1), rows.filter(F.size("_tokens") == 1).withColumn("canonical_token", F.col("_tokens")[0]["token"])
+    links = written(several.select(F.explode("_tokens.token").alias("canonical_token")).distinct(), "links")
+    if links.isEmpty():
+        return named(one)
+    tied = several.unionByName(one.join(links, "canonical_token", "left_semi").drop("canonical_token")).withColumn("row_id", stable_hash(F.col("doc_id"), F.col("ordinal"), length=32))
+    tied = written(tied, "tied")
+    tokens = tied.select("row_id", F.explode("_tokens").alias("t")).select("row_id", "t.label", "t.token")
+    found = tied.join(resolve_entities(tokens, list(own.strong)).select("row_id", "canonical_token"), "row_id").drop("row_id")
+    return written(named(found.unionByName(one.join(links, "canonical_token", "left_anti"))), "keyed")
+
+
+def merge_entities(keyed: DataFrame, family: str, fields: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged, conflicts, evidence) of the fields named, all by default, of keyed rows; nothing is stored, so what is not read is not computed."""
+    merged, conflicts, evidence = merge_nested(dealt(keyed, "entityKey"), ["entityKey"], "at", "evidenceRefs", fields or [*FAMILIES[family].fields, "evidenceRefs"])
     conflicts = conflicts.withColumn("conflict_id", F.regexp_replace("conflict_id", "^conflict:", f"conflict:{family}:")).withColumn("entity_type", F.lit(family.upper()))
+    return merged, conflicts, evidence
+
+
+def merge_family(df: DataFrame, family: str, as_of: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A4 for one family: (entities, conflicts, evidence). Rows become entities by tokens or identity and are merged at every depth."""
+    own = FAMILIES[family]
+    merged, conflicts, evidence = merge_entities(keyed_rows(df, family, as_of), family)
+    evidence = written(evidence, "evidence")
     conflicts = written(conflicts, "conflicts")
     ids = conflicts.groupBy("entityKey").agg(F.array_sort(F.collect_set("conflict_id")).alias("conflictRefs"))
     labelled = merged.join(ids, "entityKey", "left").withColumn("conflictRefs", F.coalesce("conflictRefs", F.array().cast("array<string>")))

@@ -22,6 +22,17 @@ from docfacts.storage import written
 META_FIELDS = ["qualityLevel", "profileAction", "conflictRefs"]
 
 
+#: Rows of one key that a task may get at once; buckets in which they are counted.
+MOST_OF_A_KEY, BUCKETS = 100_000, 1 << 16
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df dealt out by a key, so that all aggregations of the key's rows find them together; as it is where a key may have many rows, which are better reduced before they move."""
+    counts = df.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    most, n = counts.agg(F.max("n"), F.sum("n")).first()  # a key has at most the rows of its bucket
+    return df.repartition(key) if (most or 0) <= max(MOST_OF_A_KEY, 4 * (n or 0) // BUCKETS) else df
+
+
 def long_form(df: DataFrame, key: list[str], ordinal: str, refs: str, fields: list[str]) -> DataFrame:
     """(key, field, ordinal, value, refs) of the present scalar fields."""
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
@@ -105,18 +116,21 @@ def merge_nested(df: DataFrame, key: list[str], ordinal: str, refs: str, fields:
 
             def item(x: Column, i: Column) -> Column:
                 slot = F.struct(*[(x if j == k else F.lit(None).cast(f.kind)).alias(f"l{j}") for j, f in enumerate(lists)])
-                return F.struct(F.lit(k).alias("_list"), i.cast("long").alias("_place"), F.sha2(F.to_json(F.struct(x.alias("v"))), 256).alias("_hash"), slot.alias("_item"))
+                return F.struct(F.lit(k).alias("_list"), i.cast("long").alias("_place"), F.unhex(F.sha2(F.to_json(F.struct(x.alias("v"))), 256)).alias("_hash"), slot.alias("_item"))
 
             return F.transform(F.coalesce(at(leaf.path), empty(leaf)), item)
 
         items = F.concat(*[listed(k, f) for k, f in enumerate(lists)])
-        each = df.select(*key, F.col(ordinal).alias("_o"), F.explode(items).alias("_t")).select(*key, "_o", "_t.*")
+        each = df.select(*key, F.col(ordinal).alias("_o"), F.explode_outer(items).alias("_t")).select(*key, "_o", "_t.*")
         once = each.groupBy(*key, "_list", "_hash").agg(F.min(F.struct("_o", "_place")).alias("_at"), F.min_by("_item", F.struct("_o", "_place")).alias("_item"))
         own = lambda k: F.when(F.col("_list") == k, F.struct("_at", "_hash", F.col(f"_item.l{k}").alias("v")))
         gathered = [F.transform(F.array_sort(F.collect_list(own(k))), lambda y: y["v"]).alias(f"l{k}") for k in range(len(lists))]
         theirs = once.groupBy(*key).agg(*gathered)
-        on = [merged[c].eqNullSafe(theirs[c]) for c in key]
-        merged = merged.join(theirs, on, "left").select(*[merged[c] for c in key], *[merged[f"s{k}"] for k in range(len(scalars))], *[F.coalesce(theirs[f"l{k}"], empty(f)).alias(f"l{k}") for k, f in enumerate(lists)])
+        if scalars:
+            on = [merged[c].eqNullSafe(theirs[c]) for c in key]
+            merged = merged.join(theirs, on).select(*[merged[c] for c in key], *[merged[f"s{k}"] for k in range(len(scalars))], *[theirs[f"l{k}"] for k in range(len(lists))])
+        else:
+            merged = theirs
     number = {f.path: f"s{k}" for k, f in enumerate(scalars)} | {f.path: f"l{k}" for k, f in enumerate(lists)}
 
     def rebuilt(kind: StructType, names: list[str], before: str = "") -> list[Column]:

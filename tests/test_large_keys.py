@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docfacts import catalog
-from docfacts.operators import profile
+from docfacts.operators import families, merge, profile
 
 
 @pytest.fixture
@@ -64,3 +64,36 @@ def test_groups_give_the_rows_of_declarations_written_out(spark, monkeypatch):
     want = profile.derive_relationships(declared, proven).select(columns).collect()
     got = profile.derive_group_relationships(members, names, projects).select(columns).collect()
     assert len(got) == len(set(got)) and set(got) == set(want)
+
+
+def test_rows_of_one_token_are_entities_without_being_resolved(same_as_sql, monkeypatch):
+    """Nine in ten rows of a large table share no token with a row of several: they take part in no rounds of components."""
+    monkeypatch.setattr(families, "resolve_entities", None)
+    n = 400
+    orders = pa.table({
+        "o_orderkey": pa.array(range(n), pa.int64()), "o_custkey": pa.array([k % 37 for k in range(n)], pa.int64()), "o_orderstatus": ["FOP"[k * 7 % 11 % 3] for k in range(n)], "o_totalprice": [k / 4 for k in range(n)],
+    })
+    assert sum(r[2] for r in same_as_sql("family_entities", orders=orders)) == n // 4 + 37 * 3
+
+
+def test_keyed_rows_are_those_of_all_tokens_resolved(spark):
+    """Strong and weak tokens, alone and together, shared and void: one entity by rows as by the whole resolution."""
+    pick = lambda k, step, n, name: f"{name}{k * step % n}" if k * step % 5 < 2 else None
+    rows = [(f"d{k % 3}", k, pick(k, 7, 23, "no"), pick(k, 3, 9, "name"), "level" if k % 4 else None, None, pick(k, 11, 6, "holder"), f"office{k % 2}", [f"e{k}"]) for k in range(120)]
+    schema = "doc_id string, ordinal int, certNo string, certName string, certLevel string, expiryDate string, holderName string, issuingAuthority string, evidenceRefs array<string>"
+    df, as_of = spark.createDataFrame(rows, schema), F.lit("2026-01-01").cast("date")
+    clean = families.normalize_entity(df, "qualification", as_of).withColumn("row_id", F.concat_ws("/", "doc_id", "ordinal"))
+    tokens = families.entity_tokens(clean, "qualification")
+    assert {1, 2} <= {r["count"] for r in tokens.groupBy("row_id").count().collect()}
+    want = merge.resolve_entities(tokens, ["00:cert_no"]).select("row_id", F.concat(F.lit("qualification:sha256:"), families.stable_hash(F.col("canonical_token"), length=24)))
+    got = families.keyed_rows(df, "qualification", as_of).select(F.concat_ws("/", "doc_id", "ordinal"), "entityKey")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == len(rows)
+
+
+def test_rows_are_dealt_by_a_key_unless_one_may_be_hot(spark, monkeypatch):
+    monkeypatch.setattr(merge, "MOST_OF_A_KEY", 50)
+    many, hot = spark.range(1000).withColumn("k", F.col("id").cast("string")), spark.range(1000).withColumn("k", F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")))
+    assert merge.dealt(hot, "k") is hot and merge.dealt(many, "k") is not many
+    lists = lambda df: sorted(map(repr, merge.merge_nested(df, ["k"], "o", "refs", ["a"])[0].collect()))
+    rows = spark.createDataFrame([("x", 2, ["e"], ["u", "v"]), ("x", 1, ["e"], ["v", None]), ("y", 1, ["e"], []), ("z", 1, None, None), (None, 1, ["e"], ["n"])], "k string, o int, refs array<string>, a array<string>")
+    assert lists(rows) == lists(merge.dealt(rows, "k")) == sorted(["Row(k='x', a=['v', None, 'u'])", "Row(k='y', a=[])", "Row(k='z', a=[])", "Row(k=None, a=['n'])"])
