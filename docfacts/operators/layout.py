@@ -130,6 +130,24 @@ def row_values(nodes: DataFrame, labels: list[str]) -> DataFrame:
     return _joined(pairs, [F.col("x")])
 
 
+def row_counts(nodes: DataFrame, labels: list[str]) -> DataFrame:
+    """How many nodes row_values has for a label: (doc_id, page, label_id, label, cells), labels without any left out.
+
+    Lines (the distinct y of a page) are joined to the baselines within 8 units by equality of buckets. A label asks each of its lines for the nodes right of it,
+    a running count from right to left, so a page costs its nodes plus a row for each label and line, not all pairs.
+    """
+    on, cells = ["doc_id", "page"], nodes.filter("x IS NOT NULL AND y IS NOT NULL").select("doc_id", "page", "x", "y")
+    asking, cell = _labels(nodes, labels), F.floor(F.col("y") / 8)
+    baselines = asking.select(*on, "ly").distinct().withColumn("_near", F.floor(F.col("ly") / 8)).select(*on, "ly", F.explode(F.array(*[F.col("_near") + k for k in (-1, 0, 1)])).alias("_cell"))
+    lines = baselines.join(cells.select(*on, "y", cell.alias("_cell")).distinct(), [*on, "_cell"]).filter(F.abs(F.col("y") - F.col("ly")) < 8).select(*on, "ly", "y")
+    asks = asking.join(lines, [*on, "ly"]).select(*on, "y", (F.col("lx") + F.col("lw") + 2).alias("x"), "label_id", "label", F.lit(0).alias("_is")).filter("x IS NOT NULL")
+    none = F.lit(None).cast("string")
+    both = cells.select(*on, "y", "x", none.alias("label_id"), none.alias("label"), F.lit(1).alias("_is")).unionByName(asks)
+    w = W.partitionBy(*on, "y").orderBy(F.col("x").desc(), "_is").rowsBetween(W.unboundedPreceding, W.currentRow)  # a label before the nodes at its edge, which are not right of it
+    counted = both.withColumn("n", F.sum("_is").over(w)).filter("_is = 0 AND n > 0")
+    return counted.groupBy(*on, "label_id", "label").agg(F.sum("n").alias("cells"))
+
+
 def row_band_values(nodes: DataFrame, labels: list[str]) -> DataFrame:
     """A wrapped value cell: nodes in the band between the midpoints to the neighbouring clause numbers (45 units without one)."""
     cells = nodes.select("doc_id", "page", "item_id", "x", "y", solid(F.col("text")).alias("solid"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docfacts import catalog
-from docfacts.operators import families, merge, profile
+from docfacts.operators import families, layout, merge, profile
 
 
 @pytest.fixture
@@ -97,3 +97,16 @@ def test_rows_are_dealt_by_a_key_unless_one_may_be_hot(spark, monkeypatch):
     lists = lambda df: sorted(map(repr, merge.merge_nested(df, ["k"], "o", "refs", ["a"])[0].collect()))
     rows = spark.createDataFrame([("x", 2, ["e"], ["u", "v"]), ("x", 1, ["e"], ["v", None]), ("y", 1, ["e"], []), ("z", 1, None, None), (None, 1, ["e"], ["n"])], "k string, o int, refs array<string>, a array<string>")
     assert lists(rows) == lists(merge.dealt(rows, "k")) == sorted(["Row(k='x', a=['v', None, 'u'])", "Row(k='y', a=[])", "Row(k='z', a=[])", "Row(k=None, a=['n'])"])
+
+
+def test_cells_right_of_labels_are_counted(spark, same_as_sql, tmp_path):
+    """As many as row_values lists: several nodes at a place, at the very edges of a label and its baseline, fractions, negative places, and none."""
+    places = [-16.1, -8.0, -0.1, 0.0, 0.1, 7.9, 7.999999999999999, 8.0, 8.1, 15.9, 16.0, None]
+    rows = [(f"d{k % 2}", k % 3, k, f"i{k}", "label" if k % 6 == 0 else "other" if k % 6 == 1 else f"v{k}", None if k == 100 else float(k * 7 % 40) / 4, places[k * 5 % 12], 0.25 * (k % 3), 1.0) for k in range(400)]
+    nodes = spark.createDataFrame(rows, "doc_id string, page int, ordinal int, item_id string, text string, x double, y double, width double, height double")
+    want = layout.row_values(nodes, ["label", "other"]).select("doc_id", "page", "label_id", "label", F.size("items").cast("long").alias("cells"))
+    assert sorted(map(tuple, layout.row_counts(nodes, ["label", "other"]).collect())) == sorted(map(tuple, want.collect()))
+    n = 3000
+    same_as_sql("spatial_row_band", part=pa.table({"p_partkey": pa.array(range(n), pa.int64()), "p_brand": [None if k % 50 == 0 else f"b{k % 3}" for k in range(n)], "p_retailprice": [900 + k * 7 % 611 / 10 for k in range(n)], "p_size": pa.array([k * 3 % 50 for k in range(n)], pa.int32())}))
+    plan = catalog.QUERIES["spatial_row_band"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and not [x for x in plan.splitlines() if "Join" in x and " > " in x]  # no pairs of labels and nodes
