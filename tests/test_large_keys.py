@@ -67,7 +67,7 @@ def test_groups_give_the_rows_of_declarations_written_out(spark, monkeypatch):
 
 
 def test_rows_of_one_token_are_entities_without_being_resolved(same_as_sql, monkeypatch):
-    """Nine in ten rows of a large table share no token with a row of several: they take part in no rounds of components."""
+    """Rows that share no token with a row of several take part in no rounds of components."""
     monkeypatch.setattr(families, "resolve_entities", None)
     n = 400
     orders = pa.table({
